@@ -9,6 +9,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark.sources.csv_files import infer_schema, read_csv, read_csv_text
 
 PAGE_ROWS = 50_000
+#: Times to the microsecond; quotes doubled and blanks kept, so that any text reads back as it was.
+TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+CSV_TEXT = {**TIMES, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def export_csv(df: DataFrame, path: str, order: Sequence[str] | None = None, page_rows: int = PAGE_ROWS) -> None:
@@ -18,12 +24,12 @@ def export_csv(df: DataFrame, path: str, order: Sequence[str] | None = None, pag
     """
     if order:
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    df.write.option("header", True).option("maxRecordsPerFile", page_rows).csv(path)
+    df.write.options(header=True, maxRecordsPerFile=page_rows, **CSV_TEXT).csv(path)
 
 
 def export_json(df: DataFrame, path: str) -> None:
     """JSON lines with NULL fields kept."""
-    df.write.option("ignoreNullFields", "false").json(path)
+    df.write.options(ignoreNullFields=False, **TIMES).json(path)
 
 
 def json_row(df: DataFrame, time_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> Column:

@@ -16,7 +16,6 @@ TIME_PATTERNS = [
     "MM/dd/yyyy[ hh:mm:ss a]",
     "MM/dd/yyyy HH:mm:ss",
     "dd MMM yyyy[ HH:mm:ss]",
-    "EEE MMM dd HH:mm:ss yyyy",
 ]
 
 #: Text up to this long is treated as a symbol (a repeated label).
@@ -43,7 +42,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
 
     A malformed value fails the job instead of being lost; pass ``mode="PERMISSIVE"`` to get NULLs.
     """
-    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("escape", '"')
     return reader.options(**options).csv(paths)
 
 
@@ -55,7 +54,7 @@ def with_route_key(df: DataFrame, name: str = "route", chars: int = 2) -> DataFr
 
 def read_csv_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """All columns as text, named by the header."""
-    return spark.read.option("header", True).option("multiLine", True).csv(paths)
+    return spark.read.option("header", True).option("escape", '"').csv(paths)
 
 
 def infer_columns(raw: DataFrame) -> DataFrame:

@@ -1,9 +1,7 @@
-"""Export manifests and CREATE TABLE text."""
+"""Export manifests: warehouse column types to ours."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.sources.csv_files import SPARK_TYPES
@@ -45,10 +43,3 @@ def manifest_columns(spark: SparkSession, path: str) -> DataFrame:
 def schema_of(columns: DataFrame) -> T.StructType:
     rows = columns.orderBy("position").collect()
     return T.StructType([T.StructField(r["column_name"], SPARK_TYPES[r["column_type"]]) for r in rows])
-
-
-def create_statement(name: str, columns: Sequence[tuple[str, str]], ts: str | None = None, unit: str = "DAY") -> str:
-    """CREATE TABLE text in Spark SQL for (name, column type) pairs; feeds ``spark.sql``."""
-    listed = ",\n  ".join(f"`{c}` {SPARK_TYPES[t].simpleString()}" for c, t in columns)
-    properties = f"\nTBLPROPERTIES ('tidemark.ts'='{ts}', 'tidemark.unit'='NONE', 'tidemark.intended_unit'='{unit}')" if ts else ""
-    return f"CREATE TABLE IF NOT EXISTS {name} (\n  {listed}\n) USING parquet{properties}"

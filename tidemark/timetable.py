@@ -62,12 +62,16 @@ def partition_value(ts: Column | str, unit: str) -> Column:
     return F.date_format(ts, _FORMATS[unit])
 
 
-def create_table(spark: SparkSession, name: str, table: TimeTable) -> None:
+def create_statement(name: str, table: TimeTable) -> str:
     """CREATE TABLE IF NOT EXISTS with partitioning, and the time-table facts as properties."""
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.stored_schema.fields)
-    parts = f"PARTITIONED BY ({PARTITION_COLUMN})" if table.partitioned else ""
+    columns = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.stored_schema.fields)
+    parts = f"\nPARTITIONED BY ({PARTITION_COLUMN})" if table.partitioned else ""
     props = ", ".join(f"'{k}'='{v}'" for k, v in table.properties().items())
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet {parts} TBLPROPERTIES ({props})")
+    return f"CREATE TABLE IF NOT EXISTS {name} (\n  {columns}\n) USING parquet{parts}\nTBLPROPERTIES ({props})"
+
+
+def create_table(spark: SparkSession, name: str, table: TimeTable) -> None:
+    spark.sql(create_statement(name, table))
 
 
 def describe_table(spark: SparkSession, name: str) -> TimeTable:
