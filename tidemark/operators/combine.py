@@ -1,15 +1,15 @@
-"""Unions, keyed concatenation and small cross joins."""
+"""Unions, keyed concatenation, expansion by a short list, and the first rows per key."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql import Window as W
 
-#: Above this many rows a side is no longer broadcast.
-SMALL_ROWS = 100_000
+#: A list to expand by becomes part of the plan, so it must stay short.
+MAX_CHOICES = 1_000
 
 
 def union_distinct(*frames: DataFrame) -> DataFrame:
@@ -26,17 +26,22 @@ def concat_with_key(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
     return union_all(*[df.withColumn(key, F.lit(name)) for name, df in frames.items()])
 
 
-def cross_small(big: DataFrame, *small: DataFrame) -> DataFrame:
-    """Cross join ``big`` with relations checked to be small; ``big`` stays where it is.
+def with_each(df: DataFrame, *lists: DataFrame) -> DataFrame:
+    """Repeat every row for each combination of rows of the short ``lists``.
 
-    Each small side is counted up to the limit before it is broadcast. A side past the limit
-    is refused, since the product is then not a lookup any more.
+    A list is read up to the limit and becomes an array in the plan: rows expand where they
+    are, nothing is joined or shuffled. A list past the limit is refused.
     """
-    for side in small:
-        if side.limit(SMALL_ROWS + 1).count() > SMALL_ROWS:
-            raise ValueError(f"cross join side has more than {SMALL_ROWS} rows")
-        big = big.crossJoin(F.broadcast(side))
-    return big
+    for choices in lists:
+        rows = choices.limit(MAX_CHOICES + 1).collect()
+        if len(rows) > MAX_CHOICES:
+            raise ValueError(f"cannot expand by more than {MAX_CHOICES} rows")
+        options = [
+            F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in choices.schema.fields]) for r in rows
+        ]
+        kind = T.ArrayType(choices.schema)
+        df = df.select("*", F.inline(F.array(*options).cast(kind)))
+    return df
 
 
 def first_levels(df: DataFrame, by: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:

@@ -74,6 +74,12 @@ def _nullif_falsy(f: T.StructField) -> Column | None:
     return None
 
 
+def insert_rows(spark: SparkSession, name: str, rows: Sequence[tuple]) -> None:
+    """INSERT literal rows, all in one write; columns in table order."""
+    table = describe_table(spark, name)
+    insert_into(spark, spark.createDataFrame(rows, table.schema), name)
+
+
 def truncate_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 

@@ -82,7 +82,7 @@ def sample_last_not_null(spark, sf_dir):
 @plan("""
     SELECT * FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
-""")
+""", name="latest_on")
 def latest_on_user(spark, sf_dir):
     return latest_on(table(spark, sf_dir, "events"), "ts", ["user_id"], ["event_id"])
 
@@ -98,7 +98,7 @@ def upsert_keep_last(spark, sf_dir):
 @plan("""
     SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, user_id, event_type, count(*) AS copies
     FROM events GROUP BY 1, 2, 3 HAVING count(*) > 1
-""")
+""", name="duplicate_keys")
 def duplicate_key_report(spark, sf_dir):
     return duplicate_keys(daily_readings(table(spark, sf_dir, "events")), ["day", "user_id", "event_type"])
 

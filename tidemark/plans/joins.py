@@ -1,4 +1,4 @@
-"""Cross, latest-wide and as-of joins. User id is the vehicle, event type the sensor."""
+"""Seasonal expansion, latest-wide and as-of joins. User id is the vehicle, event type the sensor."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import timestamp_sequence
 from tidemark.operators.asof import asof_join, asof_wide
-from tidemark.operators.combine import cross_small
+from tidemark.operators.combine import with_each
 from tidemark.operators.latest import latest_wide
 from tidemark.plans.registry import SENSORS, plan, table
 
@@ -57,7 +57,7 @@ def cross_join_seasonal(spark, sf_dir):
     categories = table(spark, sf_dir, "region").select(
         F.col("r_name").alias("category"), (F.col("r_regionkey") * 10.0 + 5.5).alias("price")
     )
-    return cross_small(timeline, countries, categories).select(
+    return with_each(timeline, countries, categories).select(
         "country",
         "category",
         "ts",
@@ -91,7 +91,7 @@ def latest_wide_single_key(spark, sf_dir):
     FROM (SELECT * FROM events WHERE event_type = 'click') l
     ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') r
       ON l.user_id = r.user_id AND l.ts >= r.ts
-""")
+""", name="asof_join")
 def asof_join_pair(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     clicks = events.where("event_type = 'click'").select("event_id", "ts", "user_id", "value")

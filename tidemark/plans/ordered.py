@@ -11,17 +11,17 @@ from tidemark.operators.sample import sample_last
 ORDER = ["ts", "event_id"]
 
 
-@plan("SELECT * FROM events ORDER BY ts, event_id LIMIT 100")
+@plan("SELECT * FROM events ORDER BY ts, event_id LIMIT 100", name="first_n")
 def first_rows(spark, sf_dir):
     return first_n(table(spark, sf_dir, "events"), 100, ORDER)
 
 
-@plan("SELECT * FROM (SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 20) ORDER BY ts, event_id")
+@plan("SELECT * FROM (SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 20) ORDER BY ts, event_id", name="last_n")
 def last_rows(spark, sf_dir):
     return last_n(table(spark, sf_dir, "events"), 20, ORDER)
 
 
-@plan("SELECT * FROM events ORDER BY ts, event_id LIMIT 50 OFFSET 250")
+@plan("SELECT * FROM events ORDER BY ts, event_id LIMIT 50 OFFSET 250", name="row_range")
 def row_range_rows(spark, sf_dir):
     return row_range(table(spark, sf_dir, "events"), 250, 300, ORDER)
 
@@ -35,7 +35,7 @@ def page_assignment(spark, sf_dir):
     SELECT event_type, event_id, TIMESTAMP '2022-07-15 12:32:45' + to_minutes(CAST(row_number() OVER
              (PARTITION BY event_type ORDER BY event_id) - 1 AS BIGINT)) AS clock
     FROM events
-""")
+""", name="synthetic_clock")
 def synthetic_clock_per_key(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_type", "event_id")
     timed = synthetic_clock(rows, ["event_type"], ["event_id"], "2022-07-15 12:32:45", 60_000_000, "clock")

@@ -21,14 +21,14 @@ class Plan:
 PLANS: dict[str, Plan] = {}
 
 
-def plan(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register the decorated query under its function name."""
+def plan(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register the decorated query under ``name``, by default its function name."""
 
     def register(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return query(utc(spark), sf_dir)
 
-        PLANS[query.__name__] = Plan(run, sql)
+        PLANS[name or query.__name__] = Plan(run, sql)
         return query
 
     return register

@@ -231,7 +231,7 @@ def strip_empty_fields(spark, sf_dir):
           UNION ALL
           SELECT *, 'ask' AS side, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice, l_quantity) AS level FROM lineitem)
     WHERE level <= 5
-""")
+""", name="price_levels")
 def order_book_levels(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_quantity")
     sides = []
@@ -249,6 +249,6 @@ def retention_survivors(spark, sf_dir):
     return retained(table(spark, sf_dir, "events"), "ts", 5000, now="2037-09-24 10:30:00")
 
 
-@plan("SELECT doc_id, nullif(quality, 0) AS quality, nullif(toxic, 0) AS toxic FROM labels")
+@plan("SELECT doc_id, nullif(quality, 0) AS quality, nullif(toxic, 0) AS toxic FROM labels", name="falsy_to_null")
 def falsy_null_copy(spark, sf_dir):
     return falsy_to_null(table(spark, sf_dir, "labels"), ["quality", "toxic"])

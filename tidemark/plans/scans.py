@@ -38,7 +38,7 @@ def csv_scan(spark, sf_dir):
       UNION ALL SELECT 3, 'event_type', CASE WHEN max(length(event_type)) > 30 THEN 'STRING' ELSE 'SYMBOL' END FROM events
       UNION ALL SELECT 4, 'value', CASE WHEN count(try_cast(CAST(value AS VARCHAR) AS DOUBLE)) = count(*) THEN 'DOUBLE' ELSE 'SYMBOL' END FROM events
       UNION ALL SELECT 5, 'props', CASE WHEN max(length(props)) > 30 THEN 'STRING' ELSE 'SYMBOL' END FROM events)
-""")
+""", name="infer_schema")
 def infer_types(spark, sf_dir):
     path = scratch_path(spark, "infer-csv")
     export_csv(table(spark, sf_dir, "events"), path)
@@ -180,7 +180,7 @@ def prediction_records(spark, sf_dir):
 @plan("""
     SELECT o_orderkey AS key, o_totalprice AS price, o_orderdate AS day, 'orders' AS ticker FROM orders
     UNION ALL SELECT l_orderkey, l_extendedprice, l_shipdate, 'lineitem' FROM lineitem
-""")
+""", name="concat_with_key")
 def concat_keyed(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price"), F.col("o_orderdate").alias("day")
@@ -195,7 +195,7 @@ def concat_keyed(spark, sf_dir):
     SELECT c_nationkey AS nationkey, 'customer' AS kind FROM customer
     UNION SELECT s_nationkey, 'supplier' FROM supplier
     UNION SELECT n_nationkey, 'nation' FROM nation
-""")
+""", name="union_distinct")
 def union_distinct_rows(spark, sf_dir):
     return union_distinct(
         table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nationkey"), F.lit("customer").alias("kind")),

@@ -51,7 +51,7 @@ def upsert_table(spark, sf_dir):
     return read_time_table(spark, path, target).drop(PARTITION_COLUMN)
 
 
-@plan("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity FROM lineitem")
+@plan("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity FROM lineitem", name="append_table")
 def append_rows(spark, sf_dir):
     """Lines by return flag, appended batch by batch to a YEAR table."""
     lines = table(spark, sf_dir, "lineitem")
@@ -142,7 +142,7 @@ def insert_select_cast(spark, sf_dir):
     return spark.table(name)
 
 
-@plan("SELECT event_id, ts, user_id, event_type, value FROM events")
+@plan("SELECT event_id, ts, user_id, event_type, value FROM events", name="route_by_key")
 def route_rows(spark, sf_dir):
     path = scratch_path(spark, "routed")
     route_by_key(table(spark, sf_dir, "events").drop("props"), "event_type", path)

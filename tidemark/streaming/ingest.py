@@ -15,6 +15,7 @@ BatchWriter = Callable[[DataFrame, int], None]
 POLL = {"processingTime": "60 seconds"}
 ONCE = {"availableNow": True}
 BATCH_FOLDER = "batch"
+MAX_NEW_COLUMNS = 1_000
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int | None = None, **options) -> DataFrame:
@@ -91,10 +92,12 @@ def retrying(writer: BatchWriter, attempts: int = 5, delay_seconds: float = 0.5)
 def widen(batch: DataFrame, value: str, known: dict[str, str]) -> DataFrame:
     """JSON text rows to columns: the known ones typed, keys not seen before as text.
 
-    Only key names come to the driver, and only those a map of the batch's distinct keys holds.
+    Only the new key names come to the driver; more than a table can have columns is an error.
     """
     keys = batch.select(F.explode(F.json_object_keys(value)).alias("k")).distinct()
-    new = sorted(r["k"] for r in keys.where(~F.col("k").isin(list(known))).collect())
+    new = sorted(r["k"] for r in keys.where(~F.col("k").isin(list(known))).limit(MAX_NEW_COLUMNS + 1).collect())
+    if len(new) > MAX_NEW_COLUMNS:
+        raise ValueError(f"records bring more than {MAX_NEW_COLUMNS} new columns")
     schema = ", ".join([f"`{c}` {t}" for c, t in known.items()] + [f"`{c}` string" for c in new])
     return batch.select(F.from_json(value, schema).alias("r")).select("r.*")
 
