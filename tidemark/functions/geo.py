@@ -7,49 +7,27 @@ from pyspark.sql import Column, functions as F
 #: Fixed value: the geohash alphabet.
 ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
-#: Shift and mask of each step that puts a zero between the bits of a number.
-SPREAD_STEPS = [
-    (16, 0x0000FFFF0000FFFF),
-    (8, 0x00FF00FF00FF00FF),
-    (4, 0x0F0F0F0F0F0F0F0F),
-    (2, 0x3333333333333333),
-    (1, 0x5555555555555555),
-]
-
 
 def make_geohash(lon: Column, lat: Column, bits: int = 35) -> Column:
     """Geohash of ``bits`` bits (a multiple of 5, at most 60); NULL outside the globe."""
     if bits % 5 or not 0 < bits <= 60:
         raise ValueError("bits must be a multiple of 5 up to 60")
-    chars = bits // 5
-    code = geohash_code(lon, lat, bits)
-    letters = [
-        F.substring(
-            F.lit(ALPHABET),
-            (F.shiftright(code, 5 * (chars - 1 - i)).bitwiseAND(F.lit(31)) + 1).cast("int"),
-            F.lit(1),
-        )
-        for i in range(chars)
-    ]
-    return F.concat(*letters)
-
-
-def geohash_code(lon: Column, lat: Column, bits: int) -> Column:
-    """The geohash as an integer; the first, highest bit belongs to the longitude."""
-    lon_bits, lat_bits = (bits + 1) // 2, bits // 2
-    x = _spread(_cell(lon, 180.0, lon_bits))
-    y = _spread(_cell(lat, 90.0, lat_bits))
-    low, high = (x, y) if bits % 2 else (y, x)
-    return low.bitwiseOR(F.shiftleft(high, 1))
+    x = _cell(lon, 180.0, (bits + 1) // 2)
+    y = _cell(lat, 90.0, bits // 2)
+    return F.concat(*[_letter(x, y, bits, first) for first in range(0, bits, 5)])
+
+
+def _letter(x: Column, y: Column, bits: int, first: int) -> Column:
+    """The letter for five bits of the hash, which takes longitude and latitude bits in turn."""
+    code = F.lit(0).cast("bigint")
+    for place in range(5):
+        taken = (first + place) // 2
+        cell, below = (x, (bits + 1) // 2 - 1 - taken) if (first + place) % 2 == 0 else (y, bits // 2 - 1 - taken)
+        code = code.bitwiseOR(F.shiftleft(F.shiftright(cell, below).bitwiseAND(F.lit(1)), 4 - place))
+    return F.substring(F.lit(ALPHABET), (code + 1).cast("int"), F.lit(1))
 
 
 def _cell(degrees: Column, limit: float, bits: int) -> Column:
     cells = 1 << bits
     index = F.floor((degrees + limit) / (2 * limit) * cells).cast("bigint")
     return F.when(degrees.between(-limit, limit), F.least(index, F.lit(cells - 1).cast("bigint")))
-
-
-def _spread(x: Column) -> Column:
-    for shift, mask in SPREAD_STEPS:
-        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
-    return x

@@ -18,6 +18,11 @@ TIME_PATTERNS = [
     "dd MMM yyyy[ HH:mm:ss]",
 ]
 
+# a pattern first: failing casts are the slow case
+_INTEGER = r"^\s*[-+]?\d+\s*$"
+_NUMBER = r"^\s*[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?\s*$"
+_DATE = r"^\d{4}-\d{2}-\d{2}$"
+
 #: Text up to this long is treated as a symbol (a repeated label).
 SYMBOL_CHARS = 30
 
@@ -88,10 +93,10 @@ def _evidence(value: Column) -> list[Column]:
 
     return [
         F.count(filled).alias("n"),
-        fits(filled.try_cast("bigint").isNotNull() & ~filled.contains(".")).alias("long"),
-        fits(filled.try_cast("double").isNotNull() & filled.rlike(r"^\s*[-+.0-9]")).alias("double"),
+        fits(filled.rlike(_INTEGER) & filled.try_cast("bigint").isNotNull()).alias("long"),
+        fits(filled.rlike(_NUMBER) & filled.try_cast("double").isNotNull()).alias("double"),
         fits(F.lower(F.trim(filled)).isin("true", "false")).alias("boolean"),
-        fits(filled.rlike(r"^\d{4}-\d{2}-\d{2}$") & filled.try_cast("date").isNotNull()).alias("date"),
+        fits(filled.rlike(_DATE) & filled.try_cast("date").isNotNull()).alias("date"),
         F.max(F.struct(F.length(filled).alias("chars"), filled.alias("text"))).alias("longest"),
     ]
 

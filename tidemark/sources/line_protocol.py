@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.times import from_nanos
 
 # possessive repeats: one pass over the text, and no recursion on long values
-_HEAD = r"(?:[^ \\]++|\\.)++"
-_FIELDS = r'(?:[^ "\\]++|\\.|"(?:[^"\\]++|\\.)*+")++'
-_LINE = rf"^({_HEAD})(?: ({_FIELDS}))??(?: (-?\d+))?\s*$"
-_TABLE = r"^((?:[^,\\]++|\\.)++)"
+_HEAD = r"^(?:[^ \\]++|\\.)++"
+_TABLE = r"^(?:[^,\\]++|\\.)++"
 _SYMBOL = r"((?:[^=,\\]++|\\.)++)=((?:[^,\\]++|\\.)*+)"
-_FIELD = r'((?:[^=,\\]++|\\.)++)=("(?:[^"\\]++|\\.)*+"|[^,]*+)'
+_FIELD = r'((?:[^=,\\]++|\\.)++)=("(?:[^"\\]++|\\.)*+"|[^,"]++)'
+_FIELDS = rf"^{_FIELD}(?:,{_FIELD})*+$"
+_TIME = r"^-?\d+$"
 _TRUE = ["t", "T", "true", "True", "TRUE"]
 
 
@@ -29,20 +29,30 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def parse_lines(df: DataFrame, line: str) -> DataFrame:
     """(table, symbols, fields, ts_ns, malformed): the maps hold raw text, ``ts_ns`` may be NULL."""
-    parts = df.select(
-        F.col(line).alias("_line"),
-        F.regexp_extract(line, _LINE, 1).alias("_head"),
-        F.regexp_extract(line, _LINE, 2).alias("_fields"),
-        F.regexp_extract(line, _LINE, 3).alias("_ts"),
+    parts = df.select(F.rtrim(line).alias("_line"), F.regexp_extract(line, _HEAD, 0).alias("_head"))
+    parts = parts.withColumns(
+        {
+            "_table": F.regexp_extract("_head", _TABLE, 0),
+            "_rest": F.expr("substring(_line, length(_head) + 2)"),
+            "_last": F.substring_index("_line", " ", -1),
+        }
+    )
+    # the time is the last word; inside a quoted string a last word would end in the quote
+    timed = F.col("_last").rlike(_TIME) & (F.col("_rest") != "")
+    fields = F.when(timed, F.expr("substring(_rest, 1, length(_rest) - length(_last) - 1)")).otherwise(F.col("_rest"))
+    parts = parts.select(
+        "_head",
+        "_table",
+        F.expr("substring(_head, length(_table) + 2)").alias("_symbols"),
+        fields.alias("_fields"),
+        F.when(timed, F.col("_last")).try_cast("bigint").alias("ts_ns"),
     )
-    parts = parts.withColumn("_table", F.regexp_extract("_head", _TABLE, 1))
-    symbols = F.expr("substring(_head, length(_table) + 2)")
     return parts.select(
         unescape(F.col("_table")).alias("table"),
-        _pairs(symbols, _SYMBOL).alias("symbols"),
-        _pairs(F.col("_fields"), _FIELD).alias("fields"),
-        F.col("_ts").try_cast("bigint").alias("ts_ns"),
-        (F.col("_head") == "").alias("malformed"),
+        _pairs("_symbols", _SYMBOL, r"\\").alias("symbols"),
+        _pairs("_fields", _FIELD, r'[\\"]').alias("fields"),
+        "ts_ns",
+        ((F.col("_head") == "") | ((F.col("_fields") != "") & ~F.col("_fields").rlike(_FIELDS))).alias("malformed"),
     )
 
 
@@ -75,11 +85,14 @@ def unescape(text: Column) -> Column:
         F.split(text, r"\\\\"),
         lambda s: F.regexp_replace(F.replace(s, F.lit("\\n"), F.lit("\n")), r"\\(.)", "$1"),
     )
-    return F.array_join(between, "\\")
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(between, "\\")).otherwise(text)
 
 
-def _pairs(text: Column, pattern: str) -> Column:
-    return F.map_from_arrays(
+def _pairs(part: str, pattern: str, special: str) -> Column:
+    """name=value pairs as a map; text without quotes or escapes takes the short way."""
+    text = F.col(part)
+    pairs = F.map_from_arrays(
         F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), unescape),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(2)),
     )
+    return F.when(text.rlike(special) | (text == ""), pairs).otherwise(F.str_to_map(text, F.lit(","), F.lit("=")))
