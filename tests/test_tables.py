@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import maintenance
 from tidemark.operators.upsert import DuplicateKeyError, append_strict, dedup_keep_last, upsert
 from tidemark.plans.writes import new_database
-from tidemark.session import scratch_path
+from tidemark.session import remove_path, scratch_path
 from tidemark.sources import catalog
 from tidemark.timetable import (
     PARTITION_COLUMN,
@@ -76,6 +76,26 @@ def test_upserts_equal_a_dictionary(spark, batches):
     assert stored(spark, path, table_of(batch)) == (expected, len(expected))
 
 
+def test_upsert_survives_a_crash_while_partitions_are_replaced(spark, monkeypatch):
+    path = scratch_path(spark, "t")
+    first = readings(spark, [(1, "a", 1), (2, "a", 2), (30, "a", 3)])
+    table = table_of(first)
+    upsert(first, path, table, ["arrival"])
+
+    def crash(df, path, table, mode="append"):
+        remove_path(spark, f"{path}/{PARTITION_COLUMN}=2024-03-01")
+        raise IOError("driver lost")
+
+    change = readings(spark, [(1, "a", 9), (31, "b", 8)])
+    with monkeypatch.context() as patched:
+        patched.setattr("tidemark.operators.upsert.write_time_table", crash)
+        with pytest.raises(IOError):
+            upsert(change, path, table, ["arrival"])
+    assert stored(spark, path, table)[1] == 1
+    upsert(change, path, table, ["arrival"])
+    assert stored(spark, path, table) == ({(1, "a"): 9, (2, "a"): 2, (30, "a"): 3, (31, "b"): 8}, 4)
+
+
 def test_dedup_off_appends(spark):
     path = scratch_path(spark, "t")
     batch = readings(spark, [(1, "a", 1)])

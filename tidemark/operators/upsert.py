@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.ordering import pick_last
-from tidemark.session import path_exists, written_aside
+from tidemark.session import drop_aside, path_exists, read_aside, remove_path, write_aside, written_aside
 from tidemark.timetable import (
     PARTITION_COLUMN,
     TimeTable,
@@ -19,6 +19,7 @@ from tidemark.timetable import (
 )
 
 _ARRIVAL = "_arrival"
+_NOTE = "__publishing"
 
 
 class DuplicateKeyError(ValueError):
@@ -57,6 +58,7 @@ def upsert(batch: DataFrame, path: str, table: TimeTable, arrival: Sequence[str]
     if not table.dedup or not table.keys:
         write_time_table(batch, path, table)
         return
+    finish_publishing(spark, path, table)
     order = F.struct(*arrival).alias(_ARRIVAL)
     incoming = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields], order)
     winners = pick_last(incoming, table.keys, F.col(_ARRIVAL)).drop(_ARRIVAL)
@@ -64,9 +66,28 @@ def upsert(batch: DataFrame, path: str, table: TimeTable, arrival: Sequence[str]
         if not path_exists(spark, path):
             write_time_table(latest, path, table)
             return
-        existing = _touched(spark, latest, path, table)
-        with written_aside(merge_keep_last(existing, latest, table.keys), "upsert-merged") as merged:
-            write_time_table(merged, path, table, mode="overwrite")
+        merged = merge_keep_last(_touched(spark, latest, path, table), latest, table.keys)
+        staged = write_aside(merged, "upsert-merged")
+        note = spark.createDataFrame([(staged,)], "value string").coalesce(1)
+        note.write.mode("overwrite").text(path + _NOTE)
+        finish_publishing(spark, path, table)
+
+
+def finish_publishing(spark: SparkSession, path: str, table: TimeTable) -> None:
+    """Put staged partitions in place, if a note next to the table says that some are waiting.
+
+    Replacing several folders is not atomic. Should the driver die in the middle, the old rows
+    still exist in the staged copy, and the next upsert starts by publishing it again.
+    """
+    if not path_exists(spark, path + _NOTE):
+        return
+    noted = spark.read.schema("value string").text(path + _NOTE).collect()
+    if noted:
+        staged = noted[0]["value"]
+        write_time_table(read_aside(spark, staged, table.schema), path, table, mode="overwrite")
+    remove_path(spark, path + _NOTE)
+    if noted:
+        drop_aside(spark, staged)
 
 
 def append_strict(batch: DataFrame, path: str, table: TimeTable) -> None:
@@ -84,7 +105,7 @@ def append_strict(batch: DataFrame, path: str, table: TimeTable) -> None:
         write_time_table(stable, path, table)
 
 
-def _touched(spark, batch: DataFrame, path: str, table: TimeTable) -> DataFrame:
+def _touched(spark: SparkSession, batch: DataFrame, path: str, table: TimeTable) -> DataFrame:
     """Existing rows of the partitions that ``batch`` has rows in."""
     existing = read_time_table(spark, path, table)
     if table.partitioned:

@@ -8,12 +8,13 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Rows one task should hold of a single key before the key is split over tasks.
-ROWS_PER_TASK = 4_000_000
+ROWS_PER_TASK = 2_000_000
 ROWS_PER_TASK_CONF = "spark.tidemark.rowsPerTask"
 
-_written: list[str] = []
+_written: set[str] = set()
 
 
 def utc(spark: SparkSession) -> SparkSession:
@@ -54,29 +55,36 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Unlike a cached or locally checkpointed plan it survives lost executors, and later
     passes read only the columns they need. The files stay until :func:`drop_scratch`.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    _written.append(path)
+    return read_aside(df.sparkSession, write_aside(df, name), df.schema)
+
+
+def write_aside(df: DataFrame, name: str) -> str:
+    path = scratch_path(df.sparkSession, name)
+    _written.add(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def read_aside(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
 
 
 @contextlib.contextmanager
 def written_aside(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """:func:`materialize` for work that ends inside the block; the files go when it succeeds."""
-    stable = materialize(df, name)
-    path = _written[-1]
-    yield stable
-    remove_path(df.sparkSession, path)
-    _written.remove(path)
+    path = write_aside(df, name)
+    yield read_aside(df.sparkSession, path, df.schema)
+    drop_aside(df.sparkSession, path)
+
+
+def drop_aside(spark: SparkSession, path: str) -> bool:
+    _written.discard(path)
+    return remove_path(spark, path)
 
 
 def drop_scratch(spark: SparkSession) -> int:
     """Delete the tables this process wrote aside; results built on them must be done."""
-    dropped = 0
-    while _written:
-        dropped += remove_path(spark, _written.pop())
-    return dropped
+    return sum(drop_aside(spark, path) for path in list(_written))
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
