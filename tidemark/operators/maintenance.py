@@ -51,10 +51,13 @@ def drop_expired_everywhere(spark: SparkSession, days: int, now=None, database:
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> TimeTable:
-    """Copy rows, schema, partitioning and keys of a catalog table, values unchanged."""
+    """Copy rows, schema, partitioning and keys of a catalog table, values unchanged.
+
+    No shuffle: the files of the source already lie by partition.
+    """
     table = describe_table(spark, source)
     create_table(spark, target, table)
-    insert_into(spark, spark.table(source), target, overwrite=True)
+    insert_into(spark, spark.table(source), target, overwrite=True, gather=False)
     return table
 
 
@@ -95,7 +98,7 @@ def add_column(spark: SparkSession, name: str, column: str, data_type: str) -> N
 def update_column(spark: SparkSession, name: str, column: str, value: Column) -> None:
     """Whole-table UPDATE: the new rows are written aside, then replace the old ones."""
     with written_aside(spark.table(name).withColumn(column, value), "update") as rows:
-        insert_into(spark, rows, name, overwrite=True)
+        insert_into(spark, rows, name, overwrite=True, gather=False)
 
 
 def table_names(base: str, count: int) -> list[str]:

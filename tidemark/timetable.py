@@ -126,11 +126,14 @@ def write_time_table(df: DataFrame, path: str, table: TimeTable, mode: str = "ap
     writer.parquet(path)
 
 
-def insert_into(spark: SparkSession, df: DataFrame, name: str, overwrite: bool = False) -> None:
-    """INSERT … SELECT into a catalog table, with the table's own types."""
+def insert_into(spark: SparkSession, df: DataFrame, name: str, overwrite: bool = False, gather: bool = True) -> None:
+    """INSERT … SELECT into a catalog table, with the table's own types.
+
+    ``gather=False`` skips the shuffle, for rows that already lie by time partition.
+    """
     table = describe_table(spark, name)
     stamped = table.stamp(df)
-    if table.partitioned:
+    if table.partitioned and gather:
         stamped = stamped.hint("rebalance", PARTITION_COLUMN)
     stamped.write.insertInto(name, overwrite=overwrite)
 
