@@ -7,9 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.operators.ordering import carry_forward
+from tidemark.operators.ordering import carry_forward, hot_keys, order_key, running_sum
+from tidemark.session import materialize, rows_per_task
 
 _NULL_KEY_SALTS = 1024
+#: Up to this many sensors a column per sensor is carried over every reading.
+FEW_SENSORS = 16
 
 
 def asof_join(
@@ -54,9 +57,9 @@ def asof_join(
         taken.alias("_right"),
     )
     stacked = drivers.unionByName(matches).withColumn("_keep", F.col("_side") == 1)
-    carried = carry_forward(
-        stacked, keys, ["_ts", "_side", "_tie"], {"_match": F.col("_right")}, keep="_keep", spread=["_salt"]
-    )
+    hot = hot_keys(stacked, keys, rows_per_task(left.sparkSession))
+    order = ["_ts", "_side", "_tie"]
+    carried = carry_forward(stacked, keys, order, {"_match": F.col("_right")}, "_keep", hot, spread=["_salt"])
     return carried.select("_left.*", "_match.*")
 
 
@@ -73,24 +76,61 @@ def asof_wide(
     """As-of join every sensor onto the rows of the first one, from one long table.
 
     Gives ``ts, by, value_1 .. value_n`` (and ``timestamp_2 ..`` with ``full_ts``). The number
-    of sensors adds window columns, not shuffles.
+    of sensors adds neither joins nor shuffles.
     """
-    first, others = sensors[0], list(sensors)[1:]
     rows = long.where(F.col(sensor).isin(list(sensors)) & _none_null([by, ts])).select(
         by, ts, sensor, value, *[t for t in tiebreak if t not in (by, ts, sensor, value)]
     )
-    rows = rows.withColumn("_keep", F.col(sensor) == first).withColumn("_side", F.col("_keep").cast("int"))
-    reading = F.struct(F.col(ts).alias("timestamp"), F.col(value).alias("value"))
-    carried = {f"_s{i}": F.when(F.col(sensor) == s, reading) for i, s in enumerate(others, start=2)}
-    joined = carry_forward(rows, [by], [ts, "_side", *tiebreak], carried, keep="_keep")
-    out = [F.col(ts), F.col(by), F.col(value).alias("value_1")]
+    rows = rows.withColumn("_side", (F.col(sensor) == sensors[0]).cast("bigint"))
+    align = _carry_readings if len(sensors) <= FEW_SENSORS else _carry_drivers
+    joined = align(rows, by, sensor, sensors, ts, value, tiebreak)
+    out = [F.col(ts), F.col(by), F.col("value_1")]
     for i in range(2, len(sensors) + 1):
         if full_ts:
-            out.append(F.col(f"_s{i}.timestamp").alias(f"timestamp_{i}"))
-        out.append(F.col(f"_s{i}.value").alias(f"value_{i}"))
+            out.append(F.col(f"_s{i}.t").alias(f"timestamp_{i}"))
+        out.append(F.col(f"_s{i}.v").alias(f"value_{i}"))
     return joined.select(*out)
 
 
+def _carry_readings(rows, by, sensor, sensors, ts, value, tiebreak) -> DataFrame:
+    """Few sensors: one column each, carried over all readings in one window."""
+    reading = F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))
+    carried = {f"_s{i}": F.when(F.col(sensor) == s, reading) for i, s in enumerate(sensors[1:], start=2)}
+    rows = rows.withColumn("_keep", F.col("_side") == 1).withColumn("value_1", F.col(value))
+    hot = hot_keys(rows, [by], rows_per_task(rows.sparkSession))
+    return carry_forward(rows, [by], [ts, "_side", *tiebreak], carried, "_keep", hot)
+
+
+def _carry_drivers(rows, by, sensor, sensors, ts, value, tiebreak) -> DataFrame:
+    """Many sensors: wide rows exist only per reading of the first sensor.
+
+    Readings are numbered by the first sensor's reading that follows them and reduced to the
+    last one per sensor and number; only then are they turned sideways and carried. The
+    shuffle moves narrow rows, and the work per reading does not grow with the sensors.
+    """
+    limit_rows = max(1, rows_per_task(rows.sparkSession) * max(1, FEW_SENSORS) // len(sensors))
+    hot = hot_keys(rows, [by], limit_rows)
+    counted = running_sum(rows, [by], [ts, "_side", *tiebreak], "_side", "_upto", hot)
+    counted = counted.withColumn("_next", F.col("_upto") - F.col("_side"))
+    counted = counted.withColumn("_order", order_key(counted, ts, tiebreak))
+    last = counted.groupBy(by, "_next", sensor).agg(F.max(ts).alias("_ts"), F.max_by(value, "_order").alias("_value"))
+    # a single row per sensor is left in each group, so max() just moves it into its column
+    wide = last.groupBy(by, "_next").agg(
+        *[F.max(F.when(F.col(sensor) == s, F.col("_ts"))).alias(f"_t{i}") for i, s in enumerate(sensors, 1)],
+        *[F.max(F.when(F.col(sensor) == s, F.col("_value"))).alias(f"_v{i}") for i, s in enumerate(sensors, 1)],
+    )
+    wide = wide.withColumn("_keep", F.col("_t1").isNotNull())
+    if hot is not None:
+        wide = materialize(wide, "asof-wide")
+        hot = hot_keys(wide, [by], limit_rows)
+    carried = {
+        f"_s{i}": F.when(F.col(f"_t{i}").isNotNull(), F.struct(F.col(f"_t{i}").alias("t"), F.col(f"_v{i}").alias("v")))
+        for i in range(2, len(sensors) + 1)
+    }
+    joined = carry_forward(wide, [by], ["_next"], carried, "_keep", hot)
+    return joined.withColumnsRenamed({"_t1": ts, "_v1": "value_1"})
+
+
 def _none_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 
@@ -53,11 +54,28 @@ def pick_last(df: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
     return picked.select(*[F.col(c) if c in by else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], limit_rows: int) -> tuple[DataFrame, int] | None:
-    """Keys with more than ``limit_rows`` rows and the rows they hold, or None.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with too many rows for one task: at most MAX_HOT_KEYS of them, so they can be broadcast."""
+
+    keys: list[str]
+    values: DataFrame
+    split_count: int
+
+    def splits(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
+        """The hot keys' rows of ``df``, range-sorted into numbered splits."""
+        mine = df.join(F.broadcast(self.values), self.keys, "left_semi").select(*df.columns)
+        return ordered_splits(mine, [*self.keys, *order], self.split_count)
+
+    def others(self, df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(self.values), self.keys, "left_anti").select(*df.columns)
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], limit_rows: int) -> HotKeys | None:
+    """The keys with more than ``limit_rows`` rows, or None.
 
     Only the key columns are read, and only a sample is counted: the outcome chooses the
-    plan for a key, never its result. At most MAX_HOT_KEYS rows come to the driver.
+    plan for a key, never its result.
     """
     fraction = min(1.0, _SAMPLE_ROWS / limit_rows)
     named = rows.select(*keys).where(_all_set(keys))
@@ -73,9 +91,9 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], limit_rows: int) -> tuple[Dat
     collected = found.collect()
     if not collected:
         return None
-    total = int(sum(r["_n"] for r in collected) / fraction)
-    hot = rows.sparkSession.createDataFrame(collected, found.schema).drop("_n")
-    return hot, total
+    total = sum(r["_n"] for r in collected) / fraction
+    values = rows.sparkSession.createDataFrame(collected, found.schema).drop("_n")
+    return HotKeys(list(keys), values, 2 * math.ceil(total / limit_rows))
 
 
 def ordered_splits(df: DataFrame, order: Sequence[str], splits: int | None = None) -> DataFrame:
@@ -109,34 +127,50 @@ def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index")
     )
 
 
+def running_sum(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, hot: HotKeys | None
+) -> DataFrame:
+    """Add the sum of ``value`` per key over the rows up to this one; hot keys go split by split."""
+
+    def add(rows, by, sort):
+        w = W.partitionBy(*by).orderBy(*sort).rowsBetween(W.unboundedPreceding, W.currentRow)
+        return rows.withColumn(name, F.sum(value).over(w))
+
+    if hot is None:
+        return add(df, keys, order)
+    placed = hot.splits(df, order)
+    ends = placed.groupBy("_split", *keys).agg(F.sum(value).alias("_total"))
+    before = W.partitionBy(*keys).orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
+    # one row per (split, hot key): at most the split count plus MAX_HOT_KEYS
+    entering = ends.select("_split", *keys, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_in"))
+    summed = (
+        add(placed, ["_split", *keys], ["_pos"])
+        .join(F.broadcast(entering), ["_split", *keys])
+        .select(*df.columns, (F.col(name) + F.col("_in")).alias(name))
+    )
+    return add(hot.others(df), keys, order).unionByName(summed)
+
+
 def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number") -> DataFrame:
-    """1-based row number per key; a hot key is numbered split by split."""
-    limit_rows = rows_per_task(df.sparkSession)
-    found = hot_keys(df, keys, limit_rows)
+    """1-based row number per key; a hot key's numbers follow from its rows' places in the splits."""
 
     def number(rows):
-        w = W.partitionBy(*keys).orderBy(*order)
-        return rows.withColumn(name, F.row_number().over(w).cast("bigint"))
+        return rows.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
 
-    if found is None:
+    hot = hot_keys(df, keys, rows_per_task(df.sparkSession))
+    if hot is None:
         return number(df)
-    hot, total = found
-    placed = ordered_splits(
-        df.join(F.broadcast(hot), list(keys), "left_semi").select(*df.columns),
-        [*keys, *order],
-        _split_count(total, limit_rows),
-    )
+    placed = hot.splits(df, order)
     parts = placed.groupBy("_split", *keys).agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
     before = W.partitionBy(*keys).orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
     # one row per (split, hot key): at most the split count plus MAX_HOT_KEYS
     shifts = parts.select(
         "_split", *keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
-    hot_numbered = placed.join(F.broadcast(shifts), ["_split", *keys]).select(
+    numbered = placed.join(F.broadcast(shifts), ["_split", *keys]).select(
         *df.columns, (F.col("_pos") + F.col("_shift")).alias(name)
     )
-    cold = df.join(F.broadcast(hot), list(keys), "left_anti").select(*df.columns)
-    return number(cold).unionByName(hot_numbered)
+    return number(hot.others(df)).unionByName(numbered)
 
 
 def carry_forward(
@@ -145,6 +179,7 @@ def carry_forward(
     order: Sequence[str],
     carried: dict[str, Column],
     keep: str,
+    hot: HotKeys | None,
     spread: Sequence[str] = (),
 ) -> DataFrame:
     """Per key in ``order``, add the last non-null of each ``carried`` value up to the row.
@@ -154,23 +189,15 @@ def carry_forward(
     itself, and the value entering a split comes from the ends of the splits before it.
     ``spread`` columns further divide keys that are NULL, which need not stay together.
     """
-    limit_rows = rows_per_task(rows.sparkSession)
-    columns = rows.columns
 
     def carry(part, by, sort):
         w = W.partitionBy(*by).orderBy(*sort).rowsBetween(W.unboundedPreceding, W.currentRow)
         added = [F.last(value, ignorenulls=True).over(w).alias(n) for n, value in carried.items()]
         return part.select("*", *added).where(keep)
 
-    found = hot_keys(rows, keys, limit_rows)
-    if found is None:
+    if hot is None:
         return carry(rows, [*keys, *spread], order)
-    hot, total = found
-    placed = ordered_splits(
-        rows.join(F.broadcast(hot), list(keys), "left_semi").select(*columns),
-        [*keys, *order],
-        _split_count(total, limit_rows),
-    )
+    placed = hot.splits(rows, order)
     ends = placed.groupBy("_split", *keys).agg(
         *[F.max_by(v, F.when(v.isNotNull(), F.col("_pos"))).alias(n) for n, v in carried.items()]
     )
@@ -182,14 +209,9 @@ def carry_forward(
     hot_carried = (
         carry(placed, ["_split", *keys], ["_pos"])
         .join(F.broadcast(entering), ["_split", *keys], "left")
-        .select(*columns, *[F.coalesce(n, f"_in_{n}").alias(n) for n in carried])
+        .select(*rows.columns, *[F.coalesce(n, f"_in_{n}").alias(n) for n in carried])
     )
-    cold = rows.join(F.broadcast(hot), list(keys), "left_anti").select(*columns)
-    return carry(cold, [*keys, *spread], order).unionByName(hot_carried)
-
-
-def _split_count(total_rows: int, limit_rows: int) -> int:
-    return 2 * max(1, math.ceil(total_rows / limit_rows))
+    return carry(hot.others(rows), [*keys, *spread], order).unionByName(hot_carried)
 
 
 def _all_set(keys: Sequence[str]) -> Column:
