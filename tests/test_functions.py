@@ -91,7 +91,9 @@ def test_limits(spark, monkeypatch):
     assert [tuple(r) for r in sizes] == [(0, 200), (1, 200), (2, 100)]
 
 
-def test_sample_buckets_and_all_null_buckets(spark):
+@pytest.mark.parametrize("few", [16, 0])
+def test_sample_buckets_and_all_null_buckets(spark, monkeypatch, few):
+    monkeypatch.setattr("tidemark.operators.sample.FEW_COLUMNS", few)
     data = [("2024-01-01 00:00:59", "a", None, 1), ("2024-01-01 00:00:10", "a", None, 2), ("2024-01-01 00:01:00", "a", 5.0, 3), ("2024-01-01 00:01:00", "a", 6.0, 4), ("2024-01-01 00:01:30", "a", None, 5), (None, "a", 1.0, 6)]
     df = spark.createDataFrame(data, "ts string, k string, v double, id int").withColumn("ts", F.col("ts").cast("timestamp"))
     got = {str(r["ts"]): r["v"] for r in sample_last(df, "ts", "1m", ["k"], ["v"], ["id"]).collect()}

@@ -107,9 +107,22 @@ def test_row_numbers_with_a_hot_key(spark, path):
         assert [got[i] for _, i in ordered] == list(range(1, len(ordered) + 1))
 
 
+def test_a_key_made_of_copies_is_split(spark):
+    df = spark.range(2000).select(F.lit("k").alias("k"), F.lit(1).alias("o"))
+    hot = hot_keys(df, ["k"], 100)
+    sizes = [r["count"] for r in hot.splits(df, ["o"], unique=False).groupBy("_split").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 400
+    spark.conf.set("spark.tidemark.rowsPerTask", "100")
+    numbers = row_number_by(df, ["k"], ["o"], "n")
+    spark.conf.unset("spark.tidemark.rowsPerTask")
+    assert numbers.agg(F.count_distinct("n"), F.min("n"), F.max("n")).first()[:] == (2000, 1, 2000)
+
+
 def test_row_index_is_the_position_in_the_order(spark):
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("v"))
     assert with_row_index(df, ["v"], "i").where("i != v").count() == 0
+    copies = with_row_index(df.select(F.lit(1).alias("v")), ["v"], "i", unique=False)
+    assert copies.agg(F.count_distinct("i"), F.max("i")).first()[:] == (1000, 999)
 
 
 def test_hot_keys_counts_a_sample_of_large_inputs(spark):

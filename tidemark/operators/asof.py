@@ -59,7 +59,9 @@ def asof_join(
     stacked = drivers.unionByName(matches).withColumn("_keep", F.col("_side") == 1)
     hot = hot_keys(stacked, keys, rows_per_task(left.sparkSession))
     order = ["_ts", "_side", "_tie"]
-    carried = carry_forward(stacked, keys, order, {"_match": F.col("_right")}, "_keep", hot, spread=["_salt"])
+    carried = carry_forward(
+        stacked, keys, order, {"_match": F.col("_right")}, "_keep", hot, unique=False, spread=["_salt"]
+    )
     return carried.select("_left.*", "_match.*")
 
 
@@ -76,7 +78,7 @@ def asof_wide(
     """As-of join every sensor onto the rows of the first one, from one long table.
 
     Gives ``ts, by, value_1 .. value_n`` (and ``timestamp_2 ..`` with ``full_ts``). The number
-    of sensors adds neither joins nor shuffles.
+    of sensors adds neither joins nor shuffles. ``tiebreak`` should end on a unique column.
     """
     rows = long.where(F.col(sensor).isin(list(sensors)) & _none_null([by, ts])).select(
         by, ts, sensor, value, *[t for t in tiebreak if t not in (by, ts, sensor, value)]
@@ -98,7 +100,7 @@ def _carry_readings(rows, by, sensor, sensors, ts, value, tiebreak) -> DataFrame
     carried = {f"_s{i}": F.when(F.col(sensor) == s, reading) for i, s in enumerate(sensors[1:], start=2)}
     rows = rows.withColumn("_keep", F.col("_side") == 1).withColumn("value_1", F.col(value))
     hot = hot_keys(rows, [by], rows_per_task(rows.sparkSession))
-    return carry_forward(rows, [by], [ts, "_side", *tiebreak], carried, "_keep", hot)
+    return carry_forward(rows, [by], [ts, "_side", *tiebreak], carried, "_keep", hot, unique=bool(tiebreak))
 
 
 def _carry_drivers(rows, by, sensor, sensors, ts, value, tiebreak) -> DataFrame:
@@ -110,7 +112,7 @@ def _carry_drivers(rows, by, sensor, sensors, ts, value, tiebreak) -> DataFrame:
     """
     limit_rows = max(1, rows_per_task(rows.sparkSession) * max(1, FEW_SENSORS) // len(sensors))
     hot = hot_keys(rows, [by], limit_rows)
-    counted = running_sum(rows, [by], [ts, "_side", *tiebreak], "_side", "_upto", hot)
+    counted = running_sum(rows, [by], [ts, "_side", *tiebreak], "_side", "_upto", hot, bool(tiebreak))
     counted = counted.withColumn("_next", F.col("_upto") - F.col("_side"))
     counted = counted.withColumn("_order", order_key(counted, ts, tiebreak))
     last = counted.groupBy(by, "_next", sensor).agg(F.max(ts).alias("_ts"), F.max_by(value, "_order").alias("_value"))
@@ -127,7 +129,7 @@ def _carry_drivers(rows, by, sensor, sensors, ts, value, tiebreak) -> DataFrame:
         f"_s{i}": F.when(F.col(f"_t{i}").isNotNull(), F.struct(F.col(f"_t{i}").alias("t"), F.col(f"_v{i}").alias("v")))
         for i in range(2, len(sensors) + 1)
     }
-    joined = carry_forward(wide, [by], ["_next"], carried, "_keep", hot)
+    joined = carry_forward(wide, [by], ["_next"], carried, "_keep", hot, unique=True)
     return joined.withColumnsRenamed({"_t1": ts, "_v1": "value_1"})
 
 

@@ -62,10 +62,10 @@ class HotKeys:
     values: DataFrame
     split_count: int
 
-    def splits(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
+    def splits(self, df: DataFrame, order: Sequence[str], unique: bool) -> DataFrame:
         """The hot keys' rows of ``df``, range-sorted into numbered splits."""
         mine = df.join(F.broadcast(self.values), self.keys, "left_semi").select(*df.columns)
-        return ordered_splits(mine, [*self.keys, *order], self.split_count)
+        return ordered_splits(mine, [*self.keys, *order], unique, self.split_count)
 
     def others(self, df: DataFrame) -> DataFrame:
         return df.join(F.broadcast(self.values), self.keys, "left_anti").select(*df.columns)
@@ -96,12 +96,16 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], limit_rows: int) -> HotKeys |
     return HotKeys(list(keys), values, 2 * math.ceil(total / limit_rows))
 
 
-def ordered_splits(df: DataFrame, order: Sequence[str], splits: int | None = None) -> DataFrame:
+def ordered_splits(df: DataFrame, order: Sequence[str], unique: bool, splits: int | None = None) -> DataFrame:
     """Rows range-sorted on ``order`` with stable ``_split`` and ``_pos`` (0-based in the split).
 
-    Ends ``order`` on a unique column where ties may be large, so that they can be split too.
-    The row numbers come from the sorted partitions themselves: one shuffle, no window.
+    The row numbers come from the sorted partitions themselves: one shuffle, no window. Ties
+    cannot be told apart by range; if ``order`` is not ``unique`` the rows are first written
+    with a number, so that even a table of copies is split.
     """
+    if not unique:
+        numbered = df.withColumn("_row", F.monotonically_increasing_id())
+        return ordered_splits(materialize(numbered, "told-apart"), [*order, "_row"], True, splits).drop("_row")
     ranged = df.repartitionByRange(splits, *order) if splits else df.repartitionByRange(*order)
     numbered = ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
     stable = materialize(numbered, "ordered")
@@ -113,12 +117,12 @@ def ordered_splits(df: DataFrame, order: Sequence[str], splits: int | None = Non
     ).drop("_id")
 
 
-def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> DataFrame:
-    """Add the 0-based position of every row in the total order ``order``.
+def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index", unique: bool = True) -> DataFrame:
+    """Add the 0-based position of every row in the order ``order``.
 
-    The one unpartitioned window runs over a row per split, and so does the broadcast.
+    Pass ``unique=False`` if the order has large ties; they are then numbered in any order. The one unpartitioned window runs over a row per split, and so does the broadcast.
     """
-    placed = ordered_splits(df, order)
+    placed = ordered_splits(df, order, unique)
     sizes = placed.groupBy("_split").agg(F.count("*").alias("_n"))
     before = W.orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
@@ -128,7 +132,7 @@ def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index")
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, hot: HotKeys | None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, hot: HotKeys | None, unique: bool
 ) -> DataFrame:
     """Add the sum of ``value`` per key over the rows up to this one; hot keys go split by split."""
 
@@ -138,7 +142,7 @@ def running_sum(
 
     if hot is None:
         return add(df, keys, order)
-    placed = hot.splits(df, order)
+    placed = hot.splits(df, order, unique)
     ends = placed.groupBy("_split", *keys).agg(F.sum(value).alias("_total"))
     before = W.partitionBy(*keys).orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
     # one row per (split, hot key): at most the split count plus MAX_HOT_KEYS
@@ -160,7 +164,7 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
     hot = hot_keys(df, keys, rows_per_task(df.sparkSession))
     if hot is None:
         return number(df)
-    placed = hot.splits(df, order)
+    placed = hot.splits(df, order, unique=False)
     parts = placed.groupBy("_split", *keys).agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
     before = W.partitionBy(*keys).orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
     # one row per (split, hot key): at most the split count plus MAX_HOT_KEYS
@@ -180,6 +184,7 @@ def carry_forward(
     carried: dict[str, Column],
     keep: str,
     hot: HotKeys | None,
+    unique: bool,
     spread: Sequence[str] = (),
 ) -> DataFrame:
     """Per key in ``order``, add the last non-null of each ``carried`` value up to the row.
@@ -187,6 +192,7 @@ def carry_forward(
     Only rows where the boolean column ``keep`` holds are returned. All values share one
     window and one shuffle. Hot keys go through ordered splits: each split carries within
     itself, and the value entering a split comes from the ends of the splits before it.
+    ``unique`` says that ``order`` has no ties within a key.
     ``spread`` columns further divide keys that are NULL, which need not stay together.
     """
 
@@ -197,7 +203,7 @@ def carry_forward(
 
     if hot is None:
         return carry(rows, [*keys, *spread], order)
-    placed = hot.splits(rows, order)
+    placed = hot.splits(rows, order, unique)
     ends = placed.groupBy("_split", *keys).agg(
         *[F.max_by(v, F.when(v.isNotNull(), F.col("_pos"))).alias(n) for n, v in carried.items()]
     )

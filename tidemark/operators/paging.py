@@ -35,7 +35,9 @@ def row_range(df: DataFrame, low: int, high: int, order: Sequence[str]) -> DataF
     return indexed.where(F.col("_index").between(low, high - 1)).orderBy("_index").drop("_index")
 
 
-def assign_pages(df: DataFrame, page_rows: int, order: Sequence[str], name: str = "page") -> DataFrame:
+def assign_pages(
+    df: DataFrame, page_rows: int, order: Sequence[str], name: str = "page", unique: bool = True
+) -> DataFrame:
     """Add the 0-based page of every row: one pass, instead of one query per page."""
-    indexed = with_row_index(df, order, "_index")
+    indexed = with_row_index(df, order, "_index", unique)
     return indexed.withColumn(name, F.floor(F.col("_index") / page_rows).cast("bigint")).drop("_index")
