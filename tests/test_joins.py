@@ -99,10 +99,10 @@ def test_latest_wide_left_and_inner(spark):
 
 
 def test_row_numbers_with_a_hot_key(spark, path):
-    data = [("hot" if i % 3 else "cold", (i * 37) % 100, i) for i in range(100)]
+    data = [(("hot", None, "cold")[i % 3] if i < 95 else "cold", (i * 37) % 100, i) for i in range(100)]
     df = spark.createDataFrame(data, "k string, o int, id int")
     got = {r["id"]: r["n"] for r in row_number_by(df, ["k"], ["o", "id"], "n").collect()}
-    for key in ("hot", "cold"):
+    for key in ("hot", None, "cold"):
         ordered = sorted((o, i) for k, o, i in data if k == key)
         assert [got[i] for _, i in ordered] == list(range(1, len(ordered) + 1))
 

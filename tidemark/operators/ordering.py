@@ -120,7 +120,8 @@ def ordered_splits(df: DataFrame, order: Sequence[str], unique: bool, splits: in
 def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index", unique: bool = True) -> DataFrame:
     """Add the 0-based position of every row in the order ``order``.
 
-    Pass ``unique=False`` if the order has large ties; they are then numbered in any order. The one unpartitioned window runs over a row per split, and so does the broadcast.
+    Pass ``unique=False`` if the order has large ties; they are then numbered in any order. The
+    one unpartitioned window runs over a row per split, and so does the broadcast.
     """
     placed = ordered_splits(df, order, unique)
     sizes = placed.groupBy("_split").agg(F.count("*").alias("_n"))
@@ -156,25 +157,30 @@ def running_sum(
 
 
 def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number") -> DataFrame:
-    """1-based row number per key; a hot key's numbers follow from its rows' places in the splits."""
+    """1-based row number per key; a hot key's numbers follow from its rows' places in the splits.
 
-    def number(rows):
-        return rows.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+    Keys are compared as one struct, in which NULLs are equal: rows without a key are a key too.
+    """
+    rows = df.withColumn("_key", F.struct(*keys))
+
+    def number(part):
+        w = W.partitionBy("_key").orderBy(*order)
+        return part.select(*df.columns, F.row_number().over(w).cast("bigint").alias(name))
 
-    hot = hot_keys(df, keys, rows_per_task(df.sparkSession))
+    hot = hot_keys(rows, ["_key"], rows_per_task(df.sparkSession))
     if hot is None:
-        return number(df)
-    placed = hot.splits(df, order, unique=False)
-    parts = placed.groupBy("_split", *keys).agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
-    before = W.partitionBy(*keys).orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
+        return number(rows)
+    placed = hot.splits(rows, order, unique=False)
+    parts = placed.groupBy("_split", "_key").agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
+    before = W.partitionBy("_key").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
     # one row per (split, hot key): at most the split count plus MAX_HOT_KEYS
     shifts = parts.select(
-        "_split", *keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
+        "_split", "_key", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
-    numbered = placed.join(F.broadcast(shifts), ["_split", *keys]).select(
+    numbered = placed.join(F.broadcast(shifts), ["_split", "_key"]).select(
         *df.columns, (F.col("_pos") + F.col("_shift")).alias(name)
     )
-    return number(hot.others(df)).unionByName(numbered)
+    return number(hot.others(rows)).unionByName(numbered)
 
 
 def carry_forward(
