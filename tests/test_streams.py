@@ -110,3 +110,23 @@ def test_a_column_that_appears_later_is_null_before(spark):
 def test_rows_without_a_time_get_the_batch_time(spark):
     df = spark.createDataFrame([(None, "a", 1)], SCHEMA)
     assert default_time(df, "ts").first()["ts"] is not None
+
+
+def test_polling_takes_a_bounded_number_of_files_per_batch(spark):
+    source, path, log = (scratch_path(spark, n) for n in ("src", "out", "log"))
+    for i in range(3):
+        land(spark, source, [("2024-01-01", "a", i)])
+    sizes = []
+
+    def write(batch, batch_id):
+        sizes.append(batch.count())
+
+    stream = read_stream(spark, source, SCHEMA, max_files=1)
+    query = write_batches(stream, write, log, trigger={"processingTime": "100 milliseconds"})
+    try:
+        query.processAllAvailable()
+        land(spark, source, [("2024-01-02", "b", 9)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sizes == [1, 1, 1, 1]

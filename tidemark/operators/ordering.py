@@ -20,6 +20,8 @@ from tidemark.session import materialize, rows_per_task
 
 #: At most this many keys are treated as hot; any other key holds under 1/10,000 of the rows.
 MAX_HOT_KEYS = 10_000
+#: At most this many splits share the hot keys' rows.
+MAX_SPLITS = 20_000
 #: Sampled rows a key at the threshold is expected to show.
 _SAMPLE_ROWS = 2_000
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
@@ -93,7 +95,7 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], limit_rows: int) -> HotKeys |
         return None
     total = sum(r["_n"] for r in collected) / fraction
     values = rows.sparkSession.createDataFrame(collected, found.schema).drop("_n")
-    return HotKeys(list(keys), values, 2 * math.ceil(total / limit_rows))
+    return HotKeys(list(keys), values, min(MAX_SPLITS, 2 * math.ceil(total / limit_rows)))
 
 
 def ordered_splits(df: DataFrame, order: Sequence[str], unique: bool, splits: int | None = None) -> DataFrame:
@@ -146,7 +148,7 @@ def running_sum(
     placed = hot.splits(df, order, unique)
     ends = placed.groupBy("_split", *keys).agg(F.sum(value).alias("_total"))
     before = W.partitionBy(*keys).orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
-    # one row per (split, hot key): at most the split count plus MAX_HOT_KEYS
+    # one row per (split, hot key): at most MAX_SPLITS + MAX_HOT_KEYS
     entering = ends.select("_split", *keys, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_in"))
     summed = (
         add(placed, ["_split", *keys], ["_pos"])
@@ -173,7 +175,7 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
     placed = hot.splits(rows, order, unique=False)
     parts = placed.groupBy("_split", "_key").agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
     before = W.partitionBy("_key").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
-    # one row per (split, hot key): at most the split count plus MAX_HOT_KEYS
+    # one row per (split, hot key): at most MAX_SPLITS + MAX_HOT_KEYS
     shifts = parts.select(
         "_split", "_key", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
@@ -214,7 +216,7 @@ def carry_forward(
         *[F.max_by(v, F.when(v.isNotNull(), F.col("_pos"))).alias(n) for n, v in carried.items()]
     )
     before = W.partitionBy(*keys).orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
-    # one row per (split, hot key): at most the split count plus MAX_HOT_KEYS
+    # one row per (split, hot key): at most MAX_SPLITS + MAX_HOT_KEYS
     entering = ends.select(
         "_split", *keys, *[F.last(n, ignorenulls=True).over(before).alias(f"_in_{n}") for n in carried]
     )
