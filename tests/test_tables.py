@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import maintenance
-from tidemark.operators.upsert import DuplicateKeyError, append_strict, dedup_keep_last, upsert
+from tidemark.operators.upsert import DuplicateKeyError, append_strict, dedup_keep_last, upsert, upsert_into
 from tidemark.plans.writes import new_database
 from tidemark.session import remove_path, scratch_path
 from tidemark.sources import catalog
@@ -96,6 +96,26 @@ def test_upsert_survives_a_crash_while_partitions_are_replaced(spark, monkeypatc
     assert stored(spark, path, table) == ({(1, "a"): 9, (2, "a"): 2, (30, "a"): 3, (31, "b"): 8}, 4)
 
 
+def test_upsert_into_a_catalog_table_finishes_what_was_cut_off(spark, monkeypatch):
+    name = f"{new_database(spark)}.r"
+    first = readings(spark, [(1, "a", 1), (2, "a", 2), (30, "a", 3), (60, "c", 4)])
+    create_table(spark, name, table_of(first))
+    upsert_into(spark, first, name, ["arrival"])
+
+    def crash(*args, **kwargs):
+        raise IOError("driver lost")
+
+    change = readings(spark, [(1, "a", 9), (31, "b", 8)])
+    with monkeypatch.context() as patched:
+        patched.setattr("tidemark.operators.upsert.insert_into", crash)
+        with pytest.raises(IOError):
+            upsert_into(spark, change, name, ["arrival"])
+    upsert_into(spark, readings(spark, [(60, "c", 5)]), name, ["arrival"])
+    rows = {(int((r["ts"] - DAY).total_seconds() // 3600), r["k"]): r["v"] for r in spark.table(name).collect()}
+    assert rows == {(1, "a"): 9, (2, "a"): 2, (30, "a"): 3, (31, "b"): 8, (60, "c"): 5}
+    assert spark.table(name).count() == 5
+
+
 def test_dedup_off_appends(spark):
     path = scratch_path(spark, "t")
     batch = readings(spark, [(1, "a", 1)])

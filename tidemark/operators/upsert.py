@@ -13,13 +13,18 @@ from tidemark.timetable import (
     PARTITION_COLUMN,
     TimeTable,
     columns_of,
+    describe_table,
+    get_property,
+    insert_into,
     partition_value,
     read_time_table,
+    set_property,
     write_time_table,
 )
 
 _ARRIVAL = "_arrival"
 _NOTE = "__publishing"
+_PUBLISHING = "publishing"
 
 
 class DuplicateKeyError(ValueError):
@@ -59,14 +64,13 @@ def upsert(batch: DataFrame, path: str, table: TimeTable, arrival: Sequence[str]
         write_time_table(batch, path, table)
         return
     finish_publishing(spark, path, table)
-    order = F.struct(*arrival).alias(_ARRIVAL)
-    incoming = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields], order)
-    winners = pick_last(incoming, table.keys, F.col(_ARRIVAL)).drop(_ARRIVAL)
+    winners = _winners(batch, table, arrival)
+    if not path_exists(spark, path):
+        write_time_table(winners, path, table)
+        return
     with written_aside(winners, "upsert-batch") as latest:
-        if not path_exists(spark, path):
-            write_time_table(latest, path, table)
-            return
-        merged = merge_keep_last(_touched(spark, latest, path, table), latest, table.keys)
+        existing = _touched(read_time_table(spark, path, table), latest, table)
+        merged = merge_keep_last(existing, latest, table.keys)
         staged = write_aside(merged, "upsert-merged")
         note = spark.createDataFrame([(staged,)], "value string").coalesce(1)
         note.write.mode("overwrite").text(path + _NOTE)
@@ -90,6 +94,32 @@ def finish_publishing(spark: SparkSession, path: str, table: TimeTable) -> None:
         drop_aside(spark, staged)
 
 
+def upsert_into(spark: SparkSession, batch: DataFrame, name: str, arrival: Sequence[str]) -> None:
+    """Insert into a catalog table: an upsert while its dedup is on, else an append.
+
+    Works like :func:`upsert`; the note about staged partitions is a table property.
+    """
+    finish_publishing_into(spark, name)
+    table = describe_table(spark, name)
+    if not table.dedup or not table.keys:
+        insert_into(spark, batch, name)
+        return
+    with written_aside(_winners(batch, table, arrival), "upsert-batch") as latest:
+        existing = _touched(spark.table(name), latest, table)
+        staged = write_aside(merge_keep_last(existing, latest, table.keys), "upsert-merged")
+        set_property(spark, name, _PUBLISHING, staged)
+        finish_publishing_into(spark, name)
+
+
+def finish_publishing_into(spark: SparkSession, name: str) -> None:
+    staged = get_property(spark, name, _PUBLISHING)
+    if staged:
+        rows = read_aside(spark, staged, describe_table(spark, name).schema)
+        insert_into(spark, rows, name, overwrite="touched")
+        set_property(spark, name, _PUBLISHING, "")
+        drop_aside(spark, staged)
+
+
 def append_strict(batch: DataFrame, path: str, table: TimeTable) -> None:
     """Append, or raise if a key repeats within the batch or already exists."""
     spark = batch.sparkSession
@@ -98,16 +128,21 @@ def append_strict(batch: DataFrame, path: str, table: TimeTable) -> None:
         if path_exists(spark, path):
             # one row per key on both sides, so neither a hot key nor a copy can skew the join
             ours = stable.select(*table.keys).distinct()
-            clash = clash.unionByName(ours.join(_touched(spark, stable, path, table), list(table.keys), "left_semi"))
+            clash = clash.unionByName(ours.join(_touched(read_time_table(spark, path, table), stable, table), list(table.keys), "left_semi"))
         example = clash.limit(1).collect()
         if example:
             raise DuplicateKeyError(f"duplicate key {example[0].asDict()}")
         write_time_table(stable, path, table)
 
 
-def _touched(spark: SparkSession, batch: DataFrame, path: str, table: TimeTable) -> DataFrame:
+def _winners(batch: DataFrame, table: TimeTable, arrival: Sequence[str]) -> DataFrame:
+    order = F.struct(*arrival).alias(_ARRIVAL)
+    incoming = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields], order)
+    return pick_last(incoming, table.keys, F.col(_ARRIVAL)).drop(_ARRIVAL)
+
+
+def _touched(existing: DataFrame, batch: DataFrame, table: TimeTable) -> DataFrame:
     """Existing rows of the partitions that ``batch`` has rows in."""
-    existing = read_time_table(spark, path, table)
     if table.partitioned:
         parts = batch.select(partition_value(table.ts, table.unit).alias("p")).distinct()
         values = [r["p"] for r in parts.collect()]

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from tidemark.functions import geo, times
 from tidemark.operators import maintenance
-from tidemark.operators.upsert import append_strict, upsert
+from tidemark.operators.upsert import append_strict, upsert, upsert_into
 from tidemark.plans.aggregates import daily_readings
 from tidemark.plans.registry import plan, table
 from tidemark.plans.scalars import GEOHASH_SQL, customer_places
@@ -20,6 +20,7 @@ from tidemark.timetable import (
     create_table,
     insert_into,
     read_time_table,
+    set_dedup,
     time_between,
     write_time_table,
 )
@@ -51,6 +52,27 @@ def upsert_table(spark, sf_dir):
     return read_time_table(spark, path, target).drop(PARTITION_COLUMN)
 
 
+@plan("""
+    WITH readings AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, user_id, event_type, value, event_id FROM events),
+         batches AS (SELECT *, 1 AS batch FROM readings
+                     UNION ALL SELECT day, user_id, event_type, value * 10, event_id, 2 FROM readings WHERE event_type = 'purchase')
+    SELECT * FROM (SELECT day, user_id, event_type, value, event_id FROM batches
+                   QUALIFY row_number() OVER (PARTITION BY day, user_id ORDER BY batch DESC, event_id DESC) = 1)
+    UNION ALL SELECT day, user_id, event_type, value, event_id FROM readings WHERE event_type = 'error'
+""")
+def dedup_disable(spark, sf_dir):
+    """Two upserts into a catalog table, then dedup is switched off and the errors are appended."""
+    readings = daily_readings(table(spark, sf_dir, "events"))
+    name = f"{new_database(spark)}.readings"
+    create_table(spark, name, TimeTable(readings.schema, ts="day", unit="MONTH", keys=("day", "user_id")))
+    upsert_into(spark, readings, name, ["event_id"])
+    corrected = readings.where("event_type = 'purchase'").withColumn("value", F.col("value") * 10)
+    upsert_into(spark, corrected, name, ["event_id"])
+    set_dedup(spark, name, False)
+    upsert_into(spark, readings.where("event_type = 'error'"), name, ["event_id"])
+    return spark.table(name).drop(PARTITION_COLUMN)
+
+
 @plan("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity FROM lineitem", name="append_table")
 def append_rows(spark, sf_dir):
     """Lines by return flag, appended batch by batch to a YEAR table."""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 PARTITION_COLUMN = "time_part"
 _FORMATS = {"HOUR": "yyyy-MM-dd-HH", "DAY": "yyyy-MM-dd", "MONTH": "yyyy-MM", "YEAR": "yyyy"}
 _PROPERTY = "tidemark."
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 @dataclass(frozen=True)
@@ -90,9 +92,18 @@ def describe_table(spark: SparkSession, name: str) -> TimeTable:
     )
 
 
+def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PROPERTY}{key}'='{value}')")
+
+
+def get_property(spark: SparkSession, name: str, key: str) -> str | None:
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return props.get(f"{_PROPERTY}{key}")
+
+
 def set_dedup(spark: SparkSession, name: str, enabled: bool) -> None:
     """Switch a table between upsert and plain append."""
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PROPERTY}dedup'='{str(enabled).lower()}')")
+    set_property(spark, name, "dedup", str(enabled).lower())
 
 
 def time_between(df: DataFrame, ts: str, low, high, unit: str | None = None) -> DataFrame:
@@ -126,16 +137,30 @@ def write_time_table(df: DataFrame, path: str, table: TimeTable, mode: str = "ap
     writer.parquet(path)
 
 
-def insert_into(spark: SparkSession, df: DataFrame, name: str, overwrite: bool = False, gather: bool = True) -> None:
+def insert_into(
+    spark: SparkSession, df: DataFrame, name: str, overwrite: bool | str = False, gather: bool = True
+) -> None:
     """INSERT … SELECT into a catalog table, with the table's own types.
 
-    ``gather=False`` skips the shuffle, for rows that already lie by time partition.
+    ``overwrite`` replaces all rows, or with ``"touched"`` those of the partitions that ``df``
+    has rows in. ``gather=False`` skips the shuffle, for rows that already lie by time partition.
     """
     table = describe_table(spark, name)
     stamped = table.stamp(df)
     if table.partitioned and gather:
         stamped = stamped.hint("rebalance", PARTITION_COLUMN)
-    stamped.write.insertInto(name, overwrite=overwrite)
+    with _overwrite_mode(spark, "dynamic" if overwrite == "touched" else "static"):
+        stamped.write.insertInto(name, overwrite=bool(overwrite))
+
+
+@contextlib.contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
 
 
 def read_time_table(spark: SparkSession, path: str, table: TimeTable) -> DataFrame:
