@@ -71,12 +71,12 @@ def select_table(
 
 def typed_field(raw: Column, data_type: str) -> Column:
     if data_type == "string":
-        return unescape(F.regexp_replace(raw, r'^"|"$', ""))
+        return unescape(F.substring(raw, F.lit(2), F.length(raw) - 2))
     if data_type == "boolean":
         return F.when(raw.isNotNull(), raw.isin(_TRUE))
     if data_type == "timestamp":
-        return F.timestamp_micros(F.regexp_replace(raw, "t$", "").try_cast("bigint"))
-    return F.regexp_replace(raw, "[iu]$", "").try_cast(data_type)
+        return F.timestamp_micros(F.rtrim(raw, F.lit("t")).try_cast("bigint"))
+    return F.rtrim(raw, F.lit("iu")).try_cast(data_type)
 
 
 def unescape(text: Column) -> Column:
