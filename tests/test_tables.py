@@ -138,10 +138,18 @@ def test_strict_append_refuses_copies(spark):
     ok = readings(spark, [(1, "a", 1), (2, "a", 1)])
     table = table_of(ok)
     append_strict(ok, path, table)
+    append_strict(readings(spark, [(9, None, 1), (9, None, 2)]), path, table)
     for bad in ([(3, "a", 1), (3, "a", 2)], [(2, "a", 9)]):
         with pytest.raises(DuplicateKeyError):
             append_strict(readings(spark, bad), path, table)
-    assert stored(spark, path, table)[1] == 2
+    assert stored(spark, path, table)[1] == 4
+
+
+@pytest.mark.parametrize("other", ["CAST(id AS DOUBLE)", "CAST(id AS STRING)"])
+def test_dedup_orders_null_arrivals_first(spark, other):
+    rows = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("b", None, 3)], "k string, arrival int, id int")
+    got = dedup_keep_last(rows.withColumn("v", F.expr(other)), ["k"], ["arrival"]).collect()
+    assert sorted((r["k"], r["arrival"], r["id"], float(r["v"])) for r in got) == [("a", 5, 2, 2.0), ("b", None, 3, 3.0)]
 
 
 def test_dedup_keep_last_of_one_key_that_is_every_row(spark):

@@ -12,7 +12,7 @@ from tidemark.operators.ordering import order_key, pick_last
 
 def latest_on(df: DataFrame, ts: str, by: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
     """The row with the highest ``ts`` (then ``tiebreak``) per key."""
-    return pick_last(df.where(F.col(ts).isNotNull()), by, F.struct(ts, *tiebreak))
+    return pick_last(df.where(F.col(ts).isNotNull()), by, [ts, *tiebreak])
 
 
 def latest_wide(

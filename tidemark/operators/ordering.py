@@ -24,6 +24,9 @@ MAX_HOT_KEYS = 10_000
 MAX_SPLITS = 20_000
 #: Sampled rows a key at the threshold is expected to show.
 _SAMPLE_ROWS = 2_000
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+_FIXED = (T.FloatType, T.DoubleType, T.BooleanType, T.DateType, T.DecimalType)
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
@@ -35,8 +38,7 @@ def order_key(df: DataFrame, ts: str, tiebreak: Sequence[str] = ()) -> Column:
     """
     if not tiebreak:
         return F.col(ts)
-    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    if len(tiebreak) == 1 and isinstance(df.schema[tiebreak[0]].dataType, integral):
+    if len(tiebreak) == 1 and isinstance(df.schema[tiebreak[0]].dataType, _INTEGRAL):
         micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(18,0)")
         lowest = F.lit(-(2**63)).cast("bigint")
         tie = F.coalesce(F.col(tiebreak[0]).cast("bigint"), lowest).cast("decimal(19,0)")
@@ -44,16 +46,25 @@ def order_key(df: DataFrame, ts: str, tiebreak: Sequence[str] = ()) -> Column:
     return F.struct(ts, *tiebreak)
 
 
-def pick_last(df: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
-    """The row with the highest ``order`` per key.
+def pick_last(df: DataFrame, by: Sequence[str], order: Sequence[str], drop: Sequence[str] = ()) -> DataFrame:
+    """The row with the highest ``order`` per key, without the columns in ``drop``.
 
     A partial aggregate: each map task sends at most one row per key, so a hot key does not
-    reach the shuffle.
+    reach the shuffle. If the other columns have fixed widths and the order is one integer or
+    time, they are picked one by one, all by the same order value, and aggregate by hash.
     """
-    by = list(by)
-    rest = [c for c in df.columns if c not in by]
-    picked = df.groupBy(*by).agg(F.max_by(F.struct(*rest), order).alias("_row"))
-    return picked.select(*[F.col(c) if c in by else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    rest = [c for c in df.columns if c not in by and c not in drop]
+    out = [c for c in df.columns if c not in drop]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    if len(order) == 1 and isinstance(kinds[order[0]], (*_INTEGRAL, *_TIMES)) and rest and all(
+        isinstance(kinds[c], (*_INTEGRAL, *_TIMES, *_FIXED)) for c in rest
+    ):
+        value = F.col(order[0])
+        value = F.unix_micros(value.cast("timestamp")) if isinstance(kinds[order[0]], _TIMES) else value.cast("bigint")
+        rows = df.withColumn("_order", F.coalesce(value, F.lit(-(2**63)).cast("bigint")))
+        return rows.groupBy(*by).agg(*[F.max_by(c, "_order").alias(c) for c in rest]).select(*out)
+    picked = df.groupBy(*by).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return picked.select(*[F.col(c) if c in by else F.col(f"_row.{c}").alias(c) for c in out])
 
 
 @dataclass(frozen=True)

@@ -22,7 +22,6 @@ from tidemark.timetable import (
     write_time_table,
 )
 
-_ARRIVAL = "_arrival"
 _NOTE = "__publishing"
 _PUBLISHING = "publishing"
 
@@ -33,7 +32,7 @@ class DuplicateKeyError(ValueError):
 
 def dedup_keep_last(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]) -> DataFrame:
     """One row per key: the one that arrived last. NULL keys equal each other."""
-    return pick_last(df, keys, F.struct(*arrival))
+    return pick_last(df, keys, arrival)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -124,7 +123,8 @@ def append_strict(batch: DataFrame, path: str, table: TimeTable) -> None:
     """Append, or raise if a key repeats within the batch or already exists."""
     spark = batch.sparkSession
     with written_aside(batch.select(*columns_of(table)), "strict-batch") as stable:
-        clash = duplicate_keys(stable, table.keys).select(*table.keys)
+        # as in SQL, a key with a NULL in it equals no other
+        clash = duplicate_keys(stable.dropna(subset=list(table.keys)), table.keys).select(*table.keys)
         if path_exists(spark, path):
             # one row per key on both sides, so neither a hot key nor a copy can skew the join
             ours = stable.select(*table.keys).distinct()
@@ -136,9 +136,12 @@ def append_strict(batch: DataFrame, path: str, table: TimeTable) -> None:
 
 
 def _winners(batch: DataFrame, table: TimeTable, arrival: Sequence[str]) -> DataFrame:
-    order = F.struct(*arrival).alias(_ARRIVAL)
-    incoming = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields], order)
-    return pick_last(incoming, table.keys, F.col(_ARRIVAL)).drop(_ARRIVAL)
+    order = [f"_arrival{i}" for i in range(len(arrival))]
+    incoming = batch.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields],
+        *[F.col(a).alias(o) for a, o in zip(arrival, order)],
+    )
+    return pick_last(incoming, table.keys, order, drop=order)
 
 
 def _touched(existing: DataFrame, batch: DataFrame, table: TimeTable) -> DataFrame:

@@ -13,7 +13,7 @@ from tidemark.plans.aggregates import daily_readings
 from tidemark.plans.registry import plan, table
 from tidemark.plans.scalars import GEOHASH_SQL, customer_places
 from tidemark.session import scratch_path
-from tidemark.sinks.files import export_csv, import_csv, route_by_key
+from tidemark.sinks.files import export_csv, import_csv, route_by_key, write_observed
 from tidemark.timetable import (
     PARTITION_COLUMN,
     TimeTable,
@@ -164,6 +164,14 @@ def insert_select_cast(spark, sf_dir):
     return spark.table(name)
 
 
+@plan("SELECT count(*) AS rows, count(*) AS observed FROM events")
+def observed_ingest(spark, sf_dir):
+    """Rows written, as the write itself reported them and as read back."""
+    path = scratch_path(spark, "observed")
+    seen = write_observed(table(spark, sf_dir, "events"), path)
+    return spark.read.parquet(path).agg(F.count("*").alias("rows")).withColumn("observed", F.lit(seen["rows"]).cast("bigint"))
+
+
 @plan("SELECT event_id, ts, user_id, event_type, value FROM events", name="route_by_key")
 def route_rows(spark, sf_dir):
     path = scratch_path(spark, "routed")
