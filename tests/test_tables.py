@@ -152,6 +152,14 @@ def test_dedup_orders_null_arrivals_first(spark, other):
     assert sorted((r["k"], r["arrival"], r["id"], float(r["v"])) for r in got) == [("a", 5, 2, 2.0), ("b", None, 3, 3.0)]
 
 
+def test_upsert_of_rows_that_are_all_key(spark):
+    path = scratch_path(spark, "t")
+    batch = readings(spark, [(1, "a", 1), (1, "a", 2), (30, "b", 3)]).drop("v")
+    for _ in range(2):
+        upsert(batch, path, table_of(batch), ["arrival"])
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_dedup_keep_last_of_one_key_that_is_every_row(spark):
     df = spark.range(10_000).select(F.lit("k").alias("k"), F.col("id").alias("arrival"))
     assert [tuple(r) for r in dedup_keep_last(df, ["k"], ["arrival"]).collect()] == [("k", 9_999)]

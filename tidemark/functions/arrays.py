@@ -22,7 +22,8 @@ def price_levels(
     # the comparison is on the unrounded price, as rounding comes after sorting
     sort = [F.desc(price), F.desc(size)] if descending else [F.asc(price), F.asc(size)]
     best = first_levels(df, by, sort, max_levels)
-    levels = F.array_sort(F.collect_list(F.struct("level", F.round(price, PRICE_DIGITS).alias("p"), F.col(size).cast("double").alias("s"))))
+    pair = F.struct("level", F.round(price, PRICE_DIGITS).alias("p"), F.col(size).cast("double").alias("s"))
+    levels = F.array_sort(F.collect_list(pair))
     return best.groupBy(*by).agg(F.transform(levels, lambda x: F.array(x["p"], x["s"])).alias(name))
 
 

@@ -55,10 +55,11 @@ def pick_last(df: DataFrame, by: Sequence[str], order: Sequence[str], drop: Sequ
     """
     rest = [c for c in df.columns if c not in by and c not in drop]
     out = [c for c in df.columns if c not in drop]
+    if not rest:
+        return df.select(*out).distinct()
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    if len(order) == 1 and isinstance(kinds[order[0]], (*_INTEGRAL, *_TIMES)) and rest and all(
-        isinstance(kinds[c], (*_INTEGRAL, *_TIMES, *_FIXED)) for c in rest
-    ):
+    fixed_widths = all(isinstance(kinds[c], (*_INTEGRAL, *_TIMES, *_FIXED)) for c in rest)
+    if fixed_widths and len(order) == 1 and isinstance(kinds[order[0]], (*_INTEGRAL, *_TIMES)):
         value = F.col(order[0])
         value = F.unix_micros(value.cast("timestamp")) if isinstance(kinds[order[0]], _TIMES) else value.cast("bigint")
         rows = df.withColumn("_order", F.coalesce(value, F.lit(-(2**63)).cast("bigint")))

@@ -37,7 +37,8 @@ def manifest_columns(spark: SparkSession, path: str) -> DataFrame:
     """(position, column_name, column_type) listed by a manifest JSON file."""
     raw = spark.read.schema(_MANIFEST).option("multiLine", True).json(path)
     listed = raw.select(F.posexplode("schema.elements").alias("position", "e"))
-    return listed.select("position", F.col("e.name").alias("column_name"), column_type(F.col("e.type.base")).alias("column_type"))
+    kind = column_type(F.col("e.type.base"))
+    return listed.select("position", F.col("e.name").alias("column_name"), kind.alias("column_type"))
 
 
 def schema_of(columns: DataFrame) -> T.StructType:

@@ -18,7 +18,9 @@ BATCH_FOLDER = "batch"
 MAX_NEW_COLUMNS = 1_000
 
 
-def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int | None = None, **options) -> DataFrame:
+def read_stream(
+    spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int | None = None, **options
+) -> DataFrame:
     """Files landing below ``path``; ``max_files`` bounds a micro-batch."""
     reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if max_files:

@@ -120,7 +120,9 @@ def time_between(df: DataFrame, ts: str, low, high, unit: str | None = None) ->
     return rows
 
 
-def write_time_table(df: DataFrame, path: str, table: TimeTable, mode: str = "append", compression: str | None = None) -> None:
+def write_time_table(
+    df: DataFrame, path: str, table: TimeTable, mode: str = "append", compression: str | None = None
+) -> None:
     """Write ``df`` below ``path``, one folder per time partition.
 
     The rebalance hint gathers a partition's rows into few files and lets a partition that
