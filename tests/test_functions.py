@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo, rand, text, times
-from tidemark.functions.arrays import price_levels
+from tidemark.functions.arrays import order_book
 from tidemark.operators.combine import MAX_CHOICES, union_all, with_each
 from tidemark.operators.paging import assign_pages, first_n, last_n, row_range
 from tidemark.operators.sample import sample_by, sample_last
@@ -69,12 +69,16 @@ def test_vehicle_ids(spark):
     assert [r["v"] for r in got] == ["AAA0000", "AAA00FF", "AAB0000", "ABA0000", "ABB000A", "ZZZFFFF"]
 
 
-def test_price_levels_of_one_order_book(spark):
-    df = spark.createDataFrame([("a", 1.00004, 10), ("a", 1.00003, 20), ("a", 3.0, 30), ("b", 2.0, 1)], "s string, p double, q int")
-    bids = {r["s"]: r["l"] for r in price_levels(df, ["s"], "p", "q", True, 2, "l").collect()}
-    asks = {r["s"]: r["l"] for r in price_levels(df, ["s"], "p", "q", False, 2, "l").collect()}
-    assert bids == {"a": [[3.0, 30.0], [1.0, 10.0]], "b": [[2.0, 1.0]]}
-    assert asks["a"] == [[1.0, 20.0], [1.0, 10.0]]
+@pytest.mark.parametrize("limit", ["1000000", "2"])
+def test_order_book(spark, limit):
+    data = [("a", 1.00004, 10), ("a", 1.00003, 20), ("a", 3.0, 30), ("b", 2.0, 1), (None, 4.0, 1), (None, 5.0, 2), (None, 6.0, 3)]
+    df = spark.createDataFrame(data, "s string, p double, q int")
+    spark.conf.set("spark.tidemark.rowsPerTask", limit)
+    rows = {r["s"]: r for r in order_book(df, ["s"], "p", "q", 2).collect()}
+    spark.conf.unset("spark.tidemark.rowsPerTask")
+    assert rows["a"]["bids"] == [[3.0, 30.0], [1.0, 10.0]] and rows["a"]["asks"] == [[1.0, 20.0], [1.0, 10.0]]
+    assert rows["b"]["bids"] == rows["b"]["asks"] == [[2.0, 1.0]]
+    assert rows[None]["bids"] == [[6.0, 3.0], [5.0, 2.0]] and rows[None]["asks"] == [[4.0, 1.0], [5.0, 2.0]]
 
 
 def test_limits(spark, monkeypatch):

@@ -21,7 +21,7 @@ def test_matches_sql(spark, connection, name):
     assert difference(PLANS[name].run(spark, SF_DIR), connection, PLANS[name].sql) is None
 
 
-@pytest.mark.parametrize("name", ["asof_join", "asof_join_multi", "asof_join_full_ts", "asof_join_orders", "synthetic_clock"])
+@pytest.mark.parametrize("name", ["asof_join", "asof_join_multi", "asof_join_full_ts", "asof_join_orders", "synthetic_clock", "price_levels"])
 def test_matches_sql_with_every_key_split(spark, split_keys, connection, name):
     assert difference(PLANS[name].run(spark, SF_DIR), connection, PLANS[name].sql) is None
 

@@ -5,26 +5,46 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Window as W
 
 from tidemark.operators.combine import first_levels
+from tidemark.operators.ordering import hot_keys
+from tidemark.session import rows_per_task
 
 PRICE_DIGITS = 4
 
 
-def price_levels(
-    df: DataFrame, by: Sequence[str], price: str, size: str, descending: bool, max_levels: int = 5, name: str = "levels"
-) -> DataFrame:
-    """One row per key with its best levels as [[price, size], ...].
+def order_book(df: DataFrame, by: Sequence[str], price: str, size: str, max_levels: int = 5) -> DataFrame:
+    """One row per key: ``bids`` and ``asks`` as [[price, size], ...], at most ``max_levels`` each.
 
-    Bids run from the highest price down, asks from the lowest up. Rows beyond ``max_levels``
-    are cut before the shuffle, so an array never holds more than that.
+    Bids run from the highest price down, asks from the lowest up. One window numbers both: a
+    row's ask level is its bid level counted from the other end. The rows of hot keys are cut
+    to the best levels of either side before they are shuffled.
     """
-    # the comparison is on the unrounded price, as rounding comes after sorting
-    sort = [F.desc(price), F.desc(size)] if descending else [F.asc(price), F.asc(size)]
-    best = first_levels(df, by, sort, max_levels)
-    pair = F.struct("level", F.round(price, PRICE_DIGITS).alias("p"), F.col(size).cast("double").alias("s"))
-    levels = F.array_sort(F.collect_list(pair))
-    return best.groupBy(*by).agg(F.transform(levels, lambda x: F.array(x["p"], x["s"])).alias(name))
+    rows = df.select(F.struct(*by).alias("_key"), F.col(price).alias("_price"), F.col(size).cast("double").alias("_size"))
+    down = [F.desc("_price"), F.desc("_size")]
+    hot = hot_keys(rows, ["_key"], rows_per_task(df.sparkSession))
+    few = rows if hot is None else hot.others(rows)
+    key = W.partitionBy("_key")
+    levels = few.withColumns({"_bid": F.row_number().over(key.orderBy(*down)), "_n": F.count("*").over(key)})
+    levels = levels.withColumn("_ask", F.col("_n") - F.col("_bid") + 1).drop("_n")
+    levels = levels.where(F.least("_bid", "_ask") <= max_levels)
+    if hot is not None:
+        many = hot.only(rows)
+        up = [F.asc("_price"), F.asc("_size")]
+        for name, order in (("_bid", down), ("_ask", up)):
+            best = first_levels(many, ["_key"], order, max_levels).withColumnRenamed("level", name)
+            levels = levels.unionByName(best, allowMissingColumns=True)
+    return levels.groupBy("_key").agg(
+        _side("_bid", max_levels).alias("bids"), _side("_ask", max_levels).alias("asks")
+    ).select("_key.*", "bids", "asks")
+
+
+def _side(level: str, max_levels: int) -> Column:
+    # prices are rounded after sorting
+    pair = F.struct(level, F.round("_price", PRICE_DIGITS).alias("p"), F.col("_size").alias("s"))
+    kept = F.collect_list(F.when(F.col(level) <= max_levels, pair))
+    return F.transform(F.array_sort(kept), lambda x: F.array(x["p"], x["s"]))
 
 
 def explode_levels(df: DataFrame, by: Sequence[str], levels: str) -> DataFrame:

@@ -78,8 +78,10 @@ class HotKeys:
 
     def splits(self, df: DataFrame, order: Sequence[str], unique: bool) -> DataFrame:
         """The hot keys' rows of ``df``, range-sorted into numbered splits."""
-        mine = df.join(F.broadcast(self.values), self.keys, "left_semi").select(*df.columns)
-        return ordered_splits(mine, [*self.keys, *order], unique, self.split_count)
+        return ordered_splits(self.only(df), [*self.keys, *order], unique, self.split_count)
+
+    def only(self, df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(self.values), self.keys, "left_semi").select(*df.columns)
 
     def others(self, df: DataFrame) -> DataFrame:
         return df.join(F.broadcast(self.values), self.keys, "left_anti").select(*df.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo, rand, text, times
-from tidemark.functions.arrays import explode_levels, price_levels
+from tidemark.functions.arrays import explode_levels, order_book
 from tidemark.operators.maintenance import falsy_to_null, retained
 from tidemark.plans.registry import plan, table
 
@@ -233,12 +233,9 @@ def strip_empty_fields(spark, sf_dir):
     WHERE level <= 5
 """, name="price_levels")
 def order_book_levels(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_quantity")
-    sides = []
-    for side, descending in (("bid", True), ("ask", False)):
-        book = price_levels(lines, ["l_orderkey"], "l_extendedprice", "l_quantity", descending)
-        sides.append(explode_levels(book, ["l_orderkey"], "levels").withColumn("side", F.lit(side)))
-    return sides[0].unionByName(sides[1]).select("l_orderkey", "side", "level", "price", "size")
+    book = order_book(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_extendedprice", "l_quantity")
+    sides = F.inline(F.array(*[F.struct(F.lit(s[:-1]).alias("side"), F.col(s).alias("levels")) for s in ("bids", "asks")]))
+    return explode_levels(book.select("l_orderkey", sides), ["l_orderkey", "side"], "levels")
 
 
 @plan("""
