@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import near_dedup
+from tidemark.llm import exact_dedup, near_dedup, sharding
 from tidemark.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,23 @@ _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 """)
 def op1_minhash_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+    WITH normal AS (
+        SELECT doc_id, length(coalesce(text, '')) AS n_points,
+               regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain FROM documents)
+    SELECT doc_id,
+           first_value(doc_id) OVER (PARTITION BY plain ORDER BY n_points DESC, doc_id) AS keep_id,
+           count(*) OVER (PARTITION BY plain) AS group_size,
+           doc_id = first_value(doc_id) OVER (PARTITION BY plain ORDER BY n_points DESC, doc_id) AS kept,
+           sha256(plain) AS text_sha256
+    FROM normal
+""")
+def op2_exact_dedup(spark, sf_dir):
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_sampled_splitters(spark, sf_dir):
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
