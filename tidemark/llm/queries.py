@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, near_dedup, sharding
+from tidemark.llm import decontaminate, exact_dedup, near_dedup, sharding
 from tidemark.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +82,37 @@ def op2_exact_dedup(spark, sf_dir):
 @query()
 def op10_sampled_splitters(spark, sf_dir):
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+@query(rf"""
+    WITH
+    words AS (SELECT doc_id, regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    items AS (SELECT item_id, regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, least(len(w), 10) AS n,
+               unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS s
+        FROM items WHERE len(w) > 0),
+    lengths AS (SELECT DISTINCT n FROM windows),
+    runs AS (
+        SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM words, lengths WHERE len(w) >= n),
+    found AS (
+        SELECT runs.doc_id, runs.n, runs.i, windows.item_id
+        FROM runs JOIN windows ON runs.n = windows.n AND array_to_string(runs.w[runs.i:runs.i + runs.n - 1], ' ') = windows.s),
+    hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+    named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op9_aho_corasick_decontamination(spark, sf_dir):
+    found = decontaminate.find_benchmark_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.covered_words("hits").alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
