@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, near_dedup, sharding
+from tidemark.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, sharding
 from tidemark.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +117,9 @@ def op9_aho_corasick_decontamination(spark, sf_dir):
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op8_tree_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
