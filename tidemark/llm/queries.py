@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, sharding
+from tidemark.llm import byte_bpe, decontaminate, exact_dedup, language, near_dedup, quality, sharding
 from tidemark.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,15 @@ def op9_aho_corasick_decontamination(spark, sf_dir):
 def op8_tree_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query()
+def op4_random_index_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score(docs, quality.held_in(labels))
+    return scored.select("doc_id", (language.remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op6_bitmask_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
