@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontaminate, exact_dedup, language, near_dedup, quality, sharding
+from tidemark.llm import byte_bpe, decontaminate, exact_dedup, html_text, language, near_dedup, quality, secret_scan, sharding, url_filter
 from tidemark.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +135,50 @@ def op4_random_index_quality(spark, sf_dir):
 @query()
 def op6_bitmask_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_block_tree_html(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+#: Entries and captures derived from the pages: a third of the pages list their host, its
+#: parent domain or take it off again, and every page is fetched on some day of 2024.
+_HOST = r"regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1)"
+_LISTED_DAY, _FETCHED_DAY = "page_id * 37 % 366", "page_id * 91 % 366"
+
+
+@query(rf"""
+    WITH
+    entries AS (
+        SELECT CASE WHEN page_id % 2 = 0 THEN {_HOST} ELSE regexp_replace({_HOST}, '^[^.]+\.', '') END AS pattern,
+               CASE page_id % 5 WHEN 0 THEN 'allow' WHEN 1 THEN 'off' ELSE 'block' END AS action,
+               DATE '2024-01-01' + CAST({_LISTED_DAY} AS INTEGER) AS listed_on, page_id AS seq
+        FROM pages WHERE page_id % 3 = 0),
+    by_day AS (SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY pattern, listed_on ORDER BY seq DESC) = 1),
+    valid AS (SELECT pattern, action, listed_on, lead(listed_on) OVER (PARTITION BY pattern ORDER BY listed_on) AS until FROM by_day),
+    captures AS (SELECT page_id, url, DATE '2024-01-01' + CAST({_FETCHED_DAY} AS INTEGER) AS fetched_at, {_HOST} AS host FROM pages),
+    judged AS (
+        SELECT page_id, pattern, action, listed_on FROM captures JOIN valid
+        ON (host = pattern OR ends_with(host, '.' || pattern))
+           AND listed_on <= fetched_at AND (until IS NULL OR fetched_at < until) AND action IN ('block', 'allow')
+        QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC) = 1)
+    SELECT page_id, url, fetched_at, pattern, action, listed_on, coalesce(action = 'block', false) AS blocked
+    FROM captures LEFT JOIN judged USING (page_id)
+""")
+def op7_temporal_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    host = url_filter.host_of("url")
+    entries = pages.where("page_id % 3 = 0").select(
+        F.when(F.col("page_id") % 2 == 0, host).otherwise(F.regexp_replace(host, r"^[^.]+\.", "")).alias("pattern"),
+        F.expr("CASE page_id % 5 WHEN 0 THEN 'allow' WHEN 1 THEN 'off' ELSE 'block' END").alias("action"),
+        F.expr(f"date_add(DATE '2024-01-01', int({_LISTED_DAY}))").alias("listed_on"),
+        F.col("page_id").alias("seq"),
+    )
+    captures = pages.select("page_id", "url", F.expr(f"date_add(DATE '2024-01-01', int({_FETCHED_DAY}))").alias("fetched_at"))
+    return url_filter.judge(captures, entries)
+
+
+@query()
+def op5_random_field_secrets(spark, sf_dir):
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
