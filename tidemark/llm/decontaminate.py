@@ -125,11 +125,11 @@ def _original(text: bytes, flat: list[int]) -> list[int]:
     return [int(points[spans[k][0] if i % 2 == 0 else spans[k - 1][1]]) for i, k in enumerate(flat)]
 
 
-def _scanner(name: str, broadcast, last: bool):
+def _scanner(name: str, broadcast, text_name: str, last: bool):
     def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, patterns = _automaton(name, broadcast.value)
         for batch in batches:
-            data, offsets = bytes_of(batch.column("text"))
+            data, offsets = bytes_of(batch.column(text_name))
             names = batch.schema.names
             before = batch.column("hits").to_pylist() if "hits" in names else None
             known = batch.column("item_ids").to_pylist() if "item_ids" in names else None
@@ -157,32 +157,35 @@ def _scanner(name: str, broadcast, last: bool):
     return scan_batches
 
 
-def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """The columns `carry` of `docs` (doc_id by default) and, for every row:
-
-    n_words; hits, flat [first, end) ranges of covered words; item_ids, the sorted ids of items
-    with an occurring window; spans, the hits as [start, end) code points of the text.
-    """
+def _scanned(docs: DataFrame, benchmark: DataFrame, carry: list[str]) -> DataFrame:
+    """Columns `carry` of `docs` as _c0, _c1, ... with n_words, hits, item_ids and spans."""
     spark = docs.sparkSession
-    carry = ["doc_id"] if carry is None else carry
-    # positions instead of names: columns of the table may be called like those added here
-    rows = docs.select(F.col("text"), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)])
-    base = rows.schema
-    path = None
+    names = [f"_c{i}" for i in range(len(carry))]
+    text = f"_c{carry.index('text')}" if "text" in carry else "_text"
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)], *([] if "text" in carry else [F.col("text").alias("_text")]))
+    base, path = rows.schema, None
     for pairs, last in _blocks(benchmark):
         block = spark.sparkContext.broadcast(pairs)
         schema = StructType(base.fields[:])
         schema = schema.add("n_words", LongType()).add("hits", ArrayType(IntegerType())).add("item_ids", ArrayType(StringType()))
         if last:
             schema = schema.add("spans", ArrayType(LongType()))
-        rows = map_batches(rows, _scanner(uuid.uuid4().hex, block, last), schema)
+        rows = map_batches(rows, _scanner(uuid.uuid4().hex, block, text, last), schema)
         if not last:
             done, path = path, write_aside(rows, "scanned")
             rows = read_aside(spark, path, schema)
             if done:
                 drop_aside(spark, done)
-    named = [F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)]
-    return rows.select(*named, *[F.col(c) for c in ("n_words", "hits", "item_ids", "spans")])
+    return rows.select(*names, "n_words", "hits", "item_ids", "spans")
+
+
+def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per row of `docs` (doc_id, text), held against `benchmark` (item_id, text):
+
+    doc_id; n_words; hits, flat [first, end) ranges of covered words; item_ids, the sorted ids
+    of items with an occurring window; spans, the hits as [start, end) code points of the text.
+    """
+    return _scanned(docs, benchmark, ["doc_id"]).withColumnRenamed("_c0", "doc_id")
 
 
 def covered_words(hits: str) -> Column:
@@ -194,5 +197,5 @@ def covered_words(hits: str) -> Column:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` in which no benchmark window occurs, with all their columns."""
-    found = find_benchmark_passages(docs.withColumn("_whole", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), benchmark, ["_whole"])
-    return found.where(F.size("hits") == 0).select("_whole.*")
+    clean = _scanned(docs, benchmark, docs.columns).where(F.size("hits") == 0)
+    return clean.drop("n_words", "hits", "item_ids", "spans").toDF(*docs.columns)

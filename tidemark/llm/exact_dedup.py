@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, read_aside, write_aside
+from tidemark.session import materialize, write_aside
 
 BUCKET_ENTRIES = 65_536
 #: Bits of the largest directory: at most 2**20 slots.
@@ -33,10 +33,10 @@ _SPACE = r"[\x20\x09-\x0D]+"
 
 
 def _entries(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, code points, normalised text, hash, digest) of every row, written aside."""
+    """(_row, doc_id, code points, normalised text, hash, digest) of rows (_row, doc_id, text), written aside."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
-        F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id().alias("_row"),
+        "_row",
         "doc_id",
         F.char_length(text).alias("n_points"),
         F.regexp_replace(text, _SPACE, "").alias("plain"),
@@ -96,29 +96,24 @@ def _index(entries: DataFrame, most: int) -> DataFrame:
     )
 
 
-def exact_duplicates(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """One row per row of `docs` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
-
-    A `_row` column, if there is one, names the rows and is returned too.
-    """
-    entries = _entries(docs)
+def _found(rows: DataFrame, bucket_entries: int) -> DataFrame:
+    """Every row (_row, doc_id, text) with what the index says of its text."""
+    entries = _entries(rows)
     index = _index(entries, bucket_entries).select("hash", "digest", "keep_id", "keep_row", "group_size")
-    found = entries.select("_row", "doc_id", "hash", "digest").join(index, ["hash", "digest"])
-    return found.select(
-        *(["_row"] if "_row" in docs.columns else []),
-        "doc_id",
-        "keep_id",
-        "group_size",
-        (F.col("_row") == F.col("keep_row")).alias("kept"),
-        F.col("digest").alias("text_sha256"),
-    )
+    probed = entries.select("_row", "doc_id", "hash", "digest").join(index, ["hash", "digest"])
+    return probed.withColumn("kept", F.col("_row") == F.col("keep_row"))
+
+
+def exact_duplicates(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
+    """One row per row of `docs` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
+    return _found(rows, bucket_entries).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
+def drop_exact_duplicates(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
-    spark = docs.sparkSession
-    named = docs.withColumn("_row", F.monotonically_increasing_id())
-    path = write_aside(named, "named")
-    rows = read_aside(spark, path, named.schema)
-    gone = materialize(exact_duplicates(rows).where("NOT kept").select("_row"), "exact_dropped")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    named = materialize(docs.toDF(*names).withColumn("_row", F.monotonically_increasing_id()), "named")
+    ids = [F.col(names[docs.columns.index(c)]).alias(c) for c in ("doc_id", "text")]
+    gone = materialize(_found(named.select("_row", *ids), bucket_entries).where("NOT kept").select("_row"), "exact_dropped")
+    return named.join(gone, "_row", "left_anti").select(*names).toDF(*docs.columns)

@@ -55,8 +55,8 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (hashes % np.uint64(BUCKETS)).astype(np.int64), at
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    data, offsets = bytes_of(batch.column("text"))
+def _groups(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    data, offsets = bytes_of(batch.column(text))
     for lo, hi in row_groups(offsets):
         yield lo, hi, *_tokens(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
 
@@ -191,27 +191,28 @@ def train(docs: DataFrame, labels: DataFrame, vectors, most: int = TRAIN_ROWS) -
     return Network(x, y, calibrate)
 
 
-def score(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """The columns `carry` of `docs` (doc_id by default) with score and predicted, learnt from `labels`."""
+def _scored(docs: DataFrame, labels: DataFrame, carry: list[str]) -> DataFrame:
+    """Columns `carry` of `docs` as _c0, _c1, ... and _score."""
     context = docs.sparkSession.sparkContext
     vectors = context.broadcast(word_vectors(docs))
     network = context.broadcast(train(docs, labels, vectors))
-    carry = ["doc_id"] if carry is None else carry
-    rows = docs.select("text", *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)])
     names = [f"_c{i}" for i in range(len(carry))]
+    text = f"_c{carry.index('text')}" if "text" in carry else "_text"
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)], *([] if "text" in carry else [F.col("text").alias("_text")]))
 
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [network.value.scores(_pooled(tokens, at, vectors.value)) for _, _, tokens, at in _groups(batch)]
+            scores = [network.value.scores(_pooled(tokens, at, vectors.value)) for _, _, tokens, at in _groups(batch, text)]
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(scores)], names + ["_score"])
 
-    schema = rows.select(*names).schema.add("_score", "double")
-    scored = map_batches(rows, score_batches, schema)
-    return scored.select(
-        *[F.col(n).alias(c) for n, c in zip(names, carry)],
-        F.col("_score").alias("score"),
-        (F.col("_score") >= ACCEPT).cast("int").alias("predicted"),
+    return map_batches(rows, score_batches, rows.select(*names).schema.add("_score", "double"))
+
+
+def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, score and predicted of every row of `docs` (doc_id, text), learnt from `labels`."""
+    return _scored(docs, labels, ["doc_id"]).select(
+        F.col("_c0").alias("doc_id"), F.col("_score").alias("score"), (F.col("_score") >= ACCEPT).cast("int").alias("predicted")
     )
 
 
@@ -222,5 +223,5 @@ def held_in(labels: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` predicted to be of label 1, with all their columns."""
-    whole = docs.withColumn("_whole", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    return score(whole, held_in(labels), ["_whole"]).where("predicted = 1").select("_whole.*")
+    kept = _scored(docs, held_in(labels), docs.columns).where(F.col("_score") >= ACCEPT)
+    return kept.drop("_score").toDF(*docs.columns)

@@ -11,8 +11,8 @@ file (how often key words and assignments occur in it). All of them are computed
 megabyte of text at once.
 
 Decoding is exact: a token whose score for a secret is lower than its score for outside by
-more than any change of transitions can win back is outside in the best tagging, so the chain
-falls apart there; the few runs of other tokens between such tokens are decoded by Viterbi.
+more than transitions and the token after it can win back is outside in the best tagging, so
+the chain falls apart there; the few runs of other tokens in between are decoded by Viterbi.
 
 The field is trained on lines made by the rules in `training_lines` and on at most
 `SAMPLE_ROWS` documents, the smallest by hash of the id, tagged by the base patterns.
@@ -37,7 +37,9 @@ from tidemark.llm.arrow_text import NOT_SPACE, bytes_of, row_groups, words
 from tidemark.llm.tasks import map_batches
 
 KINDS = ("assign", "access", "hex", "crf")
-SAMPLE_ROWS = 200
+SAMPLE_ROWS = 40
+#: Tokens of a chain in training; longer texts are cut there.
+TRAIN_TOKENS = 32
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -185,7 +187,7 @@ class Field:
         self.moves[OUT, INSIDE] = _NEVER
         self.first = np.array([0.0, 0.0, _NEVER])
 
-    def fit(self, x: np.ndarray, tags: np.ndarray, at: np.ndarray, rounds: int = 160, rate: float = 0.08, decay: float = 2e-3) -> None:
+    def fit(self, x: np.ndarray, tags: np.ndarray, at: np.ndarray, rounds: int = 100, rate: float = 0.08, decay: float = 2e-3) -> None:
         """Maximum likelihood with weight decay; forward and backward over all chains at once."""
         counts = np.diff(at)
         chains, longest = np.flatnonzero(counts), int(counts.max())
@@ -243,39 +245,51 @@ class Field:
         return out
 
     def _reach(self) -> float:
-        """The most that transitions can add for a secret at one token against outside."""
+        """The most that transitions lose when a token becomes outside and the next a begin."""
         usual = self.moves[self.moves > _NEVER / 2]
-        return 2 * float(usual.max() - usual.min())
+        return 3 * float(usual.max() - usual.min())
 
     def decode(self, lines: Lines) -> np.ndarray:
         """The best tags of all tokens."""
         scores = self.scores(lines)
         tags = np.zeros(len(lines.starts), np.int8)
-        open_ = np.flatnonzero(np.maximum(scores[BEGIN], scores[INSIDE]) - scores[OUT] + self._reach() > 0)
+        gain = np.maximum(scores[BEGIN], scores[INSIDE]) - scores[OUT]
+        # an inside that follows would have to become a begin
+        gain[:-1] += np.maximum(0, scores[INSIDE] - scores[BEGIN])[1:]
+        open_ = np.flatnonzero(gain + self._reach() > 0)
         if len(open_) == 0:
             return tags
         chain = np.searchsorted(lines.at, open_, "right")
         cuts = np.flatnonzero((np.diff(open_) > 1) | (np.diff(chain) > 0)) + 1
-        chain_starts = set(lines.at[:-1].tolist())
-        ends = set(lines.at[1:].tolist())
-        for run in np.split(open_, cuts):
-            lo, hi = int(run[0]), int(run[-1]) + 1
-            tags[lo:hi] = self._viterbi(scores[:, lo:hi].T.astype(np.float64), lo in chain_starts, hi in ends)
+        lo, hi = open_[np.concatenate([[0], cuts])], open_[np.concatenate([cuts - 1, [-1]])] + 1
+        edge = np.zeros(len(tags) + 1, bool)
+        edge[lines.at] = True
+        longest_first = np.argsort(lo - hi, kind="stable")
+        self._viterbi(scores, lo[longest_first], hi[longest_first], edge, tags)
         return tags
 
-    def _viterbi(self, scores: np.ndarray, starts: bool, ends: bool) -> list[int]:
-        best = scores[0] + (self.first if starts else self.moves[OUT])
-        came = []
-        for row in scores[1:]:
-            step = best[:, None] + self.moves
-            came.append(step.argmax(axis=0))
-            best = step.max(axis=0) + row
-        if not ends:
-            best = best + self.moves[:, OUT]
-        path = [int(best.argmax())]
-        for back in reversed(came):
-            path.append(int(back[path[-1]]))
-        return path[::-1]
+    def _viterbi(self, scores: np.ndarray, lo: np.ndarray, hi: np.ndarray, edge: np.ndarray, tags: np.ndarray) -> None:
+        """Write the best tags of the runs [lo, hi), longest first, all runs a token at a time.
+
+        A run stands between outside tokens or, where `edge` says so, at an end of its text.
+        """
+        length = hi - lo
+        leave = np.where(edge[hi][:, None], 0.0, self.moves[:, OUT])
+        best = scores[:, lo].T + np.where(edge[lo][:, None], self.first, self.moves[OUT])
+        came, last = [], np.zeros(len(lo), np.int64)
+        for t in range(int(length[0])):
+            n = int(np.searchsorted(-length, -t, "left"))  # runs with a token t
+            if t:
+                step = best[:n, :, None] + self.moves
+                came.append(step.argmax(axis=1))
+                best = step.max(axis=1) + scores[:, lo[:n] + t].T
+            done = np.flatnonzero(length[:n] == t + 1)
+            last[done] = (best[done] + leave[done]).argmax(axis=1)
+        for t in range(int(length[0]) - 1, -1, -1):
+            n = int(np.searchsorted(-length, -t, "left"))
+            tags[lo[:n] + t] = last[:n]
+            if t:
+                last[:n] = came[t - 1][np.arange(n), last[:n]]
 
 
 def _sum_out(x: np.ndarray, axis: int) -> np.ndarray:
@@ -316,7 +330,7 @@ def training_lines(seed: int = 5) -> list[tuple[str, list[tuple[int, int]]]]:
         return draw(lower, 4, 6) + draw("0123456789", 3, 5) + draw(alnum, 4, 8)
 
     lines = []
-    for number in range(900):
+    for number in range(600):
         before, after = prose(rng.randint(0, 8)), prose(rng.randint(0, 8))
         value = secret()
         if number % 3 == 0:
@@ -355,12 +369,11 @@ def train(docs: DataFrame) -> Field:
     made = training_lines()
     sample = docs.where("text IS NOT NULL").select("text", F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(SAMPLE_ROWS)
     for row in sample.collect():
-        for line in row["text"].split("\n"):
-            spans = []
-            for start, end, kind in base_spans(line):
-                m = _ASSIGN.match(line, start) if kind == 0 else None
-                spans.append(m.span(2) if m else (start, end))
-            made.append((line, spans))
+        spans = []
+        for start, end, kind in base_spans(row["text"]):
+            m = _ASSIGN.match(row["text"], start) if kind == 0 else None
+            spans.append(m.span(2) if m else (start, end))
+        made.append((row["text"], spans))
     data, offsets = bytes_of(pa.array([line for line, _ in made]))
     lines = Lines(data, offsets)
     tags = np.zeros(len(lines.starts), np.int64)
@@ -371,8 +384,11 @@ def train(docs: DataFrame) -> Field:
             inside = inside[(lines.starts[inside] >= lo) & (lines.ends[inside] <= hi)]
             tags[inside] = INSIDE
             tags[inside[:1]] = BEGIN
+    at = np.unique(np.concatenate([np.arange(lo, hi, TRAIN_TOKENS) for lo, hi in zip(lines.at[:-1], lines.at[1:])] + [lines.at]))
+    heads = at[:-1][tags[at[:-1]] == INSIDE]
+    tags[heads] = BEGIN
     field = Field()
-    field.fit(lines.matrix(), tags, lines.at)
+    field.fit(lines.matrix(), tags, at)
     return field
 
 
