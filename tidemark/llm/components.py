@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import drop_aside, read_aside, write_aside
+from tidemark.session import drop_aside, materialize, read_aside, write_aside
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -40,3 +40,18 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if done:
             drop_aside(spark, path)
             return read_aside(spark, labels_path, schema)
+
+
+def extended(labels: DataFrame, links: DataFrame, a: str, b: str) -> DataFrame:
+    """`labels` of a graph after `links` are added: only the components they touch are worked on."""
+
+    def lifted(side: str) -> DataFrame:
+        return labels.select(F.col("vertex").alias(side), F.col("label").alias(f"{side}_label"))
+
+    named = links.join(lifted(a), a, "left").join(lifted(b), b, "left")
+    named = named.select(a, b, F.coalesce(f"{a}_label", a).alias("la"), F.coalesce(f"{b}_label", b).alias("lb"))
+    joined = components(named, "la", "lb").select(F.col("vertex").alias("label"), F.col("label").alias("now"))
+    fresh = links.select(F.col(a).alias("vertex")).union(links.select(b)).distinct()
+    fresh = fresh.join(labels, "vertex", "left_anti").select("vertex", F.col("vertex").alias("label"))
+    changed = labels.unionByName(fresh).join(joined, "label", "left")
+    return materialize(changed.select("vertex", F.coalesce("now", "label").alias("label")), "labels")

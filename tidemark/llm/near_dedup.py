@@ -10,11 +10,14 @@ copied many times costs one sketch. The sketch fills `COORDINATES` bins in round
 throws every shingle into one bin with a value above those of all earlier rounds, and from
 round `COORDINATES` on every shingle goes to bin i - COORDINATES, so each bin fills. Classes
 that agree on all `ROWS` coordinates of a band share a bucket. At similarity 0.75 a pair
-misses all bands with probability (1 - 0.75**5)**40 = 2e-5.
+misses all bands with probability (1 - 0.75**8)**100 = 3e-5; two texts that share a
+third of their shingles meet with probability 0.015, so a common passage makes few candidates.
 
-Inside a bucket every class is compared with the bucket's first and last class. What these
-stars leave in different components of one bucket is then compared with each other, so every
-pair of a bucket is either joined already or verified itself; groups are never expanded.
+Inside a bucket one class is the centre and every other class is compared with it. Buckets
+that then still hold several components take further centres from outside the largest one,
+sixteen times as many each turn, until every pair of a bucket is in one component, was compared
+itself, or is told apart by bits of its sketches (1 in 300,000 pairs at 0.75 is lost there); a
+group of similar texts costs about one comparison per member and is never expanded into pairs.
 
 Defined cases: a null text counts as empty; empty texts are kept and stand alone; a null
 doc_id is ignored for the smallest id of a component (null if it has no other); repeated rows
@@ -24,19 +27,20 @@ are copies of each other; an empty table gives an empty result; other columns ar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import bytes_of, constants, mix, row_groups, shingle_sets, words
-from tidemark.llm.components import components
+from tidemark.llm.components import components, extended
 from tidemark.llm.tasks import map_batches
 from tidemark.session import drop_aside, materialize, write_aside
 
 SHINGLE_WORDS = 5
-BANDS, ROWS = 40, 5
+BANDS, ROWS = 100, 8
 COORDINATES = BANDS * ROWS
 #: Per cent of the union that linked sets share.
 LINK_PERCENT = 75
@@ -44,6 +48,15 @@ LINK_PERCENT = 75
 #: joined by shuffling the texts.
 BROADCAST_CLASSES = 500_000
 
+#: The lowest `PLANES` bits of the first coordinates, packed in longs: enough to tell pairs
+#: that are far from similar without their sets.
+PLANES, PLANE_LONGS = 4, 12
+#: Coordinates whose bits agree at similarity 0.75, less 4.5 standard deviations (3e-6).
+_AGREE = 0.75 + 0.25 / 2**PLANES
+MIN_AGREEING = int(64 * PLANE_LONGS * _AGREE - 4.5 * (64 * PLANE_LONGS * _AGREE * (1 - _AGREE)) ** 0.5)
+#: Texts sketched together.
+GROUP_BYTES = 4 << 20
+
 _VALUE_BITS = 48
 
 
@@ -65,7 +78,7 @@ def sketches(sets: np.ndarray, bounds: np.ndarray, size: int = COORDINATES) -> n
             bins = np.full(len(items), turn - size)
         value = np.uint64(turn << _VALUE_BITS) | (h & np.uint64((1 << _VALUE_BITS) - 1))
         np.minimum.at(flat, owner * size + bins, value)
-        if turn % 4 == 3 or len(items) > 1000:
+        if turn % (2 if len(items) > 10_000 else 16) == 1:
             open_sets = (filled == np.iinfo(np.uint64).max).any(axis=1)
             left = open_sets[owner]
             items, owner = items[left], owner[left]
@@ -82,6 +95,13 @@ def band_keys(rows: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return keys
 
 
+def bit_planes(rows: np.ndarray) -> np.ndarray:
+    """`PLANES` times `PLANE_LONGS` longs for each sketch: one bit of each coordinate per plane."""
+    first = rows[:, : 64 * PLANE_LONGS]
+    packed = [np.packbits((first >> np.uint64(k) & np.uint64(1)).astype(bool), axis=1) for k in range(PLANES)]
+    return np.ascontiguousarray(np.hstack(packed)).view(np.int64)
+
+
 def _fingerprints(sets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit sums over each set."""
     result = []
@@ -91,22 +111,27 @@ def _fingerprints(sets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
     return result[0].view(np.int64), result[1].view(np.int64)
 
 
+def _lists(rows: np.ndarray, used: np.ndarray, n: int) -> pa.ListArray:
+    """One list per text: a row of `rows` for each used text in turn, empty lists for others."""
+    sizes = np.zeros(n + 1, np.int32)
+    sizes[1:][used] = rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(rows.reshape(-1)))
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = bytes_of(batch.column("text"))
-        for lo, hi in row_groups(offsets):
+        for lo, hi in row_groups(offsets, GROUP_BYTES):
             hashes, _, _, bounds = words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
             sets, at = shingle_sets(hashes, bounds, SHINGLE_WORDS)
             fp1, fp2 = _fingerprints(sets, at)
             sizes = np.diff(at)
             used = np.flatnonzero(sizes)
-            keys = band_keys(sketches(sets, np.concatenate([[0], at[1:][sizes > 0]])))
-            starts = np.zeros(hi - lo + 1, np.int32)
-            starts[1:][used] = BANDS
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(starts), pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
+            rows = sketches(sets, np.concatenate([[0], at[1:][sizes > 0]]))
+            buckets, planes = _lists(band_keys(rows).view(np.int64), used, hi - lo), _lists(bit_planes(rows), used, hi - lo)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(lo, hi - lo), pa.array(fp1), pa.array(fp2), pa.array(sizes.astype(np.int64)), lists],
-                ["doc_id", "fp1", "fp2", "n_shingles", "buckets"],
+                [batch.column("doc_id").slice(lo, hi - lo), pa.array(fp1), pa.array(fp2), pa.array(sizes.astype(np.int64)), buckets, planes],
+                ["doc_id", "fp1", "fp2", "n_shingles", "buckets", "planes"],
             )
 
 
@@ -145,10 +170,8 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough, written aside."""
+    """The pairs (a, b) of classes, read from files, whose full sets are similar enough; written aside."""
     spark = pairs.sparkSession
-    pairs_path = write_aside(pairs, "pairs")
-    pairs = spark.read.parquet(pairs_path)
     ids = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
     wanted_path = write_aside(ids.join(classes, "class_id").select("class_id", "rep_doc", "fp1", "fp2", "n_shingles"), "wanted")
     wanted = spark.read.parquet(wanted_path)
@@ -164,52 +187,109 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
         .select("a", "b", "a_set", "b_set")
     )
     links = materialize(map_batches(compared, _linked_batches, "a long, b long"), "verified")
-    for path in (pairs_path, wanted_path, sets_path):
+    for path in (wanted_path, sets_path):
         drop_aside(spark, path)
     return links
 
 
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """`rows` with the component of each class."""
+    known = labels.select(F.col("vertex").alias("class_id"), "label")
+    return rows.join(known, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
+
+
+def _star_pairs(rest: DataFrame, labels: DataFrame | None, turn: int, profiles: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The members of each bucket without this turn's centres, and the pairs to verify.
+
+    The first centre of a bucket is its weightiest member. Later ones come from outside the
+    bucket's largest component, up to 16**turn of them, the weightiest of each hashed part,
+    and are paired with members whose sketches leave a link possible, in the first only of the
+    buckets that both share. All pairs are of different components and of set sizes that allow
+    a link.
+    """
+    if turn == 0:
+        rest, able = rest.withColumn("label", F.col("class_id")), rest.withColumn("label", F.col("class_id"))
+    else:
+        rest = materialize(_labelled(rest, labels).join(profiles, "class_id"), "turn")
+        sizes = rest.groupBy("bucket", "label").agg(F.count("*").alias("size"))
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("top"))
+        able = rest.join(largest.select("bucket", F.col("top.label").alias("top")), "bucket").where("label != top")
+    part = F.pmod(F.xxhash64("class_id", F.lit(turn)), F.lit(16 ** min(turn, 7)))
+    carried = ["weight", "class_id", "n_shingles", "label"] + (["planes", "mixed"] if turn else [])
+    centres = able.groupBy("bucket", part.alias("part")).agg(F.max(F.struct(*carried)).alias("c"))
+    centres = materialize(centres.select("bucket", *[F.col(f"c.{name}").alias(f"c_{name}") for name in carried[1:]]), "centres")
+    small, large = F.least("n_shingles", "c_n_shingles"), F.greatest("n_shingles", "c_n_shingles")
+    possible = (F.col("label") != F.col("c_label")) & (100 * small >= LINK_PERCENT * large)
+    if turn:
+        possible &= _agreeing("planes", "c_planes") >= MIN_AGREEING
+        possible &= F.array_min(F.array_intersect("mixed", "c_mixed")) == rest["bucket"]
+    pairs = (
+        rest.join(centres, [rest["bucket"] == centres["bucket"], possible])
+        .select(F.least("class_id", "c_class_id").alias("a"), F.greatest("class_id", "c_class_id").alias("b"))
+        .distinct()
+    )
+    used = centres.select("bucket", F.col("c_class_id").alias("class_id"))
+    return rest.drop("label", "planes", "mixed").join(used, ["bucket", "class_id"], "left_anti"), pairs
+
+
+def _agreeing(a: str, b: str) -> Column:
+    """Coordinates with equal bits in all planes."""
+    differ = F.lit(0)
+    for i in range(PLANE_LONGS):
+        bits = [F.get(a, F.lit(i + k * PLANE_LONGS)).bitwiseXOR(F.get(b, F.lit(i + k * PLANE_LONGS))) for k in range(PLANES)]
+        differ += F.bit_count(reduce(Column.bitwiseOR, bits))
+    return F.lit(64 * PLANE_LONGS) - differ
+
+
+def _still_apart(rest: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that still hold several components."""
+    rest = materialize(_labelled(rest, labels), "rest")
+    mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return materialize(rest.drop("label").join(mixed.select("bucket"), "bucket", "left_semi"), "apart")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    drawn = map_batches(docs, _sketch_batches, "doc_id long, fp1 long, fp2 long, n_shingles long, buckets array<long>")
+    drawn = map_batches(docs, _sketch_batches, "doc_id long, fp1 long, fp2 long, n_shingles long, buckets array<long>, planes array<long>")
     drawn = materialize(drawn, "sketches")
     classes = (
         drawn.where("n_shingles > 0")
         .groupBy("fp1", "fp2", "n_shingles")
-        .agg(F.min("doc_id").alias("rep_doc"), F.first("buckets").alias("buckets"))
+        .agg(F.min("doc_id").alias("rep_doc"), F.first("buckets").alias("buckets"), F.first("planes").alias("planes"))
         .withColumn("class_id", F.monotonically_increasing_id())
     )
     classes = materialize(classes, "classes")
 
     placed = classes.select("class_id", F.explode("buckets").alias("bucket"))
-    ends = placed.groupBy("bucket").agg(F.min("class_id").alias("first"), F.max("class_id").alias("last")).where("first < last")
-    shared_path = write_aside(placed.join(ends, "bucket"), "buckets")
-    shared = spark.read.parquet(shared_path)
-
-    stars = (
-        shared.where("class_id > first")
-        .select(F.col("first").alias("a"), F.col("class_id").alias("b"))
-        .union(shared.where("class_id < last").select(F.col("class_id"), F.col("last")))
-        .distinct()
-    )
-    links = _verified(stars, classes, docs)
-    labels = components(links, "a", "b")
-
-    inner = shared.where("class_id > first AND class_id < last")
-    inner = inner.join(labels.withColumnRenamed("vertex", "class_id"), "class_id", "left")
-    inner = inner.select("bucket", "class_id", F.coalesce("label", "class_id").alias("label"))
-    mixed = inner.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    inner_path = write_aside(inner.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
-    apart = spark.read.parquet(inner_path)
-    if not apart.isEmpty():
-        other = apart.select("bucket", F.col("class_id").alias("b"), F.col("label").alias("b_label"))
-        pairs = apart.join(other, "bucket").where("label < b_label").select(F.col("class_id").alias("a"), "b").distinct()
-        more = _verified(pairs, classes, docs)
-        labels = components(links.union(more), "a", "b")
-    for path in (shared_path, inner_path):
-        drop_aside(spark, path)
+    several = placed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    met = materialize(placed.join(several, "bucket"), "buckets")
+    # how often a class meets others: the text that copies derive from meets most of them
+    weights = met.groupBy("class_id").agg(F.sum("members").alias("weight")).join(classes.select("class_id", "n_shingles"), "class_id")
+    rest = materialize(met.drop("members").join(weights, "class_id"), "members")
+
+    labels, tested, profiles, turn = None, None, None, 0
+    while not rest.isEmpty():
+        if turn == 1:
+            # sketch bits of the classes left, and their buckets that hold several components
+            mixed = rest.groupBy("class_id").agg(F.collect_set("bucket").alias("mixed"))
+            profiles = materialize(mixed.join(classes.select("class_id", "planes"), "class_id"), "profiles")
+        rest, pairs = _star_pairs(rest, labels, turn, profiles)
+        if tested is not None:
+            # a pair may meet in several buckets
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        tested = pairs if tested is None else tested.union(pairs)
+        links = _verified(pairs, classes, docs)
+        if labels is None:
+            labels = components(links, "a", "b")
+        elif not links.isEmpty():
+            labels = extended(labels, links, "a", "b")
+        rest = _still_apart(rest, labels)
+        turn += 1
+    if labels is None:
+        labels = spark.createDataFrame([], "vertex long, label long")
 
     reached = classes.join(labels.withColumnRenamed("vertex", "class_id"), "class_id", "left").select(
         "fp1", "fp2", "n_shingles", "rep_doc", F.coalesce("label", "class_id").alias("label")
