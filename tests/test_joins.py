@@ -65,9 +65,7 @@ def test_asof_against_brute_force_with_one_hot_key_and_one_hot_time(spark, path)
     assert got == sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("few", [16, 0])
-def test_asof_wide_equals_a_chain_of_asof_joins(spark, path, monkeypatch, few):
-    monkeypatch.setattr("tidemark.operators.asof.FEW_SENSORS", few)
+def test_asof_wide_equals_a_chain_of_asof_joins(spark, path):
     rng = random.Random(5)
     data = [(rng.choice("ab"), rng.choice(["s1", "s2", "s3"]), rng.randint(0, 40), i, float(i)) for i in range(200)]
     long = spark.createDataFrame(data, "k string, s string, t int, id int, v double")
@@ -80,6 +78,23 @@ def test_asof_wide_equals_a_chain_of_asof_joins(spark, path, monkeypatch, few):
     assert rows(wide, *columns) == rows(chain, *columns)
 
 
+@pytest.mark.parametrize("sensors", [2, 17, 110])
+def test_asof_and_latest_of_neighbouring_microseconds(spark, path, sensors):
+    names = [f"s{i}" for i in range(1, sensors + 1)]
+    data = [("k", s, t, i, v) for s in names for t, i, v in ((0, 9 * 10**18, 1.0), (1, -9 * 10**18, 2.0))]
+    long = spark.createDataFrame(data, "k string, s string, us bigint, id bigint, v double").withColumn("t", F.timestamp_micros("us"))
+    latest = latest_wide(long, "k", "s", names, "t", "v", ["id"]).first()
+    assert set(latest[2:]) == {2.0}
+    newest = asof_wide(long, "k", "s", names, "t", "v", ["id"]).orderBy("t").collect()
+    assert set(newest[-1][2:]) == {2.0} and len(newest) == 2
+
+
+def test_left_rows_without_a_key_keep_any_columns(spark, path):
+    left = spark.createDataFrame([("a", 2, 1), (None, 2, 2)], LEFT).withColumn("m", F.array(F.create_map(F.lit("x"), F.lit(1))))
+    got = asof(left, spark.createDataFrame([("a", 1, 10, 1.0), (None, 1, 11, 2.0)], RIGHT))
+    assert rows(got, "lid", "rid") == [(1, 10), (2, None)]
+
+
 def test_latest_on_ties_and_missing_times(spark):
     df = spark.createDataFrame(
         [("a", 1, 1, "x"), ("a", 2, 2, "y"), ("a", 2, 3, None), ("b", None, 4, "z")], "k string, t int, id int, v string"

@@ -14,7 +14,9 @@ from tidemark.session import rows_per_task
 PRICE_DIGITS = 4
 
 
-def order_book(df: DataFrame, by: Sequence[str], price: str, size: str, max_levels: int = 5) -> DataFrame:
+def order_book(
+    df: DataFrame, by: Sequence[str], price: str, size: str, max_levels: int = 5, rows_per_key: int | None = None
+) -> DataFrame:
     """One row per key: ``bids`` and ``asks`` as [[price, size], ...], at most ``max_levels`` each.
 
     Bids run from the highest price down, asks from the lowest up. One window numbers both: a
@@ -23,7 +25,7 @@ def order_book(df: DataFrame, by: Sequence[str], price: str, size: str, max_leve
     """
     rows = df.select(F.struct(*by).alias("_key"), F.col(price).alias("_price"), F.col(size).cast("double").alias("_size"))
     down = [F.desc("_price"), F.desc("_size")]
-    hot = hot_keys(rows, ["_key"], rows_per_task(df.sparkSession))
+    hot = hot_keys(rows, ["_key"], rows_per_task(df.sparkSession, rows_per_key))
     few = rows if hot is None else hot.others(rows)
     key = W.partitionBy("_key")
     levels = few.withColumns({"_bid": F.row_number().over(key.orderBy(*down)), "_n": F.count("*").over(key)})

@@ -75,8 +75,9 @@ def timestamp_sequence(x: Column, start: datetime | str | Column, step_micros: i
 
 
 def synthetic_clock(
-    df: DataFrame, keys: list[str], order: list[str], start: datetime | str | Column, step_micros: int, name: str = "ts"
+    df: DataFrame, keys: list[str], order: list[str], start: datetime | str | Column, step_micros: int, name: str = "ts",
+    rows_per_key: int | None = None,
 ) -> DataFrame:
     """Give each key's rows, in ``order``, times ``step_micros`` apart."""
-    numbered = row_number_by(df, keys, order, "_nth")
+    numbered = row_number_by(df, keys, order, "_nth", rows_per_key)
     return numbered.withColumn(name, timestamp_sequence(F.col("_nth"), start, step_micros)).drop("_nth")

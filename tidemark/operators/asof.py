@@ -5,14 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.ordering import carry_forward, hot_keys, order_key, running_sum
-from tidemark.session import materialize, rows_per_task
-
-_NULL_KEY_SALTS = 1024
-#: Up to this many sensors a column per sensor is carried over every reading.
-FEW_SENSORS = 16
+from tidemark.operators.ordering import carry_forward, hot_keys
+from tidemark.session import rows_per_task
 
 
 def asof_join(
@@ -23,12 +19,15 @@ def asof_join(
     columns: Mapping[str, str],
     right_ts: str | None = None,
     tiebreak: Sequence[str] = (),
+    rows_per_key: int | None = None,
 ) -> DataFrame:
     """Left columns plus ``columns`` (right name -> output name) of the matching right row.
 
     Times are compared inclusively. Unmatched left rows keep NULLs. Among right rows with the
     same time the highest ``tiebreak`` wins. Both sides are stacked and carried forward in
-    one pass over a single shuffle; no pairs are ever formed.
+    one pass over a single shuffle; no pairs are ever formed. Left rows without a key match
+    nothing and skip that pass. ``left`` is read three times (keys, rows with and without a
+    key): write it aside first if it is more than a scan.
     """
     right_ts = right_ts or ts
     taken = F.struct(*[F.col(src).alias(out) for src, out in columns.items()])
@@ -38,9 +37,8 @@ def asof_join(
     keys = [f"_key{i}" for i in range(len(by))]
     key_columns = [F.col(c).alias(k) for c, k in zip(by, keys)]
 
-    drivers = left.select(
+    drivers = left.where(_none_null(by)).select(
         *key_columns,
-        _null_key_salt(left, by).alias("_salt"),
         F.col(ts).alias("_ts"),
         F.lit(1).alias("_side"),
         F.lit(None).cast(tie_type).alias("_tie"),
@@ -49,7 +47,6 @@ def asof_join(
     )
     matches = right.where(_none_null([*by, right_ts])).select(
         *key_columns,
-        F.lit(0).alias("_salt"),
         F.col(right_ts).alias("_ts"),
         F.lit(0).alias("_side"),
         tie.alias("_tie"),
@@ -57,12 +54,11 @@ def asof_join(
         taken.alias("_right"),
     )
     stacked = drivers.unionByName(matches).withColumn("_keep", F.col("_side") == 1)
-    hot = hot_keys(stacked, keys, rows_per_task(left.sparkSession))
+    hot = hot_keys(stacked, keys, rows_per_task(left.sparkSession, rows_per_key))
     order = ["_ts", "_side", "_tie"]
-    carried = carry_forward(
-        stacked, keys, order, {"_match": F.col("_right")}, "_keep", hot, unique=False, spread=["_salt"]
-    )
-    return carried.select("_left.*", "_match.*")
+    carried = carry_forward(stacked, keys, order, {"_match": F.col("_right")}, "_keep", hot, unique=False)
+    keyless = left.where(~_none_null(by)).withColumn("_match", F.lit(None).cast(taken_type))
+    return carried.select("_left.*", "_match").union(keyless).select(*left.columns, "_match.*")
 
 
 def asof_wide(
@@ -74,18 +70,24 @@ def asof_wide(
     value: str,
     tiebreak: Sequence[str] = (),
     full_ts: bool = False,
+    rows_per_key: int | None = None,
 ) -> DataFrame:
     """As-of join every sensor onto the rows of the first one, from one long table.
 
     Gives ``ts, by, value_1 .. value_n`` (and ``timestamp_2 ..`` with ``full_ts``). The number
-    of sensors adds neither joins nor shuffles. ``tiebreak`` should end on a unique column.
+    of sensors adds neither joins nor shuffles: each is a column carried over the readings in
+    one window. ``tiebreak`` should end on a unique column. Keys with more than
+    ``rows_per_key`` rows (by default the session's rows per task) are split.
     """
     rows = long.where(F.col(sensor).isin(list(sensors)) & _none_null([by, ts])).select(
         by, ts, sensor, value, *[t for t in tiebreak if t not in (by, ts, sensor, value)]
     )
     rows = rows.withColumn("_side", (F.col(sensor) == sensors[0]).cast("bigint"))
-    align = _carry_readings if len(sensors) <= FEW_SENSORS else _carry_drivers
-    joined = align(rows, by, sensor, sensors, ts, value, tiebreak)
+    reading = F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))
+    carried = {f"_s{i}": F.when(F.col(sensor) == s, reading) for i, s in enumerate(sensors[1:], start=2)}
+    rows = rows.withColumn("_keep", F.col("_side") == 1).withColumn("value_1", F.col(value))
+    hot = hot_keys(rows, [by], rows_per_task(rows.sparkSession, rows_per_key))
+    joined = carry_forward(rows, [by], [ts, "_side", *tiebreak], carried, "_keep", hot, unique=bool(tiebreak))
     out = [F.col(ts), F.col(by), F.col("value_1")]
     for i in range(2, len(sensors) + 1):
         if full_ts:
@@ -94,52 +96,5 @@ def asof_wide(
     return joined.select(*out)
 
 
-def _carry_readings(rows, by, sensor, sensors, ts, value, tiebreak) -> DataFrame:
-    """Few sensors: one column each, carried over all readings in one window."""
-    reading = F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))
-    carried = {f"_s{i}": F.when(F.col(sensor) == s, reading) for i, s in enumerate(sensors[1:], start=2)}
-    rows = rows.withColumn("_keep", F.col("_side") == 1).withColumn("value_1", F.col(value))
-    hot = hot_keys(rows, [by], rows_per_task(rows.sparkSession))
-    return carry_forward(rows, [by], [ts, "_side", *tiebreak], carried, "_keep", hot, unique=bool(tiebreak))
-
-
-def _carry_drivers(rows, by, sensor, sensors, ts, value, tiebreak) -> DataFrame:
-    """Many sensors: wide rows exist only per reading of the first sensor.
-
-    Readings are numbered by the first sensor's reading that follows them and reduced to the
-    last one per sensor and number; only then are they turned sideways and carried. The
-    shuffle moves narrow rows, and the work per reading does not grow with the sensors.
-    """
-    limit_rows = max(1, rows_per_task(rows.sparkSession) * max(1, FEW_SENSORS) // len(sensors))
-    hot = hot_keys(rows, [by], limit_rows)
-    counted = running_sum(rows, [by], [ts, "_side", *tiebreak], "_side", "_upto", hot, bool(tiebreak))
-    counted = counted.withColumn("_next", F.col("_upto") - F.col("_side"))
-    counted = counted.withColumn("_order", order_key(counted, ts, tiebreak))
-    last = counted.groupBy(by, "_next", sensor).agg(F.max(ts).alias("_ts"), F.max_by(value, "_order").alias("_value"))
-    # a single row per sensor is left in each group, so max() just moves it into its column
-    wide = last.groupBy(by, "_next").agg(
-        *[F.max(F.when(F.col(sensor) == s, F.col("_ts"))).alias(f"_t{i}") for i, s in enumerate(sensors, 1)],
-        *[F.max(F.when(F.col(sensor) == s, F.col("_value"))).alias(f"_v{i}") for i, s in enumerate(sensors, 1)],
-    )
-    wide = wide.withColumn("_keep", F.col("_t1").isNotNull())
-    if hot is not None:
-        wide = materialize(wide, "asof-wide")
-        hot = hot_keys(wide, [by], limit_rows)
-    carried = {
-        f"_s{i}": F.when(F.col(f"_t{i}").isNotNull(), F.struct(F.col(f"_t{i}").alias("t"), F.col(f"_v{i}").alias("v")))
-        for i in range(2, len(sensors) + 1)
-    }
-    joined = carry_forward(wide, [by], ["_next"], carried, "_keep", hot, unique=True)
-    return joined.withColumnsRenamed({"_t1": ts, "_v1": "value_1"})
-
-
 def _none_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-
-
-def _null_key_salt(df: DataFrame, by: Sequence[str]) -> Column:
-    """Rows with a NULL key match nothing, so they are free to spread over the tasks."""
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.when(_none_null(by), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*plain), F.lit(_NULL_KEY_SALTS)).cast("int")
-    )

@@ -1,16 +1,13 @@
-"""Unions, keyed concatenation, expansion by a short list, and the first rows per key."""
+"""Unions, keyed concatenation, expansion by lists, and the first rows per key."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import Window as W
 
-#: A list to expand by becomes part of the plan, so it must stay short.
-MAX_CHOICES = 1_000
-
 
 def union_distinct(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, frames).distinct()
@@ -27,21 +24,11 @@ def concat_with_key(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
 
 
 def with_each(df: DataFrame, *lists: DataFrame) -> DataFrame:
-    """Repeat every row for each combination of rows of the short ``lists``.
+    """Repeat every row for each combination of rows of the ``lists``.
 
-    A list is read up to the limit and becomes an array in the plan: rows expand where they
-    are, nothing is joined or shuffled. A list past the limit is refused.
+    The product is what is asked for; Spark's size checks choose the side that is broadcast.
     """
-    for choices in lists:
-        rows = choices.limit(MAX_CHOICES + 1).collect()
-        if len(rows) > MAX_CHOICES:
-            raise ValueError(f"cannot expand by more than {MAX_CHOICES} rows")
-        options = [
-            F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in choices.schema.fields]) for r in rows
-        ]
-        kind = T.ArrayType(choices.schema)
-        df = df.select("*", F.inline(F.array(*options).cast(kind)))
-    return df
+    return reduce(DataFrame.crossJoin, lists, df)
 
 
 def first_levels(df: DataFrame, by: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:

@@ -18,15 +18,13 @@ from pyspark.sql import Window as W
 
 from tidemark.session import materialize, rows_per_task
 
-#: At most this many keys are treated as hot; any other key holds under 1/10,000 of the rows.
-MAX_HOT_KEYS = 10_000
-#: At most this many splits share the hot keys' rows.
-MAX_SPLITS = 20_000
 #: Sampled rows a key at the threshold is expected to show.
 _SAMPLE_ROWS = 2_000
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 _FIXED = (T.FloatType, T.DoubleType, T.BooleanType, T.DateType, T.DecimalType)
+#: More than the 2**64 bigint tiebreaks and NULL, so that neighbouring microseconds never overlap.
+_TIES = 2**64 + 2
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
@@ -34,15 +32,16 @@ def order_key(df: DataFrame, ts: str, tiebreak: Sequence[str] = ()) -> Column:
     """One sortable value for (ts, tiebreak).
 
     With one integer tiebreak both fit a decimal, which aggregation buffers can update in
-    place, so ``max_by`` runs as a hash aggregate; a struct would force a sort first.
+    place, so ``max_by`` runs as a hash aggregate; a struct would force a sort first. A NULL
+    tiebreak comes before every number. Integer times are ordered as a struct.
     """
     if not tiebreak:
         return F.col(ts)
-    if len(tiebreak) == 1 and isinstance(df.schema[tiebreak[0]].dataType, _INTEGRAL):
+    timed = isinstance(df.schema[ts].dataType, (*_TIMES, T.DateType))
+    if timed and len(tiebreak) == 1 and isinstance(df.schema[tiebreak[0]].dataType, _INTEGRAL):
         micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(18,0)")
-        lowest = F.lit(-(2**63)).cast("bigint")
-        tie = F.coalesce(F.col(tiebreak[0]).cast("bigint"), lowest).cast("decimal(19,0)")
-        return micros * F.lit(Decimal(10**19)) + tie
+        tie = F.coalesce(F.col(tiebreak[0]).cast("decimal(20,0)"), F.lit(Decimal(-(2**63) - 1)))
+        return micros * F.lit(Decimal(_TIES)) + tie
     return F.struct(ts, *tiebreak)
 
 
@@ -70,7 +69,7 @@ def pick_last(df: DataFrame, by: Sequence[str], order: Sequence[str], drop: Sequ
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys with too many rows for one task: at most MAX_HOT_KEYS of them, so they can be broadcast."""
+    """Keys with too many rows for one task, written aside; Spark's size checks pick the joins on them."""
 
     keys: list[str]
     values: DataFrame
@@ -81,10 +80,10 @@ class HotKeys:
         return ordered_splits(self.only(df), [*self.keys, *order], unique, self.split_count)
 
     def only(self, df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(self.values), self.keys, "left_semi").select(*df.columns)
+        return df.join(self.values, self.keys, "left_semi").select(*df.columns)
 
     def others(self, df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(self.values), self.keys, "left_anti").select(*df.columns)
+        return df.join(self.values, self.keys, "left_anti").select(*df.columns)
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], limit_rows: int) -> HotKeys | None:
@@ -97,19 +96,12 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], limit_rows: int) -> HotKeys |
     named = rows.select(*keys).where(_all_set(keys))
     if fraction < 1.0:
         named = named.sample(fraction, seed=11)
-    found = (
-        named.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > limit_rows * fraction)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_KEYS)
-    )
-    collected = found.collect()
-    if not collected:
+    counted = named.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit_rows * fraction)
+    found = materialize(counted, "hot-keys")
+    seen = found.agg(F.sum("_n")).first()[0]
+    if not seen:
         return None
-    total = sum(r["_n"] for r in collected) / fraction
-    values = rows.sparkSession.createDataFrame(collected, found.schema).drop("_n")
-    return HotKeys(list(keys), values, min(MAX_SPLITS, 2 * math.ceil(total / limit_rows)))
+    return HotKeys(list(keys), found.drop("_n"), 2 * math.ceil(seen / fraction / limit_rows))
 
 
 def ordered_splits(df: DataFrame, order: Sequence[str], unique: bool, splits: int | None = None) -> DataFrame:
@@ -133,46 +125,29 @@ def ordered_splits(df: DataFrame, order: Sequence[str], unique: bool, splits: in
     ).drop("_id")
 
 
-def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index", unique: bool = True) -> DataFrame:
+def with_row_index(
+    df: DataFrame, order: Sequence[str], name: str = "row_index", unique: bool = True, rows_per_split: int | None = None
+) -> DataFrame:
     """Add the 0-based position of every row in the order ``order``.
 
     Pass ``unique=False`` if the order has large ties; they are then numbered in any order. The
-    one unpartitioned window runs over a row per split, and so does the broadcast.
+    rows are counted first, so that a split never holds many more than one task should; the one
+    unpartitioned window runs over a row per split.
     """
-    placed = ordered_splits(df, order, unique)
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = ordered_splits(df, order, unique, max(least, math.ceil(df.count() / rows_per_task(spark, rows_per_split))))
     sizes = placed.groupBy("_split").agg(F.count("*").alias("_n"))
     before = W.orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return placed.join(F.broadcast(offsets), "_split").select(
+    return placed.join(offsets, "_split").select(
         *df.columns, (F.col("_offset") + F.col("_pos")).alias(name)
     )
 
 
-def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, hot: HotKeys | None, unique: bool
+def row_number_by(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number", rows_per_key: int | None = None
 ) -> DataFrame:
-    """Add the sum of ``value`` per key over the rows up to this one; hot keys go split by split."""
-
-    def add(rows, by, sort):
-        w = W.partitionBy(*by).orderBy(*sort).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return rows.withColumn(name, F.sum(value).over(w))
-
-    if hot is None:
-        return add(df, keys, order)
-    placed = hot.splits(df, order, unique)
-    ends = placed.groupBy("_split", *keys).agg(F.sum(value).alias("_total"))
-    before = W.partitionBy(*keys).orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
-    # one row per (split, hot key): at most MAX_SPLITS + MAX_HOT_KEYS
-    entering = ends.select("_split", *keys, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_in"))
-    summed = (
-        add(placed, ["_split", *keys], ["_pos"])
-        .join(F.broadcast(entering), ["_split", *keys])
-        .select(*df.columns, (F.col(name) + F.col("_in")).alias(name))
-    )
-    return add(hot.others(df), keys, order).unionByName(summed)
-
-
-def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number") -> DataFrame:
     """1-based row number per key; a hot key's numbers follow from its rows' places in the splits.
 
     Keys are compared as one struct, in which NULLs are equal: rows without a key are a key too.
@@ -183,17 +158,17 @@ def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
         w = W.partitionBy("_key").orderBy(*order)
         return part.select(*df.columns, F.row_number().over(w).cast("bigint").alias(name))
 
-    hot = hot_keys(rows, ["_key"], rows_per_task(df.sparkSession))
+    hot = hot_keys(rows, ["_key"], rows_per_task(df.sparkSession, rows_per_key))
     if hot is None:
         return number(rows)
     placed = hot.splits(rows, order, unique=False)
     parts = placed.groupBy("_split", "_key").agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
     before = W.partitionBy("_key").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
-    # one row per (split, hot key): at most MAX_SPLITS + MAX_HOT_KEYS
+    # one row per (split, hot key)
     shifts = parts.select(
         "_split", "_key", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
-    numbered = placed.join(F.broadcast(shifts), ["_split", "_key"]).select(
+    numbered = placed.join(shifts, ["_split", "_key"]).select(
         *df.columns, (F.col("_pos") + F.col("_shift")).alias(name)
     )
     return number(hot.others(rows)).unionByName(numbered)
@@ -207,7 +182,6 @@ def carry_forward(
     keep: str,
     hot: HotKeys | None,
     unique: bool,
-    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Per key in ``order``, add the last non-null of each ``carried`` value up to the row.
 
@@ -215,7 +189,6 @@ def carry_forward(
     window and one shuffle. Hot keys go through ordered splits: each split carries within
     itself, and the value entering a split comes from the ends of the splits before it.
     ``unique`` says that ``order`` has no ties within a key.
-    ``spread`` columns further divide keys that are NULL, which need not stay together.
     """
 
     def carry(part, by, sort):
@@ -224,22 +197,22 @@ def carry_forward(
         return part.select("*", *added).where(keep)
 
     if hot is None:
-        return carry(rows, [*keys, *spread], order)
+        return carry(rows, keys, order)
     placed = hot.splits(rows, order, unique)
     ends = placed.groupBy("_split", *keys).agg(
         *[F.max_by(v, F.when(v.isNotNull(), F.col("_pos"))).alias(n) for n, v in carried.items()]
     )
     before = W.partitionBy(*keys).orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
-    # one row per (split, hot key): at most MAX_SPLITS + MAX_HOT_KEYS
+    # one row per (split, hot key)
     entering = ends.select(
         "_split", *keys, *[F.last(n, ignorenulls=True).over(before).alias(f"_in_{n}") for n in carried]
     )
     hot_carried = (
         carry(placed, ["_split", *keys], ["_pos"])
-        .join(F.broadcast(entering), ["_split", *keys], "left")
+        .join(entering, ["_split", *keys], "left")
         .select(*rows.columns, *[F.coalesce(n, f"_in_{n}").alias(n) for n in carried])
     )
-    return carry(hot.others(rows), [*keys, *spread], order).unionByName(hot_carried)
+    return carry(hot.others(rows), keys, order).unionByName(hot_carried)
 
 
 def _all_set(keys: Sequence[str]) -> Column:

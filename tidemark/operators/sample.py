@@ -5,21 +5,19 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.operators.ordering import order_key
 
 _FIXED = {"s": "seconds", "m": "minutes", "h": "hours", "d": "days"}
 _MONTHS = {"M": 1, "y": 12}
 
-FEW_COLUMNS = 16
-
 
 def bucket_start(ts: Column | str, every: str) -> Column:
     """Start of the bucket holding ``ts``; ``every`` is a count and one of s m h d M y.
 
-    Fixed units go through ``window``, which keeps the timestamp type. Months and years
-    start on the first of the month and come back as a date-based zone-less timestamp.
+    Fixed units go through ``window``, which keeps the timestamp type. Months and years start
+    on the first of the month, as a zone-less timestamp that :func:`sample_by` casts back.
     """
     matched = re.fullmatch(r"(\d+)([smhdMy])", every)
     if not matched or int(matched[1]) == 0:
@@ -40,7 +38,10 @@ def sample_by(df: DataFrame, ts: str, every: str, by: Sequence[str], aggs: Seque
 
     Aggregates combine on the map side, so a hot bucket or key shuffles one row per task.
     """
-    return df.where(F.col(ts).isNotNull()).groupBy(bucket_start(ts, every).alias(ts), *by).agg(*aggs)
+    bucket, kind = bucket_start(ts, every), df.schema[ts].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        bucket = bucket.cast(kind)
+    return df.where(F.col(ts).isNotNull()).groupBy(bucket.alias(ts), *by).agg(*aggs)
 
 
 def last_not_null(value: Column | str, order: Column | str) -> Column:
@@ -58,11 +59,6 @@ def sample_last(
     columns: Sequence[str],
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    """last_not_null of many columns per (bucket, key): the wide sparse-sensor query.
-
-    Few columns aggregate by hash on a decimal order key. Many would carry as many decimals
-    per row; there a sort and one shared struct take less time.
-    """
-    order = order_key(df, ts, tiebreak) if len(columns) <= FEW_COLUMNS else F.struct(ts, *tiebreak)
-    rows = df.withColumn("_order", order)
+    """last_not_null of many columns per (bucket, key): the wide sparse-sensor query."""
+    rows = df.withColumn("_order", order_key(df, ts, tiebreak))
     return sample_by(rows, ts, every, by, [last_not_null(c, "_order").alias(c) for c in columns])
