@@ -1,5 +1,6 @@
 """Upserts, time tables and upkeep on temporary tables."""
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -13,6 +14,7 @@ from tidemark.session import remove_path, scratch_path
 from tidemark.sources import catalog
 from tidemark.timetable import (
     PARTITION_COLUMN,
+    PublishPendingError,
     TimeTable,
     create_statement,
     create_table,
@@ -76,27 +78,41 @@ def test_upserts_equal_a_dictionary(spark, batches):
     assert stored(spark, path, table_of(batch)) == (expected, len(expected))
 
 
-def test_upsert_survives_a_crash_while_partitions_are_replaced(spark, monkeypatch):
+@pytest.mark.parametrize("writer", ["upsert", "append_strict", "dedup_off", "append"])
+def test_upsert_survives_a_crash_while_partitions_are_replaced(spark, monkeypatch, writer):
     path = scratch_path(spark, "t")
     first = readings(spark, [(1, "a", 1), (2, "a", 2), (30, "a", 3)])
     table = table_of(first)
     upsert(first, path, table, ["arrival"])
 
-    def crash(df, path, table, mode="append"):
+    def crash(spark, staged, path, inside):
         remove_path(spark, f"{path}/{PARTITION_COLUMN}=2024-03-01")
         raise IOError("driver lost")
 
     change = readings(spark, [(1, "a", 9), (31, "b", 8)])
     with monkeypatch.context() as patched:
-        patched.setattr("tidemark.operators.upsert.write_time_table", crash)
+        patched.setattr("tidemark.timetable.replace_folders", crash)
         with pytest.raises(IOError):
             upsert(change, path, table, ["arrival"])
-    assert stored(spark, path, table)[1] == 1
-    upsert(change, path, table, ["arrival"])
-    assert stored(spark, path, table) == ({(1, "a"): 9, (2, "a"): 2, (30, "a"): 3, (31, "b"): 8}, 4)
-
-
-def test_upsert_into_a_catalog_table_finishes_what_was_cut_off(spark, monkeypatch):
+    with pytest.raises(PublishPendingError):
+        stored(spark, path, table)
+    expected = {(1, "a"): 9, (2, "a"): 2, (30, "a"): 3, (31, "b"): 8}
+    new = readings(spark, [(50, "n", 7)])
+    if writer == "upsert":
+        upsert(new, path, table, ["arrival"])
+    elif writer == "append_strict":
+        append_strict(new, path, table)
+    elif writer == "dedup_off":
+        upsert(new, path, replace(table, dedup=False), ["arrival"])
+    else:
+        write_time_table(new, path, table)
+    assert stored(spark, path, table) == ({**expected, (50, "n"): 7}, 5)
+    upsert(readings(spark, [(60, "n", 1)]), path, table, ["arrival"])
+    assert stored(spark, path, table) == ({**expected, (50, "n"): 7, (60, "n"): 1}, 6)
+
+
+@pytest.mark.parametrize("writer", ["upsert_into", "insert_into", "update_column", "retention"])
+def test_upsert_into_a_catalog_table_finishes_what_was_cut_off(spark, monkeypatch, writer):
     name = f"{new_database(spark)}.r"
     first = readings(spark, [(1, "a", 1), (2, "a", 2), (30, "a", 3), (60, "c", 4)])
     create_table(spark, name, table_of(first))
@@ -107,13 +123,59 @@ def test_upsert_into_a_catalog_table_finishes_what_was_cut_off(spark, monkeypatc
 
     change = readings(spark, [(1, "a", 9), (31, "b", 8)])
     with monkeypatch.context() as patched:
-        patched.setattr("tidemark.operators.upsert.insert_into", crash)
+        patched.setattr("tidemark.timetable._insert", crash)
         with pytest.raises(IOError):
             upsert_into(spark, change, name, ["arrival"])
-    upsert_into(spark, readings(spark, [(60, "c", 5)]), name, ["arrival"])
+    expected = {(1, "a"): 9, (2, "a"): 2, (30, "a"): 3, (31, "b"): 8, (60, "c"): 4}
+    if writer == "upsert_into":
+        upsert_into(spark, readings(spark, [(60, "c", 5)]), name, ["arrival"])
+        expected[60, "c"] = 5
+    elif writer == "insert_into":
+        insert_into(spark, readings(spark, [(61, "c", 5)]), name)
+        expected[61, "c"] = 5
+    elif writer == "update_column":
+        maintenance.update_column(spark, name, "v", F.col("v") * 2)
+        expected = {k: 2 * v for k, v in expected.items()}
+    else:
+        maintenance.drop_expired_partitions(spark, name, 10, now="2024-03-11 09:00:00")
+        expected = {k: v for k, v in expected.items() if k[0] >= 24}
     rows = {(int((r["ts"] - DAY).total_seconds() // 3600), r["k"]): r["v"] for r in spark.table(name).collect()}
-    assert rows == {(1, "a"): 9, (2, "a"): 2, (30, "a"): 3, (31, "b"): 8, (60, "c"): 5}
-    assert spark.table(name).count() == 5
+    assert rows == expected and spark.table(name).count() == len(expected)
+
+
+def test_rows_without_a_time_are_upserted_like_others(spark):
+    path = scratch_path(spark, "t")
+    batch = lambda k, v: spark.createDataFrame([(None, k, v, 1)], "ts timestamp, k string, v int, arrival int")
+    table = table_of(batch("a", 1))
+    for k, v in (("a", 1), ("b", 2), ("a", 3)):
+        upsert(batch(k, v), path, table, ["arrival"])
+    assert sorted((r["k"], r["v"]) for r in read_time_table(spark, path, table).collect()) == [("a", 3), ("b", 2)]
+
+
+def test_partitions_do_not_depend_on_the_session_zone(spark):
+    path = scratch_path(spark, "t")
+    batch = readings(spark, [(22, "a", 1)])
+    table = table_of(batch)
+    try:
+        for zone, v in (("UTC", 1), ("Asia/Tokyo", 2), ("America/New_York", 3)):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            again = batch.withColumn("v", F.lit(v)).withColumn("ts", F.timestamp_seconds(F.lit(1709330400)))
+            upsert(again, path, table, ["arrival"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [(r["v"], r[PARTITION_COLUMN]) for r in read_time_table(spark, path, table).collect()] == [(3, "2024-03-01")]
+
+
+def test_copy_into_a_filled_target_keeps_its_rows(spark):
+    db = new_database(spark)
+    old, new = readings(spark, [(1, "a", 1), (2, "b", 2)]).drop("arrival"), readings(spark, [(2, "b", 9), (30, "c", 3)]).drop("arrival")
+    for name, df in (("old", old), ("new", new)):
+        create_table(spark, f"{db}.{name}", table_of(df))
+        insert_into(spark, df, f"{db}.{name}")
+    maintenance.copy_table(spark, f"{db}.new", f"{db}.old")
+    assert sorted((r["k"], r["v"]) for r in spark.table(f"{db}.old").collect()) == [("a", 1), ("b", 9), ("c", 3)]
+    maintenance.copy_table(spark, f"{db}.new", f"{db}.old", replace=True)
+    assert sorted((r["k"], r["v"]) for r in spark.table(f"{db}.old").collect()) == [("b", 9), ("c", 3)]
 
 
 def test_dedup_off_appends(spark):

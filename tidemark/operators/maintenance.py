@@ -7,8 +7,17 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.operators.upsert import upsert_into
 from tidemark.session import written_aside
-from tidemark.timetable import PARTITION_COLUMN, TimeTable, create_table, describe_table, insert_into
+from tidemark.timetable import (
+    PARTITION_COLUMN,
+    TimeTable,
+    columns_of,
+    create_table,
+    describe_table,
+    finish_publishing_into,
+    insert_into,
+)
 
 _DROPS_PER_STATEMENT = 200
 
@@ -31,6 +40,7 @@ def drop_expired_partitions(spark: SparkSession, name: str, days: int, now=None)
     """
     if describe_table(spark, name).unit != "DAY":
         return []
+    finish_publishing_into(spark, name)
     cut = spark.range(1).select(F.date_format(deadline(days, now), "yyyy-MM-dd").alias("d")).first()["d"]
     listed = spark.sql(f"SHOW PARTITIONS {name}").collect()
     values = [r["partition"].split("=", 1)[1] for r in listed]
@@ -50,14 +60,24 @@ def drop_expired_everywhere(spark: SparkSession, days: int, now=None, database:
     return {n: drop_expired_partitions(spark, n, days, now) for n in names}
 
 
-def copy_table(spark: SparkSession, source: str, target: str) -> TimeTable:
+def copy_table(spark: SparkSession, source: str, target: str, replace: bool = False) -> TimeTable:
     """Copy rows, schema, partitioning and keys of a catalog table, values unchanged.
 
-    No shuffle: the files of the source already lie by partition.
+    A target that exists keeps its rows: the copy is upserted on the target's keys, or appended
+    if it has none or its dedup is off; ``replace`` takes the place of all its rows. A new
+    target and ``replace`` need no shuffle, as the files of the source lie by partition.
     """
-    table = describe_table(spark, source)
-    create_table(spark, target, table)
-    insert_into(spark, spark.table(source), target, overwrite=True, gather=False)
+    finish_publishing_into(spark, source)
+    fresh = not spark.catalog.tableExists(target)
+    if fresh:
+        create_table(spark, target, describe_table(spark, source))
+    table = describe_table(spark, target)
+    rows = spark.table(source)
+    if fresh or replace:
+        insert_into(spark, rows, target, overwrite=True, gather=False)
+    else:
+        # a keyed source has one row per key, so the arrival order never decides
+        upsert_into(spark, rows, target, arrival=[table.ts] if table.ts else columns_of(table)[:1])
     return table
 
 
@@ -92,11 +112,13 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def add_column(spark: SparkSession, name: str, column: str, data_type: str) -> None:
+    finish_publishing_into(spark, name)
     spark.sql(f"ALTER TABLE {name} ADD COLUMNS (`{column}` {data_type})")
 
 
 def update_column(spark: SparkSession, name: str, column: str, value: Column) -> None:
     """Whole-table UPDATE: the new rows are written aside, then replace the old ones."""
+    finish_publishing_into(spark, name)
     with written_aside(spark.table(name).withColumn(column, value), "update") as rows:
         insert_into(spark, rows, name, overwrite=True, gather=False)
 

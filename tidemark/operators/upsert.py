@@ -8,23 +8,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.ordering import pick_last
-from tidemark.session import drop_aside, path_exists, read_aside, remove_path, write_aside, written_aside
+from tidemark.session import path_exists, write_aside, written_aside
 from tidemark.timetable import (
     PARTITION_COLUMN,
     TimeTable,
     columns_of,
     describe_table,
-    get_property,
+    finish_publishing,
+    finish_publishing_into,
     insert_into,
-    partition_value,
+    publish,
+    publish_into,
     read_time_table,
-    set_property,
     write_time_table,
 )
 
-_NOTE = "__publishing"
-_PUBLISHING = "publishing"
-
 
 class DuplicateKeyError(ValueError):
     """A plain insert would have broken a unique key."""
@@ -55,14 +53,14 @@ def upsert(batch: DataFrame, path: str, table: TimeTable, arrival: Sequence[str]
     """Upsert ``batch`` into the time table at ``path``, rewriting only the partitions it touches.
 
     The batch is reduced to one row per key and written aside, so that a retried task sees
-    the same winners; the merged partitions are also written aside before they replace the
+    the same winners; the merged partitions are written beside the table, then moved over the
     old ones, so that no plan reads what it overwrites. Running it again changes nothing.
     """
     spark = batch.sparkSession
+    finish_publishing(spark, path, table)
     if not table.dedup or not table.keys:
         write_time_table(batch, path, table)
         return
-    finish_publishing(spark, path, table)
     winners = _winners(batch, table, arrival)
     if not path_exists(spark, path):
         write_time_table(winners, path, table)
@@ -70,27 +68,7 @@ def upsert(batch: DataFrame, path: str, table: TimeTable, arrival: Sequence[str]
     with written_aside(winners, "upsert-batch") as latest:
         existing = _touched(read_time_table(spark, path, table), latest, table)
         merged = merge_keep_last(existing, latest, table.keys)
-        staged = write_aside(merged, "upsert-merged")
-        note = spark.createDataFrame([(staged,)], "value string").coalesce(1)
-        note.write.mode("overwrite").text(path + _NOTE)
-        finish_publishing(spark, path, table)
-
-
-def finish_publishing(spark: SparkSession, path: str, table: TimeTable) -> None:
-    """Put staged partitions in place, if a note next to the table says that some are waiting.
-
-    Replacing several folders is not atomic. Should the driver die in the middle, the old rows
-    still exist in the staged copy, and the next upsert starts by publishing it again.
-    """
-    if not path_exists(spark, path + _NOTE):
-        return
-    noted = spark.read.schema("value string").text(path + _NOTE).collect()
-    if noted:
-        staged = noted[0]["value"]
-        write_time_table(read_aside(spark, staged, table.schema), path, table, mode="overwrite")
-    remove_path(spark, path + _NOTE)
-    if noted:
-        drop_aside(spark, staged)
+        publish(merged, path, table)
 
 
 def upsert_into(spark: SparkSession, batch: DataFrame, name: str, arrival: Sequence[str]) -> None:
@@ -105,23 +83,13 @@ def upsert_into(spark: SparkSession, batch: DataFrame, name: str, arrival: Seque
         return
     with written_aside(_winners(batch, table, arrival), "upsert-batch") as latest:
         existing = _touched(spark.table(name), latest, table)
-        staged = write_aside(merge_keep_last(existing, latest, table.keys), "upsert-merged")
-        set_property(spark, name, _PUBLISHING, staged)
-        finish_publishing_into(spark, name)
-
-
-def finish_publishing_into(spark: SparkSession, name: str) -> None:
-    staged = get_property(spark, name, _PUBLISHING)
-    if staged:
-        rows = read_aside(spark, staged, describe_table(spark, name).schema)
-        insert_into(spark, rows, name, overwrite="touched")
-        set_property(spark, name, _PUBLISHING, "")
-        drop_aside(spark, staged)
+        publish_into(write_aside(merge_keep_last(existing, latest, table.keys), "upsert-merged"), spark, name)
 
 
 def append_strict(batch: DataFrame, path: str, table: TimeTable) -> None:
     """Append, or raise if a key repeats within the batch or already exists."""
     spark = batch.sparkSession
+    finish_publishing(spark, path, table)
     with written_aside(batch.select(*columns_of(table)), "strict-batch") as stable:
         # as in SQL, a key with a NULL in it equals no other
         clash = duplicate_keys(stable.dropna(subset=list(table.keys)), table.keys).select(*table.keys)
@@ -145,9 +113,14 @@ def _winners(batch: DataFrame, table: TimeTable, arrival: Sequence[str]) -> Data
 
 
 def _touched(existing: DataFrame, batch: DataFrame, table: TimeTable) -> DataFrame:
-    """Existing rows of the partitions that ``batch`` has rows in."""
+    """Existing rows of the partitions that ``batch`` has rows in.
+
+    The batch's first and last partition prune the folders before the scan; the semi-join on
+    the partition column, which Spark may prune by at run time, leaves out those in between.
+    """
     if table.partitioned:
-        parts = batch.select(partition_value(table.ts, table.unit).alias("p")).distinct()
-        values = [r["p"] for r in parts.collect()]
-        existing = existing.where(F.col(PARTITION_COLUMN).isin(values))
+        parts = batch.select(table.partition_of(F.col(table.ts)).alias("_part")).distinct()
+        low, high = parts.agg(F.min("_part"), F.max("_part")).first()
+        existing = existing.where(F.col(PARTITION_COLUMN).between(low, high))
+        existing = existing.join(parts, F.col(PARTITION_COLUMN) == F.col("_part"), "left_semi")
     return existing.select(*columns_of(table))

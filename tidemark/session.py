@@ -24,8 +24,9 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def rows_per_task(spark: SparkSession) -> int:
-    return int(spark.conf.get(ROWS_PER_TASK_CONF, str(ROWS_PER_TASK)))
+def rows_per_task(spark: SparkSession, given: int | None = None) -> int:
+    """Rows of one key a task should hold: ``given``, or else the session's setting."""
+    return int(spark.conf.get(ROWS_PER_TASK_CONF, str(ROWS_PER_TASK))) if given is None else given
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -71,10 +72,12 @@ def read_aside(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 @contextlib.contextmanager
 def written_aside(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """:func:`materialize` for work that ends inside the block; the files go when it succeeds."""
+    """:func:`materialize` for work that ends inside the block; the files go with it."""
     path = write_aside(df, name)
-    yield read_aside(df.sparkSession, path, df.schema)
-    drop_aside(df.sparkSession, path)
+    try:
+        yield read_aside(df.sparkSession, path, df.schema)
+    finally:
+        drop_aside(df.sparkSession, path)
 
 
 def drop_aside(spark: SparkSession, path: str) -> bool:
@@ -94,6 +97,35 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(jvm_path, True)
 
 
+def rename_files(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the data files of ``folder`` to ``target`` (the only one) or ``target`` with numbers before its extension."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    stem, _, extension = target.rpartition(".")
+    fs.mkdirs(jvm.Path(target).getParent())
+    files = [f.getPath() for f in fs.listStatus(jvm.Path(folder)) if f.getPath().getName().startswith("part-")]
+    for i, file in enumerate(files):
+        fs.rename(file, jvm.Path(target if len(files) == 1 else f"{stem}{i}.{extension}"))
+    fs.delete(jvm.Path(folder), True)
+
+
+def replace_folders(spark: SparkSession, staged: str, path: str, inside: bool) -> None:
+    """Move ``staged``, or each folder inside it, over its namesake at ``path``; safe to repeat."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    source = jvm.Path(staged)
+    if not fs.exists(source):
+        return
+    moves = [(source, jvm.Path(path))]
+    if inside:
+        folders = [f.getPath() for f in fs.listStatus(source) if f.isDirectory()]
+        moves = [(f, jvm.Path(path, f.getName())) for f in folders]
+    for old, new in moves:
+        fs.delete(new, True)
+        fs.rename(old, new)
+    fs.delete(source, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

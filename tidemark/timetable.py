@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import contextlib
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-#: Stored partition column and its text form per unit; text order is time order.
+from tidemark.session import drop_aside, path_exists, read_aside, remove_path, replace_folders
+
+#: Stored partition column and the characters of ``yyyy-MM-dd HH`` it keeps; text order is time order.
 PARTITION_COLUMN = "time_part"
-_FORMATS = {"HOUR": "yyyy-MM-dd-HH", "DAY": "yyyy-MM-dd", "MONTH": "yyyy-MM", "YEAR": "yyyy"}
+_CHARS = {"HOUR": 13, "DAY": 10, "MONTH": 7, "YEAR": 4}
+#: Partition of the rows without a time; it sorts after all others.
+NO_TIME = "none"
 _PROPERTY = "tidemark."
+_NOTE = "__publishing"
+_PUBLISHING = "publishing"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -26,7 +33,7 @@ class TimeTable:
     dedup: bool = True
 
     def __post_init__(self):
-        if self.unit != "NONE" and (self.unit not in _FORMATS or self.ts is None):
+        if self.unit != "NONE" and (self.unit not in _CHARS or self.ts is None):
             raise ValueError(f"cannot partition by {self.unit} on {self.ts}")
         if self.keys and self.ts is not None and self.ts not in self.keys:
             raise ValueError("upsert keys must contain the designated timestamp")
@@ -48,9 +55,14 @@ class TimeTable:
         """Schema columns in order plus the stored partition column."""
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         if self.partitioned:
-            columns.append(partition_value(self.ts, self.unit).alias(PARTITION_COLUMN))
+            columns.append(self.partition_of(F.col(self.ts)).alias(PARTITION_COLUMN))
         return df.select(*columns)
 
+    def partition_of(self, ts: Column) -> Column:
+        """The partition of a time of the type the table stores."""
+        kind = self.schema[self.ts].dataType
+        return partition_value(ts.cast(kind), self.unit, kind)
+
     def properties(self) -> dict[str, str]:
         return {
             f"{_PROPERTY}ts": self.ts or "",
@@ -60,8 +72,13 @@ class TimeTable:
         }
 
 
-def partition_value(ts: Column | str, unit: str) -> Column:
-    return F.date_format(ts, _FORMATS[unit])
+def partition_value(ts: Column, unit: str, kind: T.DataType) -> Column:
+    """The partition of a time, the same whatever the session's time zone: instants count in UTC."""
+    if isinstance(kind, T.TimestampType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        ts = F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch)
+    text = F.substring(ts.cast("timestamp_ntz").cast("string"), 1, _CHARS[unit])
+    return F.coalesce(F.replace(text, F.lit(" "), F.lit("-")), F.lit(NO_TIME))
 
 
 def create_statement(name: str, table: TimeTable) -> str:
@@ -116,7 +133,7 @@ def time_between(df: DataFrame, ts: str, low, high, unit: str | None = None) ->
     low, high = F.lit(low).cast(kind), F.lit(high).cast(kind)
     rows = df.where(F.col(ts).between(low, high))
     if unit and unit != "NONE":
-        rows = rows.where(F.col(PARTITION_COLUMN).between(partition_value(low, unit), partition_value(high, unit)))
+        rows = rows.where(F.col(PARTITION_COLUMN).between(partition_value(low, unit, kind), partition_value(high, unit, kind)))
     return rows
 
 
@@ -126,8 +143,14 @@ def write_time_table(
     """Write ``df`` below ``path``, one folder per time partition.
 
     The rebalance hint gathers a partition's rows into few files and lets a partition that
-    holds much of the data be written by several tasks.
+    holds much of the data be written by several tasks. A publish that was cut off is ended
+    first, so that it cannot replace what is written here.
     """
+    finish_publishing(df.sparkSession, path, table)
+    _write(df, path, table, mode, compression)
+
+
+def _write(df: DataFrame, path: str, table: TimeTable, mode: str, compression: str | None = None) -> None:
     stamped = table.stamp(df)
     if table.partitioned:
         stamped = stamped.hint("rebalance", PARTITION_COLUMN)
@@ -146,7 +169,13 @@ def insert_into(
 
     ``overwrite`` replaces all rows, or with ``"touched"`` those of the partitions that ``df``
     has rows in. ``gather=False`` skips the shuffle, for rows that already lie by time partition.
+    A publish that was cut off is ended first.
     """
+    finish_publishing_into(spark, name)
+    _insert(spark, df, name, overwrite, gather)
+
+
+def _insert(spark: SparkSession, df: DataFrame, name: str, overwrite: bool | str, gather: bool = True) -> None:
     table = describe_table(spark, name)
     stamped = table.stamp(df)
     if table.partitioned and gather:
@@ -165,8 +194,67 @@ def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
         spark.conf.set(_OVERWRITE_MODE, before)
 
 
+class PublishPendingError(RuntimeError):
+    """A table is between two states."""
+
+
+def publish(merged: DataFrame, path: str, table: TimeTable) -> None:
+    """Put ``merged`` in place of the partitions it has rows in, or of an unpartitioned table.
+
+    The rows are written once, beside the table and already by partition; publishing only
+    moves folders.
+    """
+    spark = merged.sparkSession
+    staged = f"{path}__staged-{uuid.uuid4().hex}"
+    _write(merged, staged, table, "overwrite")
+    note = spark.createDataFrame([(staged,)], "value string").coalesce(1)
+    note.write.mode("overwrite").text(path + _NOTE)
+    finish_publishing(spark, path, table)
+
+
+def finish_publishing(spark: SparkSession, path: str, table: TimeTable) -> None:
+    """Put staged partitions in place, if a note next to the table says that some are waiting.
+
+    Replacing several folders is not atomic. Should the driver die in the middle, the folders
+    not moved yet still lie in the staged copy, and whatever writes next moves them first.
+    """
+    if not path_exists(spark, path + _NOTE):
+        return
+    noted = spark.read.schema("value string").text(path + _NOTE).collect()
+    if noted:
+        replace_folders(spark, noted[0]["value"], path, table.partitioned)
+        # the catalog of files that this session keeps by path
+        spark.catalog.refreshByPath(path)
+    remove_path(spark, path + _NOTE)
+
+
+def publish_into(staged: str, spark: SparkSession, name: str) -> None:
+    set_property(spark, name, _PUBLISHING, staged)
+    finish_publishing_into(spark, name)
+
+
+def finish_publishing_into(spark: SparkSession, name: str) -> None:
+    """The same for a catalog table, whose note is a property."""
+    staged = get_property(spark, name, _PUBLISHING)
+    if staged:
+        rows = read_aside(spark, staged, describe_table(spark, name).schema)
+        _insert(spark, rows, name, "touched")
+        set_property(spark, name, _PUBLISHING, "")
+        drop_aside(spark, staged)
+
+
 def read_time_table(spark: SparkSession, path: str, table: TimeTable) -> DataFrame:
-    """All rows, with the partition column kept as text for pruning."""
+    """All rows, with the partition column kept as text for pruning.
+
+    While a publish is cut off, partitions may be missing: reading fails until a write or
+    :func:`finish_publishing` has ended it.
+    """
+    if path_exists(spark, path + _NOTE):
+        raise PublishPendingError(f"{path} waits for finish_publishing")
+    return _stored(spark, path, table)
+
+
+def _stored(spark: SparkSession, path: str, table: TimeTable) -> DataFrame:
     return spark.read.schema(table.stored_schema).parquet(path)
 
 
