@@ -11,7 +11,7 @@ from tidemark.sinks.files import export_csv, export_json, json_row, write_observ
 from tidemark.sinks.line_protocol import to_lines
 from tidemark.sources.csv_files import infer_columns, infer_schema, read_csv, read_csv_text, with_route_key
 from tidemark.sources.json_files import SYMBOL_ORDER, read_predictions
-from tidemark.sources.line_protocol import parse_lines, read_lines, select_table
+from tidemark.sources.line_protocol import count_bad, parse_lines, read_lines, select_table
 from tidemark.sources.manifest import WAREHOUSE_TYPES, manifest_columns, schema_of
 
 SAMPLE = "ts timestamp, country string, category string, visits bigint, unique_visitors bigint, price double, sales double"
@@ -52,6 +52,31 @@ def test_inference_looks_at_every_row(spark, tmp_path):
         "flag": "BOOLEAN", "none": "STRING", "mixed": "SYMBOL", "us": "TIMESTAMP",
     }
     assert infer_schema(raw)["i"].dataType == T.LongType()
+    loaded = read_csv(spark, str(tmp_path / "wide.csv"), infer_schema(raw))
+    assert str(loaded.first()["us"]) == "2023-07-04 13:02:03" and loaded.where("t IS NOT NULL AND d IS NOT NULL").count() == 300
+
+
+def test_a_text_column_is_a_time_only_if_one_pattern_reads_all_of_it(spark, tmp_path):
+    rows = ["a,b,c", "2024-01-01T00:00:00Z,07/04/2023,2024-01-01T00:00:00Z", "n/a,2024/01/01, 2024-01-01T00:00:00Z", "2024-01-01T00:00:00Z,07/04/2023,"]
+    raw = read_csv_text(spark, put(tmp_path, "mixed.csv", "\n".join(rows) + "\n"))
+    schema = infer_schema(raw)
+    assert [r["column_type"] for r in infer_columns(raw).orderBy("position").collect()][:2] == ["SYMBOL", "SYMBOL"]
+    assert read_csv(spark, str(tmp_path / "mixed.csv"), schema).count() == 3
+    read_csv(spark, str(tmp_path / "mixed.csv"), schema).collect()
+
+
+def test_wide_files_and_line_breaks(spark, tmp_path):
+    path = put(tmp_path, "wide.csv", 'x,y,z\n1,"a\nb, ""c""",9\n2,d,8\n')
+    for columns in (["a", "b"], ["a"], ["b"]):
+        got = read_csv(spark, path, "a int, b string", multi_line=True).select(*columns).collect()
+        assert got[0][-1] == (1 if columns == ["a"] else 'a\nb, "c"') and len(got) == 2
+
+
+def test_a_name_given_twice_is_one_bad_line(spark):
+    lines = spark.createDataFrame([("t,a=1,a=2 f=1 5",), ("t,a=1 f=1,f=2 5",), ('t,a=1 f="x",f=2 5',), ("t,a=1 f=1 5",), ("t,a=1 f=z 5",)], "value string")
+    parsed = parse_lines(lines, "value")
+    assert [r["malformed"] for r in parsed.collect()] == [True, True, True, False, False]
+    assert count_bad(parsed, {"f": "double"}).first()[:] == (5, 3, 1)
 
 
 def test_manifest_types(spark, tmp_path):
@@ -121,7 +146,8 @@ def test_exports_keep_rows_order_and_nulls(spark):
 
 
 def test_observed_write_counts_rows(spark):
-    assert write_observed(spark.range(123), scratch_path(spark, "o")) == {"rows": 123}
+    seen = write_observed(spark.range(123), scratch_path(spark, "o"))
+    assert seen["rows"] == 123 and seen["seconds"] > 0
 
 
 def test_flatten_dataset(spark):

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.sources.csv_files import infer_schema, read_csv, read_csv_text
 
 PAGE_ROWS = 50_000
-#: Times to the microsecond; quotes doubled and blanks kept, so that any text reads back as it was.
+#: Times to the microsecond; quotes doubled and blanks kept. Text with line breaks reads back as
+#: it was with ``multi_line``, other text without.
 TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -43,10 +45,13 @@ def json_row(df: DataFrame, time_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") ->
     return F.to_json(F.struct(*[plain(c, t) for c, t in df.dtypes]), {"ignoreNullFields": "false"})
 
 
-def import_csv(spark: SparkSession, paths, table: str, overwrite: bool, schema=None) -> None:
-    """Load CSV files into a catalog table: replace its rows, or add to them."""
-    schema = schema or infer_schema(read_csv_text(spark, paths))
-    rows = read_csv(spark, paths, schema)
+def import_csv(spark: SparkSession, paths, table: str, overwrite: bool, schema=None, multi_line: bool = False) -> None:
+    """Load CSV files into a catalog table: replace its rows, or add to them.
+
+    Without a ``schema`` it is inferred from all values.
+    """
+    schema = schema or infer_schema(read_csv_text(spark, paths, multi_line))
+    rows = read_csv(spark, paths, schema, multi_line)
     rows.write.mode("overwrite" if overwrite else "append").saveAsTable(table)
 
 
@@ -55,8 +60,13 @@ def route_by_key(df: DataFrame, key: str, path: str) -> None:
     df.hint("rebalance", key).write.partitionBy(key).parquet(path)
 
 
+def read_routed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """What :func:`route_by_key` wrote, keys as ``schema`` has them: folder names alone would make text numbers."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_observed(df: DataFrame, path: str, fmt: str = "parquet") -> dict:
-    """Append, and report the rows written without a second pass over them."""
-    seen = Observation("ingest")
+    """Append, and report ``rows`` written, without a second pass over them, and ``seconds`` taken."""
+    seen, start = Observation("ingest"), time.perf_counter()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").format(fmt).save(path)
-    return seen.get
+    return {**seen.get, "seconds": time.perf_counter() - start}

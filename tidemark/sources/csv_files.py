@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-#: Time format of the sample files, and the spellings tried on text columns.
-TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+#: The spellings of times tried on text columns.
 TIME_PATTERNS = [
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
     "yyyy-MM-dd HH:mm:ss[.SSSSSS][XXX]",
@@ -18,10 +17,12 @@ TIME_PATTERNS = [
     "dd MMM yyyy[ HH:mm:ss]",
 ]
 
-# a pattern first: failing casts are the slow case
-_INTEGER = r"^\s*[-+]?\d+\s*$"
-_NUMBER = r"^\s*[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?\s*$"
+# a pattern first: failing casts are the slow case; blanks around a value make it text
+_INTEGER = r"^[-+]?\d+$"
+_NUMBER = r"^[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
+#: Metadata of an inferred time column: the one pattern that reads all of its values.
+FORMAT = "format"
 
 #: Text up to this long is treated as a symbol (a repeated label).
 SYMBOL_CHARS = 30
@@ -42,13 +43,29 @@ SPARK_TYPES = {
 }
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str, **options) -> DataFrame:
+def read_csv(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str, multi_line: bool = False, **options
+) -> DataFrame:
     """Files, folders or globs with a header; columns are taken by position.
 
-    A malformed value fails the job instead of being lost; pass ``mode="PERMISSIVE"`` to get NULLs.
+    Files may be wider than the schema: the first columns are taken. A malformed value fails
+    the job instead of being lost; pass ``mode="PERMISSIVE"`` to get NULLs. ``multi_line``
+    reads line breaks inside quotes; a file is then one task, so keep such files small.
     """
-    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("escape", '"')
-    return reader.options(**options).csv(paths)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    reading = {"header": True, "escape": '"', "multiLine": multi_line, **options}
+    width = len(spark.read.options(**reading).csv(paths).columns)
+    fields = [T.StructField(f.name, T.StringType() if _format(f) else f.dataType) for f in schema.fields]
+    spare = [T.StructField(f"_spare{i}", T.StringType()) for i in range(len(fields), width)]
+    reader = spark.read.schema(T.StructType([*fields, *spare])).option("mode", "FAILFAST")
+    rows = reader.options(**reading).csv(paths)
+    timed = {f.name: F.to_timestamp(F.col(f"`{f.name}`"), _format(f)) for f in schema.fields if _format(f)}
+    return rows.select(*[F.col(f"`{f.name}`") for f in schema.fields]).withColumns(timed)
+
+
+def _format(f: T.StructField) -> str | None:
+    return (f.metadata or {}).get(FORMAT)
 
 
 def with_route_key(df: DataFrame, name: str = "route", chars: int = 2) -> DataFrame:
@@ -57,62 +74,83 @@ def with_route_key(df: DataFrame, name: str = "route", chars: int = 2) -> DataFr
     return df.withColumn(name, F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
 
 
-def read_csv_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_csv_text(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False) -> DataFrame:
     """All columns as text, named by the header."""
-    return spark.read.option("header", True).option("escape", '"').csv(paths)
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(paths)
 
 
 def infer_columns(raw: DataFrame) -> DataFrame:
-    """(position, column_name, column_type) for a frame of text columns.
-
-    Every value is looked at, in one aggregation that combines per task. Text whose longest
-    value reads as a time is a TIMESTAMP, other text a SYMBOL or, when long, a STRING. A
-    column without values is a STRING.
-    """
-    names = raw.columns
-    parts = {i: _evidence(F.col(f"`{c}`")) for i, c in enumerate(names)}
-    evidence = raw.agg(*[F.struct(*e).alias(f"c{i}") for i, e in parts.items()])
-    rows = [
-        F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), _verdict(f"c{i}").alias("column_type"))
-        for i, c in enumerate(names)
-    ]
-    return evidence.select(F.inline(F.array(*rows)))
+    """(position, column_name, column_type) for a frame of text columns."""
+    rows = [(i, f.name, name) for i, (f, name) in enumerate(_inferred(raw))]
+    return raw.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string")
 
 
 def infer_schema(raw: DataFrame) -> T.StructType:
-    """:func:`infer_columns` as a Spark schema."""
-    found = infer_columns(raw).orderBy("position").collect()
-    return T.StructType([T.StructField(r["column_name"], SPARK_TYPES[r["column_type"]]) for r in found])
+    """:func:`infer_columns` as a Spark schema; time columns carry the pattern that reads them."""
+    return T.StructType([f for f, _ in _inferred(raw)])
+
+
+def _inferred(raw: DataFrame) -> list[tuple[T.StructField, str]]:
+    """A field and its type name for every column; every value of every column is looked at.
+
+    One aggregation counts the values that fit each type. Text columns whose longest value
+    reads as a time are counted a second time, against the patterns that read it: such a
+    column is a TIMESTAMP if one pattern reads all its values. Other text is a SYMBOL or, when
+    long, a STRING. A column without values is a STRING.
+    """
+    names = raw.columns
+    seen = raw.agg(*[F.struct(*_evidence(F.col(f"`{c}`"))).alias(f"c{i}") for i, c in enumerate(names)]).first()
+    kinds = [_verdict(e) for e in seen]
+    texts = {i: e["longest"]["text"] for i, (e, kind) in enumerate(zip(seen, kinds)) if kind is None}
+    formats = _time_formats(raw, texts)
+    fields = []
+    for i, (name, kind) in enumerate(zip(names, kinds)):
+        if kind is None:
+            kind = "TIMESTAMP" if i in formats else "STRING" if len(texts[i]) > SYMBOL_CHARS else "SYMBOL"
+        metadata = {FORMAT: formats[i]} if i in formats else None
+        fields.append((T.StructField(name, SPARK_TYPES[kind], metadata=metadata), kind))
+    return fields
 
 
 def _evidence(value: Column) -> list[Column]:
     filled = F.when(F.trim(value) != "", value)
+    number = filled.rlike(_NUMBER)
 
     def fits(test):
         return F.count(F.when(test, 1))
 
     return [
         F.count(filled).alias("n"),
-        fits(filled.rlike(_INTEGER) & filled.try_cast("bigint").isNotNull()).alias("long"),
-        fits(filled.rlike(_NUMBER) & filled.try_cast("double").isNotNull()).alias("double"),
-        fits(F.lower(F.trim(filled)).isin("true", "false")).alias("boolean"),
-        fits(filled.rlike(_DATE) & filled.try_cast("date").isNotNull()).alias("date"),
+        fits(number & filled.rlike(_INTEGER) & filled.try_cast("bigint").isNotNull()).alias("long"),
+        fits(number & filled.try_cast("double").isNotNull()).alias("double"),
+        fits(~number & F.lower(filled).isin("true", "false")).alias("boolean"),
+        fits(~number & filled.rlike(_DATE) & filled.try_cast("date").isNotNull()).alias("date"),
         F.max(F.struct(F.length(filled).alias("chars"), filled.alias("text"))).alias("longest"),
     ]
 
 
-def _verdict(c: str) -> Column:
-    def all_are(kind):
-        return F.col(f"{c}.{kind}") == F.col(f"{c}.n")
-
-    longest = F.col(f"{c}.longest.text")
-    return (
-        F.when(F.col(f"{c}.n") == 0, "STRING")
-        .when(all_are("long"), "LONG")
-        .when(all_are("double"), "DOUBLE")
-        .when(all_are("boolean"), "BOOLEAN")
-        .when(all_are("date"), "DATE")
-        .when(F.coalesce(*[F.try_to_timestamp(longest, F.lit(p)) for p in TIME_PATTERNS]).isNotNull(), "TIMESTAMP")
-        .when(F.length(longest) > SYMBOL_CHARS, "STRING")
-        .otherwise("SYMBOL")
-    )
+def _verdict(evidence) -> str | None:
+    """The type name, or None for text that may be times."""
+    if evidence["n"] == 0:
+        return "STRING"
+    for kind in ("long", "double", "boolean", "date"):
+        if evidence[kind] == evidence["n"]:
+            return kind.upper()
+    return None
+
+
+def _time_formats(raw: DataFrame, texts: dict[int, str]) -> dict[int, str]:
+    """By column position, the first pattern that reads all values."""
+    spark = raw.sparkSession
+    if not texts:
+        return {}
+    tried = [F.try_to_timestamp("text", F.lit(p)).isNotNull().alias(f"p{k}") for k, p in enumerate(TIME_PATTERNS)]
+    sample = spark.createDataFrame(list(texts.items()), "i int, text string").select("i", *tried).collect()
+    maybe = [(r["i"], p) for r in sample for k, p in enumerate(TIME_PATTERNS) if r[f"p{k}"]]
+    if not maybe:
+        return {}
+    values = {i: F.when(F.trim(c) != "", c) for i in texts for c in [F.col(f"`{raw.columns[i]}`")]}
+    misses = raw.agg(
+        *[F.count_if(values[i].isNotNull() & F.try_to_timestamp(values[i], F.lit(p)).isNull()).alias(f"m{k}") for k, (i, p) in enumerate(maybe)]
+    ).first()
+    return {i: p for k, (i, p) in reversed(list(enumerate(maybe))) if misses[k] == 0}

@@ -49,17 +49,39 @@ def parse_lines(df: DataFrame, line: str) -> DataFrame:
     )
     return parts.select(
         unescape(F.col("_table")).alias("table"),
-        _pairs("_symbols", _SYMBOL, r"\\").alias("symbols"),
-        _pairs("_fields", _FIELD, r'[\\"]').alias("fields"),
+        _pairs("_symbols", _SYMBOL).alias("symbols"),
+        _pairs("_fields", _FIELD).alias("fields"),
         "ts_ns",
-        ((F.col("_head") == "") | ((F.col("_fields") != "") & ~F.col("_fields").rlike(_FIELDS))).alias("malformed"),
+        ((F.col("_head") == "") | ((F.col("_fields") != "") & ~_well_formed("_fields"))).alias("_broken"),
+    ).select(
+        "table",
+        F.coalesce("symbols", F.create_map().cast(_PAIRS)).alias("symbols"),
+        F.coalesce("fields", F.create_map().cast(_PAIRS)).alias("fields"),
+        "ts_ns",
+        (F.col("_broken") | F.col("symbols").isNull() | F.col("fields").isNull()).alias("malformed"),
+    )
+
+
+def count_bad(parsed: DataFrame, fields: Mapping[str, str]) -> DataFrame:
+    """One row: lines, malformed lines, and well-formed lines of which a listed field cannot be read as its type."""
+    unreadable = F.lit(False)
+    for name, kind in fields.items():
+        raw = F.col("fields")[name]
+        unreadable = unreadable | (raw.isNotNull() & typed_field(raw, kind).isNull())
+    return parsed.agg(
+        F.count("*").alias("lines"),
+        F.count_if("malformed").alias("malformed"),
+        F.count_if(~F.col("malformed") & unreadable).alias("unreadable"),
     )
 
 
 def select_table(
     parsed: DataFrame, table: str, symbols: Sequence[str], fields: Mapping[str, str], ts: str = "timestamp"
 ) -> DataFrame:
-    """One table's rows as typed columns; a missing or unreadable value is NULL."""
+    """One table's well-formed rows as typed columns; a missing or unreadable value is NULL.
+
+    :func:`count_bad` tells how many lines and values that leaves out.
+    """
     rows = parsed.where(~F.col("malformed") & (F.col("table") == table))
     return rows.select(
         *[unescape(F.col("symbols")[s]).alias(s) for s in symbols],
@@ -88,11 +110,25 @@ def unescape(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("\\")), F.array_join(between, "\\")).otherwise(text)
 
 
-def _pairs(part: str, pattern: str, special: str) -> Column:
-    """name=value pairs as a map; text without quotes or escapes takes the short way."""
+#: Without quotes and escapes an entry is name=value, and separators separate.
+_SPECIAL = r'[\\"]'
+_PLAIN_FIELDS = r"^[^=,]+=[^=,]+(?:,[^=,]+=[^=,]+)*+$"
+_PAIRS = "map<string,string>"
+
+
+def _well_formed(part: str) -> Column:
+    text = F.col(part)
+    return F.when(text.rlike(_SPECIAL), text.rlike(_FIELDS)).otherwise(text.rlike(_PLAIN_FIELDS))
+
+
+def _pairs(part: str, pattern: str) -> Column:
+    """name=value pairs as a map, NULL if a name repeats; text without quotes or escapes takes the short way."""
     text = F.col(part)
-    pairs = F.map_from_arrays(
-        F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), unescape),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(2)),
+    names = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), unescape)
+    pairs = F.map_from_arrays(names, F.regexp_extract_all(text, F.lit(pattern), F.lit(2)))
+    short = F.transform(F.split(text, ","), lambda e: F.substring_index(e, "=", 1))
+    return (
+        F.when(text == "", F.create_map().cast(_PAIRS))
+        .when(text.rlike(_SPECIAL), F.when(F.size(F.array_distinct(names)) == F.size(names), pairs))
+        .otherwise(F.when(F.size(F.array_distinct(short)) == F.size(short), F.str_to_map(text, F.lit(","), F.lit("="))))
     )
-    return F.when(text.rlike(special) | (text == ""), pairs).otherwise(F.str_to_map(text, F.lit(","), F.lit("=")))
