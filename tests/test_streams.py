@@ -10,9 +10,11 @@ from tidemark.streaming.ingest import (
     folder_per_batch,
     read_batches,
     read_stream,
+    read_widened,
     retrying,
     to_all,
     widen,
+    widening_writer,
     write_batches,
 )
 from tidemark.streaming.upsert import upsert_stream, upsert_writer
@@ -98,13 +100,35 @@ def test_several_sinks_see_the_same_rows(spark):
     assert read_batches(spark, one).exceptAll(read_batches(spark, two)).count() == 0
 
 
-def test_a_column_that_appears_later_is_null_before(spark):
+def test_a_column_that_appears_later_keeps_its_type_and_bad_records_their_text(spark):
     path = scratch_path(spark, "out")
-    put = folder_per_batch(path)
-    for i, record in enumerate(['{"a": 1}', '{"a": 2, "demo": 5}']):
-        put(widen(spark.createDataFrame([(record,)], "r string"), "r", {"a": "int"}), i)
-    got = sorted(map(tuple, read_batches(spark, path).select("a", "demo").collect()))
-    assert got == [(1, None), (2, "5")]
+    records = ['{"a": 1}', '{"a": 2, "demo": 5, "at": "x"}', '{"a": 3, "demo": "no number"}', "{broken", '{"a": "x", "f": 1.5}']
+    for known in ({"a": "int"}, {"a": "int"}):
+        # the second round replays every batch with a new writer
+        write = widening_writer(path, "r", known)
+        for i, record in enumerate(records):
+            write(spark.createDataFrame([(record,)], "r string"), i)
+    rows = read_widened(spark, path, {"a": "int"})
+    assert dict(rows.dtypes) == {"a": "int", "_corrupt_record": "string", "at": "string", "demo": "bigint", "f": "double"}
+    got = sorted(((r["a"], r["demo"], r["at"], r["_corrupt_record"]) for r in rows.collect()), key=str)
+    want = [(1, None, None, None), (2, 5, "x", None), (3, None, None, records[2]), (None, None, None, "{broken"), (None, None, None, records[4])]
+    assert got == sorted(want, key=str)
+
+
+def test_columns_beyond_the_widest_table_stay_in_a_map(spark):
+    record = '{"a": 1, "c0": 1, "c1": 2, "c2": 3}'
+    row = widen(spark.createDataFrame([(record,)], "r string"), "r", {"a": "int"}, widest=2).first()
+    assert (row["a"], row["c0"], row["c1"], row["_more"]) == (1, 1, 2, {"c2": "3"})
+
+
+def test_upsert_stream_without_dedup_appends_once(spark):
+    source, path, log = (scratch_path(spark, n) for n in ("src", "out", "log"))
+    land(spark, source, [("2024-01-01", "a", 1), ("2024-01-01", "a", 1)])
+    stream = read_stream(spark, source, SCHEMA)
+    table = TimeTable(stream.schema, ts="ts", unit="DAY", keys=("ts", "k"), dedup=False)
+    for _ in range(2):
+        upsert_stream(stream, path, table, ["v"], log).awaitTermination()
+    assert spark.read.parquet(path).count() == 2
 
 
 def test_rows_without_a_time_get_the_batch_time(spark):

@@ -9,13 +9,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import path_exists
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 #: Defaults of the polled and the micro-batched source.
 POLL = {"processingTime": "60 seconds"}
 ONCE = {"availableNow": True}
 BATCH_FOLDER = "batch"
-MAX_NEW_COLUMNS = 1_000
+#: Text of records that do not fit their columns, and the entries beyond the widest table.
+CORRUPT, MORE = "_corrupt_record", "_more"
+#: New columns a table takes from one batch; further entries stay in a map column.
+WIDEST = 1_000
+#: Column types for the types of JSON values; all others become text.
+_COLUMN_TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "BOOLEAN": "boolean"}
 
 
 def read_stream(
@@ -91,17 +98,70 @@ def retrying(writer: BatchWriter, attempts: int = 5, delay_seconds: float = 0.5)
     return write
 
 
-def widen(batch: DataFrame, value: str, known: dict[str, str]) -> DataFrame:
-    """JSON text rows to columns: the known ones typed, keys not seen before as text.
+def widen(batch: DataFrame, value: str, known: dict[str, str], widest: int = WIDEST) -> DataFrame:
+    """JSON text rows to columns: the known ones as typed, new keys with the type of their values.
 
-    Only the new key names come to the driver; more than a table can have columns is an error.
+    A record that is no JSON object, or has a value that does not fit its column, keeps its
+    text in the column ``_corrupt_record``. Only names and types of new keys come to the
+    driver; beyond ``widest`` of them, in order of their names, entries go as text into the map
+    column ``_more``.
+    """
+    parsed = batch.select(F.try_parse_json(value).alias("_record"))
+    entries = parsed.lateralJoin(batch.sparkSession.tvf.variant_explode(F.col("_record").outer()))
+    entries = entries.where(~F.col("key").isin([*known, CORRUPT, MORE]))
+    types = entries.groupBy("key").agg(F.schema_of_variant_agg("value").alias("type"))
+    found = types.orderBy("key").limit(widest + 1).collect()
+    new = {r["key"]: _column_type(r["type"]) for r in found[:widest]}
+    fields = {**known, **new, CORRUPT: "string"}
+    schema = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in fields.items())
+    record = F.from_json(value, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    if len(found) <= widest and MORE not in known:
+        return batch.select(record.alias("r")).select("r.*")
+    whole = F.from_json(value, "map<string,string>")
+    more = F.map_filter(whole, lambda k, _: ~k.isin(list(fields)))
+    return batch.select(record.alias("r"), more.alias(MORE)).select("r.*", MORE)
+
+
+def _column_type(seen: str) -> str:
+    return "double" if seen.startswith(("DECIMAL", "FLOAT")) else _COLUMN_TYPES.get(seen, "string")
+
+
+def widening_writer(path: str, value: str, known: dict[str, str]) -> BatchWriter:
+    """:func:`folder_per_batch` of :func:`widen`: a key keeps the type it had when it was first seen.
+
+    The columns so far lie as JSON lines next to the batches, one file per batch that brought
+    new ones, so a restarted stream goes on with them and reading needs no footers.
     """
-    keys = batch.select(F.explode(F.json_object_keys(value)).alias("k")).distinct()
-    new = sorted(r["k"] for r in keys.where(~F.col("k").isin(list(known))).limit(MAX_NEW_COLUMNS + 1).collect())
-    if len(new) > MAX_NEW_COLUMNS:
-        raise ValueError(f"records bring more than {MAX_NEW_COLUMNS} new columns")
-    schema = ", ".join([f"`{c}` {t}" for c, t in known.items()] + [f"`{c}` string" for c in new])
-    return batch.select(F.from_json(value, schema).alias("r")).select("r.*")
+    put = folder_per_batch(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = {**known, **_noted_columns(spark, path, batch_id)}
+        wide = widen(batch, value, before)
+        new = [(batch_id, i, f.name, f.dataType.simpleString()) for i, f in enumerate(wide.schema.fields) if f.name not in before]
+        if new:
+            note = spark.createDataFrame(new, _NOTED).coalesce(1)
+            note.write.mode("overwrite").json(f"{path}__columns/{BATCH_FOLDER}={batch_id}")
+        put(wide, batch_id)
+
+    return write
+
+
+_NOTED = "id bigint, position int, name string, type string"
+
+
+def _noted_columns(spark: SparkSession, path: str, before: int | None = None) -> dict[str, str]:
+    if not path_exists(spark, f"{path}__columns"):
+        return {}
+    rows = spark.read.schema(_NOTED).json(f"{path}__columns").orderBy("id", "position").collect()
+    return {r["name"]: r["type"] for r in rows if before is None or r["id"] < before}
+
+
+def read_widened(spark: SparkSession, path: str, known: dict[str, str]) -> DataFrame:
+    """All batches of a :func:`widening_writer`, with the columns noted next to them."""
+    columns = {**known, **_noted_columns(spark, path)}
+    schema = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in columns.items())
+    return spark.read.schema(schema).parquet(path).drop(BATCH_FOLDER)
 
 
 def default_time(stream: DataFrame, ts: str) -> DataFrame:

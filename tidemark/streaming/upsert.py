@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.upsert import upsert
-from tidemark.streaming.ingest import BatchWriter, write_batches
+from tidemark.streaming.ingest import BatchWriter, append_stream, write_batches
 from tidemark.timetable import TimeTable
 
 
@@ -24,5 +24,10 @@ def upsert_writer(path: str, table: TimeTable, arrival: Sequence[str]) -> BatchW
 def upsert_stream(
     stream: DataFrame, path: str, table: TimeTable, arrival: Sequence[str], checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """No watermark: a row for an old partition rewrites that partition. Replays change nothing."""
+    """No watermark: a row for an old partition rewrites that partition. Replays change nothing.
+
+    While the table's dedup is off its rows are appended, exactly once, by the file sink.
+    """
+    if not table.dedup or not table.keys:
+        return append_stream(table.stamp(stream), path, checkpoint, trigger, table.partition_columns)
     return write_batches(stream, upsert_writer(path, table, arrival), checkpoint, trigger)
