@@ -1,36 +1,12 @@
 """Sample datasets: shapes, ranges and typed loads."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark import datasets
-from tidemark.session import scratch_path
-from tidemark.timetable import create_table, describe_table, write_time_table
+from tidemark.timetable import create_table, describe_table
 from tidemark.plans.writes import new_database
 
 
-def test_daily_stats(spark):
-    df = datasets.daily_stats(spark)
-    assert df.count() == 365 * 5 * 3
-    assert [f.dataType for f in df.schema] == [f.dataType for f in datasets.target("ecommerce_stats").schema]
-    assert df.select("ts", "country", "category").distinct().count() == df.count()
-    # one multiplier per category in the whole dataset, and a price that goes with it
-    per_category = df.groupBy("category").agg(F.count_distinct("number_of_products").alias("n"), F.max("sales").alias("s")).collect()
-    assert all(r["n"] == 1 for r in per_category)
-    last = df.groupBy("country").agg(F.max(F.struct("ts", "visits")).alias("m")).collect()
-    assert str(last[0]["m"]["ts"]) == "2022-12-31 00:00:00"
-
-
-def test_minute_sales_repeat_exactly_and_fill_their_table(spark):
-    make = lambda n: datasets.minute_sales(datasets.minute_timeline(spark, 300).repartition(n), seed=4)
-    one, two = make(1), make(7)
-    assert one.count() == 300 * 5 * 6 and one.exceptAll(two).count() == 0
-    assert one.groupBy("ts", "country").agg(F.count_distinct("visits").alias("n")).where("n > 1").count() == 0
-    target, path = datasets.target("ecommerce_sample"), scratch_path(spark, "sales")
-    write_time_table(one, path, target)
-    assert spark.read.parquet(path).count() == 9000
-
-
 def test_locations(spark):
     raw = spark.createDataFrame([("A", "Water", "57.64911", "10.40744")], "SensorName string, SensorType string, Latitude string, Longitude string")
     row = datasets.locations(raw).first()

@@ -1,44 +1,15 @@
-"""The sample datasets: typed targets, and the transforms that fill them from landed or generated rows."""
+"""The sample datasets: typed targets, and the transforms that fill them from landed rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.geo import make_geohash
-from tidemark.functions.rand import rnd_int, rnd_long
 from tidemark.functions.text import summarize
-from tidemark.functions.times import long_sequence, parse_clock_12h, timestamp_sequence
-from tidemark.operators.combine import with_each
+from tidemark.functions.times import parse_clock_12h
 from tidemark.timetable import TimeTable
 
-#: Per country the ranges of the visit and unique-visitor multipliers.
-COUNTRIES = [
-    ("UK", 500, 520, 100, 300),
-    ("ES", 300, 310, 40, 125),
-    ("FR", 400, 480, 130, 240),
-    ("DE", 420, 500, 80, 280),
-    ("IT", 350, 400, 60, 150),
-]
-
-#: Unit price per category; the daily data has the last three only.
-PRICES = [
-    ("WOMEN", 57.45),
-    ("MEN", 46.34),
-    ("KIDS", 49.75),
-    ("HOME", 67.53),
-    ("KITCHEN", 26.32),
-    ("BATHROOM", 23.67),
-]
-DAILY_CATEGORIES = ["HOME", "KITCHEN", "BATHROOM"]
-
-#: The season of either dataset, its length in rows, and its start.
-CIRCLE = 6.28
-DAILY_SEASON, MINUTE_SEASON = 90, 43_800
-DAILY_START, MINUTE_START = "2022-01-01", "2031-01-01"
-DAY_MICROS, MINUTE_MICROS = 86_400_000_000, 60_000_000
-MINUTE_ROWS = 2_102_400
-
 #: Columns of the landed and the typed tables.
 STATS = "ts timestamp, country string, category string, visits bigint, unique_visitors bigint, sales double, number_of_products int"
 SAMPLE = "ts timestamp, country string, category string, visits bigint, unique_visitors bigint, avg_unit_price double, sales double"
@@ -86,78 +57,6 @@ def target(name: str) -> TimeTable:
     return TimeTable(StructType.fromDDL(columns), ts=ts, unit=unit, keys=keys)
 
 
-def season(x: Column, swing: float, length: int) -> Column:
-    """A wave around 1 over the row number."""
-    return 1 + F.lit(swing) * F.cos(x * F.lit(CIRCLE) / F.lit(float(length)))
-
-
-def countries(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COUNTRIES, "country string, visits_low int, visits_high int, unique_low int, unique_high int")
-
-
-def categories(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
-    kept = [p for p in PRICES if names is None or p[0] in names]
-    return spark.createDataFrame(kept, "category string, avg_unit_price double")
-
-
-def daily_stats(spark: SparkSession, days: int = 365, seed: int = 0) -> DataFrame:
-    """Sales per day, country and category: one multiplier per country, one per category."""
-    x = F.col("x")
-    timeline = long_sequence(spark, days).select(
-        timestamp_sequence(x, DAILY_START, DAY_MICROS).alias("ts"),
-        (x / 100.0 * season(x, 0.5, DAILY_SEASON)).alias("v"),
-        (x / 100.0 * season(x, 0.2, DAILY_SEASON)).alias("u"),
-    )
-    rows = with_each(timeline, countries(spark), categories(spark, DAILY_CATEGORIES))
-    products = rnd_int(F.xxhash64("category"), 1, 6, seed=seed + 2)
-    return rows.select(
-        "ts",
-        "country",
-        "category",
-        (F.col("v") * draw(("country",), "visits_low", "visits_high", seed)).cast("bigint").alias("visits"),
-        (F.col("u") * draw(("country",), "unique_low", "unique_high", seed + 1)).cast("bigint").alias("unique_visitors"),
-        (F.col("avg_unit_price") * products).alias("sales"),
-        products.alias("number_of_products"),
-    )
-
-
-def minute_sales(timeline: DataFrame, seed: int = 0) -> DataFrame:
-    """Sales per row of ``timeline`` (rownum, ts), country and category.
-
-    The visit figures are drawn per minute and country, the product figures per output row;
-    products follow from the uncut visitor figure.
-    """
-    spark, x = timeline.sparkSession, F.col("rownum")
-    visits = draw(("rownum", "country"), "visits_low", "visits_high", seed) * x * season(x, 0.2, MINUTE_SEASON)
-    unique = draw(("rownum", "country"), "unique_low", "unique_high", seed + 1) * x * season(x, 0.5, MINUTE_SEASON)
-    by_country = with_each(timeline, countries(spark)).select(
-        "rownum", "ts", "country", visits.alias("v"), unique.alias("u")
-    )
-    each = F.xxhash64("rownum", "country", "category")
-    products = F.col("u") * rnd_int(each, 3, 4, seed=seed + 2) / 100 * rnd_int(each, 1, 6, seed=seed + 3)
-    return with_each(by_country, categories(spark)).select(
-        "ts",
-        "country",
-        "category",
-        F.col("v").cast("bigint").alias("visits"),
-        F.col("u").cast("bigint").alias("unique_visitors"),
-        "avg_unit_price",
-        (products * F.col("avg_unit_price")).alias("sales"),
-    )
-
-
-def minute_timeline(spark: SparkSession, rows: int = MINUTE_ROWS) -> DataFrame:
-    return long_sequence(spark, rows, "rownum").withColumn(
-        "ts", timestamp_sequence(F.col("rownum"), MINUTE_START, MINUTE_MICROS)
-    )
-
-
-def draw(keys: tuple[str, ...], low: str, high: str, seed: int) -> Column:
-    """Uniform integer between two columns, the same for equal ``keys``."""
-    wide = rnd_long(F.xxhash64(*keys), 0, (1 << 62) - 1, seed=seed)
-    return F.pmod(wide, F.col(high) - F.col(low) + 1) + F.col(low)
-
-
 def locations(raw: DataFrame, updated_at: str = "2023-09-04T00:00:00.000000Z") -> DataFrame:
     """Landed sensor locations with a geohash."""
     return raw.select(

@@ -1,54 +1,9 @@
-"""Reproducible random values: hashes of a seed and a row number.
-
-``rand(seed)`` depends on how rows are partitioned; these depend on the row only, so a retried
-task or a different cluster gives the same data.
-"""
+"""Keys made from row numbers."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_FRACTION = float(1 << 53)
-
-
-def _hash(x: Column, seed: int, salt: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.lit(salt), x)
-
-
-def _with_nulls(value: Column, x: Column, seed: int, null_rate: int) -> Column:
-    """About one value in ``null_rate`` + 1 is NULL; none at rate 0."""
-    if null_rate == 0:
-        return value
-    return F.when(F.pmod(_hash(x, seed, 1), F.lit(null_rate + 1)) != 0, value)
-
-
-def rnd_long(x: Column, low: int, high: int, null_rate: int = 0, seed: int = 0) -> Column:
-    """Uniform integer in [low, high]."""
-    span = F.lit(high - low + 1).cast("bigint")
-    return _with_nulls(F.pmod(_hash(x, seed, 0), span) + F.lit(low).cast("bigint"), x, seed, null_rate)
-
-
-def rnd_int(x: Column, low: int, high: int, null_rate: int = 0, seed: int = 0) -> Column:
-    return rnd_long(x, low, high, null_rate, seed).cast("int")
-
-
-def rnd_double(x: Column, seed: int = 0) -> Column:
-    """Uniform double in [0, 1)."""
-    return F.shiftrightunsigned(_hash(x, seed, 0), 11) / F.lit(_FRACTION)
-
-
-def rnd_float(x: Column, seed: int = 0) -> Column:
-    """Uniform float in [0, 1)."""
-    return (F.shiftrightunsigned(_hash(x, seed, 0), 40) / F.lit(float(1 << 24))).cast("float")
-
-
-def rnd_timestamp(x: Column, low: Column, high: Column, null_rate: int = 0, seed: int = 0) -> Column:
-    """Uniform timestamp in [low, high]."""
-    low_us, high_us = F.unix_micros(low), F.unix_micros(high)
-    value = F.timestamp_micros(low_us + F.pmod(_hash(x, seed, 0), high_us - low_us + 1))
-    return _with_nulls(value, x, seed, null_rate)
-
-
 def vehicle_id(i: Column) -> Column:
     """Key of the ``i``-th (0-based) vehicle: three letters, then four hex digits."""
     block = F.floor(i / F.lit(16**4).cast("decimal(6,0)")).cast("bigint")

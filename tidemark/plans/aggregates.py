@@ -8,7 +8,7 @@ from tidemark.operators.latest import latest_on
 from tidemark.operators.ordering import order_key
 from tidemark.operators.sample import last_not_null, sample_by, sample_last
 from tidemark.operators.upsert import dedup_keep_last, duplicate_keys
-from tidemark.plans.registry import SENSORS, plan, table
+from tidemark.plans.registry import MANY, MANY_SQL, SENSORS, many_sensors, plan, table
 
 _LAST = "last(value ORDER BY ts, event_id)"
 
@@ -79,6 +79,22 @@ def sample_last_not_null(spark, sf_dir):
     return sample_last(wide, "ts", "1h", ["user_id"], SENSORS, ["event_id"])
 
 
+def _last_of(sensor: str) -> str:
+    order = "ts, tie NULLS FIRST"
+    return f"last(value ORDER BY {order}) FILTER (WHERE sensor = '{sensor}' AND value IS NOT NULL) AS {sensor}"
+
+
+@plan(f"""
+    WITH {MANY_SQL}
+    SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, vehicle, {', '.join(map(_last_of, MANY))}
+    FROM readings GROUP BY 1, 2
+""")
+def sample_last_wide_110(spark, sf_dir):
+    readings = many_sensors(spark, sf_dir)
+    wide = readings.select("ts", "vehicle", "tie", *[F.when(F.col("sensor") == s, F.col("value")).alias(s) for s in MANY])
+    return sample_last(wide, "ts", "1d", ["vehicle"], MANY, ["tie"])
+
+
 @plan("""
     SELECT * FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1

@@ -8,7 +8,8 @@ from tidemark.functions.times import timestamp_sequence
 from tidemark.operators.asof import asof_join, asof_wide
 from tidemark.operators.combine import with_each
 from tidemark.operators.latest import latest_wide
-from tidemark.plans.registry import SENSORS, plan, table
+from tidemark.plans.registry import MANY, MANY_SQL, SENSORS, many_sensors, plan, table
+from tidemark.session import materialize
 
 #: The one vehicle the single-key form of the query selects.
 SELECTED_VEHICLE = 7
@@ -126,7 +127,8 @@ def asof_join_orders(spark, sf_dir):
         orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey"
     )
     return asof_join(
-        shipped.select("l_orderkey", "l_linenumber", "l_shipdate", "o_custkey"),
+        # the key count and the join itself both read it
+        materialize(shipped.select("l_orderkey", "l_linenumber", "l_shipdate", "o_custkey"), "shipped"),
         orders,
         ["o_custkey"],
         "l_shipdate",
@@ -134,3 +136,36 @@ def asof_join_orders(spark, sf_dir):
         right_ts="o_orderdate",
         tiebreak=["o_orderkey"],
     )
+
+
+@plan(_wide_sql("ASOF LEFT JOIN", latest=False))
+def asof_join_split(spark, sf_dir):
+    """The as-of chain with every key split over tasks."""
+    return asof_wide(table(spark, sf_dir, "events"), "user_id", "event_type", SENSORS, "ts", "value", ["event_id"], rows_per_key=2)
+
+
+#: Every sensor's last reading at or before the first sensor's, as of its time; ties by the hashed number.
+_MANY_ASOF = """
+    WITH {readings},
+    driving AS (SELECT *, row_number() OVER (PARTITION BY vehicle ORDER BY ts, tie NULLS FIRST) AS n FROM readings WHERE sensor = 's0'),
+    last_at AS (SELECT d.vehicle, d.n, r.sensor, last(r.value ORDER BY r.ts, r.tie NULLS FIRST) AS value
+                FROM driving d JOIN readings r ON r.vehicle = d.vehicle AND r.ts <= d.ts WHERE r.sensor <> 's0' GROUP BY ALL)
+    SELECT d.ts, d.vehicle, d.value AS value_1, {columns}
+    FROM driving d LEFT JOIN last_at l ON l.vehicle = d.vehicle AND l.n = d.n GROUP BY d.vehicle, d.n, d.ts, d.value
+"""
+
+
+@plan(_MANY_ASOF.format(readings=MANY_SQL, columns=", ".join(f"max(l.value) FILTER (WHERE l.sensor = '{s}') AS value_{i}" for i, s in enumerate(MANY[1:], 2))))
+def asof_join_110(spark, sf_dir):
+    return asof_wide(many_sensors(spark, sf_dir), "vehicle", "sensor", MANY, "ts", "value", ["tie"])
+
+
+@plan(f"""
+    WITH {MANY_SQL},
+    newest AS (SELECT * FROM readings QUALIFY row_number() OVER (PARTITION BY vehicle, sensor ORDER BY ts DESC, tie DESC NULLS LAST) = 1)
+    SELECT max(ts) FILTER (WHERE sensor = 's0') AS ts, vehicle,
+           {', '.join(f"max(value) FILTER (WHERE sensor = '{s}') AS value_{i}" for i, s in enumerate(MANY, 1))}
+    FROM newest GROUP BY vehicle HAVING count(*) FILTER (WHERE sensor = 's0') > 0
+""")
+def latest_wide_110(spark, sf_dir):
+    return latest_wide(many_sensors(spark, sf_dir), "vehicle", "sensor", MANY, "ts", "value", ["tie"])

@@ -13,39 +13,6 @@ from tidemark.sinks.files import export_csv
 from tidemark.sources.csv_files import read_csv
 from tidemark.timetable import PARTITION_COLUMN, read_time_table, write_time_table
 
-_COUNTRY_ROWS = ", ".join(f"('{c}')" for c, *_ in datasets.COUNTRIES)
-_PRICE_ROWS = ", ".join(f"('{c}', CAST({p} AS DOUBLE))" for c, p in datasets.PRICES)
-
-
-@plan(f"""
-    SELECT country, category, count(*) AS minutes, count(*) AS visits_in_range, count(*) AS sales_in_range,
-           min(TIMESTAMP '2031-01-01' + to_minutes(CAST(c_custkey AS BIGINT))) AS first_ts
-    FROM customer, (VALUES {_COUNTRY_ROWS}) c(country), (VALUES {_PRICE_ROWS}) p(category, avg_unit_price)
-    GROUP BY country, category
-""")
-def sales_dataset_ranges(spark, sf_dir):
-    """Generated minute sales, one minute per customer: every figure lies in its country's range.
-
-    The draws themselves are hashes that the SQL side does not have, so their bounds are compared.
-    """
-    rownum = (F.col("c_custkey") + 1).alias("rownum")
-    timeline = table(spark, sf_dir, "customer").select(rownum).withColumn(
-        "ts", timestamp_sequence(F.col("rownum"), datasets.MINUTE_START, datasets.MINUTE_MICROS)
-    )
-    sales = datasets.minute_sales(timeline).join(F.broadcast(datasets.countries(spark)), "country")
-    minute = (F.unix_micros("ts") - F.unix_micros(F.lit(datasets.MINUTE_START).cast("timestamp"))) / datasets.MINUTE_MICROS + 1
-    wave = minute * datasets.season(minute, 0.2, datasets.MINUTE_SEASON)
-    unique_wave = minute * datasets.season(minute, 0.5, datasets.MINUTE_SEASON)
-    visits_ok = F.col("visits").between(F.floor(wave * F.col("visits_low")) - 1, F.floor(wave * F.col("visits_high")))
-    most = unique_wave * F.col("unique_high") * 4 / 100 * 6 * F.col("avg_unit_price")
-    least = unique_wave * F.col("unique_low") * 3 / 100 * F.col("avg_unit_price")
-    return sales.groupBy("country", "category").agg(
-        F.count("*").alias("minutes"),
-        F.count_if(visits_ok).alias("visits_in_range"),
-        F.count_if(F.col("sales").between(least * 0.999999, most * 1.000001)).alias("sales_in_range"),
-        F.min("ts").cast("timestamp_ntz").alias("first_ts"),
-    )
-
 
 @plan("""
     SELECT TIMESTAMP '2020-01-01' + to_minutes(CAST(conv_id AS BIGINT)) AS committed_datetime, 'talks' AS repo, role AS author_name,

@@ -31,11 +31,29 @@ def page_assignment(spark, sf_dir):
     return assign_pages(table(spark, sf_dir, "events").select(*ORDER), 1000, ORDER).select("event_id", "page")
 
 
-@plan("""
+@plan("SELECT event_id, CAST((row_number() OVER (ORDER BY ts, event_id) - 1) // 100 AS BIGINT) AS page FROM events")
+def page_assignment_split(spark, sf_dir):
+    """Pages over many small splits."""
+    rows = table(spark, sf_dir, "events").select(*ORDER)
+    return assign_pages(rows, 100, ORDER, rows_per_split=50).select("event_id", "page")
+
+
+_CLOCK = """
     SELECT event_type, event_id, TIMESTAMP '2022-07-15 12:32:45' + to_minutes(CAST(row_number() OVER
              (PARTITION BY event_type ORDER BY event_id) - 1 AS BIGINT)) AS clock
     FROM events
-""", name="synthetic_clock")
+"""
+
+
+@plan(_CLOCK)
+def synthetic_clock_split(spark, sf_dir):
+    """Clocks with every key split over tasks."""
+    rows = table(spark, sf_dir, "events").select("event_type", "event_id")
+    timed = synthetic_clock(rows, ["event_type"], ["event_id"], "2022-07-15 12:32:45", 60_000_000, "clock", rows_per_key=20)
+    return timed.withColumn("clock", timed["clock"].cast("timestamp_ntz"))
+
+
+@plan(_CLOCK, name="synthetic_clock")
 def synthetic_clock_per_key(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_type", "event_id")
     timed = synthetic_clock(rows, ["event_type"], ["event_id"], "2022-07-15 12:32:45", 60_000_000, "clock")

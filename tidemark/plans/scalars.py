@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import geo, rand, text, times
+from tidemark.functions import geo, keys, text, times
 from tidemark.functions.arrays import explode_levels, order_book
 from tidemark.operators.maintenance import falsy_to_null, retained
 from tidemark.plans.registry import plan, table
@@ -122,48 +122,6 @@ def default_ts(spark, sf_dir):
     return sent.select("event_id", times.default_ts("ts", arrival).alias("ts"))
 
 
-@plan("SELECT x FROM (SELECT unnest(generate_series(1, (SELECT count(*) FROM orders))) AS x)")
-def long_sequence(spark, sf_dir):
-    return times.long_sequence(spark, table(spark, sf_dir, "orders").count())
-
-
-@plan("""
-    SELECT x, TIMESTAMP '2031-01-01' + to_minutes(CAST(x - 1 AS BIGINT)) AS ts
-    FROM (SELECT unnest(generate_series(1, (SELECT count(*) FROM lineitem))) AS x)
-""")
-def timestamp_sequence(spark, sf_dir):
-    rows = times.long_sequence(spark, table(spark, sf_dir, "lineitem").count())
-    return rows.select(
-        "x", times.timestamp_sequence(F.col("x"), "2031-01-01", 60_000_000).cast("timestamp_ntz").alias("ts")
-    )
-
-
-@plan("SELECT count(*) AS rows, CAST(500 AS BIGINT) AS low, CAST(520 AS BIGINT) AS high, CAST(21 AS BIGINT) AS kinds FROM orders")
-def rnd_long_bounds(spark, sf_dir):
-    drawn = table(spark, sf_dir, "orders").select(rand.rnd_long(F.col("o_orderkey"), 500, 520, seed=128349234).alias("r"))
-    return drawn.agg(
-        F.count("r").alias("rows"),
-        F.min("r").alias("low"),
-        F.max("r").alias("high"),
-        F.count_distinct("r").alias("kinds"),
-    )
-
-
-@plan("SELECT count(*) AS rows, count(*) AS floats, count(*) AS times, count(*) AS unequal FROM orders")
-def rnd_float_and_timestamp(spark, sf_dir):
-    x = F.col("o_orderkey")
-    low, high = F.lit("2021-01-01").cast("timestamp"), F.lit("2022-01-01").cast("timestamp")
-    drawn = table(spark, sf_dir, "orders").select(
-        rand.rnd_float(x).alias("f"), rand.rnd_timestamp(x, low, high).alias("t"), rand.rnd_double(x, seed=5).alias("d")
-    )
-    return drawn.agg(
-        F.count("*").alias("rows"),
-        F.count_if((F.col("f") >= 0) & (F.col("f") < 1)).alias("floats"),
-        F.count_if(F.col("t").between(low, high)).alias("times"),
-        F.count_if(F.col("d") != F.col("f")).alias("unequal"),
-    )
-
-
 @plan("""
     SELECT o_orderkey, concat(chr(CAST(65 + (i // 65536 // 676) % 26 AS INTEGER)), chr(CAST(65 + (i // 65536 // 26) % 26 AS INTEGER)),
                   chr(CAST(65 + (i // 65536) % 26 AS INTEGER)), printf('%04X', i % 65536)) AS vehicle_id
@@ -171,7 +129,7 @@ def rnd_float_and_timestamp(spark, sf_dir):
 """)
 def vehicle_ids(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", rand.vehicle_id(F.col("o_orderkey") * 40961).alias("vehicle_id")
+        "o_orderkey", keys.vehicle_id(F.col("o_orderkey") * 40961).alias("vehicle_id")
     )
 
 
@@ -225,19 +183,28 @@ def strip_empty_fields(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", text.strip_empty_fields(line).alias("line"))
 
 
-@plan("""
+_LEVELS = """
     SELECT l_orderkey, side, CAST(level AS INTEGER) AS level, round(l_extendedprice, 4) AS price, l_quantity AS size
     FROM (SELECT *, 'bid' AS side, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_quantity DESC) AS level FROM lineitem
           UNION ALL
           SELECT *, 'ask' AS side, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice, l_quantity) AS level FROM lineitem)
     WHERE level <= 5
-""", name="price_levels")
-def order_book_levels(spark, sf_dir):
-    book = order_book(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_extendedprice", "l_quantity")
+"""
+
+
+@plan(_LEVELS, name="price_levels")
+def order_book_levels(spark, sf_dir, rows_per_key=None):
+    book = order_book(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_extendedprice", "l_quantity", rows_per_key=rows_per_key)
     sides = F.inline(F.array(*[F.struct(F.lit(s[:-1]).alias("side"), F.col(s).alias("levels")) for s in ("bids", "asks")]))
     return explode_levels(book.select("l_orderkey", sides), ["l_orderkey", "side"], "levels")
 
 
+@plan(_LEVELS)
+def price_levels_split(spark, sf_dir):
+    """Order books with every key of more than two orders cut before the shuffle."""
+    return order_book_levels(spark, sf_dir, rows_per_key=2)
+
+
 @plan("""
     SELECT * FROM events
     WHERE date_trunc('day', ts) > date_trunc('day', TIMESTAMP '2037-09-24 10:30:00' - INTERVAL 5000 DAY)

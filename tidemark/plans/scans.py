@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.arrays import flatten_dataset
 from tidemark.operators.combine import concat_with_key, union_all, union_distinct
-from tidemark.plans.registry import plan, table
-from tidemark.session import scratch_path
+from tidemark.plans.registry import SENSORS, plan, table
+from tidemark.session import rename_files, scratch_path
 from tidemark.sinks.files import export_csv, json_row
 from tidemark.sinks.line_protocol import to_lines, write_lines
-from tidemark.sources.csv_files import infer_columns, read_csv, read_csv_text
+from tidemark.sources.csv_files import infer_columns, read_csv, read_csv_text, with_route_key
 from tidemark.sources.json_files import prediction_rows
-from tidemark.sources.line_protocol import read_lines, select_table
+from tidemark.sources.line_protocol import count_bad, read_lines, select_table
+from tidemark.sources.manifest import column_type, manifest_columns
 from tidemark.timetable import time_between
 
 
@@ -45,6 +46,65 @@ def infer_types(spark, sf_dir):
     return infer_columns(read_csv_text(spark, path))
 
 
+@plan("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_documents_roundtrip(spark, sf_dir):
+    """Texts with line breaks, quotes and commas through CSV files."""
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "documents-csv")
+    export_csv(docs, path, page_rows=1000)
+    return read_csv(spark, path, docs.schema, multi_line=True)
+
+
+@plan("SELECT event_id, ts, user_id FROM events")
+def csv_positional_subset(spark, sf_dir):
+    """The first three of six columns, under other names in the file."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "positional-csv")
+    export_csv(events.toDF(*[f"column {i}" for i in range(6)]), path)
+    return read_csv(spark, path, events.select("event_id", "ts", "user_id").schema)
+
+
+@plan("""
+    SELECT event_id, ts, user_id, event_type, value, props, right(event_type, 2) AS route FROM events
+""")
+def csv_route_key(spark, sf_dir):
+    """One file per event type; the last two letters of its name are the route."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "routes-csv")
+    for kind in SENSORS:
+        part = f"{path}-parts/{kind}"
+        export_csv(events.where(F.col("event_type") == kind).coalesce(1), part, page_rows=0)
+        rename_files(spark, part, f"{path}/{kind}.csv")
+    return with_route_key(read_csv(spark, f"{path}/*.csv", events.schema))
+
+
+@plan("""
+    SELECT 'events' AS name, * FROM (VALUES
+      (0, 'event_id', 'LONG'), (1, 'ts', 'TIMESTAMP'), (2, 'user_id', 'LONG'), (3, 'event_type', 'SYMBOL'), (4, 'value', 'DOUBLE'), (5, 'props', 'SYMBOL')
+    ) v(position, column_name, column_type)
+    WHERE (SELECT count(*) FROM events) >= 0
+""")
+def manifest_schema(spark, sf_dir):
+    """A manifest written from the schema of a table, read back as column types."""
+    kinds = {"bigint": "int8", "timestamp_ntz": "timestamp", "string": "character varying", "double": "float8"}
+    schema = table(spark, sf_dir, "events").dtypes
+    elements = ", ".join(f'{{"name": "{c}", "type": {{"base": "{kinds[t]}"}}}}' for c, t in schema)
+    path = scratch_path(spark, "manifest")
+    spark.createDataFrame([(f'{{"schema": {{"elements": [{elements}]}}}}',)], "value string").coalesce(1).write.text(path)
+    return manifest_columns(spark, path).select(F.lit("events").alias("name"), "position", "column_name", "column_type")
+
+
+@plan("""
+    SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'INT' WHEN 1 THEN 'DOUBLE' WHEN 2 THEN 'SYMBOL' WHEN 3 THEN 'TIMESTAMP' ELSE 'STRING' END AS column_type
+    FROM events
+""")
+def type_mapping(spark, sf_dir):
+    """Warehouse type names in a column, as the types they become."""
+    names = F.array(*[F.lit(n) for n in ("int4", "float", "bpchar", "timestamptz", "geometry")])
+    base = F.get(names, (F.col("event_id") % 5).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", column_type(base).alias("column_type"))
+
+
 @plan("SELECT * FROM events WHERE event_type = 'purchase'")
 def filter_eq(spark, sf_dir):
     return table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
@@ -91,6 +151,16 @@ def to_line_protocol(spark, sf_dir):
     return to_lines(events, "events", ["event_type"], ["user_id", "value", "props"], "ts", name="line")
 
 
+@plan("SELECT event_id, ts, user_id, event_type, value FROM events")
+def frame_sink(spark, sf_dir):
+    """A frame with symbols and a designated time to lines, and back."""
+    events = table(spark, sf_dir, "events").drop("props")
+    path = scratch_path(spark, "frame-lines")
+    write_lines(events, path, "readings", ["event_type"], ["event_id", "user_id", "value"], "ts")
+    back = select_table(read_lines(spark, path), "readings", ["event_type"], {"event_id": "bigint", "user_id": "bigint", "value": "double"}, "ts")
+    return back.withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*events.columns)
+
+
 @plan("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def line_protocol_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "events-lines")
@@ -102,6 +172,25 @@ def line_protocol_roundtrip(spark, sf_dir):
     )
 
 
+@plan("""
+    SELECT event_id, value, (SELECT count(*) FROM events WHERE event_id % 4 = 0) AS malformed, (SELECT count(*) FROM events WHERE event_id % 4 = 1) AS unreadable
+    FROM events WHERE event_id % 4 > 1
+""")
+def line_protocol_bad_lines(spark, sf_dir):
+    """A repeated symbol, a line without a table, a field without a value, and a number that is none: counted, not lost."""
+    line = F.expr("""
+        CASE event_id % 12 WHEN 0 THEN concat('ev,a=1,a=2 id=', event_id, 'i 5') WHEN 4 THEN concat(' id=', event_id, 'i 5')
+          WHEN 8 THEN concat('ev id=,v=1 ', event_id)
+          ELSE concat('ev,k=x id=', event_id, 'i,v=', if(event_id % 4 = 1, 'abc', cast(value AS string)), ' ', event_id) END
+    """)
+    path, fields = scratch_path(spark, "bad-lines"), {"id": "bigint", "v": "double"}
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    parsed = read_lines(spark, path)
+    bad = count_bad(parsed, fields).select("malformed", "unreadable")
+    rows = select_table(parsed, "ev", ["k"], fields).where("v IS NOT NULL")
+    return rows.select(F.col("id").alias("event_id"), F.col("v").alias("value")).crossJoin(bad)
+
+
 @plan("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def line_protocol_text_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "documents-lines")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.operators.sample import last_not_null
@@ -13,9 +14,10 @@ from tidemark.streaming.ingest import (
     folder_per_batch,
     read_batches,
     read_stream,
+    read_widened,
     retrying,
     to_all,
-    widen,
+    widening_writer,
     write_batches,
 )
 from tidemark.streaming.sample import sample_stream
@@ -27,6 +29,14 @@ def _events(spark, sf_dir):
     return read_stream(spark, f"{sf_dir}/events*.parquet", table(spark, sf_dir, "events").schema)
 
 
+def _in_files(spark, sf_dir, count):
+    """The events landed in ``count`` files, dealt by event number, a file per micro-batch."""
+    events, path = table(spark, sf_dir, "events"), scratch_path(spark, "landing")
+    for i in range(count):
+        events.where(F.col("event_id") % count == count - 1 - i).coalesce(1).write.mode("append").parquet(path)
+    return read_stream(spark, path, events.schema, max_files=1)
+
+
 @plan("SELECT * FROM events")
 def stream_append(spark, sf_dir):
     path = scratch_path(spark, "stream-out")
@@ -37,16 +47,56 @@ def stream_append(spark, sf_dir):
 
 @plan("""
     SELECT * FROM (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, user_id, event_type, value, event_id FROM events)
-    QUALIFY row_number() OVER (PARTITION BY day, user_id, event_type ORDER BY event_id DESC) = 1
+    QUALIFY row_number() OVER (PARTITION BY day, user_id, event_type ORDER BY event_id % 4, event_id DESC) = 1
 """)
 def stream_upsert(spark, sf_dir):
-    readings = daily_readings(_events(spark, sf_dir))
+    """Four batches by event number, each over all days: what a later one brings wins, however old its day."""
+    readings = daily_readings(_in_files(spark, sf_dir, 4))
     target = TimeTable(readings.schema, ts="day", unit="DAY", keys=("day", "user_id", "event_type"))
     path = scratch_path(spark, "stream-upsert")
     upsert_stream(readings, path, target, ["event_id"], scratch_path(spark, "stream-log")).awaitTermination()
     return read_time_table(spark, path, target).drop(PARTITION_COLUMN)
 
 
+@plan("SELECT * FROM events")
+def stream_micro_batches(spark, sf_dir):
+    """Six landed files, one per micro-batch, each batch a folder."""
+    path = scratch_path(spark, "stream-batches")
+    events = _in_files(spark, sf_dir, 6)
+    write_batches(events, folder_per_batch(path), scratch_path(spark, "stream-log")).awaitTermination()
+    return read_batches(spark, path)
+
+
+@plan("SELECT * FROM events")
+def stream_polled(spark, sf_dir):
+    """A source that is looked at again and again until all its files have come."""
+    path, events = scratch_path(spark, "stream-polled"), _in_files(spark, sf_dir, 3)
+    query = append_stream(events, path, scratch_path(spark, "stream-log"), {"processingTime": "0 seconds"})
+    query.processAllAvailable()
+    query.stop()
+    return spark.read.schema(events.schema).parquet(path)
+
+
+@plan("SELECT * FROM events")
+def stream_replay(spark, sf_dir):
+    """A write fails for good in the middle of a batch; started again, the stream loses and repeats nothing."""
+    path, log = scratch_path(spark, "stream-replay"), scratch_path(spark, "stream-log")
+    events, put, failures = _in_files(spark, sf_dir, 4), folder_per_batch(path), []
+
+    def fragile(batch, batch_id):
+        put(batch.limit(1) if batch_id == 2 and not failures else batch, batch_id)
+        if batch_id == 2 and not failures:
+            failures.append(batch_id)
+            raise OSError("the sink went away")
+
+    try:
+        write_batches(events, fragile, log).awaitTermination()
+    except StreamingQueryException:
+        pass
+    write_batches(events, fragile, log).awaitTermination()
+    return read_batches(spark, path)
+
+
 @plan("""
     SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, user_id, last(value ORDER BY ts, event_id) AS value
     FROM events GROUP BY 1, 2
@@ -74,17 +124,17 @@ def stream_two_sinks(spark, sf_dir):
 
 
 @plan("""
-    SELECT event_id, value, CASE WHEN event_type = 'error' THEN CAST(user_id AS VARCHAR) END AS new_column FROM events
+    SELECT CASE WHEN event_type <> 'click' THEN event_id END AS event_id, CASE WHEN event_type <> 'click' THEN value END AS value,
+           CASE WHEN event_type = 'error' THEN user_id END AS new_column,
+           CASE WHEN event_type = 'click' THEN concat('{"event_id":"x', event_id, '"') END AS _corrupt_record
+    FROM events
 """)
 def stream_new_column(spark, sf_dir):
-    """Error records carry a column that the table does not know yet."""
+    """Error records carry a column that the table does not know yet; click records are broken and keep their text."""
     extra = F.when(F.col("event_type") == "error", F.col("user_id")).alias("new_column")
-    records = _events(spark, sf_dir).select(F.to_json(F.struct("event_id", "value", extra)).alias("record"))
-    path = scratch_path(spark, "stream-wide")
-    put = folder_per_batch(path)
-
-    def write(batch, batch_id):
-        put(widen(batch, "record", {"event_id": "bigint", "value": "double"}), batch_id)
-
-    write_batches(records, write, scratch_path(spark, "stream-log")).awaitTermination()
-    return read_batches(spark, path).select("event_id", "value", "new_column")
+    broken = F.concat(F.lit('{"event_id":"x'), "event_id", F.lit('"'))
+    record = F.when(F.col("event_type") == "click", broken).otherwise(F.to_json(F.struct("event_id", "value", extra)))
+    records = _in_files(spark, sf_dir, 3).select(record.alias("record"))
+    path, known = scratch_path(spark, "stream-wide"), {"event_id": "bigint", "value": "double"}
+    write_batches(records, widening_writer(path, "record", known), scratch_path(spark, "stream-log")).awaitTermination()
+    return read_widened(spark, path, known)

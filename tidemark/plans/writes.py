@@ -6,17 +6,22 @@ import uuid
 
 from pyspark.sql import SparkSession, functions as F
 
-from tidemark.functions import geo, times
+from tidemark import datasets
+from tidemark.functions import times
 from tidemark.operators import maintenance
+from tidemark.operators.combine import union_all
 from tidemark.operators.upsert import append_strict, upsert, upsert_into
 from tidemark.plans.aggregates import daily_readings
 from tidemark.plans.registry import plan, table
 from tidemark.plans.scalars import GEOHASH_SQL, customer_places
-from tidemark.session import scratch_path
-from tidemark.sinks.files import export_csv, import_csv, route_by_key, write_observed
+from tidemark.session import materialize, scratch_path
+from tidemark.sinks.files import export_csv, import_csv, read_routed, route_by_key, write_observed
+from tidemark.sources import catalog
+from tidemark.sources.csv_files import read_csv
 from tidemark.timetable import (
     PARTITION_COLUMN,
     TimeTable,
+    create_statement,
     create_table,
     insert_into,
     read_time_table,
@@ -73,6 +78,24 @@ def dedup_disable(spark, sf_dir):
     return spark.table(name).drop(PARTITION_COLUMN)
 
 
+@plan("""
+    WITH batches AS (
+      SELECT CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(date_trunc('day', ts) AS TIMESTAMP) END AS day, user_id, value, event_id, event_id % 2 AS batch FROM events)
+    SELECT day, user_id, value, event_id FROM batches
+    QUALIFY row_number() OVER (PARTITION BY day, user_id ORDER BY batch DESC, event_id DESC) = 1
+""")
+def upsert_null_time(spark, sf_dir):
+    """Two batches of readings, a third of them without a time: NULL is a key like any other."""
+    events = table(spark, sf_dir, "events")
+    day = F.when(F.col("event_id") % 3 != 0, F.date_trunc("DAY", "ts").cast("timestamp_ntz")).alias("day")
+    readings = events.select(day, "user_id", "value", "event_id")
+    target = TimeTable(readings.schema, ts="day", unit="HOUR", keys=("day", "user_id"))
+    path = scratch_path(spark, "null-times")
+    for batch in (0, 1):
+        upsert(readings.where(F.col("event_id") % 2 == batch), path, target, ["event_id"])
+    return read_time_table(spark, path, target).drop(PARTITION_COLUMN)
+
+
 @plan("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity FROM lineitem", name="append_table")
 def append_rows(spark, sf_dir):
     """Lines by return flag, appended batch by batch to a YEAR table."""
@@ -111,16 +134,81 @@ def partition_pruned_range(spark, sf_dir):
     return time_between(stored, "o_orderdate", "1997-02-10", "1997-11-20", unit="MONTH").drop(PARTITION_COLUMN)
 
 
-@plan("SELECT * FROM events")
+@plan("""
+    SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 2 = 0 THEN value ELSE -1 END AS value, props
+    FROM events WHERE event_id % 2 = 0 OR event_id % 3 = 0
+""")
 def table_copy(spark, sf_dir):
+    """A copy into a target that holds other rows, and older ones of the same keys."""
     events = table(spark, sf_dir, "events")
     database = new_database(spark)
-    create_table(spark, f"{database}.origin", TimeTable(events.schema, ts="ts", unit="DAY", keys=("ts", "event_id")))
-    insert_into(spark, events, f"{database}.origin")
+    facts = TimeTable(events.schema, ts="ts", unit="DAY", keys=("ts", "event_id"))
+    for name, rows in (("origin", events.where("event_id % 2 = 0")), ("copy", events.where("event_id % 3 = 0").withColumn("value", F.lit(-1.0)))):
+        create_table(spark, f"{database}.{name}", facts)
+        insert_into(spark, rows, f"{database}.{name}")
     maintenance.copy_table(spark, f"{database}.origin", f"{database}.copy")
     return spark.table(f"{database}.copy").drop(PARTITION_COLUMN)
 
 
+@plan("""
+    SELECT 'readings' AS name, CAST(date_trunc('day', ts) AS DATE) AS day, count(*) AS rows, 'ts' AS designated, true AS dedup
+    FROM events GROUP BY 2
+""")
+def catalog_scan(spark, sf_dir):
+    """What the catalog says of a table's partitions, next to the rows in them."""
+    events = table(spark, sf_dir, "events")
+    database = new_database(spark)
+    create_table(spark, f"{database}.readings", TimeTable(events.schema, ts="ts", unit="DAY", keys=("ts", "event_id")))
+    insert_into(spark, events, f"{database}.readings")
+    listed = catalog.partitions(spark, f"{database}.readings")
+    facts = catalog.tables(spark, database).select("name", F.col("designatedTimestamp").alias("designated"), "dedup")
+    sizes = spark.table(f"{database}.readings").groupBy(PARTITION_COLUMN).agg(F.count("*").alias("rows"))
+    return listed.join(sizes, PARTITION_COLUMN).crossJoin(facts).select(
+        "name", F.col(PARTITION_COLUMN).cast("date").alias("day"), "rows", "designated", "dedup"
+    )
+
+
+@plan("SELECT n_nationkey, n_name FROM nation UNION ALL SELECT r_regionkey + 100, r_name FROM region")
+def insert_values(spark, sf_dir):
+    """Rows given as literals, in two inserts."""
+    name = f"{new_database(spark)}.names"
+    spark.sql(f"CREATE TABLE {name} (n_nationkey bigint, n_name string) USING parquet")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    regions = table(spark, sf_dir, "region").select(F.col("r_regionkey") + 100, "r_name")
+    for rows in (nations, regions):
+        maintenance.insert_rows(spark, name, [tuple(r) for r in rows.collect()])
+    return spark.table(name)
+
+
+@plan("SELECT r_name, r_regionkey FROM region WHERE r_regionkey <> 3")
+def bulk_tables(spark, sf_dir):
+    """A table per region, created in bulk and filled; one is dropped, the rest is read; then all are dropped."""
+    regions = table(spark, sf_dir, "region").select("r_name", "r_regionkey")
+    database, count = new_database(spark), regions.count()
+    names = maintenance.create_tables(spark, f"{database}.region_", count, "CREATE TABLE {table_name} (r_name string, r_regionkey bigint) USING parquet")
+    for i, name in enumerate(names):
+        insert_into(spark, regions.where(F.col("r_regionkey") == i), name)
+    maintenance.drop_table(spark, names[3])
+    left = [spark.table(n) for n in names if spark.catalog.tableExists(n)]
+    kept = materialize(union_all(*left), "bulk")
+    maintenance.drop_tables(spark, f"{database}.region_", count)
+    return kept if not spark.catalog.listTables(database) else kept.limit(0)
+
+
+@plan("""
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, year(o_orderdate) = CAST(strftime(o_orderdate, '%Y') AS BIGINT) AS in_its_part FROM orders
+""")
+def create_from_statement(spark, sf_dir):
+    """The text of a CREATE statement is run as it is; rows then lie in the parts it declares."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    name = f"{new_database(spark)}.orders"
+    spark.sql(create_statement(name, TimeTable(orders.schema, ts="o_orderdate", unit="YEAR")))
+    insert_into(spark, orders, name)
+    return spark.table(name).select(
+        "o_orderkey", F.to_date("o_orderdate").alias("day"), (F.year("o_orderdate").cast("string") == F.col(PARTITION_COLUMN)).alias("in_its_part")
+    )
+
+
 @plan("""
     SELECT event_id, ts, value FROM events
     WHERE date_trunc('day', ts) > date_trunc('day', TIMESTAMP '2037-09-20 08:00:00' - INTERVAL 5000 DAY)
@@ -172,11 +260,14 @@ def observed_ingest(spark, sf_dir):
     return spark.read.parquet(path).agg(F.count("*").alias("rows")).withColumn("observed", F.lit(seen["rows"]).cast("bigint"))
 
 
-@plan("SELECT event_id, ts, user_id, event_type, value FROM events", name="route_by_key")
+@plan("SELECT event_id, ts, '00' || (user_id % 10) AS route, event_type, value FROM events", name="route_by_key")
 def route_rows(spark, sf_dir):
+    """Routes that look like numbers stay the text they are."""
     path = scratch_path(spark, "routed")
-    route_by_key(table(spark, sf_dir, "events").drop("props"), "event_type", path)
-    return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value")
+    route = F.concat(F.lit("00"), F.col("user_id") % 10).alias("route")
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", route, "event_type", "value")
+    route_by_key(rows, "route", path)
+    return read_routed(spark, path, rows.schema)
 
 
 @plan("""
@@ -193,22 +284,35 @@ def csv_import(spark, sf_dir):
     return spark.table(name)
 
 
-@plan(f"SELECT TIMESTAMP '2023-09-04' AS \"UpdatedAt\", concat('S', c_custkey) AS \"SensorName\", g7c AS \"G7c\" FROM ({GEOHASH_SQL})")
+@plan("""
+    SELECT event_id, date_trunc('second', ts)::TIMESTAMP AS at, ts, event_type, CAST(CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(user_id AS VARCHAR) END AS VARCHAR) AS mixed FROM events
+""")
+def csv_import_inferred(spark, sf_dir):
+    """Types found by looking at all values: 12-hour times, ISO times, and a column that is a number but for some."""
+    events = table(spark, sf_dir, "events")
+    mixed = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("user_id").cast("string")).alias("mixed")
+    path, name = scratch_path(spark, "inferred-csv"), f"{new_database(spark)}.readings"
+    export_csv(events.select("event_id", F.date_format("ts", times.CLOCK_12H).alias("at"), "ts", "event_type", mixed), path)
+    import_csv(spark, path, name, overwrite=True)
+    rows = spark.table(name)
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c, t in rows.dtypes if t == "timestamp"})
+
+
+@plan(f"""
+    SELECT TIMESTAMP '2023-09-04' AS "UpdatedAt", concat('S', c_custkey) AS "SensorName", 'Water' AS "SensorType",
+           c_acctbal / 10000 * 80 AS "Latitude", CAST(c_custkey % 360 - 180 AS DOUBLE) AS "Longitude", g7c AS "G7c"
+    FROM ({GEOHASH_SQL}) JOIN customer USING (c_custkey)
+""")
 def elt_locations(spark, sf_dir):
-    """Raw CSV to a typed YEAR table with a geohash, without a staging table."""
+    """Landed CSV to a typed YEAR table with a geohash, without a staging table."""
     places = customer_places(table(spark, sf_dir, "customer"))
     path, name = scratch_path(spark, "locations-csv"), f"{new_database(spark)}.locations"
-    export_csv(
-        places.select(F.concat(F.lit("S"), "c_custkey").alias("SensorName"), F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude")),
-        path,
-    )
-    raw = spark.read.csv(path, header=True, schema="SensorName string, Latitude double, Longitude double")
-    rows = raw.select(
-        F.lit("2023-09-04T00:00:00.000000Z").cast("timestamp").cast("timestamp_ntz").alias("UpdatedAt"),
-        "SensorName",
-        geo.make_geohash(F.col("Longitude"), F.col("Latitude")).alias("G7c"),
+    landed = places.select(
+        F.concat(F.lit("S"), "c_custkey").alias("SensorName"), F.lit("Water").alias("SensorType"), F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude")
     )
-    create_table(spark, name, TimeTable(rows.schema, ts="UpdatedAt", unit="YEAR"))
+    export_csv(landed, path)
+    raw = read_csv(spark, path, "SensorName string, SensorType string, Latitude string, Longitude string")
+    create_table(spark, name, datasets.target("sensor_locations"))
     maintenance.truncate_table(spark, name)
-    insert_into(spark, rows, name)
-    return spark.table(name).drop(PARTITION_COLUMN)
+    insert_into(spark, datasets.locations(raw), name)
+    return spark.table(name).drop(PARTITION_COLUMN).withColumn("UpdatedAt", F.col("UpdatedAt").cast("timestamp_ntz"))
