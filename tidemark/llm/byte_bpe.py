@@ -11,8 +11,9 @@ merged rank by rank, so a piece of n bytes takes about n log n steps whatever it
 
 Decoding concatenates the tokens' bytes up the same tree, which is one join of byte strings.
 
-Encodings of short pieces and of token pairs are remembered per worker in tables of at most
-`REMEMBERED` entries; a full table is emptied, so memory is bounded and results never change.
+Encodings of short pieces, of short halves and of token pairs are remembered per worker, in
+tables of at most `REMEMBERED` entries; a full table is emptied, so memory is bounded and
+results never change.
 
 Defined cases: null and empty text have no tokens and decode to no bytes; special tokens are
 ordinary text; repeated rows and null ids are ordinary rows; other columns are returned as they
@@ -36,6 +37,8 @@ from tidemark.llm.tasks import map_batches
 REMEMBERED = 400_000
 #: Pieces of more characters are not remembered.
 LONGEST_REMEMBERED = 48
+#: Halves of pieces up to so many bytes, which pieces share, are remembered too.
+SHORT_HALF = 8
 #: Texts of more characters are cut by an iterator instead of a list of all pieces.
 LONG_TEXT = 1_000_000
 _CHUNK = 100_000
@@ -56,6 +59,7 @@ class Vocabulary:
         self.names = {rank: str(rank) for rank in self.tokens}
         self.pattern = regex.compile(pattern)
         self.pairs: dict[tuple[int, int], list[int]] = {}
+        self.halves: dict[bytes, list[int]] = {}
         self.known = _Known(self)
 
     def _merged(self, data: bytes) -> list[int]:
@@ -106,8 +110,15 @@ class Vocabulary:
         rank = self.ranks.get(data)
         if rank is not None:
             return [rank]
-        half = len(data) // 2
-        return self.join(self.piece(data[:half]), self.piece(data[half:]))
+        ids = self.halves.get(data)
+        if ids is None:
+            half = len(data) // 2
+            ids = self.join(self.piece(data[:half]), self.piece(data[half:]))
+            if len(data) <= SHORT_HALF:
+                if len(self.halves) >= REMEMBERED:
+                    self.halves.clear()
+                self.halves[data] = ids
+        return ids
 
     def encode(self, text: str) -> list[int]:
         known = self.known
@@ -179,7 +190,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             columns += [pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in kept] + ["n_tokens", "ids"])
 
-    schema = StructType(kept).add("n_tokens", LongType()).add("ids", ArrayType(IntegerType()))
+    schema = StructType(list(kept)).add("n_tokens", LongType()).add("ids", ArrayType(IntegerType()))
     return map_batches(docs.select(*[f"`{f.name}`" for f in kept]), encode_batches, schema)
 
 
@@ -194,7 +205,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, carry: list[str]) -> Dat
             decoded = [vocabulary.decode(ids.as_py() or []) for ids in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in carry] + [pa.array(decoded, pa.binary())], carry + ["decoded"])
 
-    return map_batches(encoded.select(*carry, "ids"), decode_batches, StructType(kept).add("decoded", BinaryType()))
+    return map_batches(encoded.select(*dict.fromkeys([*carry, "ids"])), decode_batches, StructType(list(kept)).add("decoded", BinaryType()))
 
 
 def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
