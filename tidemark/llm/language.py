@@ -51,6 +51,8 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     opens = offsets + np.arange(n + 1)  # the separator before each text
     keep = codes != 0
     keep[1:] |= codes[:-1] != 0
+    ends = opens[1:] - 1
+    keep[ends[codes[ends] == 0]] = False  # the separator after the text does for its last run
     keep[opens] = True
     at = np.concatenate([[0], np.cumsum(keep)])[opens]
     codes = codes[keep]
@@ -59,7 +61,6 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     for k in range(GRAM):
         grams = (grams << np.uint32(8)) | codes[k : k + size]
     # an n-gram belongs to the text it starts in and must end by the separator after it
-    inside = np.zeros(size, bool)
     counts = np.maximum(0, at[1:] - at[:-1] + 1 - GRAM + 1)
     step = np.zeros(size + 1, np.int8)
     used = counts > 0
