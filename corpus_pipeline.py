@@ -2,22 +2,56 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import near_dedup
+from tidemark.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, quality
 from tidemark.session import materialize, utc
 
+#: Vocabulary of the last stage.
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.drop_low_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exactly_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts."""
+    return exact_dedup.drop_exact_duplicates(docs)
+
 
 def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates."""
     return near_dedup.drop_near_duplicates(docs)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with n_tokens and ids, and whether the ids decode to the text again."""
+    path = public_tokenizers.path(RANKS)
+    with_ids = byte_bpe.encode(docs, path, public_tokenizers.PATTERN)
+    decoded = byte_bpe.decode(with_ids, path, public_tokenizers.PATTERN, with_ids.columns)
+    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return decoded.withColumn("round_trip", same).drop("decoded")
+
+
 STAGES = [
+    ("good_quality", good_quality),
+    ("exactly_deduplicated", exactly_deduplicated),
     ("near_deduplicated", near_deduplicated),
+    ("decontaminated", decontaminated),
+    ("encoded", encoded),
 ]
 
-#: A trained stage has no SQL; the tests hold the other stages against brute force.
+#: The first stage is trained, so SQL cannot give the rows; the tests hold every later stage
+#: against brute force on the rows of the stage before it.
 ORACLE_SQL = None
 
 
