@@ -50,9 +50,10 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     codes[np.arange(len(data)) + shift] = _LETTER[data]
     opens = offsets + np.arange(n + 1)  # the separator before each text
     keep = codes != 0
-    keep[1:] |= codes[:-1] != 0
-    ends = opens[1:] - 1
-    keep[ends[codes[ends] == 0]] = False  # the separator after the text does for its last run
+    run = np.cumsum(keep)  # separators of one run share a number
+    beside = np.zeros(len(data) + 1, bool)
+    beside[run[opens]] = True  # runs that touch the end of a text shrink to the separator there
+    keep[1:] |= keep[:-1] & ~beside[run[1:]]
     keep[opens] = True
     at = np.concatenate([[0], np.cumsum(keep)])[opens]
     codes = codes[keep]
