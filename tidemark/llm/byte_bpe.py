@@ -12,8 +12,8 @@ merged rank by rank, so a piece of n bytes takes about n log n steps whatever it
 Decoding concatenates the tokens' bytes up the same tree, which is one join of byte strings.
 
 Encodings of short pieces, of short halves and of token pairs are remembered per worker, in
-tables of at most `REMEMBERED` entries; a full table is emptied, so memory is bounded and
-results never change.
+tables of at most `REMEMBERED` entries (fewer, and emptied after each task, in `encode`); a full
+table is emptied, so memory is bounded and results never change.
 
 Defined cases: null and empty text have no tokens and decode to no bytes; special tokens are
 ordinary text; repeated rows and null ids are ordinary rows; other columns are returned as they
@@ -27,14 +27,18 @@ import hashlib
 import itertools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructType
 
+from tidemark.llm.arrow_text import bytes_of, row_groups
 from tidemark.llm.tasks import map_batches
 
 REMEMBERED = 400_000
+#: The same for `encode`, whose tasks hold rows and ids beside the tables.
+REMEMBERED_BESIDE_ROWS = 100_000
 #: Pieces of more characters are not remembered.
 LONGEST_REMEMBERED = 48
 #: Halves of pieces up to so many bytes, which pieces share, are remembered too.
@@ -54,13 +58,19 @@ class Vocabulary:
     """Encoding and decoding with one set of ranks and one pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.remembered = REMEMBERED
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.names = {rank: str(rank) for rank in self.tokens}
         self.pattern = regex.compile(pattern)
-        self.pairs: dict[tuple[int, int], list[int]] = {}
-        self.halves: dict[bytes, list[int]] = {}
-        self.known = _Known(self)
+        self.pairs: dict[tuple[int, int], list[int]]
+        self.halves: dict[bytes, list[int]]
+        self.known: _Known
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the tables of remembered encodings."""
+        self.pairs, self.halves, self.known = {}, {}, _Known(self)
 
     def _merged(self, data: bytes) -> list[int]:
         """Rank-by-rank merges of a short window."""
@@ -80,7 +90,7 @@ class Vocabulary:
     def _pair(self, a: int, b: int) -> list[int]:
         found = self.pairs.get((a, b))
         if found is None:
-            if len(self.pairs) >= REMEMBERED:
+            if len(self.pairs) >= self.remembered:
                 self.pairs.clear()
             found = self.pairs[a, b] = self._merged(self.tokens[a] + self.tokens[b])
         return found
@@ -115,7 +125,7 @@ class Vocabulary:
             half = len(data) // 2
             ids = self.join(self.piece(data[:half]), self.piece(data[half:]))
             if len(data) <= SHORT_HALF:
-                if len(self.halves) >= REMEMBERED:
+                if len(self.halves) >= self.remembered:
                     self.halves.clear()
                 self.halves[data] = ids
         return ids
@@ -150,7 +160,7 @@ class _Known(dict):
     def __missing__(self, piece: str) -> list[int]:
         ids = self.vocabulary.piece(piece.encode("utf-8"))
         if len(piece) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.vocabulary.remembered:
                 self.clear()
             self[piece] = ids
         return ids
@@ -173,24 +183,49 @@ def _broadcast(spark: SparkSession, path: str, pattern: str):
     return spark.sparkContext.broadcast((read_ranks(path), pattern))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with about a megabyte of text together."""
+    for batch in batches:
+        _, offsets = bytes_of(batch.column("text"))
+        for lo, hi in row_groups(offsets):
+            yield batch.slice(lo, hi - lo)
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[str]:
     return (value.as_py() or "" for value in batch.column("text"))
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """`docs` with n_tokens and ids (array<int>) added."""
+def encode(docs: DataFrame, path: str, pattern: str, round_trip: bool = False) -> DataFrame:
+    """`docs` with n_tokens and ids (array<int>) added, and with `round_trip` a column of that name
+
+    which says whether the ids decode to the text's bytes, found in the same task.
+    """
     broadcast = _broadcast(docs.sparkSession, path, pattern)
-    kept = [f for f in docs.schema.fields if f.name not in ("n_tokens", "ids")]
+    added = ["n_tokens", "ids"] + (["round_trip"] if round_trip else [])
+    kept = [f for f in docs.schema.fields if f.name not in added]
 
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(broadcast)
-        for batch in batches:
-            ids = [vocabulary.encode(text) for text in _texts(batch)]
-            columns = [batch.column(f.name) for f in kept]
-            columns += [pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in kept] + ["n_tokens", "ids"])
+        vocabulary.remembered = REMEMBERED_BESIDE_ROWS
+        try:
+            for part in _parts(batches):
+                ids, same = [], []
+                for text in _texts(part):
+                    found = vocabulary.encode(text)
+                    if round_trip:
+                        same.append(vocabulary.decode(found) == text.encode("utf-8"))
+                    ids.append(np.array(found, np.int32))
+                columns = [part.column(f.name) for f in kept]
+                columns += [pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
+                if round_trip:
+                    columns.append(pa.array(same, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in kept] + added)
+        finally:
+            vocabulary.forget()
 
     schema = StructType(list(kept)).add("n_tokens", LongType()).add("ids", ArrayType(IntegerType()))
+    if round_trip:
+        schema = schema.add("round_trip", BooleanType())
     return map_batches(docs.select(*[f"`{f.name}`" for f in kept]), encode_batches, schema)
 
 
@@ -214,6 +249,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(broadcast)
+        vocabulary.remembered = REMEMBERED
         for batch in batches:
             counts, of_ids, of_bytes = [], [], []
             for text in _texts(batch):
