@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, quality
 from tidemark.session import materialize, utc
@@ -35,11 +34,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with n_tokens and ids, and whether the ids decode to the text again."""
-    path = public_tokenizers.path(RANKS)
-    with_ids = byte_bpe.encode(docs, path, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(with_ids, path, public_tokenizers.PATTERN, with_ids.columns)
-    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return decoded.withColumn("round_trip", same).drop("decoded")
+    return byte_bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, round_trip=True)
 
 
 STAGES = [
