@@ -70,6 +70,41 @@ def test_odd_rows(odd):
     assert sorted(got[None]) == [(0, None, True), (1, None, True)]
 
 
+def test_rows_are_told_apart_by_number(spark):
+    def said(k, n=30):
+        return " ".join(f"t{k}w{i}" for i in range(n))
+
+    rows = [
+        (1, said(0)), (None, said(0) + " more"), (None, said(1)), (None, said(2)),  # only the near copy goes
+        (2, said(3)), (7, said(3) + " more"), (7, said(4)),  # one id, two texts: only the near copy goes
+        (None, said(5)), (None, said(5) + " more"), (None, said(5) + " less"),  # one of them stays
+        (9, said(6)), (9, said(6) + " more"), (9, said(6)),  # one of them stays
+        (None, None), (None, " "),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    stayed = near_dedup.drop_near_duplicates(frame).collect()
+    texts = sorted((r["text"] or "").removesuffix(" more").removesuffix(" less") for r in stayed)
+    assert texts == sorted([said(k) for k in range(7)] + ["", " "])
+    assert {(r["doc_id"], r["text"]) for r in stayed} >= {rows[i] for i in (0, 2, 3, 4, 6, 13, 14)}
+    judged = near_dedup.near_duplicates(frame).collect()
+    assert len(judged) == len(rows)
+    kept = [r["doc_id"] for r in judged if r["kept"] and r["n_shingles"]]
+    # rows of one id and set are one document
+    assert {i: kept.count(i) for i in (None, 1, 2, 7)} == {None: 3, 1: 1, 2: 1, 7: 1} and kept.count(9) in (1, 2)
+
+
+def test_scratch_of_dropping_goes_before_the_result_is_read(odd):
+    from tidemark import session
+    from tidemark.llm import exact_dedup
+
+    for drop, stay in ((near_dedup.drop_near_duplicates, {"numbered", "near"}), (exact_dedup.drop_exact_duplicates, {"named", "exact"})):
+        before = set(session._written)
+        left = drop(odd)
+        names = {path.rsplit("/", 1)[1].split("-")[0].split("_")[0] for path in session._written - before}
+        assert names == stay
+        assert left.count() > 0
+
+
 def test_empty_table_and_clashing_names(nothing, clashing, odd):
     assert near_dedup.near_duplicates(nothing).collect() == []
     stayed = near_dedup.drop_near_duplicates(clashing)

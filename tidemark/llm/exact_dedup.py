@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, write_aside
+from tidemark.session import materialize, materialize_last, write_aside
 
 BUCKET_ENTRIES = 65_536
 #: Bits of the largest directory: at most 2**20 slots.
@@ -115,5 +115,5 @@ def drop_exact_duplicates(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES)
     names = [f"_c{i}" for i in range(len(docs.columns))]
     named = materialize(docs.toDF(*names).withColumn("_row", F.monotonically_increasing_id()), "named")
     ids = [F.col(names[docs.columns.index(c)]).alias(c) for c in ("doc_id", "text")]
-    gone = materialize(_found(named.select("_row", *ids), bucket_entries).where("NOT kept").select("_row"), "exact_dropped")
+    gone = materialize_last(lambda: _found(named.select("_row", *ids), bucket_entries).where("NOT kept").select("_row"), "exact_dropped")
     return named.join(gone, "_row", "left_anti").select(*names).toDF(*docs.columns)

@@ -19,9 +19,14 @@ sixteen times as many each turn, until every pair of a bucket is in one componen
 itself, or is told apart by bits of its sketches (1 in 300,000 pairs at 0.75 is lost there); a
 group of similar texts costs about one comparison per member and is never expanded into pairs.
 
+Rows are numbered once, and the number tells them apart: the first row of a class by doc_id
+(null last), then number, stands for the class, and the first of a component stays.
+
 Defined cases: a null text counts as empty; empty texts are kept and stand alone; a null
-doc_id is ignored for the smallest id of a component (null if it has no other); repeated rows
-are copies of each other; an empty table gives an empty result; other columns are ignored.
+doc_id is ignored for the smallest id of a component (null if it has no other); rows without
+doc_id are different documents; rows that share a doc_id and a set are one document, so all
+are marked kept if one stays, and `drop_near_duplicates` leaves one of them; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,14 +42,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrow_text import bytes_of, constants, mix, row_groups, shingle_sets, words
 from tidemark.llm.components import components, extended
 from tidemark.llm.tasks import map_batches
-from tidemark.session import drop_aside, materialize, write_aside
+from tidemark.session import drop_aside, materialize, materialize_last, write_aside, written_aside
 
 SHINGLE_WORDS = 5
 BANDS, ROWS = 100, 8
 COORDINATES = BANDS * ROWS
 #: Per cent of the union that linked sets share.
 LINK_PERCENT = 75
-#: Candidate classes whose ids (32 bytes each) are sent to every executor at most; more are
+#: Candidate classes whose ids (8 bytes each) are sent to every executor at most; more are
 #: joined by shuffling the texts.
 BROADCAST_CLASSES = 500_000
 
@@ -130,26 +135,22 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             rows = sketches(sets, np.concatenate([[0], at[1:][sizes > 0]]))
             buckets, planes = _lists(band_keys(rows).view(np.int64), used, hi - lo), _lists(bit_planes(rows), used, hi - lo)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(lo, hi - lo), pa.array(fp1), pa.array(fp2), pa.array(sizes.astype(np.int64)), buckets, planes],
-                ["doc_id", "fp1", "fp2", "n_shingles", "buckets", "planes"],
+                [batch.column("_row").slice(lo, hi - lo), batch.column("doc_id").slice(lo, hi - lo), pa.array(fp1), pa.array(fp2), pa.array(sizes.astype(np.int64)), buckets, planes],
+                ["_row", "doc_id", "fp1", "fp2", "n_shingles", "buckets", "planes"],
             )
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class_id, its set as bytes) where the text still has the set of its class."""
+    """(class_id, its set as bytes)."""
     for batch in batches:
         data, offsets = bytes_of(batch.column("text"))
-        want = [batch.column(c).to_numpy() for c in ("fp1", "fp2", "n_shingles")]
         for lo, hi in row_groups(offsets):
             hashes, _, _, bounds = words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
             sets, at = shingle_sets(hashes, bounds, SHINGLE_WORDS)
-            have = (*_fingerprints(sets, at), np.diff(at))
-            same = np.logical_and.reduce([h == w[lo:hi] for h, w in zip(have, want)])
-            rows = np.flatnonzero(same)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("class_id").slice(lo, hi - lo).take(pa.array(rows)),
-                    pa.array([sets[at[i] : at[i + 1]].tobytes() for i in rows], pa.binary()),
+                    batch.column("class_id").slice(lo, hi - lo),
+                    pa.array([sets[at[i] : at[i + 1]].tobytes() for i in range(hi - lo)], pa.binary()),
                 ],
                 ["class_id", "shingles"],
             )
@@ -169,17 +170,15 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes, read from files, whose full sets are similar enough; written aside."""
     spark = pairs.sparkSession
-    ids = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
-    wanted_path = write_aside(ids.join(classes, "class_id").select("class_id", "rep_doc", "fp1", "fp2", "n_shingles"), "wanted")
+    wanted_path = write_aside(pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct(), "wanted")
     wanted = spark.read.parquet(wanted_path)
     if wanted.count() <= BROADCAST_CLASSES:
         wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep_doc"])).select("class_id", "fp1", "fp2", "n_shingles", "text")
-    sets = map_batches(texts, _set_batches, "class_id long, shingles binary").dropDuplicates(["class_id"])
-    sets_path = write_aside(sets, "sets")
+    texts = rows.join(wanted, rows["_row"] == wanted["class_id"]).select("class_id", "text")
+    sets_path = write_aside(map_batches(texts, _set_batches, "class_id long, shingles binary"), "sets")
     sets = spark.read.parquet(sets_path)
     compared = (
         pairs.join(sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("b_set")), "b")
@@ -243,31 +242,45 @@ def _agreeing(a: str, b: str) -> Column:
 
 def _still_apart(rest: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets that still hold several components."""
-    rest = materialize(_labelled(rest, labels), "rest")
-    mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return materialize(rest.drop("label").join(mixed.select("bucket"), "bucket", "left_semi"), "apart")
+    with written_aside(_labelled(rest, labels), "rest") as rest:
+        mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        return materialize(rest.drop("label").join(mixed.select("bucket"), "bucket", "left_semi"), "apart")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    drawn = map_batches(docs, _sketch_batches, "doc_id long, fp1 long, fp2 long, n_shingles long, buckets array<long>, planes array<long>")
-    drawn = materialize(drawn, "sketches")
-    classes = (
-        drawn.where("n_shingles > 0")
-        .groupBy("fp1", "fp2", "n_shingles")
-        .agg(F.min("doc_id").alias("rep_doc"), F.first("buckets").alias("buckets"), F.first("planes").alias("planes"))
-        .withColumn("class_id", F.monotonically_increasing_id())
-    )
-    classes = materialize(classes, "classes")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with a fixed number _row for each row, written aside."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """_row, doc_id, n_shingles, component_id, kept and stays of rows (_row, doc_id, text), read from files.
+
+    Exactly one row of a component stays.
+    """
+    spark = rows.sparkSession
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    numbers = "fp1 long, fp2 long, n_shingles long"
+    sketched = map_batches(rows, _sketch_batches, f"_row long, doc_id {kind}, {numbers}, buckets array<long>, planes array<long>")
+    with written_aside(sketched, "sketches") as sketched:
+        classes = (
+            sketched.where("n_shingles > 0")
+            .groupBy("fp1", "fp2", "n_shingles")
+            .agg(
+                F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "_row")).alias("first_row"),
+                F.first("buckets").alias("buckets"),
+                F.first("planes").alias("planes"),
+            )
+            .withColumn("class_id", F.col("first_row._row"))
+        )
+        classes = materialize(classes, "classes")
+        drawn = materialize(sketched.drop("buckets", "planes"), "drawn")
 
     placed = classes.select("class_id", F.explode("buckets").alias("bucket"))
     several = placed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    met = materialize(placed.join(several, "bucket"), "buckets")
-    # how often a class meets others: the text that copies derive from meets most of them
-    weights = met.groupBy("class_id").agg(F.sum("members").alias("weight")).join(classes.select("class_id", "n_shingles"), "class_id")
-    rest = materialize(met.drop("members").join(weights, "class_id"), "members")
+    with written_aside(placed.join(several, "bucket"), "buckets") as met:
+        # how often a class meets others: the text that copies derive from meets most of them
+        weights = met.groupBy("class_id").agg(F.sum("members").alias("weight")).join(classes.select("class_id", "n_shingles"), "class_id")
+        rest = materialize(met.drop("members").join(weights, "class_id"), "members")
 
     labels, tested, profiles, turn = None, None, None, 0
     while not rest.isEmpty():
@@ -281,7 +294,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
-        links = _verified(pairs, classes, docs)
+        links = _verified(pairs, rows)
         if labels is None:
             labels = components(links, "a", "b")
         elif not links.isEmpty():
@@ -292,24 +305,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         labels = spark.createDataFrame([], "vertex long, label long")
 
     reached = classes.join(labels.withColumnRenamed("vertex", "class_id"), "class_id", "left").select(
-        "fp1", "fp2", "n_shingles", "rep_doc", F.coalesce("label", "class_id").alias("label")
+        "fp1", "fp2", "n_shingles", "class_id", "first_row", F.coalesce("label", "class_id").alias("label")
     )
-    smallest = reached.groupBy("label").agg(F.min("rep_doc").alias("component_id"))
-    named = reached.join(smallest, "label").select("fp1", "fp2", "n_shingles", "component_id")
-    return (
-        drawn.select("doc_id", "fp1", "fp2", "n_shingles")
-        .join(named, ["fp1", "fp2", "n_shingles"], "left")
-        .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = reached.groupBy("label").agg(F.min("first_row").alias("top"))
+    named = reached.join(first, "label").select("fp1", "fp2", "n_shingles", "class_id", "top")
+    alone = F.col("n_shingles") == 0
+    stays = alone | (F.col("_row") == F.col("top._row"))
+    same_document = (F.col("class_id") == F.col("top._row")) & (F.col("doc_id") == F.col("top.doc_id"))
+    return drawn.join(named, ["fp1", "fp2", "n_shingles"], "left").select(
+        "_row",
+        "doc_id",
+        "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("top.doc_id")).alias("component_id"),
+        (stays | F.coalesce(same_document, F.lit(False))).alias("kept"),
+        stays.alias("stays"),
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: one document of each group.
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+    return _judged(_numbered(docs.select("doc_id", "text"))).select("doc_id", "n_shingles", "component_id", "kept")
 
-    Rows are told apart by doc_id; of repeated rows with one doc_id and text all stay or go
-    together, so exact duplicates are removed first in a pipeline.
-    """
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = materialize(gone, "near_dropped")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that stay, with all their columns: one row of each group."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    named = _numbered(docs.toDF(*names))
+    ids = [F.col(names[docs.columns.index(c)]).alias(c) for c in ("doc_id", "text")]
+    gone = materialize_last(lambda: _judged(named.select("_row", *ids)).where("NOT stays").select("_row"), "near_dropped")
+    return named.join(gone, "_row", "left_anti").select(*names).toDF(*docs.columns)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -15,6 +16,8 @@ ROWS_PER_TASK = 2_000_000
 ROWS_PER_TASK_CONF = "spark.tidemark.rowsPerTask"
 
 _written: set[str] = set()
+#: What is written aside on the way to a table of `materialize_last`.
+_on_the_way: ContextVar[list[str] | None] = ContextVar("on_the_way", default=None)
 
 
 def utc(spark: SparkSession) -> SparkSession:
@@ -62,6 +65,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def write_aside(df: DataFrame, name: str) -> str:
     path = scratch_path(df.sparkSession, name)
     _written.add(path)
+    if (noted := _on_the_way.get()) is not None:
+        noted.append(path)
     df.write.parquet(path)
     return path
 
@@ -80,6 +85,21 @@ def written_aside(df: DataFrame, name: str) -> Iterator[DataFrame]:
         drop_aside(df.sparkSession, path)
 
 
+def materialize_last(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """:func:`materialize` for the table ``make`` gives; what ``make`` wrote aside goes."""
+    noted: list[str] = []
+    token = _on_the_way.set(noted)
+    try:
+        df = make()
+    finally:
+        _on_the_way.reset(token)
+    made = materialize(df, name)
+    for path in noted:
+        if path in _written:
+            drop_aside(df.sparkSession, path)
+    return made
+
+
 def drop_aside(spark: SparkSession, path: str) -> bool:
     _written.discard(path)
     return remove_path(spark, path)
