@@ -47,6 +47,34 @@ def test_cases(page, want):
     assert text(page) == want
 
 
+@pytest.mark.parametrize("name", ["related-work", "search-algorithms", "privacy-law", "social-history", "search", "privacy", "entry-header"])
+def test_a_topic_in_a_name_keeps_its_section(name):
+    for element in (f'section id="{name}"', f'div class="{name}"'):
+        assert text(f"<article><p>{BODY}</p><{element}><h2>Topic</h2><p>{BODY}</p><p>{BODY}</p></article>") == f"{BODY}\nTopic\n{BODY}\n{BODY}"
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot-1", "comments", "comment-list", "related-posts", "share-buttons", "cookie-notice", "main-menu", "post sidebar"])
+def test_a_name_of_furniture_drops_its_element(name):
+    assert text(f'<article><p>{BODY}</p><div class="{name}"><p>{BODY} No.</p></div><p>{BODY}</p></article>') == f"{BODY}\n{BODY}"
+
+
+def test_weak_names_are_weighed_against_links():
+    links = '<li><a href="/x">one more page</a>' * 4
+    assert text(f'<article><p>{BODY}</p><div class="related"><ul>{links}</ul></div></article>') == BODY
+
+
+@pytest.mark.parametrize("name", ["select", "svg", "math", "object", "noscript", "iframe", "template"])
+def test_elements_left_open_keep_the_page(name):
+    assert text(f"<article><p>{BODY}</p><{name}><p>{BODY}</p></article>") == f"{BODY}\n{BODY}"
+    assert text(f"<article><p>{BODY}</p><{name}><p>{BODY}</p><{name}>no</{name}><p>{BODY}</p></article>").count(BODY) >= (1 if name == "template" else 3)
+
+
+def test_math_is_text_and_choices_are_not():
+    math = "<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='application/x-tex'>x=2</annotation></math>"
+    assert text(f"<article><p>Let {math} hold in <object data='a'>a drawing</object>.</p></article>") == "Let x=2 hold in a drawing."
+    assert text("<article><p>one <select><option>no<option>no</select> <svg><text>no</text></svg> two</p></article>") == "one two"
+
+
 def test_tree_learns_its_table():
     rows = [[float(x) for x in line.split()] for line in html_text.LABELLED.strip().splitlines()]
     assert all(TREE.accepts(row[:-1]) == bool(row[-1]) for row in rows)

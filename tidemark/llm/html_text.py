@@ -2,14 +2,16 @@
 
 A page is cut into flat blocks of text at block-level tags. A block is described by its word
 count and link density, those of its neighbours, and the elements it stands in: page furniture
-by tag, page furniture by the words of class, id and role, an article or main element, a
-heading. A decision tree over these numbers, trained on the small labelled table below, tells
+by tag, page furniture by the names in class, id and role, an article or main element, a
+heading. A name counts as a whole: a word for furniture (weakly, if it is a topic as well), or a
+compound of such words with words for boxes and lists; `related-work` says nothing. A decision tree over these numbers, trained on the small labelled table below, tells
 main text from the rest; the blocks it accepts are joined in page order by line feeds.
 
 Scripts, styles, the head, form controls and hidden elements have no text. Character
 references are decoded, then white space inside a block becomes one space. Broken markup is
 read as browsers do where it matters: paragraphs may stay open, end tags without a start are
-ignored, an unclosed comment or script takes the rest of the page.
+ignored, an unclosed comment, script, style, title or textarea takes the rest of the page; no
+other element does.
 
 Defined cases: null html counts as empty; a page without main text has an empty string;
 repeated rows and null ids or urls are ordinary rows; an empty table gives an empty result;
@@ -36,7 +38,9 @@ BLOCK_TAGS = frozenset(
     "tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style title textarea noscript iframe xmp template svg math object select".split())
+RAW_TAGS = frozenset("script style title textarea".split())
+#: Dropped as far as their end tag; without one only the tag itself is.
+DROPPED_TAGS = frozenset("noscript iframe xmp template svg select annotation annotation-xml".split())
 SILENT_TAGS = frozenset("head button datalist audio video canvas".split())
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 CONTENT_TAGS = frozenset("article main".split())
@@ -47,13 +51,31 @@ FURNITURE_WORDS = frozenset(
     "newsletter notice overlay pager pagination popup privacy promo promotion rail related replies reply respond search share "
     "sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget".split()
 )
+#: Those that are topics of articles as well, and names that are both.
+WEAK_WORDS = frozenset(
+    "banner byline comment consent cookie cookies copyright dialog header login menu modal navigation notice overlay pagination "
+    "privacy promotion rail related replies reply respond search share sharing skip social sponsor subscription teaser "
+    "cookie-policy privacy-policy search-results social-media".split()
+)
 CONTENT_WORDS = frozenset("article content entry main post story".split())
+#: Words that make a compound with those of furniture or content: share-buttons, main-menu, ad-slot.
+BOX_WORDS = frozenset(
+    "area articles bar block body bottom box btn button buttons col column container desktop form group holder icon icons inner item "
+    "items left link links list mobile outer page panel posts primary right row secondary section site slot stories text title top "
+    "unit wrap wrapper".split()
+)
+FURNITURE_COMPOUNDS = frozenset("back-to-top log-in sign-up skip-to-content skip-to-main skip-to-main-content".split())
 
 _TAG = re.compile(
     r"""<(?:!--(?P<comment>)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\Z))|[!?/][^>]*+(?:>|\Z))"""
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile(r"[a-z]+")
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW_TAGS | DROPPED_TAGS}
+#: Start tags that end an element left open: its own (but svg and template nest) and, in svg and select, those of blocks.
+_BLOCK_START = "|".join(sorted(BLOCK_TAGS - {"option", "hr", "legend"}, key=len, reverse=True))
+_CUT = {name: re.compile(rf"<(?:{name})(?=[\s/>])", re.I) for name in DROPPED_TAGS - {"svg", "select", "template"}}
+_CUT |= {"svg": re.compile(rf"<(?:{_BLOCK_START}|foreignobject)(?=[\s/>])", re.I), "select": re.compile(rf"<(?:{_BLOCK_START}|select)(?=[\s/>])", re.I)}
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
@@ -63,32 +85,64 @@ class Block:
     words: int
     link_words: int
     furniture: bool
-    hinted: bool
+    #: 2 for a name of furniture, 1 for one that is a topic as well.
+    hinted: int
     content: bool
     heading: bool
 
 
-def _marks(name: str, rest: str) -> tuple[bool, bool, bool, bool]:
-    """(silent, furniture by tag, furniture by attribute words, content) of an element."""
+def _hint(name: str) -> int:
+    """How far a whole class, id or role names furniture: 0, 1 or 2."""
+    words = _WORDS.findall(name)
+    name = "-".join(words)
+    if name in WEAK_WORDS:
+        return 1
+    if name in FURNITURE_WORDS or name in FURNITURE_COMPOUNDS:
+        return 2
+    said = FURNITURE_WORDS.intersection(words)
+    if said == {"header"} and CONTENT_WORDS.intersection(words):
+        return 0
+    return 2 if said and all(w in FURNITURE_WORDS or w in BOX_WORDS or w in CONTENT_WORDS for w in words) else 0
+
+
+def _marks(name: str, rest: str) -> tuple[bool, bool, int, bool]:
+    """(silent, furniture by tag, furniture by attribute names, content) of an element."""
     attributes = {}
     if len(rest) > 1:
         for m in _ATTRIBUTE.finditer(rest):
             attributes.setdefault(m[1].lower(), next((g for g in m.groups()[1:] if g is not None), ""))
     silent = name in SILENT_TAGS or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
     silent = silent or bool(_HIDDEN.search(attributes.get("style", "").lower()))
-    said = set(_WORDS.findall(" ".join(attributes.get(a, "") for a in ("class", "id", "role")).lower()))
+    names = " ".join(attributes.get(a, "") for a in ("class", "id", "role")).lower()
     if name in ("html", "body") or name in CONTENT_TAGS:
-        return silent, False, False, name in CONTENT_TAGS
-    return silent, name in FURNITURE_TAGS, bool(said & FURNITURE_WORDS), bool(said & CONTENT_WORDS) and not said & FURNITURE_WORDS
+        return silent, False, 0, name in CONTENT_TAGS
+    hinted = max((_hint(n) for n in names.split()), default=0)
+    return silent, name in FURNITURE_TAGS, hinted, hinted < 2 and bool(CONTENT_WORDS.intersection(_WORDS.findall(names)))
+
+
+def _end_of(name: str, page: str, at: int, closes: dict[str, tuple[int, int]]) -> int:
+    """Where the dropped element that starts before `at` ends; `at` if it is left open.
+
+    `closes` holds the next end tag of each name, so that a page is searched once.
+    """
+    if name not in closes or closes[name][0] < at:
+        close = _CLOSE[name].search(page, at)
+        closes[name] = close.span() if close else (len(page) + 1, at)
+    start, end = closes[name]
+    if start > len(page):
+        return at
+    cut = _CUT[name].search(page, at, start) if name in _CUT else None
+    return end if cut is None or cut[0].lower() == "<foreignobject" else at
 
 
 def blocks(page: str) -> list[Block]:
     """The flat text blocks of a page."""
     found: list[Block] = []
     # open elements: name, silent, furniture, hinted, content, all with what they stand in
-    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+    stack: list[tuple[str, bool, bool, int, bool]] = [("", False, False, 0, False)]
     plain: list[str] = []
     linked: list[str] = []
+    closes: dict[str, tuple[int, int]] = {}
     in_link, heading, at, n = False, False, 0, len(page)
 
     def close_block() -> None:
@@ -119,10 +173,20 @@ def blocks(page: str) -> list[Block]:
         name, ends = m["name"].lower(), bool(m["end"])
         if name in RAW_TAGS:
             if not ends and not m["rest"].endswith("/>"):
-                close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                close = _CLOSE[name].search(page, at)
                 at = close.end() if close else n
             plain.append(" ")
             continue
+        if name in DROPPED_TAGS:
+            if not ends and not m["rest"].endswith("/>"):
+                at = _end_of(name, page, at, closes)
+            plain.append(" ")
+            continue
+        if name in ("option", "optgroup") and not ends:
+            # the choices of a select left open
+            end = page.find("<", at)
+            at = n if end < 0 else end
+            continue
         if name == "a":
             in_link = not ends
             continue
@@ -130,11 +194,11 @@ def blocks(page: str) -> list[Block]:
             marks = _marks(name, m["rest"]) if not ends and name not in VOID_TAGS and len(m["rest"]) > 6 else None
             if name in ("br", "img", "wbr", "input"):
                 plain.append(" ")
-            elif marks and (marks[0] or marks[2]):
+            elif marks and (marks[0] or marks[2] == 2):
                 # an inline element that hides its text or is marked as furniture
                 close_block()
                 _, silent, furniture, hinted, content = stack[-1]
-                stack.append((name, silent or marks[0], furniture, hinted or marks[2], content))
+                stack.append((name, silent or marks[0], furniture, max(hinted, marks[2]), content and marks[2] < 2))
             elif ends and any(e[0] == name for e in stack[1:]):
                 close_block()
                 while stack[-1][0] != name:
@@ -161,7 +225,7 @@ def blocks(page: str) -> list[Block]:
         _, s, f, h, c = stack[-1]
         if name == "header" and not c:
             furniture = True
-        stack.append((name, s or silent, f or furniture, h or hinted, (c or content) and not (furniture or hinted)))
+        stack.append((name, s or silent, f or furniture, max(h, hinted), (c or content) and not furniture and hinted < 2))
     close_block()
     return found
 
@@ -192,15 +256,15 @@ LABELLED = """
   4 0.00  90 0.00   0 0.00 1 0 0 1 0
  80 0.00  60 0.00  70 0.00 1 0 0 0 0
   6 0.30  80 0.00   5 1.00 1 0 1 0 0
-  8 0.00   2 1.00   9 0.00 0 1 0 0 0
- 40 0.00   2 1.00  12 0.00 0 1 0 0 0
- 25 0.00  60 0.00  25 0.00 0 1 0 0 0
- 90 0.00  70 0.00  60 0.00 0 1 0 0 0
-  3 0.00  80 0.00  20 0.00 0 1 0 1 0
- 12 0.00  12 0.00  12 0.00 0 1 1 0 0
- 35 0.00  50 0.00  40 0.00 0 1 1 0 0
-  2 1.00   2 1.00   2 1.00 0 1 0 0 0
- 20 0.00  30 0.00   5 0.50 1 1 0 0 0
+  8 0.00   2 1.00   9 0.00 0 2 0 0 0
+ 40 0.00   2 1.00  12 0.00 0 2 0 0 0
+ 25 0.00  60 0.00  25 0.00 0 2 0 0 0
+ 90 0.00  70 0.00  60 0.00 0 2 0 0 0
+  3 0.00  80 0.00  20 0.00 0 2 0 1 0
+ 12 0.00  12 0.00  12 0.00 0 2 1 0 0
+ 35 0.00  50 0.00  40 0.00 0 2 1 0 0
+  2 1.00   2 1.00   2 1.00 0 2 0 0 0
+ 20 0.00  30 0.00   5 0.50 1 2 0 0 0
  70 0.00  50 0.00   1 1.00 0 0 1 0 1
  30 0.00   2 1.00   2 1.00 0 0 1 0 1
   3 0.00   2 1.00   2 1.00 0 0 1 1 1
@@ -209,9 +273,9 @@ LABELLED = """
  60 0.00  44 0.00   2 1.00 0 0 0 0 1
  25 0.00   3 1.00   4 1.00 0 0 0 0 1
  33 0.05   2 1.00   1 1.00 0 0 0 0 1
-  9 0.00  14 0.00  20 0.00 0 1 1 0 0
- 70 0.00  30 0.00   2 0.00 0 1 1 0 0
- 40 0.00  60 0.00   2 1.00 0 1 1 0 0
+  9 0.00  14 0.00  20 0.00 0 2 1 0 0
+ 70 0.00  30 0.00   2 0.00 0 2 1 0 0
+ 40 0.00  60 0.00   2 1.00 0 2 1 0 0
  10 0.00  80 0.00   0 0.00 1 0 1 0 0
  30 0.00  80 0.00   2 0.00 1 0 0 0 0
   5 1.00   2 0.00  40 0.00 0 0 0 0 0
@@ -244,7 +308,64 @@ LABELLED = """
   4 0.00  90 0.00   0 0.00 0 0 0 0 0
   2 0.00   3 1.00   2 1.00 0 0 0 1 0
   3 0.00   4 0.00   5 1.00 0 0 0 1 0
+ 30 0.80  40 0.00  30 0.00 0 0 1 0 1
+ 60 0.50   2 1.00   2 1.00 0 0 1 0 1
+ 25 1.00   3 1.00   3 1.00 0 0 1 0 1
+100 0.60   0 0.00   0 0.00 0 0 1 0 1
+ 20 0.45  25 0.80  60 0.00 0 0 1 0 1
+ 16 0.90  12 1.00   5 1.00 0 0 1 0 1
+ 20 0.00   2 1.00   4 1.00 0 0 0 0 1
+ 18 0.10   6 0.90  30 0.00 0 0 0 0 1
+ 30 0.20  12 0.60   8 0.00 0 0 0 0 1
+ 17 0.00  30 0.80   0 0.00 0 0 0 0 1
+ 40 0.00   2 1.00  12 0.00 0 0 0 0 1
+ 30 0.00   3 1.00  40 0.00 0 0 0 0 1
+ 60 0.05   8 1.00  60 0.00 0 0 1 0 1
+ 35 0.00   1 1.00  20 0.00 0 0 1 0 1
+ 20 0.45  25 0.10  30 0.00 0 0 0 0 0
+ 40 0.60  30 0.00  20 0.00 0 0 0 0 0
+ 18 1.00   2 1.00   2 1.00 0 0 0 0 0
+ 90 0.50  50 0.00  45 0.00 0 0 0 0 0
+ 25 0.80  60 0.00  60 0.00 0 0 0 0 0
+ 60 1.00   0 0.00   3 1.00 0 0 0 0 0
+ 16 0.45   8 0.00   9 0.00 0 0 0 0 0
+ 22 0.35  20 0.10  20 0.00 0 0 0 0 1
+ 10 0.00  20 0.00  10 0.00 0 0 0 0 0
+ 14 0.10  30 0.00  25 0.00 0 0 0 0 0
+ 15 0.00  40 0.00   5 0.50 0 0 0 0 0
+ 13 0.00   2 1.00  20 0.00 0 0 0 0 0
+  9 0.00  60 0.00  40 0.00 0 0 0 0 0
+ 11 0.20  12 0.00  35 0.00 0 0 0 0 0
+  6 1.00  30 0.00  60 0.00 0 0 0 1 1
+  4 1.00   3 1.00  70 0.00 0 0 0 1 1
+ 12 0.80  40 0.00 100 0.00 0 0 0 1 1
+  9 0.50   5 0.00  50 0.00 0 0 0 0 1
+ 60 0.00  40 0.00  50 0.00 0 1 1 0 1
+ 21 0.00  20 0.00  20 0.00 0 1 1 0 1
+ 30 0.00   1 0.00  40 0.00 0 1 1 0 1
+ 45 0.10   2 0.00   2 1.00 0 1 1 0 1
+  9 0.00  30 0.00   8 0.00 0 1 1 0 1
+ 21 0.00  21 0.00   0 0.00 0 1 1 0 1
+ 40 0.00  25 0.00   2 1.00 0 1 1 0 1
+  2 0.00  30 0.00  40 0.00 0 1 1 1 1
+  1 0.00  60 0.00  25 0.00 0 1 1 1 1
+  2 0.00  40 0.00   1 1.00 0 1 1 0 0
+  3 1.00   2 0.00   3 1.00 0 1 1 0 0
+  3 1.00  20 0.00   3 1.00 0 1 1 0 0
+  3 1.00   3 1.00   0 0.00 0 1 1 0 0
+ 12 0.80  30 0.00   9 1.00 0 1 1 0 0
+  3 0.00   2 1.00   2 1.00 0 1 1 0 0
+ 60 0.00  50 0.00  40 0.00 0 1 0 0 1
+ 35 0.00  40 0.00  30 0.00 0 1 0 0 1
+  8 0.00   2 1.00   9 0.00 0 1 0 0 0
+ 12 0.00  12 0.00  12 0.00 0 1 0 0 0
+ 40 0.00   2 1.00  12 0.00 0 1 0 0 0
+  4 1.00   2 0.00   4 1.00 0 1 0 0 0
+  3 0.00  80 0.00  20 0.00 0 1 0 1 0
 """
+# the same main text inside furniture, by tag and by name, is none
+_MAIN = [line.rsplit(maxsplit=5) for line in LABELLED.strip().splitlines() if line.endswith(" 1")]
+LABELLED += "".join(f"{size} 1 0 {content} {heading} 0\n{size} 0 2 {content} {heading} 0\n" for size, _, _, content, heading, _ in _MAIN)
 
 
 class Tree:
