@@ -9,7 +9,8 @@ row per task.
 The index over these entries grows by directory doubling: an overfull bucket takes one more
 leading bit of the hash, on its own, until it fits `BUCKET_ENTRIES` or `MAX_DEPTH` is reached
 (then its entries stay chained). Owner tasks take ranges of buckets and write the entries of
-each hash as a chain. Rows then probe the index with (hash, digest).
+each hash as a chain. Rows are then joined with (hash, digest), not through the directory: the
+aggregation alone decides what is equal, and without buckets and chains all rows would be the same.
 
 Of equal texts the row with the most code points stays, then the smallest doc_id, then the
 first row. Defined cases: null text counts as empty, and all empty texts are equal; a null
