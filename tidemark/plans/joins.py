@@ -8,7 +8,7 @@ from tidemark.functions.times import timestamp_sequence
 from tidemark.operators.asof import asof_join, asof_wide
 from tidemark.operators.combine import with_each
 from tidemark.operators.latest import latest_wide
-from tidemark.plans.registry import MANY, MANY_SQL, SENSORS, many_sensors, plan, table
+from tidemark.plans.registry import FEW, MANY, MANY_SQL, SENSORS, many_sensors, plan, rows_per_split, table
 from tidemark.session import materialize
 
 #: The one vehicle the single-key form of the query selects.
@@ -138,10 +138,15 @@ def asof_join_orders(spark, sf_dir):
     )
 
 
-@plan(_wide_sql("ASOF LEFT JOIN", latest=False))
+_FEW_KEYS = f"events AS (SELECT * REPLACE (user_id % {FEW} AS user_id) FROM events), "
+
+
+@plan(_wide_sql("ASOF LEFT JOIN", latest=False).replace("WITH ", "WITH " + _FEW_KEYS, 1))
 def asof_join_split(spark, sf_dir):
-    """The as-of chain with every key split over tasks."""
-    return asof_wide(table(spark, sf_dir, "events"), "user_id", "event_type", SENSORS, "ts", "value", ["event_id"], rows_per_key=2)
+    """The as-of chain over a few keys, each of them split over tasks."""
+    events = table(spark, sf_dir, "events").withColumn("user_id", F.col("user_id") % FEW)
+    most = rows_per_split(events)
+    return asof_wide(events, "user_id", "event_type", SENSORS, "ts", "value", ["event_id"], rows_per_key=most)
 
 
 #: Every sensor's last reading at or before the first sensor's, as of its time; ties by the hashed number.

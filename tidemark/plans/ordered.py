@@ -5,7 +5,7 @@ from __future__ import annotations
 from tidemark.functions.times import synthetic_clock
 from tidemark.operators.paging import assign_pages, first_n, last_n, row_range
 from tidemark.plans.aggregates import wide_sensors
-from tidemark.plans.registry import SENSORS, plan, table
+from tidemark.plans.registry import SENSORS, plan, rows_per_split, table
 from tidemark.operators.sample import sample_last
 
 ORDER = ["ts", "event_id"]
@@ -33,9 +33,9 @@ def page_assignment(spark, sf_dir):
 
 @plan("SELECT event_id, CAST((row_number() OVER (ORDER BY ts, event_id) - 1) // 100 AS BIGINT) AS page FROM events")
 def page_assignment_split(spark, sf_dir):
-    """Pages over many small splits."""
+    """Pages over a fixed number of splits, which pages do not fit."""
     rows = table(spark, sf_dir, "events").select(*ORDER)
-    return assign_pages(rows, 100, ORDER, rows_per_split=50).select("event_id", "page")
+    return assign_pages(rows, 100, ORDER, rows_per_split=rows_per_split(rows)).select("event_id", "page")
 
 
 _CLOCK = """
@@ -49,7 +49,7 @@ _CLOCK = """
 def synthetic_clock_split(spark, sf_dir):
     """Clocks with every key split over tasks."""
     rows = table(spark, sf_dir, "events").select("event_type", "event_id")
-    timed = synthetic_clock(rows, ["event_type"], ["event_id"], "2022-07-15 12:32:45", 60_000_000, "clock", rows_per_key=20)
+    timed = synthetic_clock(rows, ["event_type"], ["event_id"], "2022-07-15 12:32:45", 60_000_000, "clock", rows_per_key=rows_per_split(rows))
     return timed.withColumn("clock", timed["clock"].cast("timestamp_ntz"))
 
 

@@ -38,6 +38,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Keys of the queries that split every key, and their splits, whatever the table's size.
+FEW, SPLITS = 7, 20
+
+
+def rows_per_split(rows: DataFrame) -> int:
+    """The rows of a split with which ``rows`` make about `SPLITS` splits."""
+    return max(1, rows.count() // SPLITS)
+
+
 #: The wide workload: readings of 110 sensors of ten vehicles, two readings of a sensor one
 #: microsecond apart, and a tiebreak that spans the whole bigint range and is sometimes NULL.
 MANY = [f"s{i}" for i in range(110)]
