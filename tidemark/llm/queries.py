@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontaminate, exact_dedup, html_text, language, near_dedup, quality, secret_scan, sharding, url_filter
+from tidemark.llm import byte_bpe, decontaminate, exact_dedup, html_text, language, near_dedup, periodic_runs, quality, secret_scan, sharding, url_filter
 from tidemark.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,3 +182,9 @@ def op7_temporal_url_filter(spark, sf_dir):
 @query()
 def op5_random_field_secrets(spark, sf_dir):
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_lyndon_runs(spark, sf_dir):
+    told = periodic_runs.repeated_tails(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.find_runs(told))
