@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontaminate, exact_dedup, html_text, language, near_dedup, periodic_runs, quality, secret_scan, sharding, url_filter
+from tidemark.llm import alignment, byte_bpe, decontaminate, exact_dedup, html_text, language, near_dedup, packing, periodic_runs, quality, secret_scan, sharding, url_filter
 from tidemark.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,3 +188,15 @@ def op5_random_field_secrets(spark, sf_dir):
 def op11_lyndon_runs(spark, sf_dir):
     told = periodic_runs.repeated_tails(table(spark, sf_dir, "documents"))
     return periodic_runs.digests(periodic_runs.find_runs(told))
+
+
+@query()
+def op12_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op13_hashed_alignment(spark, sf_dir):
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    encoded = alignment.encode(table(spark, sf_dir, "documents"), *paths)
+    return alignment.summarize(encoded, alignment.count_pairs(encoded))
