@@ -72,3 +72,41 @@ def test_repeated_rows_empty_tables_and_clashing_names(spark, entries):
     named = captures.withColumn("pattern", F.lit("own")).withColumn("blocked", F.lit("own"))
     kept = url_filter.drop_blocked(named.unionByName(named.withColumn("url", F.lit("http://fine.org"))), entries)
     assert kept.columns == named.columns and [r["blocked"] for r in kept.collect()] == ["own"] * 3
+
+
+def test_times_within_a_day(spark):
+    at = lambda hour: datetime.datetime(2024, 1, 5, hour)
+    entries = spark.createDataFrame(
+        [("bad.org", "block", at(18), 1), ("bad.org", "off", at(20), 2), ("bad.org", "block", at(20), 1)],
+        "pattern string, action string, listed_on timestamp, seq long",
+    )
+    captures = spark.createDataFrame([("http://bad.org", at(h), str(h)) for h in (9, 18, 19, 20, 21)], CAPTURES)
+    got = {r["kept"]: (r["blocked"], r["listed_on"]) for r in url_filter.judge(captures, entries).collect()}
+    assert got == {"9": (False, None), "18": (True, at(18)), "19": (True, at(18)), "20": (False, None), "21": (False, None)}
+
+
+@pytest.mark.parametrize("rows_per_pattern", [None, 5])
+def test_any_list_matches_brute_force(spark, rows_per_pattern):
+    """Also with every pattern split over tasks."""
+    import random
+
+    rng = random.Random(6)
+    start = datetime.datetime(2024, 1, 1)
+    when = lambda: start + datetime.timedelta(minutes=rng.randrange(300))
+    hosts = ["a.org", "x.a.org", "y.x.a.org", "b.org", "c.net"]
+    listed = [(rng.choice(hosts[:4] + ["org"]), rng.choice(["block", "allow", "off"]), when(), i) for i in range(80)]
+    fetched = [(f"http://{rng.choice(hosts)}/", when(), str(i)) for i in range(200)]
+
+    def decide(host, at):
+        for k in range(len(host.split("."))):
+            suffix = ".".join(host.split(".")[k:])
+            held = [(t, s, action) for p, action, t, s in listed if p == suffix and t <= at]
+            if held and max(held)[2] != "off":
+                return suffix, max(held)[2]
+        return None, None
+
+    got = url_filter.judge(
+        spark.createDataFrame(fetched, CAPTURES), spark.createDataFrame(listed, "pattern string, action string, listed_on timestamp, seq long"), rows_per_pattern
+    )
+    want = {i: decide(url[7:-1], at) for url, at, i in fetched}
+    assert {r["kept"]: (r["pattern"], r["action"]) for r in got.collect()} == want

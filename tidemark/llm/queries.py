@@ -142,10 +142,10 @@ def op3_block_tree_html(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-#: Entries and captures derived from the pages: a third of the pages list their host, its
-#: parent domain or take it off again, and every page is fetched on some day of 2024.
+#: Entries and captures derived from the pages: every page lists its host or the parent domain,
+#: or takes it off again, and is fetched, at some second of four days; several fall on one time.
 _HOST = r"regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1)"
-_LISTED_DAY, _FETCHED_DAY = "page_id * 37 % 366", "page_id * 91 % 366"
+_LISTED_AT, _FETCHED_AT = "page_id * 37 % 977 * 353", "page_id * 91 % 3989 * 85"
 
 
 @query(rf"""
@@ -153,11 +153,11 @@ _LISTED_DAY, _FETCHED_DAY = "page_id * 37 % 366", "page_id * 91 % 366"
     entries AS (
         SELECT CASE WHEN page_id % 2 = 0 THEN {_HOST} ELSE regexp_replace({_HOST}, '^[^.]+\.', '') END AS pattern,
                CASE page_id % 5 WHEN 0 THEN 'allow' WHEN 1 THEN 'off' ELSE 'block' END AS action,
-               DATE '2024-01-01' + CAST({_LISTED_DAY} AS INTEGER) AS listed_on, page_id AS seq
-        FROM pages WHERE page_id % 3 = 0),
-    by_day AS (SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY pattern, listed_on ORDER BY seq DESC) = 1),
-    valid AS (SELECT pattern, action, listed_on, lead(listed_on) OVER (PARTITION BY pattern ORDER BY listed_on) AS until FROM by_day),
-    captures AS (SELECT page_id, url, DATE '2024-01-01' + CAST({_FETCHED_DAY} AS INTEGER) AS fetched_at, {_HOST} AS host FROM pages),
+               TIMESTAMP '2024-01-01' + to_seconds({_LISTED_AT}) AS listed_on, page_id AS seq
+        FROM pages),
+    by_time AS (SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY pattern, listed_on ORDER BY seq DESC) = 1),
+    valid AS (SELECT pattern, action, listed_on, lead(listed_on) OVER (PARTITION BY pattern ORDER BY listed_on) AS until FROM by_time),
+    captures AS (SELECT page_id, url, TIMESTAMP '2024-01-01' + to_seconds({_FETCHED_AT}) AS fetched_at, {_HOST} AS host FROM pages),
     judged AS (
         SELECT page_id, pattern, action, listed_on FROM captures JOIN valid
         ON (host = pattern OR ends_with(host, '.' || pattern))
@@ -168,14 +168,14 @@ _LISTED_DAY, _FETCHED_DAY = "page_id * 37 % 366", "page_id * 91 % 366"
 """)
 def op7_temporal_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    host = url_filter.host_of("url")
-    entries = pages.where("page_id % 3 = 0").select(
+    host, start = url_filter.host_of("url"), F.lit("2024-01-01").cast("timestamp_ntz")
+    entries = pages.select(
         F.when(F.col("page_id") % 2 == 0, host).otherwise(F.regexp_replace(host, r"^[^.]+\.", "")).alias("pattern"),
         F.expr("CASE page_id % 5 WHEN 0 THEN 'allow' WHEN 1 THEN 'off' ELSE 'block' END").alias("action"),
-        F.expr(f"date_add(DATE '2024-01-01', int({_LISTED_DAY}))").alias("listed_on"),
+        F.timestamp_add("SECOND", F.expr(_LISTED_AT), start).alias("listed_on"),
         F.col("page_id").alias("seq"),
     )
-    captures = pages.select("page_id", "url", F.expr(f"date_add(DATE '2024-01-01', int({_FETCHED_DAY}))").alias("fetched_at"))
+    captures = pages.select("page_id", "url", F.timestamp_add("SECOND", F.expr(_FETCHED_AT), start).alias("fetched_at"))
     return url_filter.judge(captures, entries)
 
 
