@@ -47,7 +47,7 @@ def field(documents):
 def tagged(field, text):
     data, offsets = bytes_of(pa.array([text]))
     lines = S.Lines(data, offsets)
-    return [text[a:b] for a, b in S._tagged(lines, field.decode(lines), [text.encode()], offsets).get(0, [])]
+    return [text[a:b] for a, b in S._tagged(lines, field.decode(lines), data, offsets).get(0, [])]
 
 
 @pytest.mark.parametrize(

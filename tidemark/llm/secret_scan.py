@@ -15,7 +15,9 @@ more than transitions and the token after it can win back is outside in the best
 the chain falls apart there; the few runs of other tokens in between are decoded by Viterbi.
 
 The field is trained on lines made by the rules in `training_lines` and on at most
-`SAMPLE_ROWS` documents, the smallest by hash of the id, tagged by the base patterns.
+`SAMPLE_ROWS` documents, the smallest by hash of id and text, tagged by the base patterns. They
+are cut into parts of `PART_CHARS` characters, of which at most `SAMPLE_PARTS` are taken, so
+what the driver sees does not grow with the texts either.
 
 Defined cases: null text counts as empty and has no spans; repeated rows and null ids are
 ordinary rows; an empty table gives an empty result; other columns are ignored.
@@ -24,8 +26,10 @@ ordinary rows; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +42,8 @@ from tidemark.llm.tasks import map_batches
 
 KINDS = ("assign", "access", "hex", "crf")
 SAMPLE_ROWS = 40
+#: Parts of sampled documents that are learnt from, and their characters.
+SAMPLE_PARTS, PART_CHARS = 400, 4_000
 #: Tokens of a chain in training; longer texts are cut there.
 TRAIN_TOKENS = 32
 
@@ -364,16 +370,26 @@ def training_lines(seed: int = 5) -> list[tuple[str, list[tuple[int, int]]]]:
     return lines
 
 
+def _sample(docs: DataFrame) -> list[str]:
+    """Parts of the sampled documents; tasks choose by hashes, and only the chosen texts are cut and fetched."""
+    hashed = docs.where("text IS NOT NULL").select("text", F.xxhash64("doc_id", "text").alias("h"))
+    chosen = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(SAMPLE_ROWS).collect()]
+    texts = hashed.where(F.col("h").isin(chosen))
+    numbers = F.sequence(F.lit(0), (F.greatest(F.char_length("text"), F.lit(1)) - 1).cast("int"), F.lit(PART_CHARS))
+    parts = texts.select("h", F.explode(numbers).alias("first")).distinct().orderBy(F.xxhash64("h", "first"), "h", "first").limit(SAMPLE_PARTS)
+    cut = texts.join(F.broadcast(parts), "h").select("h", "first", F.substr("text", F.col("first") + 1, F.lit(PART_CHARS)).alias("part"))
+    return [r["part"] for r in sorted(cut.dropDuplicates(["h", "first"]).collect(), key=lambda r: (r["h"], r["first"]))]
+
+
 def train(docs: DataFrame) -> Field:
     """A field from the made lines and a bounded sample of `docs` (doc_id, text)."""
     made = training_lines()
-    sample = docs.where("text IS NOT NULL").select("text", F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(SAMPLE_ROWS)
-    for row in sample.collect():
+    for text in _sample(docs):
         spans = []
-        for start, end, kind in base_spans(row["text"]):
-            m = _ASSIGN.match(row["text"], start) if kind == 0 else None
+        for start, end, kind in base_spans(text):
+            m = _ASSIGN.match(text, start) if kind == 0 else None
             spans.append(m.span(2) if m else (start, end))
-        made.append((row["text"], spans))
+        made.append((text, spans))
     data, offsets = bytes_of(pa.array([line for line, _ in made]))
     lines = Lines(data, offsets)
     tags = np.zeros(len(lines.starts), np.int64)
@@ -395,23 +411,37 @@ def train(docs: DataFrame) -> Field:
 # -- scanning ---------------------------------------------------------------------------------
 
 
-def _tagged(lines: Lines, tags: np.ndarray, texts: list[bytes], offsets: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+def _tagged(lines: Lines, tags: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, int]]]:
     """Spans of tagged tokens by text, in code points."""
     found: dict[int, list[tuple[int, int]]] = {}
     used = np.flatnonzero(tags)
     if len(used) == 0:
         return found
     chain = np.searchsorted(lines.at, used, "right") - 1
-    opens = (tags[used] == BEGIN) | (np.diff(used, prepend=-2) > 1) | (np.diff(chain, prepend=-1) > 0)
-    for run in np.split(np.arange(len(used)), np.flatnonzero(opens)[1:]):
-        text = int(chain[run[0]])
-        whole = texts[text]
-        lo, hi = (int(x - offsets[text]) for x in (lines.starts[used[run[0]]], lines.ends[used[run[-1]]]))
-        start = len(whole[:lo].decode("utf-8", "replace"))
-        found.setdefault(text, []).append((start, start + len(whole[lo:hi].decode("utf-8", "replace"))))
+    opens = np.flatnonzero((tags[used] == BEGIN) | (np.diff(used, prepend=-2) > 1) | (np.diff(chain, prepend=-1) > 0))
+    firsts, lasts = used[opens], used[np.append(opens[1:], len(used)) - 1]
+    # code points before each byte, over all texts at once
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int64)])
+    texts = chain[opens]
+    origin = points[offsets[texts]]
+    for text, start, end in zip(texts.tolist(), (points[lines.starts[firsts]] - origin).tolist(), (points[lines.ends[lasts]] - origin).tolist()):
+        found.setdefault(text, []).append((start, end))
     return found
 
 
+def _apart(added: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The added spans that touch no base span; base spans come by start."""
+    starts = [s[0] for s in base]
+    # the furthest end of the base spans up to each
+    reach = list(itertools.accumulate((s[1] for s in base), max))
+    kept = []
+    for start, end in added:
+        before = bisect_left(starts, end)
+        if not before or reach[before - 1] <= start:
+            kept.append((start, end, 3))
+    return kept
+
+
 def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, end, kind in spans)
 
@@ -428,10 +458,10 @@ def find_secrets(docs: DataFrame) -> DataFrame:
                 part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 texts = [part[at[i] : at[i + 1]].tobytes() for i in range(hi - lo)]
                 lines = Lines(part, at)
-                tagged = _tagged(lines, field.value.decode(lines), texts, at)
+                tagged = _tagged(lines, field.value.decode(lines), part, at)
                 for i, text in enumerate(texts):
                     base = base_spans(text.decode("utf-8", "replace")) if _may_have_base(text) else []
-                    added = [(s, e, 3) for s, e in tagged.get(i, ()) if not any(s < y and x < e for x, y, _ in base)]
+                    added = _apart(tagged.get(i, []), base)
                     rows.append((base, sorted(base + added, key=lambda s: (s[0], s[2]))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id")]
