@@ -8,8 +8,9 @@ has the same size (`BUCKETS` x `WIDTH`) for any corpus.
 
 A text is pooled from its tokens' unit vectors: their mean, their standard deviation and the
 mean change from one token to the next. A two-layer network learns `quality` from a sample of
-at most `TRAIN_ROWS` labelled rows, the smallest by hash of the id; a fifth of them is left out
-to fit the temperature that calibrates the probabilities.
+at most `TRAIN_ROWS` labelled rows that have a document, the smallest by hash of the id, in
+`STEPS` steps whatever their number; a fifth of them is left out to fit the temperature that
+calibrates the probabilities.
 
 Defined cases: null text counts as empty, and an empty text is scored from empty pools; labels
 without a quality or a document are not learnt from, repeated labels count once with the larger
@@ -36,6 +37,9 @@ BUCKETS = 1 << 14
 WIDTH = 24
 NONZEROS = 4
 HIDDEN = 32
+#: Steps of training, each over `BATCH` rows or all there are.
+STEPS = 2_000
+BATCH = 128
 TRAIN_ROWS = 20_000
 #: Scores from here on predict label 1.
 ACCEPT = 0.7
@@ -132,26 +136,25 @@ class Network:
             loss = [np.mean(np.logaddexp(0, z / t) - y[calibrate] * z / t) for t in grid]
             self.temperature = float(grid[int(np.argmin(loss))])
 
-    def _train(self, x: np.ndarray, y: np.ndarray, epochs: int = 60, batch: int = 128, rate: float = 2e-3, decay: float = 1e-4) -> None:
+    def _train(self, x: np.ndarray, y: np.ndarray, rate: float = 2e-3, decay: float = 1e-4) -> None:
         rng = np.random.default_rng(11)
         weights = [rng.normal(0, np.sqrt(2 / x.shape[1]), (x.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, np.sqrt(1 / HIDDEN), HIDDEN), np.zeros(1)]
-        first, second, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
-        epochs = max(epochs, min(400, -(-6000 * batch // len(y)) // 4))
-        for _ in range(epochs if len(y) < 8000 else 25):
-            order = rng.permutation(len(y))
-            for lo in range(0, len(y), batch):
-                rows = order[lo : lo + batch]
-                hidden = x[rows] @ weights[0] + weights[1]
-                active = np.maximum(0, hidden)
-                error = (1 / (1 + np.exp(-(active @ weights[2] + weights[3]))) - y[rows]) / len(rows)
-                back = np.outer(error, weights[2]) * (hidden > 0)
-                slopes = [x[rows].T @ back, back.sum(axis=0), active.T @ error, np.array([error.sum()])]
-                step += 1
-                for i, slope in enumerate(slopes):
-                    first[i] = 0.9 * first[i] + 0.1 * slope
-                    second[i] = 0.999 * second[i] + 0.001 * slope**2
-                    move = first[i] / (1 - 0.9**step) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
-                    weights[i] = weights[i] - rate * (move + decay * weights[i])
+        first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
+        waiting = np.zeros(0, np.int64)
+        for step in range(1, STEPS + 1):
+            if len(waiting) == 0:
+                waiting = rng.permutation(len(y))
+            rows, waiting = waiting[:BATCH], waiting[BATCH:]
+            hidden = x[rows] @ weights[0] + weights[1]
+            active = np.maximum(0, hidden)
+            error = (1 / (1 + np.exp(-(active @ weights[2] + weights[3]))) - y[rows]) / len(rows)
+            back = np.outer(error, weights[2]) * (hidden > 0)
+            slopes = [x[rows].T @ back, back.sum(axis=0), active.T @ error, np.array([error.sum()])]
+            for i, slope in enumerate(slopes):
+                first[i] = 0.9 * first[i] + 0.1 * slope
+                second[i] = 0.999 * second[i] + 0.001 * slope**2
+                move = first[i] / (1 - 0.9**step) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
+                weights[i] = weights[i] - rate * (move + decay * weights[i])
         self.weights = weights
 
     def _logits(self, x: np.ndarray) -> np.ndarray:
@@ -166,9 +169,11 @@ class Network:
 
 
 def train(docs: DataFrame, labels: DataFrame, vectors, most: int = TRAIN_ROWS) -> Network:
-    """A network from the sample of `labels` (doc_id, quality) and the texts of `docs`."""
+    """A network from the sample of `labels` (doc_id, quality) and the texts of `docs`; ids may be of any type."""
+    docs = docs.select("doc_id", "text")
     one = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    # labels without a document take no place in the sample
+    sample = one.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = docs.join(F.broadcast(materialize(sample, "labelled")), "doc_id").select("doc_id", "quality", "text")
 
     def pool_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,11 +188,12 @@ def train(docs: DataFrame, labels: DataFrame, vectors, most: int = TRAIN_ROWS) -
     kind = rows.schema["doc_id"].dataType.simpleString()
     pooled = map_batches(rows, pool_batches, f"doc_id {kind}, quality int, pools binary")
     # at most `most` rows of 288 bytes
-    known = pooled.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("pools").alias("pools")).toPandas()
-    known = known.sort_values("doc_id")
+    one_text = pooled.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("pools").alias("pools"))
+    known = one_text.select(F.xxhash64("doc_id").alias("h"), "quality", "pools").toPandas()
+    known = known.sort_values(["h", "pools"])
     x = np.array([np.frombuffer(p, np.float32) for p in known["pools"]], np.float64).reshape(-1, FEATURES)
     y = (known["quality"].to_numpy(np.int64) > 0).astype(np.float64)
-    calibrate = mix(known["doc_id"].to_numpy(np.int64).astype(np.uint64)) % np.uint64(5) == 0
+    calibrate = mix(known["h"].to_numpy(np.int64).view(np.uint64)) % np.uint64(5) == 0
     return Network(x, y, calibrate)
 
 
