@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.session import drop_aside, materialize, read_aside, write_aside
 
+#: Parts of the vertices of one component when its label changes.
+PARTS = 32
+
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(vertex, label): every vertex of `links` with the smallest vertex it can reach.
@@ -30,8 +33,12 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             .agg(F.min("label").alias("heard"))
         )
         spread = labels.join(heard, "vertex").select("vertex", F.col("label").alias("was"), F.least("label", "heard").alias("label"))
-        jump = labels.select(F.col("vertex").alias("label"), F.col("label").alias("jumped"))
-        step = spread.join(jump, "label").select("vertex", "was", F.least("label", "jumped").alias("label"))
+        # a component's label is resolved once and reaches its vertices in as many parts, however many they are
+        used = spread.select("label").distinct()
+        jump = labels.select(F.col("vertex").alias("label"), F.col("label").alias("jumped")).join(used, "label", "left_semi")
+        parts = jump.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        dealt = spread.withColumn("part", F.pmod(F.xxhash64("vertex"), F.lit(PARTS)).cast("int"))
+        step = dealt.join(parts, ["label", "part"]).select("vertex", "was", F.least("label", "jumped").alias("label"))
         next_path = write_aside(step, "labels")
         moved = spark.read.parquet(next_path)
         done = moved.where("label != was").isEmpty()
