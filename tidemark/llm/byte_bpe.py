@@ -167,12 +167,11 @@ class _Known(dict):
 
 
 #: The last vocabulary used by this worker.
-_loaded: dict[int, Vocabulary] = {}
+_loaded: dict[str, Vocabulary] = {}
 
 
 def _vocabulary(broadcast) -> Vocabulary:
-    ranks, pattern = broadcast.value
-    name = hash((len(ranks), pattern, *itertools.islice(ranks.items(), 300, 310)))
+    ranks, pattern, name = broadcast.value
     if name not in _loaded:
         _loaded.clear()
         _loaded[name] = Vocabulary(ranks, pattern)
@@ -180,7 +179,12 @@ def _vocabulary(broadcast) -> Vocabulary:
 
 
 def _broadcast(spark: SparkSession, path: str, pattern: str):
-    return spark.sparkContext.broadcast((read_ranks(path), pattern))
+    """Ranks, pattern and a digest of both, by which a worker knows a vocabulary again."""
+    ranks = read_ranks(path)
+    digest = hashlib.sha256(pattern.encode())
+    for token, rank in ranks.items():
+        digest.update(b"%d %d " % (rank, len(token)) + token)
+    return spark.sparkContext.broadcast((ranks, pattern, digest.hexdigest()))
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
