@@ -57,3 +57,26 @@ def test_one_text_in_most_rows(spark):
 def test_no_python_in_the_plan(documents):
     plan = exact_dedup.exact_duplicates(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_the_directory_decides(documents, monkeypatch):
+    """Rows whose slots are in no bucket are not found."""
+    every, whole = exact_dedup._directory, exact_dedup.exact_duplicates(documents, 20).count()
+    monkeypatch.setattr(exact_dedup, "_directory", lambda keys, most: every(keys, most).where("bucket < 524288"))
+    part = exact_dedup.exact_duplicates(documents, 20).count()
+    assert 0 < part < whole == documents.count()
+    monkeypatch.setattr(exact_dedup, "_directory", lambda keys, most: every(keys, most).limit(0))
+    assert exact_dedup.exact_duplicates(documents, 20).count() == 0
+
+
+def test_chains_hold_what_differs(spark, monkeypatch):
+    """Texts of one hash are chained by their bytes."""
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *columns: exact_dedup.F.length(columns[0]).cast("long"))
+    frame = spark.createDataFrame([(1, "ab"), (2, "b a"), (3, "a b"), (4, "cd"), (5, "c"), (6, "d")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.exact_duplicates(frame).collect()}
+    assert got == {1: (3, 2), 2: (2, 1), 3: (3, 2), 4: (4, 1), 5: (5, 1), 6: (6, 1)}
+
+
+def test_ids_of_text(spark):
+    frame = spark.createDataFrame([("b", "x y"), ("a", "xy "), (None, "x y"), ("c", "z")], "doc_id string, text string")
+    assert {r["doc_id"]: r["keep_id"] for r in exact_dedup.exact_duplicates(frame).collect()} == {"a": "a", "b": "a", None: "a", "c": "c"}

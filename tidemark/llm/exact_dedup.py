@@ -1,27 +1,28 @@
 """Exact duplicates through an extendible-hash index, in DataFrame operations only.
 
-Texts are equal when they are the same bytes after deleting ASCII white space. Every row's
-normalised text is written once to the shared folder with its hash. One aggregation per
-(hash, digest, bytes) compares the bytes and leaves one entry per distinct text; copies meet
-inside the map tasks first, so a text held by a third of all rows reaches its owner as one
-row per task.
-
-The index over these entries grows by directory doubling: an overfull bucket takes one more
-leading bit of the hash, on its own, until it fits `BUCKET_ENTRIES` or `MAX_DEPTH` is reached
-(then its entries stay chained). Owner tasks take ranges of buckets and write the entries of
-each hash as a chain. Rows are then joined with (hash, digest), not through the directory: the
-aggregation alone decides what is equal, and without buckets and chains all rows would be the same.
+Texts are equal when they are the same bytes after deleting ASCII white space. A first pass
+writes a narrow row for each text: its hash, SHA-256 digest and code points. The directory is
+built over the distinct hashes and grows by doubling: an overfull bucket takes one more leading
+bit of the hash, on its own, until it fits `BUCKET_ENTRIES` or `MAX_DEPTH` is reached. It has
+at most 2**`MAX_DEPTH` slots, 25 MB, whatever the corpus, and is sent to all tasks.
+
+A second pass over the texts looks every text's bucket up in the directory and brings the
+texts of each (bucket, hash) to the task that owns it, where they are compared byte by byte
+and those that differ are chained. Equal texts meet inside the map tasks first, so one held by
+a third of all rows reaches its owner once per task. The narrow rows find the link of their
+text by probing the directory, then the chain; the rows of a link are a group. Owners write
+the index by ranges of buckets. A text whose slot is in no bucket finds nothing.
 
 Of equal texts the row with the most code points stays, then the smallest doc_id, then the
-first row. Defined cases: null text counts as empty, and all empty texts are equal; a null
-doc_id ranks after every other; of rows repeated in full one is kept; an empty table gives an
-empty result; other columns are ignored here and returned as they are by
-`drop_exact_duplicates`.
+first row. Defined cases: null text counts as empty, and all empty texts are equal; ids may be
+of any type with an order, and a null doc_id ranks after every other; of rows repeated in full
+one is kept; an empty table gives an empty result; other columns are ignored here and returned as they
+are by `drop_exact_duplicates`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize, materialize_last, write_aside
@@ -33,26 +34,17 @@ MAX_DEPTH = 20
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
-def _entries(docs: DataFrame) -> DataFrame:
-    """(_row, doc_id, code points, normalised text, hash, digest) of rows (_row, doc_id, text), written aside."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(
-        "_row",
-        "doc_id",
-        F.char_length(text).alias("n_points"),
-        F.regexp_replace(text, _SPACE, "").alias("plain"),
-    )
-    return materialize(rows.withColumns({"hash": F.xxhash64("plain"), "digest": F.sha2("plain", 256)}), "entries")
+def _plain() -> Column:
+    return F.regexp_replace(F.coalesce("text", F.lit("")), _SPACE, "")
 
 
-def _directory(entries: DataFrame, most: int) -> DataFrame:
-    """(slot, bucket, depth): the bucket of every used slot, named by its first slot.
+def _directory(keys: DataFrame, most: int) -> DataFrame:
+    """(slot, bucket, depth): the bucket of every slot used by `keys` (hash), named by its first slot.
 
     All buckets start as one; each turn doubles the directory and splits those still overfull.
     """
-    spark = entries.sparkSession
-    slot = F.shiftrightunsigned("hash", 64 - MAX_DEPTH).alias("slot")
-    path = write_aside(entries.groupBy(slot).agg(F.count("*").alias("load")), "slots")
+    spark = keys.sparkSession
+    path = write_aside(keys.groupBy(_slot().alias("slot")).agg(F.count("*").alias("load")), "slots")
     open_slots = spark.read.parquet(path)
     settled = None
     for depth in range(MAX_DEPTH + 1):
@@ -68,40 +60,54 @@ def _directory(entries: DataFrame, most: int) -> DataFrame:
     return settled
 
 
-def _index(entries: DataFrame, most: int) -> DataFrame:
-    """One row per distinct text: bucket, hash, chain, digest, the row that stays, rows."""
-    best = F.max(F.struct("n_points", F.bitwise_not("doc_id").alias("d"), F.bitwise_not("_row").alias("r")))
-    same_bytes = entries.groupBy("hash", "digest", "plain").agg(best.alias("best"), F.count("*").alias("group_size"))
-    texts = materialize(same_bytes.drop("plain"), "texts")
-    placed = texts.join(_directory(texts, most), F.shiftrightunsigned("hash", 64 - MAX_DEPTH) == F.col("slot")).drop("slot")
-    chain = Window.partitionBy("bucket", "hash").orderBy("digest")
-    owned = (
-        placed.repartitionByRange("bucket")
-        .withColumn("chain", F.row_number().over(chain))
-        # two texts of one digest would need another digest, never a merge
-        .withColumn("same", F.lag("digest").over(chain) == F.col("digest"))
-        .withColumn("digest", F.when(F.col("same"), F.raise_error(F.lit("two texts share a SHA-256 digest"))).otherwise(F.col("digest")))
-    )
-    return materialize(
-        owned.select(
-            "bucket",
-            "depth",
-            "hash",
-            "chain",
-            "digest",
-            F.bitwise_not("best.d").alias("keep_id"),
-            F.bitwise_not("best.r").alias("keep_row"),
-            "group_size",
-        ),
-        "index",
+def _slot() -> Column:
+    return F.shiftrightunsigned("hash", 64 - MAX_DEPTH)
+
+
+def _probed(rows: DataFrame, directory: DataFrame) -> DataFrame:
+    """`rows` (hash) with their bucket."""
+    return rows.withColumn("slot", _slot()).join(F.broadcast(directory.select("slot", "bucket")), "slot").drop("slot")
+
+
+def _chains(docs: DataFrame, directory: DataFrame) -> DataFrame:
+    """(bucket, hash, link, digest): the different texts of each (bucket, hash), by their bytes."""
+    texts = _probed(docs.select(_plain().alias("plain")).withColumn("hash", F.xxhash64("plain")), directory)
+    owned = texts.groupBy("bucket", "hash").agg(F.array_sort(F.collect_set("plain")).alias("chain"))
+    named = owned.select("bucket", "hash", F.transform("chain", lambda plain: F.sha2(plain, 256)).alias("digests"))
+    # narrow rows know their text by its digest; two texts of one digest would need another digest, never a merge
+    shared = F.size(F.array_distinct("digests")) < F.size("digests")
+    told = F.when(shared, F.raise_error(F.lit("two texts share a SHA-256 digest"))).otherwise(F.col("digests"))
+    return materialize(named.select("bucket", "hash", F.posexplode(told).alias("link", "digest")), "chains")
+
+
+def _index(entries: DataFrame, docs: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The directory, and one row per link: bucket, hash, link, digest, the row that stays, rows."""
+    directory = materialize(_directory(entries.select("hash").distinct(), most), "directory")
+    # the row that stays: most code points, then the smallest id, then the first row
+    best = F.min(F.struct((-F.col("n_points")).alias("fewer"), F.isnull("doc_id").alias("no_id"), "doc_id", "_row"))
+    by_digest = _probed(entries, directory).groupBy("bucket", "hash", "digest").agg(best.alias("best"), F.count("*").alias("group_size"))
+    linked = by_digest.join(_chains(docs, directory), ["bucket", "hash", "digest"])
+    index = linked.select(
+        "bucket",
+        "hash",
+        "link",
+        "digest",
+        F.col("best.doc_id").alias("keep_id"),
+        F.col("best._row").alias("keep_row"),
+        "group_size",
     )
+    return directory, materialize(index.repartitionByRange("bucket"), "index")
 
 
 def _found(rows: DataFrame, bucket_entries: int) -> DataFrame:
     """Every row (_row, doc_id, text) with what the index says of its text."""
-    entries = _entries(rows)
-    index = _index(entries, bucket_entries).select("hash", "digest", "keep_id", "keep_row", "group_size")
-    probed = entries.select("_row", "doc_id", "hash", "digest").join(index, ["hash", "digest"])
+    text = F.coalesce("text", F.lit(""))
+    narrow = rows.select("_row", "doc_id", F.char_length(text).alias("n_points"), _plain().alias("plain"))
+    keys = {"hash": F.xxhash64("plain"), "digest": F.sha2("plain", 256)}
+    entries = materialize(narrow.withColumns(keys).drop("plain"), "entries")
+    directory, index = _index(entries, rows, bucket_entries)
+    chains = index.select("bucket", "hash", "digest", "keep_id", "keep_row", "group_size")
+    probed = _probed(entries.select("_row", "doc_id", "hash", "digest"), directory).join(chains, ["bucket", "hash", "digest"])
     return probed.withColumn("kept", F.col("_row") == F.col("keep_row"))
 
 
