@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import maintenance
 from tidemark.operators.upsert import DuplicateKeyError, append_strict, dedup_keep_last, upsert, upsert_into
 from tidemark.plans.writes import new_database
-from tidemark.session import remove_path, scratch_path
+from tidemark.session import path_exists, remove_path, scratch_path
 from tidemark.sources import catalog
 from tidemark.timetable import (
     PARTITION_COLUMN,
@@ -123,7 +123,7 @@ def test_upsert_into_a_catalog_table_finishes_what_was_cut_off(spark, monkeypatc
 
     change = readings(spark, [(1, "a", 9), (31, "b", 8)])
     with monkeypatch.context() as patched:
-        patched.setattr("tidemark.timetable._insert", crash)
+        patched.setattr("tidemark.timetable._switch", crash)
         with pytest.raises(IOError):
             upsert_into(spark, change, name, ["arrival"])
     expected = {(1, "a"): 9, (2, "a"): 2, (30, "a"): 3, (31, "b"): 8, (60, "c"): 4}
@@ -143,6 +143,34 @@ def test_upsert_into_a_catalog_table_finishes_what_was_cut_off(spark, monkeypatc
     assert rows == expected and spark.table(name).count() == len(expected)
 
 
+@pytest.mark.parametrize("unit", ["DAY", "NONE"])
+def test_a_reader_sees_the_old_rows_while_a_publish_is_cut_off(spark, monkeypatch, unit):
+    name = f"{new_database(spark)}.r"
+    first = readings(spark, [(1, "a", 1), (30, "a", 3)])
+    create_table(spark, name, replace(table_of(first), unit=unit))
+    upsert_into(spark, first, name, ["arrival"])
+    upsert_into(spark, readings(spark, [(1, "a", 2)]), name, ["arrival"])
+    rows = lambda: {(int((r["ts"] - DAY).total_seconds() // 3600), r["k"]): r["v"] for r in spark.table(name).collect()}
+
+    def crash(*args, **kwargs):
+        raise IOError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("tidemark.timetable._switch", crash)
+        with pytest.raises(IOError):
+            upsert_into(spark, readings(spark, [(1, "a", 9), (31, "b", 8)]), name, ["arrival"])
+    assert rows() == {(1, "a"): 2, (30, "a"): 3}
+    maintenance.truncate_table(spark, name)
+    assert rows() == {}
+    insert_into(spark, readings(spark, [(2, "c", 2)]), name)
+    upsert_into(spark, readings(spark, [(2, "c", 4), (50, "c", 5)]), name, ["arrival"])
+    upsert_into(spark, readings(spark, [(50, "c", 6)]), name, ["arrival"])
+    assert rows() == {(2, "c"): 4, (50, "c"): 6} and spark.table(name).count() == 2
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    maintenance.drop_table(spark, name)
+    assert not spark.catalog.tableExists(name) and not path_exists(spark, location)
+
+
 def test_rows_without_a_time_are_upserted_like_others(spark):
     path = scratch_path(spark, "t")
     batch = lambda k, v: spark.createDataFrame([(None, k, v, 1)], "ts timestamp, k string, v int, arrival int")

@@ -15,6 +15,7 @@ from tidemark.timetable import (
     columns_of,
     create_table,
     describe_table,
+    discard_publishing,
     finish_publishing_into,
     insert_into,
 )
@@ -104,11 +105,16 @@ def insert_rows(spark: SparkSession, name: str, rows: Sequence[tuple]) -> None:
 
 
 def truncate_table(spark: SparkSession, name: str) -> None:
+    """Remove all rows, those of a publish that was cut off included."""
+    discard_publishing(spark, name)
     spark.sql(f"TRUNCATE TABLE {name}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Drop a table if it exists, with the folders that publishes left."""
+    if spark.catalog.tableExists(name):
+        discard_publishing(spark, name)
+        spark.sql(f"DROP TABLE {name}")
 
 
 def add_column(spark: SparkSession, name: str, column: str, data_type: str) -> None:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.ordering import pick_last
-from tidemark.session import path_exists, write_aside, written_aside
+from tidemark.session import path_exists, written_aside
 from tidemark.timetable import (
     PARTITION_COLUMN,
     TimeTable,
@@ -74,7 +74,8 @@ def upsert(batch: DataFrame, path: str, table: TimeTable, arrival: Sequence[str]
 def upsert_into(spark: SparkSession, batch: DataFrame, name: str, arrival: Sequence[str]) -> None:
     """Insert into a catalog table: an upsert while its dedup is on, else an append.
 
-    Works like :func:`upsert`; the note about staged partitions is a table property.
+    Works like :func:`upsert`; the note about staged partitions is a table property, and they
+    are published by telling the catalog where they lie.
     """
     finish_publishing_into(spark, name)
     table = describe_table(spark, name)
@@ -83,7 +84,7 @@ def upsert_into(spark: SparkSession, batch: DataFrame, name: str, arrival: Seque
         return
     with written_aside(_winners(batch, table, arrival), "upsert-batch") as latest:
         existing = _touched(spark.table(name), latest, table)
-        publish_into(write_aside(merge_keep_last(existing, latest, table.keys), "upsert-merged"), spark, name)
+        publish_into(merge_keep_last(existing, latest, table.keys), name)
 
 
 def append_strict(batch: DataFrame, path: str, table: TimeTable) -> None:

@@ -146,6 +146,13 @@ def replace_folders(spark: SparkSession, staged: str, path: str, inside: bool) -
     fs.delete(source, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders inside a folder."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(jvm_path) if f.isDirectory()]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

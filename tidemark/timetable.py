@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.session import drop_aside, path_exists, read_aside, remove_path, replace_folders
+from tidemark.session import folder_names, path_exists, remove_path, replace_folders
 
 #: Stored partition column and the characters of ``yyyy-MM-dd HH`` it keeps; text order is time order.
 PARTITION_COLUMN = "time_part"
@@ -18,7 +18,7 @@ _CHARS = {"HOUR": 13, "DAY": 10, "MONTH": 7, "YEAR": 4}
 NO_TIME = "none"
 _PROPERTY = "tidemark."
 _NOTE = "__publishing"
-_PUBLISHING = "publishing"
+_PUBLISHING, _RETIRED = "publishing", "retired"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -228,7 +228,18 @@ def finish_publishing(spark: SparkSession, path: str, table: TimeTable) -> None:
     remove_path(spark, path + _NOTE)
 
 
-def publish_into(staged: str, spark: SparkSession, name: str) -> None:
+def publish_into(merged: DataFrame, name: str) -> None:
+    """Put ``merged`` in place of a catalog table's partitions it has rows in, or of all rows of one without.
+
+    The rows are written once, to a folder of their own; the catalog is then told where the
+    partitions lie now. Old folders stay until the next publish, so a reader sees the old or
+    the new rows of a partition and never none.
+    """
+    spark = merged.sparkSession
+    table, location = describe_table(spark, name), _location(spark, name)
+    # below the table's folder, where names with an underscore are no data; beside it if the table itself moves
+    staged = f"{location}/_rows-{uuid.uuid4().hex}" if table.partitioned else f"{location}__rows-{uuid.uuid4().hex}"
+    _write(merged, staged, table, "overwrite")
     set_property(spark, name, _PUBLISHING, staged)
     finish_publishing_into(spark, name)
 
@@ -236,11 +247,70 @@ def publish_into(staged: str, spark: SparkSession, name: str) -> None:
 def finish_publishing_into(spark: SparkSession, name: str) -> None:
     """The same for a catalog table, whose note is a property."""
     staged = get_property(spark, name, _PUBLISHING)
+    if not staged:
+        return
+    _drop_retired(spark, name)
+    retired = _switch(spark, name, staged)
+    set_property(spark, name, _RETIRED, ",".join(retired))
+    set_property(spark, name, _PUBLISHING, "")
+
+
+def discard_publishing(spark: SparkSession, name: str) -> None:
+    """Forget a publish that was cut off, and what earlier ones left, before all rows go."""
+    staged = get_property(spark, name, _PUBLISHING)
+    _drop_retired(spark, name)
     if staged:
-        rows = read_aside(spark, staged, describe_table(spark, name).schema)
-        _insert(spark, rows, name, "touched")
         set_property(spark, name, _PUBLISHING, "")
-        drop_aside(spark, staged)
+        if staged not in _locations(spark, name):
+            remove_path(spark, staged)
+
+
+def _drop_retired(spark: SparkSession, name: str) -> None:
+    for folder in filter(None, (get_property(spark, name, _RETIRED) or "").split(",")):
+        remove_path(spark, folder)
+    set_property(spark, name, _RETIRED, "")
+
+
+def _switch(spark: SparkSession, name: str, staged: str) -> list[str]:
+    """Tell the catalog that partitions, or the table, lie in ``staged``; returns the folders they lay in. Safe to repeat."""
+    if not describe_table(spark, name).partitioned:
+        old = _location(spark, name)
+        if old == staged:
+            return []
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{staged}'")
+        spark.catalog.refreshTable(name)
+        return [old]
+    values = [f[len(PARTITION_COLUMN) + 1 :] for f in folder_names(spark, staged) if f.startswith(f"{PARTITION_COLUMN}=")]
+    known = {r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    retired = []
+    for value in sorted(values):
+        spec, folder = f"PARTITION ({PARTITION_COLUMN}='{value}')", f"{staged}/{PARTITION_COLUMN}={value}"
+        if value not in known:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
+            continue
+        old = _location(spark, name, spec)
+        if old != folder:
+            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{folder}'")
+            retired.append(old)
+    spark.catalog.refreshTable(name)
+    return retired
+
+
+def _location(spark: SparkSession, name: str, spec: str = "") -> str:
+    """The folder of a table or of one of its partitions."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {spec}").collect()
+    # a partition's description holds its own folder first, then the table's
+    return next(r["data_type"] for r in described if r["col_name"] == "Location").rstrip("/")
+
+
+def _locations(spark: SparkSession, name: str) -> set[str]:
+    """The folders a table's rows lie in, and those around them."""
+    found = {_location(spark, name)}
+    if describe_table(spark, name).partitioned:
+        for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+            folder = _location(spark, name, f"PARTITION ({PARTITION_COLUMN}='{row['partition'].split('=', 1)[1]}')")
+            found |= {folder, folder.rsplit("/", 1)[0]}
+    return found
 
 
 def read_time_table(spark: SparkSession, path: str, table: TimeTable) -> DataFrame:
