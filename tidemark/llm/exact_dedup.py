@@ -4,7 +4,8 @@ Texts are equal when they are the same bytes after deleting ASCII white space. A
 writes a narrow row for each text: its hash, SHA-256 digest and code points. The directory is
 built over the distinct hashes and grows by doubling: an overfull bucket takes one more leading
 bit of the hash, on its own, until it fits `BUCKET_ENTRIES` or `MAX_DEPTH` is reached. It has
-at most 2**`MAX_DEPTH` slots, 25 MB, whatever the corpus, and is sent to all tasks.
+a slot for each value of as many bits as the deepest bucket took, so at most 2**`MAX_DEPTH`
+slots, 25 MB, whatever the corpus, and is sent to all tasks.
 
 A second pass over the texts looks every text's bucket up in the directory and brings the
 texts of each (bucket, hash) to the task that owns it, where they are compared byte by byte
@@ -22,6 +23,8 @@ are by `drop_exact_duplicates`.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,12 +67,26 @@ def _slot() -> Column:
     return F.shiftrightunsigned("hash", 64 - MAX_DEPTH)
 
 
-def _probed(rows: DataFrame, directory: DataFrame) -> DataFrame:
+class _Doubled(NamedTuple):
+    """A directory as far as it was doubled: (slot, bucket) for the leading `depth` bits."""
+
+    slots: DataFrame
+    depth: int
+
+
+def _doubled(directory: DataFrame) -> _Doubled:
+    depth = directory.agg(F.max("depth")).first()[0] or 0
+    slots = directory.select(F.shiftright("slot", MAX_DEPTH - depth).alias("slot"), "bucket").distinct()
+    return _Doubled(materialize(slots, "doubled"), depth)
+
+
+def _probed(rows: DataFrame, directory: _Doubled) -> DataFrame:
     """`rows` (hash) with their bucket."""
-    return rows.withColumn("slot", _slot()).join(F.broadcast(directory.select("slot", "bucket")), "slot").drop("slot")
+    slot = F.shiftrightunsigned("hash", 64 - directory.depth) if directory.depth else F.lit(0).cast("long")
+    return rows.withColumn("slot", slot).join(F.broadcast(directory.slots), "slot").drop("slot")
 
 
-def _chains(docs: DataFrame, directory: DataFrame) -> DataFrame:
+def _chains(docs: DataFrame, directory: _Doubled) -> DataFrame:
     """(bucket, hash, link, digest): the different texts of each (bucket, hash), by their bytes."""
     texts = _probed(docs.select(_plain().alias("plain")).withColumn("hash", F.xxhash64("plain")), directory)
     owned = texts.groupBy("bucket", "hash").agg(F.array_sort(F.collect_set("plain")).alias("chain"))
@@ -80,9 +97,9 @@ def _chains(docs: DataFrame, directory: DataFrame) -> DataFrame:
     return materialize(named.select("bucket", "hash", F.posexplode(told).alias("link", "digest")), "chains")
 
 
-def _index(entries: DataFrame, docs: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+def _index(entries: DataFrame, docs: DataFrame, most: int) -> tuple[_Doubled, DataFrame]:
     """The directory, and one row per link: bucket, hash, link, digest, the row that stays, rows."""
-    directory = materialize(_directory(entries.select("hash").distinct(), most), "directory")
+    directory = _doubled(materialize(_directory(entries.select("hash").distinct(), most), "directory"))
     # the row that stays: most code points, then the smallest id, then the first row
     best = F.min(F.struct((-F.col("n_points")).alias("fewer"), F.isnull("doc_id").alias("no_id"), "doc_id", "_row"))
     by_digest = _probed(entries, directory).groupBy("bucket", "hash", "digest").agg(best.alias("best"), F.count("*").alias("group_size"))
