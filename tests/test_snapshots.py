@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import snapshots
 from tidemark.operators.upsert import dedup_keep_last
-from tidemark.session import folder_names, scratch_path
+from tidemark.session import create_once, folder_names, scratch_path
 from tidemark.timetable import PARTITION_COLUMN, TimeTable
 
 DAY = datetime(2024, 3, 1)
@@ -118,7 +118,7 @@ def test_concurrent_upserts_lose_none(spark, layout):
 
 def test_one_of_several_writers_gets_a_number(spark):
     path = f"{scratch_path(spark, 'n')}/x.json"
-    assert [snapshots.create_once(spark, path, str(i)) for i in range(3)] == [True, False, False]
+    assert [create_once(spark, path, str(i)) for i in range(3)] == [True, False, False]
     assert spark.read.text(path).first()["value"] == "0"
 
 

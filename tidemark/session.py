@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -118,14 +119,14 @@ def remove_path(spark: SparkSession, path: str) -> bool:
 
 
 def rename_files(spark: SparkSession, folder: str, target: str) -> None:
-    """Move the data files of ``folder`` to ``target`` (the only one) or ``target`` with numbers before its extension."""
+    """Move the data files of ``folder`` to ``target`` (the only one) or ``target`` with numbers before its name."""
     jvm = spark._jvm.org.apache.hadoop.fs
     fs = jvm.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    stem, _, extension = target.rpartition(".")
+    parent, _, name = target.rpartition("/")
     fs.mkdirs(jvm.Path(target).getParent())
     files = [f.getPath() for f in fs.listStatus(jvm.Path(folder)) if f.getPath().getName().startswith("part-")]
     for i, file in enumerate(files):
-        fs.rename(file, jvm.Path(target if len(files) == 1 else f"{stem}{i}.{extension}"))
+        fs.rename(file, jvm.Path(target if len(files) == 1 else f"{parent}/{i}-{name}"))
     fs.delete(jvm.Path(folder), True)
 
 
@@ -148,11 +149,45 @@ def replace_folders(spark: SparkSession, staged: str, path: str, inside: bool) -
 
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders inside a folder."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [f.getPath().getName() for f in fs.listStatus(jvm_path) if f.isDirectory()]
+    return [name for name, is_folder, _ in listed(spark, path) if is_folder]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def listed(spark: SparkSession, folder: str) -> list[tuple[str, bool, float]]:
+    """(name, whether a folder, time of change in seconds) of what lies in a folder, if it exists."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jvm_path):
+        return []
+    return [(s.getPath().getName(), s.isDirectory(), s.getModificationTime() / 1000) for s in fs.listStatus(jvm_path)]
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file that must not exist yet: of several writers exactly one succeeds."""
+    jvm = spark._jvm
+    conf, target = spark._jsc.hadoopConfiguration(), jvm.org.apache.hadoop.fs.Path(path)
+    staged = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    fs = target.getFileSystem(conf)
+    stream = fs.create(staged, False)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    try:
+        if fs.getScheme() == "file":
+            # a local rename would overwrite; a hard link does not
+            os.link(staged.toUri().getPath(), target.toUri().getPath())
+        else:
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(staged, target, options)
+        return True
+    except FileExistsError:
+        return False
+    except Exception:
+        if fs.exists(target):
+            return False
+        raise
+    finally:
+        fs.delete(staged, False)

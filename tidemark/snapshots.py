@@ -25,7 +25,6 @@ HDFS does, and on local disks. Stores that can only copy need a lock of their ow
 from __future__ import annotations
 
 import json
-import os
 import time
 import uuid
 from collections import defaultdict
@@ -37,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.ordering import pick_last
 from tidemark.operators.upsert import merge_keep_last
-from tidemark.session import path_exists, remove_path, written_aside
+from tidemark.session import create_once, listed, path_exists, remove_path, written_aside
 
 LOG = "_log"
 WRITE_COLUMN = "write"
@@ -78,6 +77,8 @@ class Snapshot:
     parts: tuple[Part, ...] = ()
     #: The last batch taken over from each stream.
     batches: dict[str, int] = field(default_factory=dict)
+    #: Names of what was noted beside the table since it was last emptied.
+    notes: tuple[str, ...] = ()
 
     def by_partition(self) -> dict[str, list[Part]]:
         """Parts of each partition, oldest first."""
@@ -102,7 +103,7 @@ def latest(spark: SparkSession, path: str) -> Snapshot:
 
 def read_entry(spark: SparkSession, path: str, version: int) -> Snapshot:
     entry = json.loads(spark.read.text(_entry_path(path, version), wholetext=True).first()["value"])
-    return Snapshot(entry["version"], entry["operation"], tuple(Part(**p) for p in entry["parts"]), entry["batches"])
+    return Snapshot(entry["version"], entry["operation"], tuple(Part(**p) for p in entry["parts"]), entry["batches"], tuple(entry["notes"]))
 
 
 def _entry_path(path: str, version: int) -> str:
@@ -110,16 +111,7 @@ def _entry_path(path: str, version: int) -> str:
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(name[:-5]) for name, _, _ in _listed(spark, f"{path}/{LOG}") if name.endswith(".json") and name[0] != ".")
-
-
-def _listed(spark: SparkSession, folder: str) -> list[tuple[str, bool, float]]:
-    """(name, whether a folder, time of change in seconds) of what lies in a folder, if it exists."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        return []
-    return [(s.getPath().getName(), s.isDirectory(), s.getModificationTime() / 1000) for s in fs.listStatus(jvm_path)]
+    return sorted(int(name[:-5]) for name, _, _ in listed(spark, f"{path}/{LOG}") if name.endswith(".json") and name[0] != ".")
 
 
 def _commit(spark: SparkSession, path: str, snapshot: Snapshot) -> bool:
@@ -128,33 +120,6 @@ def _commit(spark: SparkSession, path: str, snapshot: Snapshot) -> bool:
     return create_once(spark, _entry_path(path, snapshot.version), text)
 
 
-def create_once(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a file that must not exist yet: of several writers exactly one succeeds."""
-    jvm = spark._jvm
-    conf, target = spark._jsc.hadoopConfiguration(), jvm.org.apache.hadoop.fs.Path(path)
-    staged = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
-    fs = target.getFileSystem(conf)
-    stream = fs.create(staged, False)
-    stream.write(bytearray(text.encode("utf-8")))
-    stream.close()
-    try:
-        if fs.getScheme() == "file":
-            # a local rename would overwrite; a hard link does not
-            os.link(staged.toUri().getPath(), target.toUri().getPath())
-        else:
-            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(staged, target, options)
-        return True
-    except FileExistsError:
-        return False
-    except Exception:
-        if fs.exists(target):
-            return False
-        raise
-    finally:
-        fs.delete(staged, False)
-
-
 # -- changes ----------------------------------------------------------------------------------
 
 
@@ -167,6 +132,7 @@ class Change:
     removed: tuple[Part, ...] = ()
     reads: frozenset[str] | None = frozenset()
     batch: tuple[str, int] | None = None
+    note: str | None = None
 
 
 def _changed(base: Snapshot, change: Change) -> Snapshot:
@@ -175,7 +141,8 @@ def _changed(base: Snapshot, change: Change) -> Snapshot:
     # new rows are as new as the snapshot; merged ones keep the order they were given
     added = tuple(p if p.order else replace(p, order=version) for p in change.added)
     batches = {**base.batches, **dict([change.batch] if change.batch else [])}
-    return Snapshot(version, change.operation, tuple(p for p in base.parts if p not in gone) + added, batches)
+    notes = (() if change.reads is None else base.notes) + ((change.note,) if change.note else ())
+    return Snapshot(version, change.operation, tuple(p for p in base.parts if p not in gone) + added, batches, notes)
 
 
 def _still_holds(change: Change, before: Snapshot, now: Snapshot) -> bool:
@@ -210,12 +177,18 @@ def transact(spark: SparkSession, path: str, build: Callable[[Snapshot], Change
 
 def _write(df: DataFrame, path: str, layout: Layout, sort: Sequence[str] = (), stamped: bool = False) -> list[Part]:
     """Write rows to a folder of their own, and say what they left in each partition."""
-    spark, name = df.sparkSession, uuid.uuid4().hex
-    folder, rows = f"{path}/{WRITE_COLUMN}={name}", df if stamped else layout.stamp(df)
+    rows = df if stamped else layout.stamp(df)
     if layout.partition_columns:
         rows = rows.hint("rebalance", *layout.partition_columns)
     if sort:
         rows = rows.sortWithinPartitions(*layout.partition_columns, *sort)
+    return write_as_arranged(rows, path, layout)
+
+
+def write_as_arranged(rows: DataFrame, path: str, layout: Layout) -> list[Part]:
+    """Write stamped rows as they lie to a folder of their own."""
+    spark, name = rows.sparkSession, uuid.uuid4().hex
+    folder = f"{path}/{WRITE_COLUMN}={name}"
     writer = rows.write.mode("overwrite")
     if layout.partition_columns:
         writer = writer.partitionBy(*layout.partition_columns)
@@ -229,7 +202,7 @@ def written_parts(spark: SparkSession, path: str, layout: Layout, name: str) ->
     if not layout.partition_columns:
         return [Part(name, "", 0, _size(spark, folder))]
     prefix = f"{layout.partition_columns[0]}="
-    found = [n[len(prefix) :] for n, is_folder, _ in _listed(spark, folder) if is_folder and n.startswith(prefix)]
+    found = [n[len(prefix) :] for n, is_folder, _ in listed(spark, folder) if is_folder and n.startswith(prefix)]
     return [Part(name, value, 0, _size(spark, f"{folder}/{prefix}{value}")) for value in sorted(found)]
 
 
@@ -274,25 +247,31 @@ def upsert(batch: DataFrame, path: str, layout: Layout, arrival: Sequence[str])
     The batch is reduced to one row per key once. Whoever else writes to other partitions
     meanwhile does not disturb it; if one of its own has changed it is merged anew.
     """
-    spark = batch.sparkSession
-    with written_aside(layout.stamp(winners(batch, layout, arrival)), "upsert-batch") as stamped:
+    return merge(winners(batch, layout, arrival), path, layout, lambda old, new: merge_keep_last(old, new, layout.keys), "upsert")
+
+
+def merge(rows: DataFrame, path: str, layout: Layout, combine: Callable[[DataFrame, DataFrame], DataFrame], operation: str) -> Snapshot:
+    """Put ``combine(existing, new)`` in place of the partitions that ``rows`` lie in; others are neither read nor written."""
+    spark = rows.sparkSession
+    with written_aside(layout.stamp(rows), "merge") as stamped:
         touched = _partition_values(stamped, layout)
 
         def build(base: Snapshot) -> Change:
             old = [p for p in base.parts if p.partition in touched]
-            if old:
-                existing = _merged(spark, path, layout, old)
-                merged = merge_keep_last(existing, stamped, layout.keys)
-            else:
-                merged = stamped
-            return Change("upsert", tuple(_write(merged, path, layout, stamped=True)), tuple(old), frozenset(touched))
+            merged = combine(rows_of(spark, path, layout, old), stamped) if old else stamped
+            return Change(operation, tuple(_write(merged, path, layout, stamped=True)), tuple(old), frozenset(touched))
 
         return transact(spark, path, build)
 
 
 def upsert_delta(batch: DataFrame, path: str, layout: Layout, arrival: Sequence[str], numbered: tuple[str, int] | None = None) -> Snapshot:
     """Add a batch's own rows, one per key and sorted by key; existing rows are neither read nor written."""
-    return _add(winners(batch, layout, arrival), path, layout, "upsert", layout.keys, numbered)
+    return append_delta(winners(batch, layout, arrival), path, layout, numbered)
+
+
+def append_delta(rows: DataFrame, path: str, layout: Layout, numbered: tuple[str, int] | None = None) -> Snapshot:
+    """Add rows, one per key, that readers merge with those of their keys; with `numbered` (stream, number) only once."""
+    return _add(rows, path, layout, "delta", layout.keys, numbered)
 
 
 def winners(batch: DataFrame, layout: Layout, arrival: Sequence[str]) -> DataFrame:
@@ -319,7 +298,7 @@ def compact(spark: SparkSession, path: str, layout: Layout, least: int = MERGE_A
         if not chosen:
             return None
         old = [part for run in chosen.values() for part in run]
-        rows = _merged(spark, path, layout, old)
+        rows = rows_of(spark, path, layout, old)
         newest = {partition: run[-1].order for partition, run in chosen.items()}
         written = _write(rows, path, layout, layout.keys, stamped=True)
         return Change("compact", tuple(replace(p, order=newest[p.partition]) for p in written), tuple(old), frozenset(chosen))
@@ -351,7 +330,7 @@ def expire(spark: SparkSession, path: str, keep: int = 1, unfinished_seconds: fl
     for version in old:
         remove_path(spark, _entry_path(path, version))
     gone = []
-    for name, is_folder, changed in _listed(spark, path):
+    for name, is_folder, changed in listed(spark, path):
         write = name[len(WRITE_COLUMN) + 1 :]
         if not is_folder or not name.startswith(f"{WRITE_COLUMN}=") or write in needed:
             continue
@@ -373,20 +352,27 @@ def read(spark: SparkSession, path: str, layout: Layout, version: int | None = N
     snapshot = latest(spark, path) if version is None else read_entry(spark, path, version)
     chosen = None if partitions is None else set(partitions)
     parts = [p for p in snapshot.parts if chosen is None or p.partition in chosen]
-    return _merged(spark, path, layout, parts)
+    return rows_of(spark, path, layout, parts)
 
 
-def _merged(spark: SparkSession, path: str, layout: Layout, parts: Sequence[Part]) -> DataFrame:
-    """The rows of some parts; where a partition has several and rows have keys, the last row of each key."""
+Paths = Callable[[Part], list[str]]
+
+
+def rows_of(spark: SparkSession, path: str, layout: Layout, parts: Sequence[Part], paths: Paths | None = None) -> DataFrame:
+    """The rows of some parts; where a partition has several and rows have keys, the last row of each key.
+
+    A layout with a ``merge`` of its own merges the rows of a key instead. `paths` narrows a
+    part to some of its files.
+    """
     by_partition = Snapshot(parts=tuple(parts)).by_partition()
     several = [p for found in by_partition.values() if len(found) > 1 and _upserted(layout) for p in found]
     waiting = set(several)
-    rows = _parts(spark, path, layout, [p for p in parts if p not in waiting]).drop(WRITE_COLUMN)
+    rows = _parts(spark, path, layout, [p for p in parts if p not in waiting], paths).drop(WRITE_COLUMN)
     if not several:
         return rows
     # one entry per write that has not been compacted; a part's order is that of its write and partition
     orders = {(p.write, p.partition): p.order for p in several}
-    marked = _parts(spark, path, layout, several)
+    marked = _parts(spark, path, layout, several, paths)
     names = [F.lit(x) for (write, partition), order in orders.items() for x in (f"{write} {partition}", order)]
     folder = F.concat(WRITE_COLUMN, F.lit(" "), *(layout.partition_columns or [F.lit("")]))
     if len(orders) <= 1_000:
@@ -394,20 +380,22 @@ def _merged(spark: SparkSession, path: str, layout: Layout, parts: Sequence[Part
     else:
         listed = spark.createDataFrame([(f"{w} {p}", o) for (w, p), o in orders.items()], f"_folder string, {_ORDER} long")
         marked = marked.join(listed, folder == F.col("_folder")).drop("_folder")
-    merge = getattr(layout, "merge", None) or (lambda df: pick_last(df, layout.keys, [_ORDER], drop=[_ORDER]))
-    return rows.unionByName(merge(marked.drop(WRITE_COLUMN)).select(*rows.columns))
+    marked = marked.drop(WRITE_COLUMN)
+    own = getattr(layout, "merge", None)
+    last = own(marked) if own else pick_last(marked, layout.keys, [_ORDER], drop=[_ORDER])
+    return rows.unionByName(last.select(*rows.columns))
 
 
 def _upserted(layout: Layout) -> bool:
     return bool(layout.keys) and getattr(layout, "dedup", True)
 
 
-def _parts(spark: SparkSession, path: str, layout: Layout, parts: Sequence[Part]) -> DataFrame:
+def _parts(spark: SparkSession, path: str, layout: Layout, parts: Sequence[Part], paths: Paths | None = None) -> DataFrame:
     """All rows of some parts, with the partition column and that of the writes."""
     schema = T.StructType([*layout.stored_schema.fields, T.StructField(WRITE_COLUMN, T.StringType())])
-    if not parts:
+    folders = [f for p in parts for f in (paths(p) if paths else [part_folder(path, layout, p)])]
+    if not folders:
         return spark.createDataFrame([], schema)
-    folders = [part_folder(path, layout, p) for p in parts]
     return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import snapshots
 from tidemark.operators.upsert import upsert
 from tidemark.streaming.ingest import BatchWriter, append_stream, write_batches
 from tidemark.timetable import TimeTable
@@ -31,3 +32,31 @@ def upsert_stream(
     if not table.dedup or not table.keys:
         return append_stream(table.stamp(stream), path, checkpoint, trigger, table.partition_columns)
     return write_batches(stream, upsert_writer(path, table, arrival), checkpoint, trigger)
+
+
+def delta_writer(path: str, layout: snapshots.Layout, arrival: Sequence[str], stream: str = "stream", compact_every: int = 8) -> BatchWriter:
+    """Upsert each batch into a snapshot table by adding its own rows; every `compact_every` batches small parts are merged.
+
+    A late row adds a small part to its old partition instead of rewriting it. The table knows
+    the last batch of each `stream`, so a replayed batch is left out.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        snapshots.upsert_delta(batch, path, layout, arrival, (stream, batch_id))
+        if (batch_id + 1) % compact_every == 0:
+            snapshots.compact(batch.sparkSession, path, layout)
+
+    return write
+
+
+def upsert_delta_stream(
+    stream: DataFrame,
+    path: str,
+    layout: snapshots.Layout,
+    arrival: Sequence[str],
+    checkpoint: str,
+    trigger: dict | None = None,
+    compact_every: int = 8,
+) -> StreamingQuery:
+    """:func:`delta_writer` as a stream; read the table with :func:`tidemark.snapshots.read`."""
+    return write_batches(stream, delta_writer(path, layout, arrival, checkpoint, compact_every), checkpoint, trigger)
