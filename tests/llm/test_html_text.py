@@ -1,4 +1,8 @@
+import html
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tidemark.llm import html_text
 
@@ -58,6 +62,60 @@ def test_a_name_of_furniture_drops_its_element(name):
     assert text(f'<article><p>{BODY}</p><div class="{name}"><p>{BODY} No.</p></div><p>{BODY}</p></article>') == f"{BODY}\n{BODY}"
 
 
+COMMENT_NAMES = [
+    "comment", "comment-123", "user-comments", "reader-comments", "wp-block-comments", "c-comments__list", "commentBody", "disqus_thread",
+    "js-ad", "cookie-law-info-bar", "you-may-also-like", "blog-comment", "Comments-Area", "visitor-comments",
+]
+
+
+@pytest.mark.parametrize("name", COMMENT_NAMES)
+def test_reader_comments_and_notices_go_wherever_they_stand(name):
+    box = f'<div class="{name}"><p>{BODY} No.</p><p>{BODY} No.</p></div>'
+    assert text(f"<article><p>{BODY}</p>{box}<p>{BODY}</p></article>") == f"{BODY}\n{BODY}"
+    assert text(f"<article><p>{BODY}</p></article>{box}<p>{BODY}</p>") == f"{BODY}\n{BODY}"
+    assert text(f"<article><p>{BODY}</p><section id={name}><p>{BODY} No.</p></section></article>") == BODY
+
+
+def test_comments_as_articles_and_repeated_answers():
+    comments = f'<article class="comment depth-1"><p>{BODY} No.</p></article><article id="div-comment-7" class="even comment-body"><p>{BODY} No.</p></article>'
+    assert text(f"<article><p>{BODY}</p></article><section><h3>2</h3>{comments}</section>").splitlines()[0] == BODY
+    assert "No." not in text(f"<article><p>{BODY}</p></article><section>{comments}</section>")
+    answers = f'<div class="reply"><p>{BODY} No.</p></div>' * 3
+    assert text(f"<article><p>{BODY}</p>{answers}</article>") == BODY
+
+
+@pytest.mark.parametrize("name", ["related-work", "closing-comments", "comments-open", "has-comments", "no-comment", "commentary", "cookie-baking"])
+def test_names_that_only_sound_like_comments_keep_their_text(name):
+    assert text(f'<article class="post {name}"><p>{BODY}</p><div class="{name}"><p>{BODY}</p></div></article>') == f"{BODY}\n{BODY}"
+
+
+def test_one_answer_is_text():
+    assert text(f'<article><p>{BODY}</p><div class="reply"><p>{BODY}</p></div></article>') == f"{BODY}\n{BODY}"
+
+
+FURNITURE = st.sampled_from(
+    ["<nav><a href='/'>Home</a></nav>", f"<aside>{BODY}</aside>", f'<div class="user-comments"><p>{BODY}</p></div>', "<script>var p='<p>';</script>",
+     f'<div class="ad">{BODY}</div>', "<form><input><label>Mail</label></form>", "<!-- <p>no</p> -->", f"<footer>{BODY}</footer>"]
+)
+WORD = st.sampled_from(["one", "two", "three", "é", "&amp;", "&lt;b&gt;", "x"])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(FURNITURE, st.tuples(st.sampled_from("p blockquote li div h2".split()), st.lists(WORD, min_size=1, max_size=30))), max_size=12))
+def test_made_pages(pieces):
+    """Pages put together from blocks that are known to be text or furniture, against a plain list of the texts."""
+    body, want = "", []
+    for piece in pieces:
+        if isinstance(piece, str):
+            body += piece
+        else:
+            tag, words = piece
+            body += f"<{tag}>" + " \n ".join(words) + f"</{tag}>"
+            want.append(html.unescape(" ".join(words)))
+    page = f"<html><body><header>Site</header><article><p>{BODY}</p>{body}</article></body></html>"
+    assert text(page) == "\n".join([BODY, *want])
+
+
 def test_weak_names_are_weighed_against_links():
     links = '<li><a href="/x">one more page</a>' * 4
     assert text(f'<article><p>{BODY}</p><div class="related"><ul>{links}</ul></div></article>') == BODY

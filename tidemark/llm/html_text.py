@@ -3,9 +3,12 @@
 A page is cut into flat blocks of text at block-level tags. A block is described by its word
 count and link density, those of its neighbours, and the elements it stands in: page furniture
 by tag, page furniture by the names in class, id and role, an article or main element, a
-heading. A name counts as a whole: a word for furniture (weakly, if it is a topic as well), or a
-compound of such words with words for boxes and lists; `related-work` says nothing. A decision tree over these numbers, trained on the small labelled table below, tells
-main text from the rest; the blocks it accepts are joined in page order by line feeds.
+heading. A name counts as a whole, cut at hyphens, underscores and capitals: a word for furniture
+(weakly, if it is a topic as well), a compound of such words with words for boxes and lists, or
+one that ends in the comments of someone; `related-work` and `closing-comments` say nothing. A
+weak name for answers counts fully where a page repeats it. A decision tree over these numbers,
+trained on the small labelled table below, tells main text from the rest; the blocks it accepts
+are joined in page order by line feeds.
 
 Scripts, styles, the head, form controls and hidden elements have no text. Character
 references are decoded, then white space inside a block becomes one space. Broken markup is
@@ -13,15 +16,18 @@ read as browsers do where it matters: paragraphs may stay open, end tags without
 ignored, an unclosed comment, script, style, title or textarea takes the rest of the page; no
 other element does.
 
-Defined cases: null html counts as empty; a page without main text has an empty string;
+Defined cases: null html counts as empty; a page without main text has an empty string, and a
+page of a few words outside any article or main element counts as one without;
 repeated rows and null ids or urls are ordinary rows; an empty table gives an empty result;
 other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,24 +59,40 @@ FURNITURE_WORDS = frozenset(
 )
 #: Those that are topics of articles as well, and names that are both.
 WEAK_WORDS = frozenset(
-    "banner byline comment consent cookie cookies copyright dialog header login menu modal navigation notice overlay pagination "
+    "banner byline consent cookie cookies copyright dialog header login menu modal navigation notice overlay pagination "
     "privacy promotion rail related replies reply respond search share sharing skip social sponsor subscription teaser "
     "cookie-policy privacy-policy search-results social-media".split()
 )
 CONTENT_WORDS = frozenset("article content entry main post story".split())
 #: Words that make a compound with those of furniture or content: share-buttons, main-menu, ad-slot.
 BOX_WORDS = frozenset(
-    "area articles bar block body bottom box btn button buttons col column container desktop form group holder icon icons inner item "
+    "area articles bar block body bottom c div el js l o thread u wp box btn button buttons col column container desktop form group holder icon icons inner item "
     "items left link links list mobile outer page panel posts primary right row secondary section site slot stories text title top "
     "unit wrap wrapper".split()
 )
-FURNITURE_COMPOUNDS = frozenset("back-to-top log-in sign-up skip-to-content skip-to-main skip-to-main-content".split())
+FURNITURE_COMPOUNDS = frozenset(
+    "also-like back-to-top log-in sign-up skip-to-content skip-to-main skip-to-main-content you-may-also-like you-might-also-like".split()
+)
+#: Before `comments`: words that make them part of the text, or of the state of a page.
+EDITORIAL_WORDS = frozenset(
+    "additional author authors brief closing concluding critical editor editorial editors final first further general has "
+    "introductory last no opening show some with without".split()
+)
+#: Before `comment`: whose it is.
+READER_WORDS = frozenset("article blog community customer facebook guest member post public reader single story user viewer visitor".split())
+#: First and last words of notices, whatever stands between them.
+NOTICE_WORDS = frozenset("ad advert advertisement consent cookie cookies gdpr newsletter promo sponsored".split())
+NOTICE_BOXES = frozenset("banner bar box button container message modal notice overlay panel popup slot wrap wrapper".split())
+#: Weak names that are reader comments where a page repeats them.
+ANSWER_WORDS = frozenset("reaction reply respond response".split())
 
 _TAG = re.compile(
     r"""<(?:!--(?P<comment>)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\Z))|[!?/][^>]*+(?:>|\Z))"""
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile(r"[a-z]+")
+_CAPITAL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_CLASSES = re.compile(r"""\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW_TAGS | DROPPED_TAGS}
 #: Start tags that end an element left open: its own (but svg and template nest) and, in svg and select, those of blocks.
 _BLOCK_START = "|".join(sorted(BLOCK_TAGS - {"option", "hr", "legend"}, key=len, reverse=True))
@@ -91,10 +113,34 @@ class Block:
     heading: bool
 
 
-def _hint(name: str) -> int:
+def _words_of(name: str) -> list[str]:
+    return _WORDS.findall(_CAPITAL.sub("-", name).lower())
+
+
+def _repeated(page: str) -> frozenset[str]:
+    """Class names for answers that a page uses again and again."""
+    seen = Counter()
+    for m in _CLASSES.finditer(page):
+        for name in (m[1] or m[2] or m[3] or "").split():
+            words = _words_of(name)
+            if ANSWER_WORDS.intersection(words):
+                seen["-".join(words)] += 1
+    return frozenset(name for name, n in seen.items() if n > 1)
+
+
+def _is_comment(name: str) -> bool:
+    """Whether a name is that of one reader's comment, as article elements in lists of comments have it."""
+    words = _words_of(name)
+    return "comment" in words and all(w in BOX_WORDS or w in READER_WORDS or w in FURNITURE_WORDS for w in words)
+
+
+@functools.lru_cache(50_000)
+def _hint(name: str, repeated: frozenset[str] = frozenset()) -> int:
     """How far a whole class, id or role names furniture: 0, 1 or 2."""
-    words = _WORDS.findall(name)
+    words = _words_of(name)
     name = "-".join(words)
+    if name in repeated:
+        return 2
     if name in WEAK_WORDS:
         return 1
     if name in FURNITURE_WORDS or name in FURNITURE_COMPOUNDS:
@@ -102,10 +148,18 @@ def _hint(name: str) -> int:
     said = FURNITURE_WORDS.intersection(words)
     if said == {"header"} and CONTENT_WORDS.intersection(words):
         return 0
-    return 2 if said and all(w in FURNITURE_WORDS or w in BOX_WORDS or w in CONTENT_WORDS for w in words) else 0
+    if not said:
+        return 0
+    if all(w in FURNITURE_WORDS or w in BOX_WORDS or w in CONTENT_WORDS for w in words):
+        return 2
+    if words[-1] == "comments" and not EDITORIAL_WORDS.intersection(words):
+        return 2
+    if words[-1] == "comment" and READER_WORDS.issuperset(words[:-1]):
+        return 2
+    return 2 if words[0] in NOTICE_WORDS and words[-1] in NOTICE_BOXES else 0
 
 
-def _marks(name: str, rest: str) -> tuple[bool, bool, int, bool]:
+def _marks(name: str, rest: str, repeated: frozenset[str]) -> tuple[bool, bool, int, bool]:
     """(silent, furniture by tag, furniture by attribute names, content) of an element."""
     attributes = {}
     if len(rest) > 1:
@@ -113,11 +167,12 @@ def _marks(name: str, rest: str) -> tuple[bool, bool, int, bool]:
             attributes.setdefault(m[1].lower(), next((g for g in m.groups()[1:] if g is not None), ""))
     silent = name in SILENT_TAGS or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
     silent = silent or bool(_HIDDEN.search(attributes.get("style", "").lower()))
-    names = " ".join(attributes.get(a, "") for a in ("class", "id", "role")).lower()
+    names = " ".join(attributes.get(a, "") for a in ("class", "id", "role"))
     if name in ("html", "body") or name in CONTENT_TAGS:
-        return silent, False, 0, name in CONTENT_TAGS
-    hinted = max((_hint(n) for n in names.split()), default=0)
-    return silent, name in FURNITURE_TAGS, hinted, hinted < 2 and bool(CONTENT_WORDS.intersection(_WORDS.findall(names)))
+        comment = name == "article" and any(_is_comment(n) for n in names.split())
+        return silent, False, 2 if comment else 0, name in CONTENT_TAGS and not comment
+    hinted = max((_hint(n, repeated) for n in names.split()), default=0)
+    return silent, name in FURNITURE_TAGS, hinted, hinted < 2 and bool(CONTENT_WORDS.intersection(_words_of(names)))
 
 
 def _end_of(name: str, page: str, at: int, closes: dict[str, tuple[int, int]]) -> int:
@@ -144,6 +199,7 @@ def blocks(page: str) -> list[Block]:
     linked: list[str] = []
     closes: dict[str, tuple[int, int]] = {}
     in_link, heading, at, n = False, False, 0, len(page)
+    repeated = _repeated(page)
 
     def close_block() -> None:
         text = " ".join(html.unescape("".join(plain)).split())
@@ -191,7 +247,7 @@ def blocks(page: str) -> list[Block]:
             in_link = not ends
             continue
         if name not in BLOCK_TAGS and name not in SILENT_TAGS:
-            marks = _marks(name, m["rest"]) if not ends and name not in VOID_TAGS and len(m["rest"]) > 6 else None
+            marks = _marks(name, m["rest"], repeated) if not ends and name not in VOID_TAGS and len(m["rest"]) > 6 else None
             if name in ("br", "img", "wbr", "input"):
                 plain.append(" ")
             elif marks and (marks[0] or marks[2] == 2):
@@ -221,7 +277,7 @@ def blocks(page: str) -> list[Block]:
             stack.pop()
         if name in VOID_TAGS or m["rest"].endswith("/>"):
             continue
-        silent, furniture, hinted, content = _marks(name, m["rest"])
+        silent, furniture, hinted, content = _marks(name, m["rest"], repeated)
         _, s, f, h, c = stack[-1]
         if name == "header" and not c:
             furniture = True
