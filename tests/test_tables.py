@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import maintenance
 from tidemark.operators.upsert import DuplicateKeyError, append_strict, dedup_keep_last, upsert, upsert_into
-from tidemark.plans.writes import new_database
-from tidemark.session import path_exists, remove_path, scratch_path
+from tidemark.session import new_database, path_exists, remove_path, scratch_path
 from tidemark.sources import catalog
 from tidemark.timetable import (
     PARTITION_COLUMN,

@@ -34,11 +34,11 @@ class Copied:
     before: int
 
 
-def copy_snapshot(spark: SparkSession, source: str, target: str, layout: snapshots.Layout, step_bytes: int = STEP_BYTES) -> Copied:
+def copy_snapshot(spark: SparkSession, source: str, target: str, layout: snapshots.Layout, step_bytes: int = STEP_BYTES, most_steps: int | None = None) -> Copied:
     """Copy the rows of a snapshot table, in steps of about `step_bytes`; safe to run again after any failure.
 
     Steps follow the order of the source's commits, so a target with keys merges as the source
-    does. A finished copy is brought up to a newer snapshot if the source only added parts.
+    does; `most_steps` stops after so many. A finished copy is brought up to a newer snapshot if the source only added parts.
     """
     begun = snapshots.latest(spark, target)
     pinned = begun.batches.get(_name(source)) if begun.notes else None
@@ -52,16 +52,18 @@ def copy_snapshot(spark: SparkSession, source: str, target: str, layout: snapsho
             raise ValueError(f"{source} has replaced parts since it was copied: copy it to a new target")
         version = newest.version
         todo = materialize(_left(spark, source, layout, version, done), "to-copy")
-    before, copied = done.count(), 0
+    before, copied, made = done.count(), 0, 0
     # commits in order, and a commit's files dealt into steps
     for order, size in sorted((r["order"], r["size"]) for r in todo.groupBy("order").agg(F.sum("bytes").alias("size")).collect()):
         steps = -(-max(1, size) // step_bytes)
         for step in range(steps):
             chosen = todo.where((F.col("order") == order) & (F.pmod(F.xxhash64("file"), F.lit(steps)) == step))
             files = {r["file"]: r["bytes"] for r in chosen.collect()}
+            if most_steps is not None and made >= most_steps:
+                return Copied(version, copied, before)
             if files:
                 _step(spark, source, target, layout, files, version)
-                copied += len(files)
+                copied, made = copied + len(files), made + 1
     return Copied(version, copied, before)
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.arrays import flatten_dataset
 from tidemark.operators.combine import concat_with_key, union_all, union_distinct
-from tidemark.plans.registry import SENSORS, plan, table
-from tidemark.session import rename_files, scratch_path
-from tidemark.sinks.files import export_csv, json_row
+from tidemark.plans.registry import plan, table
+from tidemark.session import folder_names, rename_files, scratch_path
+from tidemark.sinks.files import CSV_TEXT, export_csv, json_row
 from tidemark.sinks.line_protocol import to_lines, write_lines
 from tidemark.sources.csv_files import infer_columns, read_csv, read_csv_text, with_route_key
 from tidemark.sources.json_files import prediction_rows
@@ -68,30 +68,39 @@ def csv_positional_subset(spark, sf_dir):
     SELECT event_id, ts, user_id, event_type, value, props, right(event_type, 2) AS route FROM events
 """)
 def csv_route_key(spark, sf_dir):
-    """One file per event type; the last two letters of its name are the route."""
+    """Files named after the event type of their rows, whatever types there are; the last two letters of a name are the route."""
     events = table(spark, sf_dir, "events")
     path = scratch_path(spark, "routes-csv")
-    for kind in SENSORS:
-        part = f"{path}-parts/{kind}"
-        export_csv(events.where(F.col("event_type") == kind).coalesce(1), part, page_rows=0)
-        rename_files(spark, part, f"{path}/{kind}.csv")
-    return with_route_key(read_csv(spark, f"{path}/*.csv", events.schema))
+    # a type of no name is a route of its own
+    named = events.withColumn("_type", F.coalesce("event_type", F.lit("--"))).hint("rebalance", "_type")
+    named.write.partitionBy("_type").options(header=True, **CSV_TEXT).csv(f"{path}-parts")
+    for folder in folder_names(spark, f"{path}-parts"):
+        rename_files(spark, f"{path}-parts/{folder}", f"{path}/{folder.split('=', 1)[1]}.csv")
+    rows = with_route_key(read_csv(spark, f"{path}/*.csv", events.schema))
+    return rows.withColumn("route", F.nullif("route", F.lit("--")))
 
 
-@plan("""
-    SELECT 'events' AS name, * FROM (VALUES
-      (0, 'event_id', 'LONG'), (1, 'ts', 'TIMESTAMP'), (2, 'user_id', 'LONG'), (3, 'event_type', 'SYMBOL'), (4, 'value', 'DOUBLE'), (5, 'props', 'SYMBOL')
-    ) v(position, column_name, column_type)
-    WHERE (SELECT count(*) FROM events) >= 0
+_BASES = ["int8", "timestamp", "character varying", "float8", "geometry"]
+
+
+@plan(f"""
+    SELECT event_id, position, column_name,
+           CASE base WHEN 'int8' THEN 'LONG' WHEN 'timestamp' THEN 'TIMESTAMP' WHEN 'character varying' THEN 'SYMBOL' WHEN 'float8' THEN 'DOUBLE' ELSE 'STRING' END AS column_type
+    FROM (SELECT event_id, 0 AS position, event_type AS column_name, ['{"', '".join(_BASES)}'][event_id % 5 + 1] AS base FROM events
+          UNION ALL SELECT event_id, 1, 'user ' || user_id, 'float8' FROM events)
 """)
 def manifest_schema(spark, sf_dir):
-    """A manifest written from the schema of a table, read back as column types."""
-    kinds = {"bigint": "int8", "timestamp_ntz": "timestamp", "string": "character varying", "double": "float8"}
-    schema = table(spark, sf_dir, "events").dtypes
-    elements = ", ".join(f'{{"name": "{c}", "type": {{"base": "{kinds[t]}"}}}}' for c, t in schema)
+    """A manifest for every event, each of two columns, read back as column types."""
+    base = F.get(F.array(*[F.lit(b) for b in _BASES]), (F.col("event_id") % 5).cast("int"))
+
+    def element(name, kind):
+        return F.struct(name.alias("name"), F.struct(kind.alias("base")).alias("type"))
+
+    elements = F.array(element(F.col("event_type"), base), element(F.concat(F.lit("user "), "user_id"), F.lit("float8")))
     path = scratch_path(spark, "manifest")
-    spark.createDataFrame([(f'{{"schema": {{"elements": [{elements}]}}}}',)], "value string").coalesce(1).write.text(path)
-    return manifest_columns(spark, path).select(F.lit("events").alias("name"), "position", "column_name", "column_type")
+    told = table(spark, sf_dir, "events").select("event_id", F.struct(elements.alias("elements")).alias("schema"))
+    told.select(F.to_json(F.struct("event_id", "schema"))).write.text(path)
+    return manifest_columns(spark, path, by="event_id bigint", multi_line=False)
 
 
 @plan("""

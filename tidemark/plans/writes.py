@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import functions as F
 
-from pyspark.sql import SparkSession, functions as F
-
-from tidemark import datasets
+from tidemark import datasets, snapshots
 from tidemark.functions import times
 from tidemark.operators import maintenance
 from tidemark.operators.combine import union_all
+from tidemark.operators.copying import copy_snapshot
+from tidemark.operators.latest_table import LatestTable, read_latest, update_latest
 from tidemark.operators.upsert import append_strict, upsert, upsert_into
+from tidemark.operators.zones import append_clustered, read_ranges
 from tidemark.plans.aggregates import daily_readings
 from tidemark.plans.registry import plan, table
 from tidemark.plans.scalars import GEOHASH_SQL, customer_places
-from tidemark.session import materialize, scratch_path
+from tidemark.session import materialize, new_database, scratch_path
 from tidemark.sinks.files import export_csv, import_csv, read_routed, route_by_key, write_observed
 from tidemark.sources import catalog
 from tidemark.sources.csv_files import read_csv
+from tidemark.sources.quoted_csv import load_csv
 from tidemark.timetable import (
     PARTITION_COLUMN,
     TimeTable,
@@ -31,13 +33,6 @@ from tidemark.timetable import (
 )
 
 
-def new_database(spark: SparkSession) -> str:
-    """A database of its own below the shared folder, so runs never meet."""
-    name = f"tidemark_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
-    return name
-
-
 @plan("""
     WITH batches AS (
       SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, user_id, event_type, value, event_id, 1 AS batch FROM events
@@ -168,30 +163,38 @@ def catalog_scan(spark, sf_dir):
     )
 
 
-@plan("SELECT n_nationkey, n_name FROM nation UNION ALL SELECT r_regionkey + 100, r_name FROM region")
-def insert_values(spark, sf_dir):
-    """Rows given as literals, in two inserts."""
-    name = f"{new_database(spark)}.names"
-    spark.sql(f"CREATE TABLE {name} (n_nationkey bigint, n_name string) USING parquet")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    regions = table(spark, sf_dir, "region").select(F.col("r_regionkey") + 100, "r_name")
-    for rows in (nations, regions):
-        maintenance.insert_rows(spark, name, [tuple(r) for r in rows.collect()])
-    return spark.table(name)
+#: Literal rows of a small table: a sensor's name and factor.
+_FACTORS = [("view", 1.0), ("click", 0.5), ("purchase", 2.0), ("nobody", 9.0), ("error", None)]
 
 
-@plan("SELECT r_name, r_regionkey FROM region WHERE r_regionkey <> 3")
+@plan(f"""
+    SELECT event_id, event_type, value * factor AS scaled
+    FROM events LEFT JOIN (VALUES {', '.join(f"('{s}', {'NULL' if f is None else f}::DOUBLE)" for s, f in _FACTORS)}) v(sensor, factor) ON sensor = event_type
+""")
+def insert_values(spark, sf_dir):
+    """Rows given as literals, in two inserts, joined with the readings they scale."""
+    name = f"{new_database(spark)}.factors"
+    spark.sql(f"CREATE TABLE {name} (sensor string, factor double) USING parquet")
+    for rows in (_FACTORS[:2], _FACTORS[2:]):
+        maintenance.insert_rows(spark, name, rows)
+    readings = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    factors = spark.table(name)
+    scaled = readings.join(factors, readings["event_type"] == factors["sensor"], "left")
+    return materialize(scaled.select("event_id", "event_type", (F.col("value") * F.col("factor")).alias("scaled")), "scaled")
+
+
+@plan("SELECT event_id, ts, user_id, value FROM events WHERE event_id % 4 <> 2")
 def bulk_tables(spark, sf_dir):
-    """A table per region, created in bulk and filled; one is dropped, the rest is read; then all are dropped."""
-    regions = table(spark, sf_dir, "region").select("r_name", "r_regionkey")
-    database, count = new_database(spark), regions.count()
-    names = maintenance.create_tables(spark, f"{database}.region_", count, "CREATE TABLE {table_name} (r_name string, r_regionkey bigint) USING parquet")
+    """Four tables made in bulk take the readings by event number; one is dropped, the rest is read; then all are dropped."""
+    readings = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    database, count = new_database(spark), 4
+    columns = ", ".join(f"{c} {t}" for c, t in readings.dtypes)
+    names = maintenance.create_tables(spark, f"{database}.readings_", count, f"CREATE TABLE {{table_name}} ({columns}) USING parquet")
     for i, name in enumerate(names):
-        insert_into(spark, regions.where(F.col("r_regionkey") == i), name)
-    maintenance.drop_table(spark, names[3])
-    left = [spark.table(n) for n in names if spark.catalog.tableExists(n)]
-    kept = materialize(union_all(*left), "bulk")
-    maintenance.drop_tables(spark, f"{database}.region_", count)
+        insert_into(spark, readings.where(F.col("event_id") % count == i), name)
+    maintenance.drop_table(spark, names[2])
+    kept = materialize(union_all(*[spark.table(n) for n in names if spark.catalog.tableExists(n)]), "bulk")
+    maintenance.drop_tables(spark, f"{database}.readings_", count)
     return kept if not spark.catalog.listTables(database) else kept.limit(0)
 
 
@@ -316,3 +319,101 @@ def elt_locations(spark, sf_dir):
     maintenance.truncate_table(spark, name)
     insert_into(spark, datasets.locations(raw), name)
     return spark.table(name).drop(PARTITION_COLUMN).withColumn("UpdatedAt", F.col("UpdatedAt").cast("timestamp_ntz"))
+
+
+_DAILY = "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, user_id, event_type, value, event_id FROM events"
+
+
+@plan(f"""
+    WITH readings AS ({_DAILY}),
+         batches AS (SELECT *, 1 AS batch FROM readings
+                     UNION ALL SELECT day, user_id, event_type, value * 10, event_id, 2 FROM readings WHERE event_type = 'purchase')
+    SELECT 'before' AS snapshot, day, user_id, event_type, value, event_id FROM readings
+    QUALIFY row_number() OVER (PARTITION BY day, user_id ORDER BY event_id DESC) = 1
+    UNION ALL
+    SELECT * FROM (SELECT 'after', day, user_id, event_type, value, event_id FROM batches
+                   QUALIFY row_number() OVER (PARTITION BY day, user_id ORDER BY batch DESC, event_id DESC) = 1)
+""")
+def snapshot_upsert(spark, sf_dir):
+    """Two upserts into a snapshot table, one writer cut off in between; the snapshot before the second stays as it was."""
+    readings = daily_readings(table(spark, sf_dir, "events"))
+    layout, path = TimeTable(readings.schema, ts="day", unit="DAY", keys=("day", "user_id")), scratch_path(spark, "snapshots")
+    first = snapshots.upsert(readings, path, layout, ["event_id"])
+    # written, but never committed
+    snapshots.write_as_arranged(layout.stamp(readings.withColumn("value", F.lit(-1.0))), path, layout)
+    corrected = readings.where("event_type = 'purchase'").withColumn("value", F.col("value") * 10)
+    second = snapshots.upsert(corrected, path, layout, ["event_id"])
+    told = [
+        snapshots.read(spark, path, layout, s.version).drop(PARTITION_COLUMN).withColumn("snapshot", F.lit(name))
+        for name, s in (("before", first), ("after", second))
+    ]
+    return told[0].unionByName(told[1])
+
+
+@plan("SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
+def latest_maintained(spark, sf_dir):
+    """A latest-per-key table kept up to date by three batches, of which later ones hold older rows too."""
+    events = table(spark, sf_dir, "events")
+    latest, path = LatestTable(events.schema, "ts", ("user_id", "event_type"), ("event_id",), buckets=16), scratch_path(spark, "latest")
+    for batch in (2, 0, 1):
+        update_latest(events.where(F.col("event_id") % 3 == batch), path, latest)
+    return read_latest(spark, path, latest).select(*events.columns)
+
+
+@plan("""
+    SELECT event_id, ts, user_id, value FROM events
+    WHERE ts BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-12 18:00:00' AND user_id BETWEEN 10 AND 40
+""")
+def zone_skipping(spark, sf_dir):
+    """A range of times and keys over a MONTH table clustered by both: only files whose extents meet it are opened."""
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    layout, path = TimeTable(rows.schema, ts="ts", unit="MONTH"), scratch_path(spark, "clustered")
+    append_clustered(rows, path, layout, ["ts", "user_id"], rows_per_file=max(1, rows.count() // 40))
+    found = read_ranges(spark, path, layout, {"ts": ("2024-01-05 06:00:00", "2024-01-12 18:00:00"), "user_id": (10, 40)})
+    if found.opened >= found.files:
+        raise AssertionError(f"all {found.files} files were opened")
+    return found.rows.drop(PARTITION_COLUMN)
+
+
+@plan("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def copy_resumed(spark, sf_dir):
+    """A copy stopped after two steps and started again, by a ledger of the files it has."""
+    events = table(spark, sf_dir, "events")
+    layout = TimeTable(events.schema, ts="ts", unit="DAY")
+    source, target = scratch_path(spark, "copy-source"), scratch_path(spark, "copy-target")
+    for batch in (0, 1):
+        snapshots.append(events.where(F.col("event_id") % 2 == batch), source, layout)
+    size = sum(p.bytes for p in snapshots.latest(spark, source).parts)
+    for steps in (2, None):
+        copy_snapshot(spark, source, target, layout, step_bytes=max(1, size // 6), most_steps=steps)
+    return snapshots.read(spark, target, layout).drop(PARTITION_COLUMN)
+
+
+@plan("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_quoted_parallel(spark, sf_dir):
+    """Texts with line breaks, quotes and commas from CSV files that are cut into splits wherever they end."""
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "quoted-csv")
+    export_csv(docs, path, page_rows=0)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return load_csv(spark, path, docs.schema, split_bytes=max(10_000, size // 24)).rows
+
+
+@plan("""
+    SELECT event_id, CASE WHEN event_id % 7 = 3 THEN NULL ELSE value END AS value,
+           CASE WHEN event_id % 7 = 3 THEN 'value is no double' WHEN event_id % 7 = 5 THEN 'not 3 columns' END AS reason
+    FROM events
+""")
+def csv_rejects(spark, sf_dir):
+    """Lines with a value that is no number, or with a column too many, come back with the reason; all others as rows."""
+    events, i = table(spark, sf_dir, "events"), F.col("event_id")
+    value = F.when(i % 7 == 3, "n/a").otherwise(F.col("value").cast("string"))
+    line = F.concat_ws(",", i, F.concat(F.lit('"'), "event_type", F.lit('\n""x"""')), value, F.when(i % 7 == 5, "more"))
+    path = scratch_path(spark, "rejects-csv")
+    events.select(line).write.text(path)
+    load = load_csv(spark, path, "event_id bigint, event_type string, value double", header=False)
+    if load.counts["good"] + load.counts["rejected"] != load.counts["records"]:
+        raise AssertionError(f"records are missing: {load.counts}")
+    number = F.regexp_extract("text", r"^(\d+),", 1).cast("bigint").alias("event_id")
+    kept = F.when(F.col("reason") == "not 3 columns", F.regexp_extract("text", r',([^,"]*),more$', 1).cast("double")).alias("value")
+    return load.rows.select("event_id", "value", F.lit(None).cast("string").alias("reason")).unionByName(load.rejects.select(number, kept, "reason"))

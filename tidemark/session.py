@@ -17,6 +17,9 @@ ROWS_PER_TASK = 2_000_000
 ROWS_PER_TASK_CONF = "spark.tidemark.rowsPerTask"
 
 _written: set[str] = set()
+#: Everything named below the shared folder, and the databases that lie there.
+_named: set[str] = set()
+_databases: set[str] = set()
 #: What is written aside on the way to a table of `materialize_last`.
 _on_the_way: ContextVar[list[str] | None] = ContextVar("on_the_way", default=None)
 
@@ -50,8 +53,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; nothing is created yet. :func:`drop_scratch` deletes what comes to lie there."""
+    path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    _named.add(path)
+    return path
+
+
+def new_database(spark: SparkSession) -> str:
+    """A database of its own below the shared folder, so runs never meet."""
+    name = f"tidemark_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    _databases.add(name)
+    return name
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -103,12 +116,26 @@ def materialize_last(make: Callable[[], DataFrame], name: str) -> DataFrame:
 
 def drop_aside(spark: SparkSession, path: str) -> bool:
     _written.discard(path)
+    _named.discard(path)
     return remove_path(spark, path)
 
 
 def drop_scratch(spark: SparkSession) -> int:
-    """Delete the tables this process wrote aside; results built on them must be done."""
-    return sum(drop_aside(spark, path) for path in list(_written))
+    """Delete what this process put below the shared folder, and the databases there; results built on it must be done.
+
+    What lies beside a path under its name and two underscores, such as notes and staged folders, goes too.
+    """
+    for name in list(_databases):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+        _databases.discard(name)
+    parents = {path.rsplit("/", 1)[0] for path in _named}
+    found = {f"{parent}/{name}" for parent in parents for name, _, _ in listed(spark, parent)}
+    gone = [path for path in found if path.split("__", 1)[0] in _named or path in _named]
+    for path in gone:
+        remove_path(spark, path)
+    _named.clear()
+    _written.clear()
+    return len(gone)
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:

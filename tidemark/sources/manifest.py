@@ -33,12 +33,18 @@ def column_type(base: Column) -> Column:
     return known.otherwise("STRING")
 
 
-def manifest_columns(spark: SparkSession, path: str) -> DataFrame:
-    """(position, column_name, column_type) listed by a manifest JSON file."""
-    raw = spark.read.schema(_MANIFEST).option("multiLine", True).json(path)
-    listed = raw.select(F.posexplode("schema.elements").alias("position", "e"))
+def manifest_columns(spark: SparkSession, path: str, by: str | None = None, multi_line: bool = True) -> DataFrame:
+    """(position, column_name, column_type) listed by manifest JSON files.
+
+    Without ``multi_line`` every line is a manifest of its own. ``by`` is a field, with its
+    type, that tells several manifests apart; it comes first.
+    """
+    fields = _MANIFEST if by is None else f"{by}, {_MANIFEST}"
+    raw = spark.read.schema(fields).option("multiLine", multi_line).json(path)
+    own = [by.split()[0]] if by else []
+    listed = raw.select(*own, F.posexplode("schema.elements").alias("position", "e"))
     kind = column_type(F.col("e.type.base"))
-    return listed.select("position", F.col("e.name").alias("column_name"), kind.alias("column_type"))
+    return listed.select(*own, "position", F.col("e.name").alias("column_name"), kind.alias("column_type"))
 
 
 def schema_of(columns: DataFrame) -> T.StructType:

@@ -113,8 +113,8 @@ def load_csv(
     """Typed rows of CSV files, columns by position, and the records that do not fit.
 
     ``options`` are those of Spark's CSV parser. Files may be wider than the schema if their
-    header is, of which the first columns are taken. An empty value is NULL. Records are parsed
-    once; ``counts`` says how many there are and how many are good and rejected.
+    header is, of which the first columns are taken. An empty value is NULL, two quotes are an
+    empty text. Records are parsed once; ``counts`` says how many there are and how many are good and rejected.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -132,7 +132,8 @@ def load_csv(
     typed = {f.name: _typed(F.col(n), f.dataType, options) for n, f in zip(names, schema.fields)}
     reason = F.when(F.col("open"), "quote left open").when(F.col(_CORRUPT).isNotNull(), f"not {width} columns")
     for name, f in zip(names, schema.fields):
-        misfit = F.col(name).isNotNull() & typed[f.name].isNull()
+        given = F.col(name) if isinstance(f.dataType, T.StringType) else F.nullif(F.col(name), F.lit(""))
+        misfit = given.isNotNull() & typed[f.name].isNull()
         reason = reason.when(misfit, f"{f.name} is no {f.dataType.simpleString()}")
     values = F.struct(*[v.alias(n) for n, v in typed.items()]).alias("row")
     judged = materialize(told.select("file", "line", reason.alias("reason"), F.when(reason.isNotNull(), F.col("text")).alias("text"), values), "csv-judged")
@@ -142,7 +143,8 @@ def load_csv(
 
 
 def _parsing(options: dict) -> dict:
-    return {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "maxCharsPerColumn": "-1", **{k: str(v) for k, v in options.items()}}
+    # a value no file holds: empty values are NULL all the same, and quoted empty texts are not
+    return {"escape": '"', "nullValue": "\u0001", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "maxCharsPerColumn": "-1", **{k: str(v) for k, v in options.items()}}
 
 
 def _header(spark: SparkSession, text: str, options: dict) -> list[str]:
@@ -154,6 +156,8 @@ def _header(spark: SparkSession, text: str, options: dict) -> list[str]:
 
 
 def _typed(value: Column, kind: T.DataType, options: dict) -> Column:
+    if not isinstance(kind, T.StringType):
+        value = F.nullif(value, F.lit(""))
     pattern = options.get("timestampFormat") if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else None
     if pattern:
         return F.try_to_timestamp(value, F.lit(pattern)).try_cast(kind)

@@ -126,9 +126,13 @@ def _column_type(seen: str) -> str:
     return "double" if seen.startswith(("DECIMAL", "FLOAT")) else _COLUMN_TYPES.get(seen, "string")
 
 
-def widening_writer(path: str, value: str, known: dict[str, str]) -> BatchWriter:
+def widening_writer(path: str, value: str, known: dict[str, str], widest: int = WIDEST) -> BatchWriter:
     """:func:`folder_per_batch` of :func:`widen`: a key keeps the type it had when it was first seen.
 
+    A batch that brings more than ``widest`` new keys gets columns for the first of them; the
+    values of the others are kept as text in ``_more``, whatever their type. A later batch with
+    fewer new keys gives such a key a column from then on.
+
     The columns so far lie as JSON lines next to the batches, one file per batch that brought
     new ones, so a restarted stream goes on with them and reading needs no footers.
     """
@@ -137,7 +141,7 @@ def widening_writer(path: str, value: str, known: dict[str, str]) -> BatchWriter
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = {**known, **_noted_columns(spark, path, batch_id)}
-        wide = widen(batch, value, before)
+        wide = widen(batch, value, before, widest)
         new = [(batch_id, i, f.name, f.dataType.simpleString()) for i, f in enumerate(wide.schema.fields) if f.name not in before]
         if new:
             note = spark.createDataFrame(new, _NOTED).coalesce(1)
