@@ -1,4 +1,11 @@
-"""A training corpus from raw documents: the stages in order, each written and read again."""
+"""A training corpus from raw documents: the stages in order, each written and read again.
+
+Defined cases of every stage: rows with nulls in any column, empty and very long texts and
+repeated rows are ordinary rows, an empty table gives an empty one, and columns are returned
+as they are whatever their names; the docstring of each operator says what becomes of such
+rows. So of all rows without text one stays after exact dedup, each stage tells rows apart by
+number and not by doc_id, and the last stage gives a row without text no tokens.
+"""
 
 from __future__ import annotations
 

@@ -136,20 +136,19 @@ def test_odd_rows_empty_table_and_clashing_names(spark, odd, nothing, clashing):
     assert {shown(r) for r in alignment.summarize(encoded, alignment.count_pairs(encoded)).collect()} == {(0, 0, 0, 0, 0, 0, "")}
 
 
+BYTES, PIECES = token_files.ByteLevel(token_files.read_byte_level(PATH_A)), token_files.Pieces(token_files.read_pieces(PATH_B))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(max_size=30), max_size=5))
 def test_any_texts(texts):
-    a, b = token_files.ByteLevel(token_files.read_byte_level(PATH_A)), PIECES
     sides = [tokens(t) for t in texts]
     ids = [[np.array([i for i, _ in side], "<u2").tobytes() for side in column] for column in zip(*sides)] or [[], []]
-    found = alignment.align(*ids, *(np.array([len(x) for x in t.bytes_of], np.int64) for t in (a, b)))
+    found = alignment.align(*ids, *(np.array([len(x) for x in t.bytes_of], np.int64) for t in (BYTES, PIECES)))
     lines = alignment.group_lines(found, alignment._names(50257))
     assert lines == [";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in grouped(t)) for t in texts]
 
 
-PIECES = token_files.Pieces(token_files.read_pieces(PATH_B))
-
-
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.integers(0, 2**63 - 1), max_size=300), st.integers(0, 2**63 - 1))
 def test_hash_of_a_bucket_is_perfect(keys, other):

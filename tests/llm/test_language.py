@@ -65,3 +65,30 @@ def test_odd_rows_empty_table_and_nothing_to_learn(odd, nothing, clashing):
     assert language.identify(nothing).collect() == []
     unknown = odd.drop("lang").selectExpr("*", "CAST(NULL AS string) AS lang")
     assert {r["lang_pred"] for r in language.identify(unknown).collect()} == {"und"}
+
+
+def test_scores_match_plain_counting(documents):
+    """Predictions against n-grams counted one by one and sets instead of a filter."""
+    import zlib
+    from collections import Counter
+
+    rows = documents.collect()
+    counts = {}
+    for r in rows:
+        if r["lang"] is not None and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            counts.setdefault(r["lang"], Counter()).update(grams_of(r["text"]))
+    totals = {lang: sum(c.values()) for lang, c in counts.items()}
+    kept = {lang: {g for g, n in c.items() if n >= totals[lang] * language.MIN_SHARE} for lang, c in counts.items()}
+    cover = {lang: sum(counts[lang][g] for g in kept[lang]) / totals[lang] for lang in counts}
+    got = {r["doc_id"]: r for r in language.identify(documents).collect()}
+    for r in rows:
+        grams = grams_of(r["text"])
+        rates = {lang: sum(g in kept[lang] for g in grams) / max(1, len(grams)) / cover[lang] for lang in sorted(kept)}
+        if not any(c.isalpha() for c in r["text"] or "") or not sum(rates.values()):
+            continue
+        best = max(rates, key=lambda lang: (rates[lang], [-ord(c) for c in lang]))
+        score = rates[best] / sum(rates.values())
+        row = got[r["doc_id"]]
+        # a filter errs on a few n-grams in a thousand
+        assert abs(row["score"] - score) < 0.05, (r["doc_id"], row, rates)
+        assert row["lang_pred"] == best or sorted(rates.values())[-1] - sorted(rates.values())[-2] < 0.02

@@ -60,6 +60,6 @@ def test_odd_rows_pass_through(spark, odd, nothing):
 
 def test_registration():
     names = entry.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert set(queries.SQL) <= set(entry.oracle_sql())

@@ -57,3 +57,89 @@ def test_network_is_calibrated():
     for low in (0.0, 0.25, 0.5, 0.75):
         part = (scores >= low) & (scores < low + 0.25)
         assert abs(scores[part].mean() - y[4000:][part].mean()) < 0.1
+
+
+TEXTS = ["alpha, beta gamma!! 12 beta", "", None, "  x\tx x ", "Éa b... c1-d2 (beta) alpha", "one"]
+
+
+def plain_tokens(text):
+    """Runs of characters that are not white space, cut between letters or digits and other ASCII characters."""
+    import re
+
+    return re.findall(r"[A-Za-z0-9\x80-\U0010ffff]+|[^\sA-Za-z0-9\x80-\U0010ffff]+", text or "", re.A)
+
+
+def bucket_of(token):
+    import pyarrow as pa
+
+    found, _ = quality._tokens(*quality.bytes_of(pa.array([token])))
+    assert len(found) == 1
+    return int(found[0])
+
+
+def test_features_match_plain_pooling(spark):
+    """Word vectors summed neighbour by neighbour and texts pooled token by token."""
+    import pyarrow as pa
+
+    where, sign = quality._index_vectors()
+    sums = np.zeros((quality.BUCKETS, quality.WIDTH))
+    for text in TEXTS:
+        told = [bucket_of(t) for t in plain_tokens(text)]
+        for a, b in zip(told, told[1:]):
+            np.add.at(sums[a], where[b], sign[b])
+            np.add.at(sums[b], where[a], sign[a])
+    unit = sums / np.maximum(1e-9, np.linalg.norm(sums, axis=1, keepdims=True))
+    vectors = quality.word_vectors(spark.createDataFrame([(t,) for t in TEXTS], "text string"))
+    assert np.allclose(vectors, unit, atol=1e-6)
+    pools = quality._pooled(*quality._tokens(*quality.bytes_of(pa.array(TEXTS))), vectors)
+    for text, pool in zip(TEXTS, pools):
+        told = np.array([unit[bucket_of(t)] for t in plain_tokens(text)])
+        if not len(told):
+            assert not pool.any()
+            continue
+        change = np.abs(np.diff(told, axis=0)).sum(axis=0) / len(told)
+        assert np.allclose(pool, np.concatenate([told.mean(axis=0), told.std(axis=0), change]), atol=1e-5)
+
+
+def made(spark, n):
+    """Documents of two kinds of words, every one labelled."""
+    rng = np.random.default_rng(8)
+    words = [[f"{kind}{i}" for i in range(60)] for kind in ("good", "bad", "both")]
+    rows = []
+    for i in range(n):
+        own = words[i % 2]
+        rows.append((i, " ".join(rng.choice(own) if rng.random() < 0.4 else rng.choice(words[2]) for _ in range(12)), 1 - i % 2))
+    return spark.createDataFrame(rows, "doc_id long, text string, quality int")
+
+
+def test_one_rule_for_any_number_of_labels(spark, monkeypatch):
+    """Also with more than ten thousand labels, and texts as ids."""
+    rows = made(spark, 14_000).cache()
+    labels = rows.select("doc_id", "quality")
+    for n in (600, 14_000):
+        seen = []
+        monkeypatch.setattr(quality, "STEPS", 1_200)
+        real = quality.Network._train
+        monkeypatch.setattr(quality.Network, "_train", lambda self, x, y, real=real: seen.append(len(y)) or real(self, x, y))
+        docs = rows.where(F.col("doc_id") < n).drop("quality")
+        got = quality.score(docs, quality.held_in(labels)).join(labels, "doc_id").where(quality.remainder("doc_id", 4) == 2).collect()
+        assert sum(r["predicted"] == r["quality"] for r in got) / len(got) > 0.9
+        assert 0.4 * n < seen[0] < 0.8 * n
+        monkeypatch.undo()
+    texts = rows.where("doc_id < 300").withColumn("doc_id", F.concat(F.lit("id"), "doc_id"))
+    assert quality.score(texts.drop("quality"), texts.select("doc_id", "quality")).count() == 300
+    rows.unpersist()
+
+
+def test_labels_without_a_document_take_no_place(spark):
+    rows = made(spark, 200)
+    labels = rows.select("doc_id", "quality").union(spark.range(10_000, 14_000).selectExpr("id", "int(id % 2)"))
+    vectors = spark.sparkContext.broadcast(quality.word_vectors(rows))
+    learnt = []
+    real = quality.Network.__init__
+    try:
+        quality.Network.__init__ = lambda self, x, y, calibrate: learnt.append(len(y)) or real(self, x, y, calibrate)
+        quality.train(rows.drop("quality"), labels, vectors, most=100)
+    finally:
+        quality.Network.__init__ = real
+    assert learnt == [100]

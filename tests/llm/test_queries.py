@@ -14,4 +14,7 @@ def test_matches_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_every_row_comes_back(spark, name):
     table = "pages" if name.startswith(("op3_", "op7_")) else "documents"
-    assert QUERIES[name](spark, SF_DIR).count() == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
+    rows = QUERIES[name](spark, SF_DIR)
+    # packing gives a row for each piece of a document
+    rows = rows.where("piece = 0") if name.startswith("op12_") else rows
+    assert rows.count() == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()

@@ -121,3 +121,70 @@ def test_made_secrets_are_found(field):
         hit += sum(any(g in line[a:b] or line[a:b] in g for g in got) for a, b in spans)
         wrong += len(got) if not spans else 0
     assert hit / total > 0.8 and wrong <= 12
+
+
+def test_recall_and_precision_on_planted_secrets(field, documents):
+    """Secrets of shapes that no training line has, planted between the words of documents."""
+    rng = random.Random(31)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    draw = lambda n, of=letters: "".join(rng.choice(of) for _ in range(n))
+    shapes = [
+        lambda: ("db_password = ", draw(18) + "3a"),
+        lambda: ("the key is ", "rk_test_" + draw(24) + "8"),
+        lambda: ("Authorization: Bearer ", draw(20) + "-" + draw(22) + "5"),
+        lambda: ("commit token ", draw(40, "0123456789abcdef")),
+        lambda: ("client_secret: ", draw(30) + "0Z"),
+        lambda: ("aws ", "AKIA" + draw(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")),
+        lambda: ("access-key ", draw(36) + "/7+"),
+    ]
+    prose = [r["text"] for r in documents.where("length(text) BETWEEN 200 AND 3000").orderBy("doc_id").limit(140).collect()]
+    hit = added = wrong = clean_words = 0
+    for n, text in enumerate(prose):
+        # words only, so that nothing but the planted value is a secret
+        words = re.findall(r"[A-Za-z]+", text)[:60]
+        before, value = rng.choice(shapes)()
+        line = " ".join(words[:30]) + f" {before}{value} " + " ".join(words[30:])
+        start = line.index(value)
+        spans = [(a, b) for a, b, _ in S.base_spans(line)]
+        data, offsets = bytes_of(pa.array([line]))
+        lines = S.Lines(data, offsets)
+        spans += S._tagged(lines, field.decode(lines), data, offsets).get(0, [])
+        hit += any(a < start + len(value) and start < b for a, b in spans)
+        wrong += sum(not (a < start + len(value) and start < b) for a, b in spans)
+        added += len(spans)
+        clean_words += len(words)
+    assert hit / len(prose) >= 0.9, hit / len(prose)
+    assert (added - wrong) / added >= 0.9 and wrong / clean_words < 0.001
+
+
+def test_time_grows_with_the_text(field):
+    import time
+
+    piece = "some words then token = 0123456789abcdef0123456789abcdef01 and pwd: hunter2xK9mQ8z end " * 600
+
+    def seconds(times):
+        text = piece * times
+        data, offsets = bytes_of(pa.array([text]))
+        lines = S.Lines(data, offsets)
+        tags, base = field.decode(lines), S.base_spans(text)
+        start = time.perf_counter()
+        S._apart(S._tagged(lines, tags, data, offsets)[0], base)
+        return time.perf_counter() - start
+
+    seconds(1)
+    assert min(seconds(8) for _ in range(3)) < 16 * max(1e-3, min(seconds(2) for _ in range(3)))
+
+
+def test_added_spans_touch_no_base_span():
+    rng = random.Random(2)
+    for _ in range(300):
+        spans = lambda k: sorted((a, a + rng.randint(1, 9)) for a in (rng.randrange(60) for _ in range(rng.randrange(k))))
+        base, added = [(a, b, 0) for a, b in spans(6)], spans(8)
+        assert S._apart(added, base) == [(s, e, 3) for s, e in added if not any(s < y and x < e for x, y, _ in base)]
+
+
+def test_training_parts_are_bounded(spark, documents):
+    long = spark.createDataFrame([(1, "word " * 100_000), (2, None), (3, "")], "doc_id long, text string")
+    parts = S._sample(long)
+    assert all(len(p) <= S.PART_CHARS for p in parts) and 2 <= len(parts) <= S.SAMPLE_PARTS
+    assert S._sample(documents.repartition(3)) == S._sample(documents)

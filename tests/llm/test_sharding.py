@@ -54,3 +54,21 @@ def test_odd_rows_empty_table_and_clashing_names(odd, nothing, clashing):
 def test_no_python_in_the_plan(documents):
     plan = sharding.assign_shards(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_shards_match_one_sorted_line(documents):
+    """Every row's shard and slot from a plain sort by hash and row, and running sums."""
+    import xxhash
+
+    rows = documents.coalesce(1)
+    texts = [(r["doc_id"], r["text"] or "") for r in rows.collect()]
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) ^ (1 << 63)) - (1 << 63)
+    line = sorted(range(len(texts)), key=lambda i: (signed(texts[i][1]), i))
+    sizes = [len(t.encode()) + 8 for _, t in texts]
+    total, before, want, held = sum(sizes), 0, {}, {}
+    for i in line:
+        shard = min(23, int((before + sizes[i] // 2) / total * 24))
+        want[texts[i][0]] = (shard, held.get(shard, 0))
+        held[shard] = held.get(shard, 0) + 1
+        before += sizes[i]
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.assign_shards(rows).collect()} == want
