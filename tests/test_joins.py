@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.asof import asof_join, asof_wide
 from tidemark.operators.latest import latest_on, latest_wide
-from tidemark.operators.ordering import hot_keys, row_number_by, with_row_index
+from tidemark.operators.ordering import hot_keys, ordered_splits, row_number_by, with_row_index
 
 LEFT = "k string, t int, lid int"
 RIGHT = "k string, t int, rid int, v double"
@@ -147,3 +147,28 @@ def test_hot_keys_counts_a_sample_of_large_inputs(spark):
     assert 6 <= hot.split_count <= 8
     assert hot.others(df).count() == 50_000
     assert hot_keys(df, ["k"], 190_000) is None
+
+
+def test_overfull_ranges_are_cut_again(spark):
+    """Bounds drawn from hardly any rows: splits still hold about what they should, in order."""
+    conf = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    before = spark.conf.get(conf)
+    rows = spark.range(3000).select((F.col("id") * 7919 % 3000).alias("n"), F.lit("x").alias("k")).repartition(6)
+    spark.conf.set(conf, "1")
+    try:
+        placed = ordered_splits(rows, ["n"], True, 4, 100).collect()
+    finally:
+        spark.conf.set(conf, before)
+    sizes = {}
+    for r in placed:
+        sizes.setdefault(r["_split"], []).append(r)
+    assert max(map(len, sizes.values())) <= 200 and len(placed) == 3000
+    assert all(sorted(r["_pos"] for r in part) == list(range(len(part))) for part in sizes.values())
+    in_order = sorted(placed, key=lambda r: (r["_split"], r["_pos"]))
+    assert [r["n"] for r in in_order] == list(range(3000))
+
+
+def test_ties_that_no_range_can_cut(spark):
+    rows = spark.range(50).select(F.lit(1).alias("n"), "id")
+    assert {r["_split"] for r in ordered_splits(rows, ["n"], True, 4, 5).collect()} == {0}
+    assert sorted(r["row_index"] for r in with_row_index(rows, ["n"], unique=False, rows_per_split=5).collect()) == list(range(50))

@@ -74,10 +74,11 @@ class HotKeys:
     keys: list[str]
     values: DataFrame
     split_count: int
+    split_rows: int
 
     def splits(self, df: DataFrame, order: Sequence[str], unique: bool) -> DataFrame:
         """The hot keys' rows of ``df``, range-sorted into numbered splits."""
-        return ordered_splits(self.only(df), [*self.keys, *order], unique, self.split_count)
+        return ordered_splits(self.only(df), [*self.keys, *order], unique, self.split_count, self.split_rows)
 
     def only(self, df: DataFrame) -> DataFrame:
         return df.join(self.values, self.keys, "left_semi").select(*df.columns)
@@ -101,19 +102,27 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], limit_rows: int) -> HotKeys |
     seen = found.agg(F.sum("_n")).first()[0]
     if not seen:
         return None
-    return HotKeys(list(keys), found.drop("_n"), 2 * math.ceil(seen / fraction / limit_rows))
+    return HotKeys(list(keys), found.drop("_n"), 2 * math.ceil(seen / fraction / limit_rows), limit_rows)
 
 
-def ordered_splits(df: DataFrame, order: Sequence[str], unique: bool, splits: int | None = None) -> DataFrame:
+def ordered_splits(df: DataFrame, order: Sequence[str], unique: bool, splits: int | None = None, most: int | None = None) -> DataFrame:
     """Rows range-sorted on ``order`` with stable ``_split`` and ``_pos`` (0-based in the split).
 
+    Spark draws the ranges from a sample of limited size, so with very many of them some are
+    far too large: those of more than twice ``most`` rows are cut again until none is left.
+
     The row numbers come from the sorted partitions themselves: one shuffle, no window. Ties
     cannot be told apart by range; if ``order`` is not ``unique`` the rows are first written
     with a number, so that even a table of copies is split.
     """
     if not unique:
         numbered = df.withColumn("_row", F.monotonically_increasing_id())
-        return ordered_splits(materialize(numbered, "told-apart"), [*order, "_row"], True, splits).drop("_row")
+        return ordered_splits(materialize(numbered, "told-apart"), [*order, "_row"], True, splits, most).drop("_row")
+    placed = _ranged(df, order, splits)
+    return _subdivided(placed, order, most) if most else placed
+
+
+def _ranged(df: DataFrame, order: Sequence[str], splits: int | None) -> DataFrame:
     ranged = df.repartitionByRange(splits, *order) if splits else df.repartitionByRange(*order)
     numbered = ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
     stable = materialize(numbered, "ordered")
@@ -125,6 +134,33 @@ def ordered_splits(df: DataFrame, order: Sequence[str], unique: bool, splits: in
     ).drop("_id")
 
 
+def _subdivided(placed: DataFrame, order: Sequence[str], most: int, before: int | None = None) -> DataFrame:
+    """``placed`` with its overfull splits cut again, and all splits numbered anew in order.
+
+    Rows that tie in ``order`` cannot be cut; the work ends when the largest split stays as it is.
+    """
+    sizes = placed.groupBy("_split").agg(F.count("*").alias("_n")).where(F.col("_n") > 2 * most)
+    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    if not total or largest == before:
+        return placed
+    overfull = materialize(sizes, "overfull")
+    large = placed.join(overfull.select("_split"), "_split", "left_semi")
+    inner = large.select(*[c for c in placed.columns if c not in ("_split", "_pos")], F.col("_split").alias("_outer"))
+    cut = _ranged(inner, ["_outer", *order], 2 * math.ceil(total / most))
+    # a new range may hold the end of one split and the start of the next
+    firsts = cut.groupBy("_outer", "_split").agg(F.min("_pos").alias("_first"))
+    rest = placed.join(overfull.select("_split"), "_split", "left_anti")
+    named = firsts.select("_outer", "_split").union(rest.select(F.col("_split"), F.lit(-1).cast("bigint")).distinct())
+    # one row per split
+    numbers = materialize(named.toDF("_outer", "_inner").withColumn("_new", F.row_number().over(W.orderBy("_outer", "_inner")).cast("bigint") - 1), "splits")
+    whole = rest.withColumn("_outer", F.col("_split")).withColumn("_inner", F.lit(-1).cast("bigint"))
+    parts = cut.join(firsts, ["_outer", "_split"]).withColumn("_pos", F.col("_pos") - F.col("_first")).withColumn("_inner", F.col("_split"))
+    columns = [c for c in placed.columns if c != "_split"]
+    both = whole.select(*columns, "_outer", "_inner").unionByName(parts.select(*columns, "_outer", "_inner"))
+    renamed = materialize(both.join(numbers, ["_outer", "_inner"]).select(*columns, F.col("_new").alias("_split")), "subdivided")
+    return _subdivided(renamed.select(*placed.columns), order, most, largest)
+
+
 def with_row_index(
     df: DataFrame, order: Sequence[str], name: str = "row_index", unique: bool = True, rows_per_split: int | None = None
 ) -> DataFrame:
@@ -136,7 +172,8 @@ def with_row_index(
     """
     spark = df.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = ordered_splits(df, order, unique, max(least, math.ceil(df.count() / rows_per_task(spark, rows_per_split))))
+    most = rows_per_task(spark, rows_per_split)
+    placed = ordered_splits(df, order, unique, max(least, math.ceil(df.count() / most)), most)
     sizes = placed.groupBy("_split").agg(F.count("*").alias("_n"))
     before = W.orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
