@@ -98,10 +98,11 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], limit_rows: int) -> HotKeys |
     if fraction < 1.0:
         named = named.sample(fraction, seed=11)
     counted = named.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit_rows * fraction)
-    found = materialize(counted, "hot-keys")
-    seen = found.agg(F.sum("_n")).first()[0]
+    # nearly always there is none, and then nothing is written
+    seen = counted.agg(F.sum("_n")).first()[0]
     if not seen:
         return None
+    found = materialize(counted, "hot-keys")
     return HotKeys(list(keys), found.drop("_n"), 2 * math.ceil(seen / fraction / limit_rows), limit_rows)
 
 
