@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tidemark import evolving, snapshots
+from tidemark import datasets, evolving, snapshots
 from tidemark.operators.sample import last_not_null
 from tidemark.plans.aggregates import daily_readings
 from tidemark.plans.registry import plan, table
 from tidemark.session import scratch_path
+from tidemark.sinks.files import export_json
 from tidemark.streaming import corrections, metrics, outbox
 from tidemark.streaming.ingest import (
     append_stream,
@@ -50,6 +51,36 @@ def stream_append(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(path)
 
 
+@plan("""
+    SELECT CAST(date_trunc('milliseconds', ts) AS TIMESTAMP) AS timestamp, concat('T', user_id) AS id, event_type AS exchange, event_id % 9 AS "quoteType",
+           value AS price, 1::BIGINT AS "marketHours", value / 100 AS "changePercent", CAST(user_id AS DOUBLE) AS "dayVolume",
+           CASE WHEN event_type <> 'error' THEN value / 10 END AS change, 2::BIGINT AS "priceHint"
+    FROM events
+""")
+def stream_ticks(spark, sf_dir):
+    """Ticks land as JSON records with times in milliseconds, twice; a stream appends them to a DAY table."""
+    i, value, target = F.col("event_id"), F.col("value"), datasets.target("ticks")
+    landing, path, log = scratch_path(spark, "ticks-json"), scratch_path(spark, "ticks"), scratch_path(spark, "stream-log")
+    for batch in (0, 1):
+        ticks = table(spark, sf_dir, "events").where(i % 2 == batch).select(
+            F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+            F.concat(F.lit("T"), "user_id").alias("id"),
+            F.col("event_type").alias("exchange"),
+            (i % 9).alias("quoteType"),
+            value.alias("price"),
+            F.lit(1).cast("bigint").alias("marketHours"),
+            (value / 100).alias("changePercent"),
+            F.col("user_id").cast("double").alias("dayVolume"),
+            F.when(F.col("event_type") != "error", value / 10).alias("change"),
+            F.lit(2).cast("bigint").alias("priceHint"),
+        )
+        export_json(ticks, f"{landing}/{batch}")
+        typed = datasets.ticks(read_stream(spark, f"{landing}/*", ticks.schema, "json"))
+        append_stream(target.stamp(typed), path, log, partition_by=target.partition_columns).awaitTermination()
+    stored = read_time_table(spark, path, target).drop(PARTITION_COLUMN)
+    return stored.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def _by_day(spark, sf_dir):
     readings = daily_readings(table(spark, sf_dir, "events"))
     return TimeTable(readings.schema, ts="day", unit="DAY", keys=("day", "user_id", "event_type"))
