@@ -69,6 +69,23 @@ def test_cases(spark, block, monkeypatch):
         assert all(WORD.match(text[a].lower()) and WORD.match(text[b - 1].lower()) for a, b in spans)
 
 
+@pytest.mark.parametrize("hashes", [400, 2_000_000])
+def test_a_large_benchmark_is_thinned_to_what_occurs(spark, documents, benchmark, hashes, monkeypatch):
+    """Of items that no document holds nothing is left, however many; what occurs comes out as by brute force."""
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 20_000)
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", hashes)
+    rows = [(r["doc_id"], r["text"]) for r in documents.limit(40).collect()]
+    foreign = [(1000 + i, " ".join(f"f{i}x{k}" for k in range(25 if i % 3 else 4))) for i in range(90)]
+    near = [(2000, " ".join((rows[0][1] or "").split()[:14])), (2001, " ".join((rows[1][1] or "").split()[3:7]))]
+    items = foreign + near + ITEMS
+    docs = spark.createDataFrame(rows + list(enumerate(TEXTS, 5000)), "doc_id long, text string").repartition(5)
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    assert len(list(decontaminate._blocks(frame, docs, "text"))) == 1
+    found = got(decontaminate.find_benchmark_passages(docs, frame))
+    assert found == want(rows + list(enumerate(TEXTS, 5000)), items)
+    assert any("2000" in r[3] for r in found) and any("2001" in r[3] for r in found)
+
+
 def test_odd_rows_empty_tables_and_clashing_names(spark, odd, nothing, clashing, benchmark):
     items = spark.createDataFrame([(1, "quick brown fox")], "item_id long, text string")
     assert decontaminate.find_benchmark_passages(odd, items).count() == 13
