@@ -31,8 +31,11 @@ def entries(spark):
     return spark.createDataFrame(ENTRIES, LIST)
 
 
-def test_intervals(entries):
-    got = sorted(map(tuple, url_filter.validity_intervals(entries).where("pattern = 'bad.org'").collect()), key=lambda r: r[2])
+@pytest.mark.parametrize("rows_per_pattern", [None, 1])
+def test_intervals(entries, rows_per_pattern):
+    """In one window a pattern, and with the entries of a pattern in splits."""
+    found = url_filter.validity_intervals(entries, rows_per_pattern).where("pattern = 'bad.org'")
+    got = sorted(map(tuple, found.collect()), key=lambda r: r[2])
     assert got == [("bad.org", "block", day(5), day(10)), ("bad.org", "off", day(10), day(20)), ("bad.org", "block", day(20), None)]
 
 

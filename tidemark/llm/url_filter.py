@@ -24,10 +24,10 @@ replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import carry_forward, hot_keys
+from tidemark.operators.ordering import carry_forward, hot_keys, row_number_by
 from tidemark.session import materialize, rows_per_task
 
 
@@ -38,19 +38,24 @@ def host_of(url: str) -> Column:
     return F.when(host != "", host)
 
 
-def validity_intervals(entries: DataFrame) -> DataFrame:
-    """pattern, action, valid_from, valid_to (exclusive, null while it still holds) of a list (pattern, action, listed_on, seq)."""
+def validity_intervals(entries: DataFrame, rows_per_pattern: int | None = None) -> DataFrame:
+    """pattern, action, valid_from, valid_to (exclusive, null while it still holds) of a list (pattern, action, listed_on, seq).
+
+    The entries of a pattern are numbered by time, those of a pattern with more than
+    `rows_per_pattern` rows in splits, and each is joined with the next number's.
+    """
     named = entries.where("pattern IS NOT NULL AND listed_on IS NOT NULL").select(
         F.lower("pattern").alias("pattern"), F.col("listed_on").alias("valid_from"), F.struct("seq", "action").alias("entry")
     )
-    by_time = named.groupBy("pattern", "valid_from").agg(F.max("entry").alias("entry"))
-    following = F.lead("valid_from").over(Window.partitionBy("pattern").orderBy("valid_from"))
-    return by_time.select("pattern", F.col("entry.action").alias("action"), "valid_from", following.alias("valid_to"))
+    by_time = materialize(named.groupBy("pattern", "valid_from").agg(F.max("entry").alias("entry")), "entries")
+    numbered = materialize(row_number_by(by_time, ["pattern"], ["valid_from"], "_n", rows_per_pattern), "numbered-entries")
+    following = numbered.select("pattern", (F.col("_n") - 1).alias("_n"), F.col("valid_from").alias("valid_to"))
+    return numbered.join(following, ["pattern", "_n"], "left").select("pattern", F.col("entry.action").alias("action"), "valid_from", "valid_to")
 
 
 def _active(asked: DataFrame, entries: DataFrame, rows_per_pattern: int | None) -> DataFrame:
     """`asked` (pattern, _at) with the `block` or `allow` interval that holds at that time."""
-    valid = materialize(validity_intervals(entries), "intervals")
+    valid = materialize(validity_intervals(entries, rows_per_pattern), "intervals")
     interval = F.struct("action", "valid_from", "valid_to")
     kind = valid.select(interval.alias("x")).schema["x"].dataType
     # an interval comes before the times asked about at its start
