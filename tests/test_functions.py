@@ -76,6 +76,23 @@ def test_order_book(spark, limit):
     assert rows[None]["bids"] == [[6.0, 3.0], [5.0, 2.0]] and rows[None]["asks"] == [[4.0, 1.0], [5.0, 2.0]]
 
 
+@pytest.mark.parametrize("limit", [2, 1000])
+def test_order_book_of_many_hot_keys_and_a_huge_one(spark, limit):
+    small = spark.range(36_000).selectExpr("id % 12000 AS s", "id * 7919 % 1000 / 8.0D AS p", "id % 5 AS q")
+    huge = spark.range(3_000).selectExpr("CAST(NULL AS BIGINT) AS s", "IF(id < 3, NULL, id / 2.0D) AS p", "id AS q")
+    rows = small.union(huge).collect()
+    expected = {}
+    for r in rows:
+        expected.setdefault(r["s"], []).append((r["p"] is not None, r["p"] or 0.0, float(r["q"])))
+    book = order_book(spark.createDataFrame(rows, "s bigint, p double, q bigint"), ["s"], "p", "q", 4, rows_per_key=limit)
+    got = book.collect()
+    assert len(got) == len(expected) == 12_001
+    for r in got:
+        up = sorted(expected[r["s"]])
+        for side, best in (("bids", up[::-1][:4]), ("asks", up[:4])):
+            assert r[side] == [[round(p, 4) if known else None, q] for known, p, q in best], (r["s"], side)
+
+
 def test_limits(spark, monkeypatch):
     df = spark.range(500)
     take = lambda d: [r["id"] for r in d.collect()]

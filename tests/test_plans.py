@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.arrays import order_book
 from tidemark.operators.asof import asof_join, asof_wide
 from tidemark.operators.latest import latest_on, latest_wide
 from tidemark.operators.paging import first_n, last_n
@@ -79,6 +80,13 @@ def test_levels_take_one_shuffle_and_hot_keys_are_cut_before_theirs(spark):
     assert plan.count("row_number(), 5, Partial") == 2
 
 
+def test_a_great_many_hot_keys_are_cut_without_joins_and_sides_sorted_apart(spark):
+    rows = spark.range(36_000).selectExpr("id % 12000 AS s", "id / 8.0D AS p", "id % 5 AS q")
+    plan = plan_of(order_book(rows, ["s"], "p", "q", rows_per_key=2))
+    assert "Join" not in plan and plan.count("row_number(), 5, Partial") == 2
+    assert plan.count("REPARTITION_BY_NUM") == 2
+
+
 def test_expansion_by_lists_shuffles_nothing(spark):
     plan = plan_of(PLANS["cross_join_seasonal"].run(spark, SF_DIR))
     assert "CartesianProduct" not in plan and exchanges(plan) == 0
