@@ -121,6 +121,16 @@ def test_sample_buckets_and_all_null_buckets(spark):
         sample_by(df, "ts", "0m", ["k"], [F.count("*")])
 
 
+def test_with_each_deals_out_a_large_product_of_a_table_in_one_split(spark, split_keys):
+    one = spark.range(0, 40, 1, 1).withColumnRenamed("id", "x")
+    few = spark.range(0, 2, 1, 1).selectExpr("IF(id = 0, 'a', 'b') AS c")
+    for product in (with_each(one, few), with_each(few, one)):
+        got = product.select("x", "c", F.spark_partition_id().alias("task")).collect()
+        assert sorted((r["x"], r["c"]) for r in got) == [(x, c) for x in range(40) for c in "ab"]
+        tasks = [r["task"] for r in got]
+        assert len(set(tasks)) > 8 and max(map(tasks.count, tasks)) <= 20
+
+
 def test_with_each_and_union(spark):
     few = spark.createDataFrame([("x", None), ("y", 2)], "a string, b int")
     got = with_each(spark.range(2), few, spark.createDataFrame([(1.5,)], "c double"))

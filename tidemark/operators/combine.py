@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import Window as W
 
+from tidemark.session import rows_per_task
+
 
 def union_distinct(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, frames).distinct()
@@ -26,9 +29,17 @@ def concat_with_key(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
 def with_each(df: DataFrame, *lists: DataFrame) -> DataFrame:
     """Repeat every row for each combination of rows of the ``lists``.
 
-    The product is what is asked for; Spark's size checks choose the side that is broadcast.
+    The product is what is asked for; Spark's size checks choose the side that is broadcast. A
+    small table is one file split, and so one task whatever comes of it: if the product has more
+    rows than a task should make, the largest table is dealt out to as many tasks as that takes.
     """
-    return reduce(DataFrame.crossJoin, lists, df)
+    frames = [df, *lists]
+    counts = [frame.count() for frame in frames]
+    tasks = min(max(counts), math.ceil(math.prod(counts) / rows_per_task(df.sparkSession)))
+    if tasks > 1:
+        largest = counts.index(max(counts))
+        frames[largest] = frames[largest].repartition(tasks)
+    return reduce(DataFrame.crossJoin, frames)
 
 
 def first_levels(df: DataFrame, by: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
